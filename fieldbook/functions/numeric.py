@@ -16,12 +16,11 @@ NO_BIAS = "no presenta sesgo medio"
 
 
 def is_finite(value: Column | str) -> Column:
-    """Not null, not NaN and not infinite.
+    """False for null, NaN and infinities, never null.
 
-    Needed before any comparison because Spark orders NaN above every number.
+    NaN is the greatest double in Spark's order, so one comparison rules out both.
     """
-    number = _column(value)
-    return number.isNotNull() & ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    return F.coalesce(F.abs(_column(value)) < F.lit(float("inf")), F.lit(False))
 
 
 def duration_in_years(years: Column | str, months: Column | str) -> Column:

@@ -34,14 +34,22 @@ def normalized_code(value: Column | str) -> Column:
 
 
 def parse_number(value: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -> Column:
-    """Tolerant double: ignores blanks and thousands commas, malformed text gives null.
+    """Tolerant double: ignores blanks and thousands commas; malformed text gives null.
 
-    ``try_cast`` accepts what Java's double parser accepts, including ``Infinity`` and a
-    trailing ``d``; combine with :func:`~fieldbook.functions.numeric.is_finite` to rule
-    out infinities.
+    A token that is not a number fails the cast and needs no test of its own, and NaN
+    is one function over the parsed value, so the text is prepared once per row.  The
+    cast accepts ``Infinity`` and a trailing ``d`` as Java's parser does; see
+    :func:`~fieldbook.functions.numeric.is_finite`.
     """
-    text = F.replace(trimmed(value), F.lit(","), F.lit(""))
-    return F.when(F.upper(text).isin(*tokens), None).otherwise(text.try_cast("double"))
+    text = F.replace(_column(value).cast("string"), F.lit(","), F.lit(""))
+    number = text.try_cast("double")
+    upper_tokens = {token.upper() for token in tokens}
+    if "NAN" in upper_tokens:
+        number = F.nanvl(number, F.lit(None).cast("double"))
+    castable = sorted(t for t in upper_tokens if any(c.isdigit() for c in t) or "INF" in t)
+    if castable:
+        number = F.when(~F.upper(F.trim(text)).isin(*castable), number)
+    return number
 
 
 def label_for(

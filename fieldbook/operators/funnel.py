@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,10 +36,49 @@ def failed_step(criteria: Sequence[Criterion]) -> Column:
 
 
 def survivors(frame: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
-    """Rows that meet all the criteria, as one combined filter."""
+    """Rows that meet all the criteria, as one filter that Spark may push to the scan.
+
+    Right for typed, stored columns.  When the columns are parsed from text in the same
+    query, pushing the filter repeats the parsing inside it: use
+    :func:`observed_survivors` there.
+    """
     return frame.filter(reduce(lambda left, right: left & right, [r.keep for r in criteria]))
 
 
+def observed_survivors(
+    frame: DataFrame, criteria: Sequence[Criterion]
+) -> tuple[DataFrame, Observation]:
+    """The same rows, with the audit counted by whatever action first consumes them.
+
+    Storing the survivors and auditing the exclusions is then one pass over the input:
+    run the action, then hand the observation to :func:`observed_audit`.  Observed
+    columns are computed below the filter and not again inside it.
+    """
+    steps = len(criteria)
+    observation = Observation()
+    tagged = frame.withColumn("__step", failed_step(criteria))
+    kept = (
+        tagged.observe(observation, *_step_counts(steps))
+        .filter(F.col("__step") > steps)
+        .drop("__step")
+    )
+    return kept, observation
+
+
+def observed_audit(
+    spark: SparkSession,
+    observation: Observation,
+    criteria: Sequence[Criterion],
+    input_label: str = "input",
+) -> DataFrame:
+    """The audit table of :func:`observed_survivors`; waits for its action."""
+    counts = observation.get
+    row = spark.range(1).select(
+        *[F.lit(value).cast("long").alias(name) for name, value in counts.items()]
+    )
+    return _audit_lines(row, criteria, input_label)
+
+
 def exclusion_audit(
     frame: DataFrame, criteria: Sequence[Criterion], input_label: str = "input"
 ) -> DataFrame:
@@ -49,13 +88,23 @@ def exclusion_audit(
     audit are unfolded from that single result row.
     """
     reached = frame.select(failed_step(criteria).alias("__step"))
-    counts = reached.agg(
+    return _audit_lines(reached.agg(*_step_counts(len(criteria))), criteria, input_label)
+
+
+def _step_counts(steps: int) -> list[Column]:
+    """How many rows pass the first ``k`` criteria, for each ``k`` from 0."""
+    return [
         F.count("*").alias("__after_0"),
         *[
             F.count_if(F.col("__step") > step).alias(f"__after_{step}")
-            for step in range(1, len(criteria) + 1)
+            for step in range(1, steps + 1)
         ],
-    )
+    ]
+
+
+def _audit_lines(
+    counts: DataFrame, criteria: Sequence[Criterion], input_label: str
+) -> DataFrame:
     lines = [
         _audit_line(step, label, f"__after_{max(step - 1, 0)}", f"__after_{step}")
         for step, label in enumerate([input_label, *[rule.label for rule in criteria]])

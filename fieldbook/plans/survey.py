@@ -110,7 +110,7 @@ def eligibility(
     job_codes: tuple[str, ...] = tuple(OCCUPATION),
 ) -> list[Criterion]:
     """The seven ordered criteria of the eligible wage-earning population."""
-    whole_months = F.col(months) == F.floor(months)
+    # NaN and infinity fail "in 0..11" and "at most 168", so these need no finite test.
     return [
         Criterion("age finite and at least 15", is_finite(age) & (F.col(age) >= 15)),
         Criterion("employed", F.col(active) == 1),
@@ -119,16 +119,11 @@ def eligibility(
         Criterion(
             "tenure parts valid",
             is_finite(years)
-            & is_finite(months)
             & (F.col(years) >= 0)
-            & F.col(months).between(0, 11)
-            & whole_months,
+            & F.col(months).isin(*[float(month) for month in range(12)]),
         ),
         Criterion("tenure within age", F.col(tenure) <= F.col(age)),
-        Criterion(
-            "weekly hours in (0, 168]",
-            is_finite(hours) & (F.col(hours) > 0) & (F.col(hours) <= 168),
-        ),
+        Criterion("weekly hours in (0, 168]", (F.col(hours) > 0) & (F.col(hours) <= 168)),
     ]
 
 

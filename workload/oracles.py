@@ -119,10 +119,10 @@ ORACLES["label_codes"] = (
     f"WITH {TYPED} SELECT {_keys}, job_label, level_label, domain_label FROM typed"
 )
 ORACLES["composite_duration"] = (
-    f"WITH {TYPED} SELECT {_keys}, tenure_years, tenure_months, {_r('tenure')} AS tenure FROM typed"
+    f"WITH {TYPED} SELECT {_keys}, tenure_years, tenure_months, tenure FROM typed"
 )
 ORACLES["harmonize"] = (
-    f"WITH {TYPED} SELECT * EXCLUDE (tenure), {_r('tenure')} AS tenure FROM typed"
+    f"WITH {TYPED} SELECT * FROM typed"
 )
 
 
@@ -153,7 +153,7 @@ ORACLES["exclusion_funnel"] = (
     )
 )
 ORACLES["eligible_rows"] = (
-    f"WITH {TYPED} SELECT {_keys}, age, pay, {_r('tenure')} AS tenure, hours, job, level "
+    f"WITH {TYPED} SELECT {_keys}, age, pay, tenure, hours, job, level "
     f"FROM typed WHERE {ELIGIBLE}"
 )
 

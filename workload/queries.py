@@ -21,7 +21,7 @@ from fieldbook.learning.regression import (
     search,
 )
 from fieldbook.operators import association, audit, errors, findings, profile, sampling
-from fieldbook.operators.funnel import exclusion_audit, passes, survivors
+from fieldbook.operators.funnel import exclusion_audit, observed_survivors, passes
 from fieldbook.operators.histogram import histogram, log_histogram
 from fieldbook.operators.quantiles import approx_quantiles
 from fieldbook.operators.splits import split_counts
@@ -71,12 +71,12 @@ def label_codes(spark, sf_dir):
 @query
 def composite_duration(spark, sf_dir):
     frame = b.harmonised(spark, sf_dir)
-    return rounded(frame.select(*b.RAW_KEYS, "tenure_years", "tenure_months", "tenure"))
+    return frame.select(*b.RAW_KEYS, "tenure_years", "tenure_months", "tenure")
 
 
 @query
 def harmonize(spark, sf_dir):
-    return rounded(b.harmonised(spark, sf_dir))
+    return b.harmonised(spark, sf_dir)
 
 
 @query
@@ -101,8 +101,8 @@ def exclusion_funnel(spark, sf_dir):
 
 @query
 def eligible_rows(spark, sf_dir):
-    kept = survivors(b.harmonised(spark, sf_dir), b.criteria())
-    return rounded(kept.select(*b.RAW_KEYS, "age", "pay", "tenure", "hours", "job", "level"))
+    kept, _ = observed_survivors(b.harmonised(spark, sf_dir), b.criteria())
+    return kept.select(*b.RAW_KEYS, "age", "pay", "tenure", "hours", "job", "level")
 
 
 @query
@@ -142,7 +142,7 @@ def counts_by_period(spark, sf_dir):
 @query
 def compare_period_counts(spark, sf_dir):
     frame = b.harmonised(spark, sf_dir)
-    after = survivors(frame, b.criteria())
+    after, _ = observed_survivors(frame, b.criteria())
     return rounded(audit.compare_counts(frame, after, "period"))
 
 
