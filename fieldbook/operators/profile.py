@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions import percent_of, position_in
 
-from .quantiles import DEFAULT_ACCURACY, quantiles
+from .quantiles import DEFAULT_ACCURACY, exact_column_quantiles, quantiles
 
 PROFILE_QUANTILES: Mapping[str, float] = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
@@ -88,9 +88,14 @@ def numeric_profile(
         "min": F.min("value"),
         "max": F.max("value"),
     }
-    table = _summary(
-        stacked, "value", ["variable"], measures, PROFILE_QUANTILES, exact, accuracy
-    )
+    if exact:
+        plain = [column.alias(name) for name, column in measures.items()]
+        ranks = exact_column_quantiles(frame, columns, PROFILE_QUANTILES, accuracy)
+        table = stacked.groupBy("variable").agg(*plain).join(ranks, "variable", "left")
+    else:
+        table = _summary(
+            stacked, "value", ["variable"], measures, PROFILE_QUANTILES, exact, accuracy
+        )
     shown = ["variable", "n", "mean", "median", "std", "min", "p25", "p75", "p95", "max"]
     return table.orderBy(position_in("variable", columns)).select(*shown)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,107 +60,150 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact order statistics without gathering a group in one place.
 
-    1. a sketch proposes a narrow interval around each wanted rank;
-    2. counting the rows up to each interval bound tells exactly which interval holds
-       the rank, whether or not the sketch was accurate;
-    3. only the rows of those intervals (about ``4 / accuracy`` of a group for each
-       probability) are counted by value and walked in order.
+    1. a sketch proposes a few cut points around each wanted rank;
+    2. counting the rows below and up to each cut tells exactly where the rank lies,
+       whether or not the sketch was accurate; a rank among the ties of a cut is
+       answered by it;
+    3. for the other ranks, only the rows strictly between two cuts (about
+       ``2 / accuracy`` of a group) are counted by value and walked in order.
 
     Passes 1 and 2 keep fixed-size state per group and combine map-side.  The input is
-    scanned three times: hand in a narrow or materialised frame when it is costly to
-    compute.  Without ``by`` the bounds are scalars on the driver and reach the scan
-    as pushed-down range filters.
+    scanned up to three times: hand in a narrow or stored frame when it is costly.
     """
+    if not by:
+        row = exact_column_quantiles(frame, [value], probs, accuracy)
+        return row.select(*probs).filter(F.col(next(iter(probs))).isNotNull())
     values = _values(frame, value, by)
-    margin = 2.0 / accuracy
-    grid = sorted(
-        {min(1.0, max(0.0, p + step)) for p in probs.values() for step in (-margin, margin)}
-    )
-    cuts = [f"__cut_{i}" for i in range(len(grid))]
+    grid = _grid(probs, accuracy)
+    names = [f"__cut_{i}" for i in range(len(grid))]
     sketch = values.groupBy(*by).agg(_sketch(grid, accuracy).alias("__q"))
-    proposed = sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(cuts)])
+    cuts = sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(names)])
 
     counted = (
-        _attach(values, proposed, by)
-        .groupBy(*by, *cuts)
+        _beside(values, cuts, by)
+        .groupBy(*by)
         .agg(
             F.count("*").alias("__n"),
-            *[F.count_if(F.col("__v") <= F.col(c)).alias(f"{c}_upto") for c in cuts],
+            *[F.max(c).alias(c) for c in names],
+            *[F.count_if(F.col("__v") < F.col(c)).alias(f"{c}_below") for c in names],
+            *[F.count_if(F.col("__v") <= F.col(c)).alias(f"{c}_upto") for c in names],
         )
     )
-    targets = counted.select(
+    located = counted.select(
         *by,
-        *[
-            column.alias(f"__{part}_{i}")
-            for i, p in enumerate(probs.values())
-            for part, column in _interval(p, cuts).items()
-        ],
+        *[_locate(share, names).alias(f"__at_{i}") for i, share in enumerate(probs.values())],
     )
+    open_ranks = [F.col(f"__at_{i}.answer").isNull() for i in range(len(probs))]
+    unsettled = located.filter(reduce(lambda a, b: a | b, open_ranks))
 
-    tagged = _attach(values, targets, by)
-    inside = [_inside(i) for i in range(len(probs))]
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    inside[i],
-                    F.struct(F.lit(name).alias("name"), F.col(f"__rank_{i}").alias("rank")),
-                )
-                for i, name in enumerate(probs)
-            ]
-        )
-    )
-    near = (
-        tagged.filter(reduce(lambda a, b: a | b, inside))
-        .select(*by, "__v", F.explode(hits).alias("__hit"))
-        .groupBy(*by, F.col("__hit.name").alias("__name"), F.col("__hit.rank").alias("__rank"), "__v")
-        .agg(F.count("*").alias("__c"))
-    )
-    order = (
-        Window.partitionBy(*by, "__name")
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = near.withColumn("__upto", F.sum("__c").over(order)).filter(
-        (F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__c") < F.col("__rank"))
-    )
-    return found.groupBy(*by).agg(
+    tagged = _beside(values, unsettled, by)
+    hits = [_hit(F.col("__v"), F.col(f"__at_{i}"), name) for i, name in enumerate(probs)]
+    found = _walk(tagged.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("h")), by)
+    settled = found.groupBy(*by).agg(
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probs]
     )
+    return _beside(located, settled, by, how="left").select(
+        *by, *[F.coalesce(f"__at_{i}.answer", name).alias(name) for i, name in enumerate(probs)]
+    )
+
+
+def exact_column_quantiles(
+    frame: DataFrame,
+    columns: Sequence[str],
+    probs: Mapping[str, float],
+    accuracy: int = DEFAULT_ACCURACY,
+) -> DataFrame:
+    """``(variable, *probs)``: the same three passes for whole columns side by side.
+
+    Cut points and counts are a few scalars per column on the driver, so they enter the
+    next pass as literals: no join, and range filters that reach the scan.  The last
+    pass is skipped when ties settle every rank.
+    """
+    numbers = frame.select(*[_number(name).alias(name) for name in columns])
+    grid = _grid(probs, accuracy)
+    sketches = numbers.agg(*[_sketch(grid, accuracy, name).alias(name) for name in columns])
+    cuts = {name: sorted(set(values or ())) for name, values in sketches.first().asDict().items()}
+
+    counts = numbers.agg(
+        *[F.count(name).alias(f"{name}__n") for name in columns],
+        *[
+            F.count_if(test).alias(f"{name}__{i}_{part}")
+            for name in columns
+            for i, cut in enumerate(cuts[name])
+            for part, test in (("below", F.col(name) < cut), ("upto", F.col(name) <= cut))
+        ],
+    ).first()
+
+    answers: dict[tuple[str, str], float] = {}
+    hits, bounds = [], []
+    for name in columns:
+        total = counts[f"{name}__n"]
+        for prob_name, prob in probs.items():
+            if not total:
+                continue
+            rank = max(1, ceil(Fraction(str(prob)) * total))
+            low, high, skipped = None, None, 0
+            for i, cut in enumerate(cuts[name]):
+                if counts[f"{name}__{i}_upto"] < rank:
+                    low, skipped = cut, counts[f"{name}__{i}_upto"]
+                    continue
+                if counts[f"{name}__{i}_below"] < rank:
+                    answers[name, prob_name] = cut
+                else:
+                    high = cut
+                break
+            if (name, prob_name) not in answers:
+                at = F.struct(
+                    F.lit(low).cast("double").alias("low"),
+                    F.lit(high).cast("double").alias("high"),
+                    F.lit(rank - skipped).cast("long").alias("rank"),
+                    F.lit(None).cast("double").alias("answer"),
+                )
+                hits.append(_hit(F.col(name), at, f"{name}\t{prob_name}"))
+                bounds.append(_between(F.col(name), at))
+    if hits:
+        near = numbers.filter(reduce(lambda a, b: a | b, bounds))
+        walked = _walk(near.select(F.explode(F.array_compact(F.array(*hits))).alias("h")), [])
+        for row in walked.collect():
+            answers[tuple(row["__name"].split("\t"))] = row["__v"]
+    rows = [(name, *[answers.get((name, p)) for p in probs]) for name in columns]
+    schema = "variable string, " + ", ".join(f"`{p}` double" for p in probs)
+    return frame.sparkSession.createDataFrame(rows, schema)
+
+
+def _number(name: str) -> Column:
+    """The column as double, NaN turned into null."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
 
 def _values(frame: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    number = F.col(value).cast("double")
-    return frame.select(*by, number.alias("__v")).filter(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
+    return frame.select(*by, _number(value).alias("__v")).filter(F.col("__v").isNotNull())
 
 
-def _sketch(probs: Sequence[float], accuracy: int) -> Column:
-    return F.percentile_approx("__v", F.array(*[F.lit(p) for p in probs]), F.lit(accuracy))
+def _sketch(probs: Sequence[float], accuracy: int, value: str = "__v") -> Column:
+    return F.percentile_approx(value, F.array(*[F.lit(p) for p in probs]), F.lit(accuracy))
 
 
-def _attach(values: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Put per-group statistics beside every value: literals when there is one group."""
-    names = [name for name in stats.columns if name not in by]
-    if not by:
-        row = stats.first()
-        types = dict(stats.dtypes)
-        return values.withColumns(
-            {name: F.lit(row[name] if row else None).cast(types[name]) for name in names}
-        )
+def _grid(probs: Mapping[str, float], accuracy: int) -> list[float]:
+    """Each probability and a step to either side of it, inside [0, 1]."""
+    step = 1.5 / accuracy
+    return sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-step, 0.0, step)})
+
+
+def _beside(
+    left: DataFrame, stats: DataFrame, by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Put per-group statistics beside rows of the group; null is a group."""
     renamed = stats.select(
-        *[F.col(name).alias(f"__by_{i}") for i, name in enumerate(by)], *names
+        *[F.col(name).alias(f"__by_{i}") for i, name in enumerate(by)],
+        *[name for name in stats.columns if name not in by],
     )
-    same_group = reduce(
-        lambda a, b: a & b,
-        [F.col(name).eqNullSafe(F.col(f"__by_{i}")) for i, name in enumerate(by)],
-    )
-    return values.join(renamed, same_group).drop(*[f"__by_{i}" for i in range(len(by))])
+    same_group = [F.col(name).eqNullSafe(F.col(f"__by_{i}")) for i, name in enumerate(by)]
+    return left.join(renamed, same_group, how).drop(*[f"__by_{i}" for i in range(len(by))])
 
 
-def _interval(prob: float, cuts: Sequence[str]) -> dict[str, Column]:
-    """The interval ``(low, high]`` holding a rank, and the rank counted from its start.
+def _locate(prob: float, cuts: Sequence[str]) -> Column:
+    """Where a rank lies: an answer, or an open interval and the rank inside it.
 
     The rank is ``ceil(prob * n)`` in integer arithmetic, at least 1.  A null bound is
     open.
@@ -173,17 +217,54 @@ def _interval(prob: float, cuts: Sequence[str]) -> dict[str, Column]:
             F.lit(share.denominator).cast("long"),
         ),
     )
-    low, high, skipped = F.col(cuts[-1]), F.lit(None).cast("double"), F.col(f"{cuts[-1]}_upto")
+    nothing, zero = F.lit(None).cast("double"), F.lit(0).cast("long")
+
+    def place(low: Column, high: Column, skipped: Column, answer: Column) -> Column:
+        return F.struct(
+            low.alias("low"),
+            high.alias("high"),
+            (rank - skipped).alias("rank"),
+            answer.alias("answer"),
+        )
+
+    at = place(F.col(cuts[-1]), nothing, F.col(f"{cuts[-1]}_upto"), nothing)
     for i in reversed(range(len(cuts))):
-        reached = F.col(f"{cuts[i]}_upto") >= rank
-        below = F.col(cuts[i - 1]) if i else F.lit(None).cast("double")
-        before = F.col(f"{cuts[i - 1]}_upto") if i else F.lit(0).cast("long")
-        low = F.when(reached, below).otherwise(low)
-        high = F.when(reached, F.col(cuts[i])).otherwise(high)
-        skipped = F.when(reached, before).otherwise(skipped)
-    return {"low": low, "high": high, "rank": rank - skipped}
-
-
-def _inside(i: int) -> Column:
-    low, high = F.col(f"__low_{i}"), F.col(f"__high_{i}")
-    return (low.isNull() | (F.col("__v") > low)) & (high.isNull() | (F.col("__v") <= high))
+        cut = F.col(cuts[i])
+        low = F.col(cuts[i - 1]) if i else nothing
+        skipped = F.col(f"{cuts[i - 1]}_upto") if i else zero
+        here = F.when(
+            F.col(f"{cuts[i]}_below") >= rank, place(low, cut, skipped, nothing)
+        ).otherwise(place(cut, cut, skipped, cut))
+        at = F.when(F.col(f"{cuts[i]}_upto") >= rank, here).otherwise(at)
+    return at
+
+
+def _between(value: Column, at: Column) -> Column:
+    low, high = at["low"], at["high"]
+    return (low.isNull() | (value > low)) & (high.isNull() | (value < high))
+
+
+def _hit(value: Column, at: Column, name: str) -> Column:
+    """A row's contribution to one unsettled rank, or null."""
+    return F.when(
+        at["answer"].isNull() & value.isNotNull() & _between(value, at),
+        F.struct(F.lit(name).alias("name"), at["rank"].alias("rank"), value.alias("v")),
+    )
+
+
+def _walk(hits: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The value at each rank: values counted first, then summed in order."""
+    near = hits.groupBy(
+        *by,
+        F.col("h.name").alias("__name"),
+        F.col("h.rank").alias("__rank"),
+        F.col("h.v").alias("__v"),
+    ).agg(F.count("*").alias("__c"))
+    order = (
+        Window.partitionBy(*by, "__name")
+        .orderBy("__v")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return near.withColumn("__upto", F.sum("__c").over(order)).filter(
+        (F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__c") < F.col("__rank"))
+    )
