@@ -177,11 +177,14 @@ def criteria() -> list:
     return eligibility(active="active", job_code="job", pay="pay", hours="hours")
 
 
-def predictions(spark: SparkSession, sf_dir: str, split: str = "test") -> DataFrame:
+def predictions(
+    spark: SparkSession, sf_dir: str, split: str = "test", with_priority: bool = False
+) -> DataFrame:
     """Rows of a split with three predictions learnt on the training lines.
 
     ``pred_mean`` is the mean, ``pred_segment`` the mean of the return flag and line
-    status, ``pred_line`` the least-squares line on quantity.
+    status, ``pred_line`` the least-squares line on quantity.  Orders are joined only
+    for the queries that group by their priority.
     """
     train = split_lines(spark, sf_dir, "train")
     fit = train.agg(
@@ -192,9 +195,12 @@ def predictions(spark: SparkSession, sf_dir: str, split: str = "test") -> DataFr
     segments = train.groupBy("l_returnflag", "l_linestatus").agg(
         F.avg(LABEL).alias("pred_segment")
     )
-    scored = model_lines(spark, sf_dir, split).join(
-        segments, ["l_returnflag", "l_linestatus"], "left"
+    rows = split_lines(spark, sf_dir, split).select(
+        "period", *KEYS, LABEL, "l_quantity", "l_returnflag", "l_linestatus"
     )
+    if with_priority:
+        rows = with_orders(rows, spark, sf_dir, "o_orderpriority")
+    scored = rows.join(segments, ["l_returnflag", "l_linestatus"], "left")
     return scored.withColumns(
         {
             "pred_mean": F.lit(fit["mean"]),

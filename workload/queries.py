@@ -292,9 +292,8 @@ def long_errors(spark, sf_dir):
 
 
 def _by_priority(spark, sf_dir):
-    return errors.error_by_group(
-        b.predictions(spark, sf_dir), "o_orderpriority", b.LABEL, b.TWO_MODELS, b.PRIORITIES
-    )
+    frame = b.predictions(spark, sf_dir, with_priority=True)
+    return errors.error_by_group(frame, "o_orderpriority", b.LABEL, b.TWO_MODELS, b.PRIORITIES)
 
 
 def _by_flag(spark, sf_dir):
