@@ -8,7 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from fieldbook.operators.audit import counts_by_period, duplicate_keys, missingness
-from fieldbook.operators.funnel import Criterion, exclusion_audit, passes, survivors
+from fieldbook.operators.funnel import (
+    Criterion,
+    exclusion_audit,
+    observed_audit,
+    observed_survivors,
+    passes,
+)
 from fieldbook.operators.harmonise import HarmoniseRules, harmonise
 from fieldbook.sources.tables import write_by_period
 
@@ -18,15 +24,27 @@ class Preparation:
     """Lazy tables of one preparation; nothing runs until one of them is used."""
 
     harmonised: DataFrame
-    eligible: DataFrame
+    criteria: Sequence[Criterion]
+    period: str
     funnel: DataFrame
     by_period: DataFrame
     missing: DataFrame
     duplicates: DataFrame
 
-    def write(self, path: str, period: str) -> None:
-        """Store the eligible rows, typed, so that later filters reach the scan."""
-        write_by_period(self.eligible, path, period)
+    @property
+    def eligible(self) -> DataFrame:
+        kept, _ = observed_survivors(self.harmonised, self.criteria)
+        return kept
+
+    def write(self, path: str) -> DataFrame:
+        """Store the eligible rows by period and return the audit of that same pass.
+
+        Work on the stored table from then on: its columns are typed, so filters reach
+        the scan and text is not parsed again.
+        """
+        kept, observation = observed_survivors(self.harmonised, self.criteria)
+        write_by_period(kept, path, self.period)
+        return observed_audit(self.harmonised.sparkSession, observation, self.criteria)
 
 
 def prepare(
@@ -41,7 +59,8 @@ def prepare(
     harmonised = harmonise(raw, rules)
     return Preparation(
         harmonised=harmonised,
-        eligible=survivors(harmonised, criteria),
+        criteria=criteria,
+        period=period,
         funnel=exclusion_audit(harmonised, criteria),
         by_period=counts_by_period(harmonised, period, passes(criteria)),
         missing=missingness(raw, audited),

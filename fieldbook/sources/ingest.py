@@ -61,6 +61,9 @@ def _read_source(spark: SparkSession, spec: SourceSpec, columns: Sequence[str])
             f"{spec.file_name}: {len(found.columns)} columns, expected {spec.expected_columns}"
         )
     if spec.format == "csv":
+        # An unquoted empty cell is null and a quoted one is empty text; the reader tells
+        # them apart only when the null marker is not the empty string itself.
+        reader = reader.option("nullValue", "\x1f")
         found = reader.schema(text_schema(found.columns)).load(spec.path)
     texts = found.select(*[trimmed(name).alias(name) for name in columns])
     return with_provenance(texts, source_file=spec.file_name, **spec.provenance)
