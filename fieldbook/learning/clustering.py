@@ -11,11 +11,12 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from fieldbook.functions import percent_of, relation_text
 from fieldbook.operators.quantiles import DEFAULT_ACCURACY
 
+from .layout import kept_for_iteration
+
 CLUSTER = "cluster"
 SCALED = "scaled_features"
 
@@ -51,12 +52,9 @@ def fit_clusters(
 ) -> PipelineModel:
     """Assemble, standardise and cluster."""
     scaling = _scaling(features).fit(frame.select(*features))
-    vectors = scaling.transform(frame.select(*features)).select(SCALED)
-    vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    scaled = scaling.transform(frame.select(*features)).select(SCALED)
+    with kept_for_iteration(scaled) as vectors:
         return PipelineModel([*scaling.stages, _kmeans(k, seed).fit(vectors)])
-    finally:
-        vectors.unpersist()
 
 
 def kmeans_search(
@@ -82,14 +80,11 @@ def kmeans_search(
     for name, features in feature_sets.items():
         narrow = frame.select(*features)
         scaling = _scaling(features).fit(narrow)
-        vectors = scaling.transform(narrow).select(SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with kept_for_iteration(scaling.transform(narrow).select(SCALED)) as vectors:
             for k in ks:
                 clusters = _kmeans(k, seed).fit(vectors)
                 found.append((evaluator.evaluate(clusters.transform(vectors)), name, k))
                 models[name, k] = PipelineModel([*scaling.stages, clusters])
-        finally:
-            vectors.unpersist()
 
     found.sort(key=lambda entry: (-entry[0], entry[1], entry[2]))
     leaders: dict[str, int] = {}

@@ -60,12 +60,3 @@ class FeatureSpec:
 
     def fit(self, train: DataFrame) -> PipelineModel:
         return Pipeline(stages=self.stages()).fit(train.select(*self.predictors))
-
-
-def in_stable_order(frame: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Fix rows to partitions and order by key, for fits that must repeat exactly.
-
-    Tree sampling and cluster seeding depend on how rows are partitioned.  This costs a
-    shuffle of the training rows; fits do without it unless asked.
-    """
-    return frame.repartition(partitions, *keys).sortWithinPartitions(*keys)

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from fieldbook.operators.errors import regression_metrics
 
 from .features import FEATURES, FeatureSpec
+from .layout import kept_for_iteration
 
 PREDICTION = "prediction"
 
@@ -96,16 +95,6 @@ class SearchResult:
         return self.models[self.best.name]
 
 
-@contextmanager
-def _kept(frame: DataFrame):
-    """A frame persisted for the length of a block of repeated passes."""
-    frame.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield frame
-    finally:
-        frame.unpersist()
-
-
 def fit_candidates(
     train: DataFrame, spec: FeatureSpec, candidates: Sequence[Candidate]
 ) -> dict[str, PipelineModel]:
@@ -118,7 +107,9 @@ def fit_candidates(
         raise ValueError(f"candidate names repeat: {names}")
     narrow = train.select(*spec.predictors, F.col(spec.label).cast("double").alias(spec.label))
     features = spec.fit(narrow)
-    with _kept(features.transform(narrow).select(FEATURES, spec.label)) as vectors:
+    with kept_for_iteration(
+        features.transform(narrow).select(FEATURES, spec.label)
+    ) as vectors:
         return {
             c.name: PipelineModel(
                 [*features.stages, c.estimator(spec.label, c.name).fit(vectors)]

@@ -21,7 +21,7 @@ from fieldbook.functions import (
     underestimated_share,
 )
 
-from .quantiles import DEFAULT_ACCURACY, quantiles
+from .quantiles import DEFAULT_ACCURACY, exact_column_quantiles, quantiles
 
 # Cut points of the actual value, and the names of the bands between them.
 BAND_PROBS = (0.25, 0.50, 0.75, 0.90, 0.95)
@@ -257,11 +257,11 @@ def residual_summary(
     totals = predictions.agg(F.count("*").alias("n"), *_per_model(models, measures))
     table = _unfold(totals, ["n"], models, list(measures))
     if exact:
-        stacked = long_errors(predictions, [], label, models)
-        medians = quantiles(
-            stacked, "residual", {"median_residual": 0.5}, ["model"], exact=True
+        residuals = predictions.select(
+            *[residual(actual, column).alias(model) for model, column in models.items()]
         )
-        table = table.join(medians, "model", "left")
+        medians = exact_column_quantiles(residuals, list(models), {"median_residual": 0.5})
+        table = table.join(medians.withColumnRenamed("variable", "model"), "model", "left")
     return table.select(
         "model", "n", "mean_error", "mae", "median_residual", "underestimated_share"
     ).orderBy("model")

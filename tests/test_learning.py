@@ -5,7 +5,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from fieldbook.learning.clustering import cluster_profiles, kmeans_search
-from fieldbook.learning.features import FEATURES, FeatureSpec, in_stable_order
+from fieldbook.learning.features import FEATURES, FeatureSpec
+from fieldbook.learning.layout import in_stable_order, kept_for_iteration
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
     LINEAR_CANDIDATES,
@@ -95,13 +96,22 @@ def test_candidate_names_must_differ(spark, planted):
 
 def test_stable_order_makes_fits_repeat(spark, planted):
     train, validation, _ = parts(planted)
-    found = []
+    found, cores = [], spark.sparkContext.defaultParallelism
     for partitions in (2, 7):
-        stable = in_stable_order(train.repartition(partitions), ["k"], 3)
+        stable = in_stable_order(train.repartition(partitions), ["k"], cores)
         found.append(search(stable, validation, SPEC, [SMALL_FOREST]).metrics.first()["rmse"])
     assert found[0] == found[1]
 
 
+def test_only_frames_smaller_than_the_cluster_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for partitions, expected in ((1, cores), (2 * cores, 2 * cores)):
+        with kept_for_iteration(spark.range(10_000, numPartitions=partitions)) as kept:
+            assert kept.rdd.getNumPartitions() == expected
+            assert kept.count() == 10_000
+        assert not kept.is_cached
+
+
 def test_final_evaluation_scores_the_same_rows_once(spark, planted, tmp_path):
     train, validation, test = parts(planted)
     linear = search(train, validation, SPEC, LINEAR_CANDIDATES)
