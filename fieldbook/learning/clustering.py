@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,34 @@ def _kmeans(k: int, seed: int) -> KMeans:
     return KMeans(featuresCol=SCALED, predictionCol=CLUSTER, k=k, seed=seed, maxIter=50)
 
 
+def standardized(frame: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Replace the features by their z-scores (sample deviation); other columns stay."""
+    values = vector_to_array(F.col(SCALED))
+    scaled = _scaling(features).fit(frame.select(*features)).transform(frame)
+    return scaled.withColumns({name: values[i] for i, name in enumerate(features)}).select(
+        *frame.columns
+    )
+
+
+def _evaluator(cluster: str) -> ClusteringEvaluator:
+    return ClusteringEvaluator(
+        featuresCol=SCALED,
+        predictionCol=cluster,
+        metricName="silhouette",
+        distanceMeasure="squaredEuclidean",
+    )
+
+
+def silhouette(frame: DataFrame, features: Sequence[str], cluster: str) -> float:
+    """Mean silhouette (squared Euclidean) of any numbered grouping, on z-scores.
+
+    The distances follow from per-cluster sums, so no pairs of rows are formed.
+    """
+    scaling = _scaling(features).fit(frame.select(*features))
+    grouped = scaling.transform(frame).select(SCALED, cluster)
+    return _evaluator(cluster).evaluate(grouped)
+
+
 def fit_clusters(
     frame: DataFrame, features: Sequence[str], k: int, seed: int = 42
 ) -> PipelineModel:
@@ -69,12 +98,7 @@ def kmeans_search(
     varies.  ``best_of_set`` marks the best k of each set, since silhouettes of
     different spaces are not strictly comparable.
     """
-    evaluator = ClusteringEvaluator(
-        featuresCol=SCALED,
-        predictionCol=CLUSTER,
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    )
+    evaluator = _evaluator(CLUSTER)
     found: list[tuple[float, str, int]] = []
     models: dict[tuple[str, int], PipelineModel] = {}
     for name, features in feature_sets.items():

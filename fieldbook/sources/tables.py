@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 PERIOD = "period"
@@ -44,8 +45,14 @@ def load_periods(
 
 
 def write_by_period(frame: DataFrame, path: str, period: str = PERIOD) -> None:
-    """Overwrite a Parquet table partitioned by period."""
-    frame.write.mode("overwrite").partitionBy(period).parquet(path)
+    """Overwrite a Parquet table partitioned by period.
+
+    Rows are first gathered by period, or every task would write a file for every
+    period it meets.  The gathering is a rebalance: adaptive execution splits a period
+    that is large and packs together those that are small, so no period is one task.
+    """
+    gathered = frame.hint("rebalance", F.col(period))
+    gathered.write.mode("overwrite").partitionBy(period).parquet(path)
 
 
 def check_columns(frame: DataFrame, required: Iterable[str], name: str) -> DataFrame:

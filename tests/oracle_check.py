@@ -32,7 +32,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else f"{value:.10g}"
+        return "NaN" if math.isnan(value) else repr(value)
     return str(value)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from fieldbook.learning.features import FeatureSpec
 from fieldbook.operators.harmonise import CodeRule, DurationRule, HarmoniseRules, harmonise
 from fieldbook.operators.splits import TemporalSplit
 from fieldbook.plans.survey import AREA, EDUCATION, OCCUPATION, eligibility
+from fieldbook.sources.tables import load_periods, scratch_path, write_by_period
 
 
 def _quarters(first_year: int, last_year: int) -> tuple[str, ...]:
@@ -108,6 +110,30 @@ def model_lines(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     return with_orders(narrow, spark, sf_dir, "o_orderpriority")
 
 
+def stored_model_lines(spark: SparkSession, sf_dir: str) -> Callable[..., DataFrame]:
+    """Model lines joined once, stored by period, and read back by split.
+
+    For workflows that pass over the rows many times: the join is not repeated, a split
+    is a set of folders, and lost executors lose no work.
+    """
+    path = scratch_path(spark, "model-lines")
+    write_by_period(model_lines(spark, sf_dir, *SPLIT.members()), path)
+    present = {
+        row["period"]
+        for row in spark.read.option("basePath", path)
+        .schema("period string")
+        .parquet(path)
+        .distinct()
+        .collect()
+    }
+
+    def read(*names: str) -> DataFrame:
+        periods = [p for name in names for p in SPLIT.members()[name] if p in present]
+        return load_periods(spark, path, periods)
+
+    return read
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text records as a survey would deliver them: blanks, commas, gaps and bad codes."""
     joined = with_orders(

@@ -573,3 +573,65 @@ ORACLES["linear_univariate"] = f"""
 SELECT {_r(f'regr_slope({LABEL}, l_quantity)')} AS slope,
        {_r(f'regr_intercept({LABEL}, l_quantity)')} AS intercept
 FROM lineitem"""
+
+
+def _ranks(name: str, column: str) -> str:
+    return f"""
+{name} AS (
+  SELECT {column} AS label, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS INT) AS place
+  FROM {_joined} WHERE {_in_years('train')} GROUP BY {column}
+)"""
+
+
+_rank_names = [f"r{i}" for i in range(len(CATEGORIES))]
+ORACLES["category_indices"] = (
+    "WITH "
+    + ", ".join(_ranks(name, column) for name, column in zip(_rank_names, CATEGORIES))
+    + f" SELECT {', '.join(KEYS)}, "
+    + ", ".join(
+        f"coalesce({name}.place, (SELECT CAST(count(*) AS INT) FROM {name})) AS {column}_idx"
+        for name, column in zip(_rank_names, CATEGORIES)
+    )
+    + f" FROM {_joined} "
+    + " ".join(
+        f"LEFT JOIN {name} ON {name}.label = {column}"
+        for name, column in zip(_rank_names, CATEGORIES)
+    )
+    + f" WHERE {_in_years('test')}"
+)
+
+
+def _z(column: str) -> str:
+    return f"({column} - avg({column}) OVER ()) / stddev_samp({column}) OVER ()"
+
+
+ORACLES["standardized_features"] = (
+    f"SELECT {', '.join(KEYS)}, "
+    + ", ".join(f"{_r(_z(c))} AS {c}" for c in NUMBERS)
+    + " FROM lineitem"
+)
+_dot = " + ".join(f"z.x{i} * s.y{i}" for i in range(len(PROFILED)))
+ORACLES["segment_silhouette"] = f"""
+WITH z AS (
+  SELECT row_number() OVER () AS id, l_returnflag AS c,
+         {', '.join(f'{_z(c)} AS x{i}' for i, c in enumerate(PROFILED))}
+  FROM lineitem
+),
+q AS (SELECT *, {' + '.join(f'x{i} * x{i}' for i in range(len(PROFILED)))} AS xx FROM z),
+s AS (
+  SELECT c, count(*) AS n, sum(xx) AS psi,
+         {', '.join(f'sum(x{i}) AS y{i}' for i in range(len(PROFILED)))}
+  FROM q GROUP BY c
+),
+d AS (
+  SELECT z.id AS id, z.c = s.c AS own, n,
+         z.xx + s.psi / s.n - 2 * ({_dot}) / s.n AS mean_distance
+  FROM q AS z CROSS JOIN s
+),
+p AS (
+  SELECT id, max(CASE WHEN own THEN mean_distance * n / (n - 1) END) AS a,
+         min(CASE WHEN NOT own THEN mean_distance END) AS b
+  FROM d GROUP BY id
+)
+SELECT {_r('avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)')} AS silhouette
+FROM p"""

@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.functions import key_hash, row_fingerprint
-from fieldbook.learning.clustering import cluster_profiles, fit_clusters, kmeans_search
+from fieldbook.learning.clustering import (
+    cluster_profiles,
+    fit_clusters,
+    kmeans_search,
+    silhouette,
+    standardized,
+)
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
     LINEAR_CANDIDATES,
@@ -450,45 +456,61 @@ def linear_univariate(spark, sf_dir):
     )
 
 
-def _search(spark, sf_dir, candidates):
-    train = b.model_lines(spark, sf_dir, "train")
-    return search(train, b.model_lines(spark, sf_dir, "validation"), b.FEATURES, candidates)
+@query
+def category_indices(spark, sf_dir):
+    """Categories numbered by training frequency; the test rows are only looked up."""
+    fitted = b.FEATURES.fit(b.model_lines(spark, sf_dir, "train"))
+    indexed = fitted.transform(b.model_lines(spark, sf_dir, "test"))
+    return indexed.select(
+        *b.KEYS, *[F.col(f"{c}_idx").cast("int").alias(f"{c}_idx") for c in b.CATEGORIES]
+    )
+
+
+@query
+def standardized_features(spark, sf_dir):
+    frame = b.lines(spark, sf_dir).select(*b.KEYS, *PROFILED[1:])
+    return rounded(standardized(frame, PROFILED[1:]))
+
+
+@query
+def segment_silhouette(spark, sf_dir):
+    flags = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1)
+    frame = b.lines(spark, sf_dir).withColumn("segment", flags.otherwise(2))
+    value = silhouette(frame, PROFILED, "segment")
+    return rounded(spark.createDataFrame([(value,)], "silhouette double"))
 
 
 @query
 def linear_search(spark, sf_dir):
-    return _search(spark, sf_dir, LINEAR_CANDIDATES).metrics
+    read = b.stored_model_lines(spark, sf_dir)
+    return search(read("train"), read("validation"), b.FEATURES, LINEAR_CANDIDATES).metrics
 
 
 @query
 def forest_search(spark, sf_dir):
-    return _search(spark, sf_dir, FOREST_CANDIDATES).metrics
+    read = b.stored_model_lines(spark, sf_dir)
+    return search(read("train"), read("validation"), b.FEATURES, FOREST_CANDIDATES).metrics
 
 
-def _final(spark, sf_dir, candidates) -> FinalEvaluation:
-    return evaluate_finally(
-        b.model_lines(spark, sf_dir, "train", "validation"),
-        b.model_lines(spark, sf_dir, "test"),
-        b.FEATURES,
-        candidates,
-        b.KEYS,
-        kept=["period"],
-    )
+def _final(read, candidates) -> FinalEvaluation:
+    train, test = read("train", "validation"), read("test")
+    return evaluate_finally(train, test, b.FEATURES, candidates, b.KEYS, kept=["period"])
 
 
 @query
 def final_scoring(spark, sf_dir):
-    return _final(spark, sf_dir, [LINEAR_CANDIDATES[0], FOREST_CANDIDATES[0]]).predictions
+    read = b.stored_model_lines(spark, sf_dir)
+    return _final(read, [LINEAR_CANDIDATES[0], FOREST_CANDIDATES[0]]).predictions
 
 
 @query
 def final_comparison(spark, sf_dir):
-    train = b.model_lines(spark, sf_dir, "train")
-    validation = b.model_lines(spark, sf_dir, "validation")
-    linear = _search(spark, sf_dir, LINEAR_CANDIDATES)
-    forest = _search(spark, sf_dir, FOREST_CANDIDATES)
+    read = b.stored_model_lines(spark, sf_dir)
+    train, validation = read("train"), read("validation")
+    linear = search(train, validation, b.FEATURES, LINEAR_CANDIDATES)
+    forest = search(train, validation, b.FEATURES, FOREST_CANDIDATES)
     chosen = compare(errors.mean_baseline(train, validation, b.LABEL), linear, forest)
-    final = _final(spark, sf_dir, [linear.best, forest.best])
+    final = _final(read, [linear.best, forest.best])
     return findings.validation_to_test(chosen, final.metrics, b.BASELINE)
 
 
