@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MISSING_TOKENS = ("", "NA", "N/A", "NAN", "NULL")
 # Fixed value: label given to codes that are null or not in the dictionary.
 UNKNOWN_LABEL = "DESCONOCIDO"
+# Fixed value: the decimals a whole code may carry.
+ZERO_DECIMALS = r"\.0+$"
 
 
 def _column(value: Column | str) -> Column:
@@ -30,7 +32,7 @@ def is_missing(value: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -> C
 
 def normalized_code(value: Column | str) -> Column:
     """Trim and drop a trailing ``.0``, ``.00``...: ``2.00`` becomes ``2``, ``1.50`` stays."""
-    return F.regexp_replace(trimmed(value), r"\.0+$", "")
+    return F.regexp_replace(trimmed(value), ZERO_DECIMALS, "")
 
 
 def parse_number(value: Column | str, tokens: Sequence[str] = MISSING_TOKENS) -> Column:

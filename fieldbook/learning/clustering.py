@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions import percent_of, relation_text
 from fieldbook.operators.quantiles import DEFAULT_ACCURACY
+from fieldbook.operators.small import local_frame
 
 from .layout import kept_for_iteration
 
@@ -115,7 +116,8 @@ def kmeans_search(
     for _, name, k in found:
         leaders.setdefault(name, k)
     rows = [(name, k, value, leaders[name] == k) for value, name, k in found]
-    silhouettes = frame.sparkSession.createDataFrame(
+    silhouettes = local_frame(
+        frame.sparkSession,
         rows, "feature_set string, k int, silhouette double, best_of_set boolean"
     )
     _, name, k = found[0]

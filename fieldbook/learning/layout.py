@@ -36,6 +36,7 @@ def in_stable_order(frame: DataFrame, keys: Sequence[str], partitions: int) -> D
     """Fix rows to partitions and order by key, for fits that must repeat exactly.
 
     Tree sampling and cluster seeding depend on how rows are partitioned.  This costs a
-    shuffle of the training rows; fits do without it unless asked.
+    shuffle of the training rows; fits do without it unless asked.  Use at least as many
+    partitions as there are cores, or :func:`kept_for_iteration` spreads the rows again.
     """
     return frame.repartition(partitions, *keys).sortWithinPartitions(*keys)

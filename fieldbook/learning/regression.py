@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.operators.errors import regression_metrics
+from fieldbook.operators.small import local_frame
 
 from .features import FEATURES, FeatureSpec
 from .layout import kept_for_iteration
 
-PREDICTION = "prediction"
+# Settings shared by all the candidates of a kind.
+LINEAR_SETTINGS = {"maxIter": 150, "tol": 1e-6, "standardization": True}
+FOREST_SETTINGS = {"subsamplingRate": 0.8, "maxBins": 32, "featureSubsetStrategy": "auto"}
 
 
 @dataclass(frozen=True)
@@ -34,11 +37,9 @@ class LinearCandidate:
             featuresCol=FEATURES,
             labelCol=label,
             predictionCol=prediction,
-            maxIter=150,
-            tol=1e-6,
-            standardization=True,
             regParam=self.reg_param,
             elasticNetParam=self.elastic_net,
+            **LINEAR_SETTINGS,
         )
 
 
@@ -61,10 +62,8 @@ class ForestCandidate:
             predictionCol=prediction,
             numTrees=self.trees,
             maxDepth=self.depth,
-            subsamplingRate=0.8,
-            maxBins=32,
-            featureSubsetStrategy="auto",
             seed=self.seed,
+            **FOREST_SETTINGS,
         )
 
 
@@ -168,7 +167,8 @@ def search(
     described = [
         (row["model"], by_name[row["model"]].describe(), *row[1:]) for row in rows
     ]
-    metrics = train.sparkSession.createDataFrame(
+    metrics = local_frame(
+        train.sparkSession,
         described,
         "model string, configuration string, n long, mae double, rmse double, r2 double",
     )

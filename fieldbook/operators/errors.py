@@ -22,6 +22,7 @@ from fieldbook.functions import (
 )
 
 from .quantiles import DEFAULT_ACCURACY, exact_column_quantiles, quantiles
+from .small import local_frame
 
 # Cut points of the actual value, and the names of the bands between them.
 BAND_PROBS = (0.25, 0.50, 0.75, 0.90, 0.95)
@@ -169,7 +170,7 @@ def band_thresholds(
 ) -> DataFrame:
     """``(band, upper)``, one row per band; the last bound is open, so null."""
     rows = [(band, float(cut)) for band, cut in zip(labels, cuts)] + [(labels[-1], None)]
-    return frame.sparkSession.createDataFrame(rows, "band string, upper double")
+    return local_frame(frame.sparkSession, rows, "band string, upper double")
 
 
 def value_bands(

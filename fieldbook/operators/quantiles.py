@@ -10,6 +10,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .small import MAX_ROWS, local_frame, settled
+
 DEFAULT_ACCURACY = 10_000
 
 
@@ -57,6 +59,7 @@ def exact_quantiles(
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     accuracy: int = DEFAULT_ACCURACY,
+    max_groups: int = MAX_ROWS,
 ) -> DataFrame:
     """Exact order statistics without gathering a group in one place.
 
@@ -68,7 +71,8 @@ def exact_quantiles(
        ``2 / accuracy`` of a group) are counted by value and walked in order.
 
     Passes 1 and 2 keep fixed-size state per group and combine map-side.  The input is
-    scanned up to three times: hand in a narrow or stored frame when it is costly.
+    scanned up to three times: hand in a narrow or stored frame when it is costly.  Up
+    to ``max_groups`` groups, their cuts are broadcast; more are joined by shuffle.
     """
     if not by:
         row = exact_column_quantiles(frame, [value], probs, accuracy)
@@ -77,7 +81,9 @@ def exact_quantiles(
     grid = _grid(probs, accuracy)
     names = [f"__cut_{i}" for i in range(len(grid))]
     sketch = values.groupBy(*by).agg(_sketch(grid, accuracy).alias("__q"))
-    cuts = sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(names)])
+    cuts = settled(
+        sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(names)]), max_groups
+    )
 
     counted = (
         _beside(values, cuts, by)
@@ -89,9 +95,12 @@ def exact_quantiles(
             *[F.count_if(F.col("__v") <= F.col(c)).alias(f"{c}_upto") for c in names],
         )
     )
-    located = counted.select(
-        *by,
-        *[_locate(share, names).alias(f"__at_{i}") for i, share in enumerate(probs.values())],
+    located = settled(
+        counted.select(
+            *by,
+            *[_locate(p, names).alias(f"__at_{i}") for i, p in enumerate(probs.values())],
+        ),
+        max_groups,
     )
     open_ranks = [F.col(f"__at_{i}.answer").isNull() for i in range(len(probs))]
     unsettled = located.filter(reduce(lambda a, b: a | b, open_ranks))
@@ -99,10 +108,10 @@ def exact_quantiles(
     tagged = _beside(values, unsettled, by)
     hits = [_hit(F.col("__v"), F.col(f"__at_{i}"), name) for i, name in enumerate(probs)]
     found = _walk(tagged.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("h")), by)
-    settled = found.groupBy(*by).agg(
+    reached = found.groupBy(*by).agg(
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probs]
     )
-    return _beside(located, settled, by, how="left").select(
+    return _beside(located, reached, by, how="left").select(
         *by, *[F.coalesce(f"__at_{i}.answer", name).alias(name) for i, name in enumerate(probs)]
     )
 
@@ -168,7 +177,7 @@ def exact_column_quantiles(
             answers[tuple(row["__name"].split("\t"))] = row["__v"]
     rows = [(name, *[answers.get((name, p)) for p in probs]) for name in columns]
     schema = "variable string, " + ", ".join(f"`{p}` double" for p in probs)
-    return frame.sparkSession.createDataFrame(rows, schema)
+    return local_frame(frame.sparkSession, rows, schema)
 
 
 def _number(name: str) -> Column:

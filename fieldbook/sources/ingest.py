@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions import trimmed
 from fieldbook.operators.harmonise import with_provenance
+from fieldbook.operators.small import local_frame
 
 from .spec import SourceSpec, text_schema
 from .tables import PERIOD, check_columns
@@ -44,7 +45,7 @@ def ingest(
             rows = _check_rows(spark, spec, staging)
             _publish(spark, staging, destination)
         lines.append((spec.period, spec.file_name, rows, spec.expected_rows, state))
-    return spark.createDataFrame(lines, AUDIT_SCHEMA).orderBy("period")
+    return local_frame(spark, lines, AUDIT_SCHEMA).orderBy("period")
 
 
 def _read_source(spark: SparkSession, spec: SourceSpec, columns: Sequence[str]) -> DataFrame:

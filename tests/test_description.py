@@ -56,6 +56,8 @@ def test_exact_quantiles_do_not_rest_on_the_sketch(spark, accuracy):
     rows += [("big", 1.0)] * 20_000 + [("big", math.nan)] * 5
     frame = spark.createDataFrame(rows, "g string, v double").repartition(7)
     by_group = exact_quantiles(frame, "v", PROBS, ["g"], accuracy).collect()
+    shuffled = exact_quantiles(frame, "v", PROBS, ["g"], accuracy, max_groups=1).collect()
+    assert sorted(by_group) == sorted(shuffled) and len(by_group) == 3
     for row in by_group:
         numbers = [v for g, v in rows if g == row["g"] and not math.isnan(v)]
         for name, prob in PROBS.items():

@@ -53,7 +53,7 @@ def plan_of(spark, name):
 @pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - ITERATIVE))
 def test_plans_stay_in_the_jvm_without_cartesian_products(spark, name):
     plan = plan_of(spark, name)
-    for operator in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+    for operator in ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "ExistingRDD"):
         assert operator not in plan
     # The histogram joins a list of bins; nothing joins without an equality.
     assert "BroadcastNestedLoopJoin" not in plan

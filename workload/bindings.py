@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.learning.features import FeatureSpec
 from fieldbook.operators.harmonise import CodeRule, DurationRule, HarmoniseRules, harmonise
+from fieldbook.operators.small import settled
 from fieldbook.operators.splits import TemporalSplit
 from fieldbook.plans.survey import AREA, EDUCATION, OCCUPATION, eligibility
 from fieldbook.sources.tables import load_periods, scratch_path, write_by_period
@@ -88,7 +88,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_lines(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """Lines of the named splits; the year range reaches the scan."""
     years = [year for name in names for year in SPLIT_YEARS[name]]
-    start, end = datetime(min(years), 1, 1), datetime(max(years) + 1, 1, 1)
+    start, end = f"{min(years)}-01-01", f"{max(years) + 1}-01-01"
     shipped = F.col("l_shipdate")
     within = lines(spark, sf_dir).filter(
         (shipped >= F.lit(start).cast("timestamp_ntz"))
@@ -218,8 +218,8 @@ def predictions(
         F.regr_slope(LABEL, "l_quantity").alias("slope"),
         F.regr_intercept(LABEL, "l_quantity").alias("intercept"),
     ).first()
-    segments = train.groupBy("l_returnflag", "l_linestatus").agg(
-        F.avg(LABEL).alias("pred_segment")
+    segments = settled(
+        train.groupBy("l_returnflag", "l_linestatus").agg(F.avg(LABEL).alias("pred_segment"))
     )
     rows = split_lines(spark, sf_dir, split).select(
         "period", *KEYS, LABEL, "l_quantity", "l_returnflag", "l_linestatus"

@@ -30,6 +30,7 @@ from fieldbook.operators import association, audit, errors, findings, profile, s
 from fieldbook.operators.funnel import exclusion_audit, observed_survivors, passes
 from fieldbook.operators.histogram import histogram, log_histogram
 from fieldbook.operators.quantiles import approx_quantiles
+from fieldbook.operators.small import local_frame
 from fieldbook.operators.splits import split_counts
 from fieldbook.plans.evaluation import FinalEvaluation, evaluate_finally
 from fieldbook.sources.tables import union_by_name
@@ -449,7 +450,8 @@ def linear_univariate(spark, sf_dir):
     vectors = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(frame)
     model = LinearCandidate("line").estimator(b.LABEL, "line").fit(vectors)
     return rounded(
-        spark.createDataFrame(
+        local_frame(
+            spark,
             [(float(model.coefficients[0]), float(model.intercept))],
             "slope double, intercept double",
         )
@@ -477,7 +479,7 @@ def segment_silhouette(spark, sf_dir):
     flags = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1)
     frame = b.lines(spark, sf_dir).withColumn("segment", flags.otherwise(2))
     value = silhouette(frame, PROFILED, "segment")
-    return rounded(spark.createDataFrame([(value,)], "silhouette double"))
+    return rounded(local_frame(spark, [(value,)], "silhouette double"))
 
 
 @query
