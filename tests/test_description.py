@@ -26,7 +26,7 @@ def brute(numbers, prob):
 
 
 @settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     data=st.lists(
