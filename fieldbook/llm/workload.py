@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import extraction
+from fieldbook.llm import extraction, licenses
 from fieldbook.llm.store import table
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.summarise(licenses.detect(docs)).select("carried.doc_id", "*").drop("carried")
+
+
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     text = extraction.extract(pages.select("page_id", "url", "html"))
@@ -16,6 +21,7 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": license_scan,
     "op5_main_text": main_text,
 }
 
