@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import extraction, licenses
-from fieldbook.llm.store import table
+from fieldbook.llm import extraction, licenses, quality
+from fieldbook.llm.store import kept, table
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,21 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summarise(licenses.detect(docs)).select("carried.doc_id", "*").drop("carried")
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = kept(
+        quality.measured(docs).withColumn("stratum", F.coalesce("lang", F.lit(""))).drop("lang"),
+        "quality-measured",
+    )
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    labelled = rows.join(labels.filter(F.col("good").isNotNull()), "doc_id")
+    cutoffs = kept(quality.certified_cutoffs(labelled, "stratum", "good"), "quality-cutoffs")
+    return quality.judge(rows, cutoffs, "stratum").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rejected_by",
+    )
+
+
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     text = extraction.extract(pages.select("page_id", "url", "html"))
@@ -22,6 +37,7 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": license_scan,
+    "op2_quality_rules": quality_rules,
     "op5_main_text": main_text,
 }
 
