@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from fieldbook.llm.store import shipped
+
 # The HTML vocabulary and the words that mark what is no article text.
 VOID = set(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -196,5 +198,6 @@ def main_text(html: Column) -> Column:
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
     """`pages` with the article text in column `text` instead of the markup."""
+    shipped(pages.sparkSession)
     rest = [c for c in pages.columns if c not in (html, text)]
     return pages.select(*rest, main_text(F.col(html)).alias(text))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_UNSET = {}
+_UNSET: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,3 +37,25 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """`spark`, whose executors can import this package: it is zipped into the shared folder."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        zipped = io.BytesIO()
+        with zipfile.ZipFile(zipped, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        jvm = spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(
+            f"{shared_folder(spark)}/code-{uuid.uuid4().hex}/{package.name}.zip"
+        )
+        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        out = system.create(path)
+        out.write(zipped.getvalue())
+        out.close()
+        context.addPyFile(system.makeQualified(path).toString())
+        _SHIPPED.add(context.applicationId)
+    return spark
