@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontamination, extraction, licenses, quality
+from fieldbook.llm import bpe_automaton, decontamination, extraction, licenses, quality, token_files
 from fieldbook.llm.store import kept, table
 
 
+#: Vocabulary files, read by the driver and handed to the executors (1.7 MB each).
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.summarise(licenses.detect(docs)).select("carried.doc_id", "*").drop("carried")
@@ -29,12 +37,23 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.files(docs, Path(WORD_VOCABULARY).read_text())
+    return token_files.read_back(kept(files, "token-files"))
+
+
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     text = extraction.extract(pages.select("page_id", "url", "html"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_automaton.encode(docs, Path(BYTE_VOCABULARY).read_text(), with_ids=False)
+
+
 def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -51,7 +70,9 @@ def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
+    "op3_packed_tokens": packed_tokens,
     "op5_main_text": main_text,
+    "op7_byte_pair_codec": byte_pair_codec,
     "op9_benchmark_overlap": benchmark_overlap,
 }
 
