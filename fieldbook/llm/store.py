@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import tempfile
 import uuid
@@ -32,6 +33,9 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    # What was shuffled on the way is garbage now; a collection lets Spark drop its files.
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe_automaton, decontamination, extraction, licenses, quality, token_files
+from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, token_files
 from fieldbook.llm.store import kept, table
 
 
@@ -54,6 +54,10 @@ def byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode(docs, Path(BYTE_VOCABULARY).read_text(), with_ids=False)
 
 
+def shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -73,6 +77,7 @@ QUERIES = {
     "op3_packed_tokens": packed_tokens,
     "op5_main_text": main_text,
     "op7_byte_pair_codec": byte_pair_codec,
+    "op8_shingle_join": shingle_join,
     "op9_benchmark_overlap": benchmark_overlap,
 }
 
