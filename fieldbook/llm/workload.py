@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, token_files
+from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files
 from fieldbook.llm.store import kept, table
 
 
@@ -49,6 +49,10 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def byte_pair_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_automaton.encode(docs, Path(BYTE_VOCABULARY).read_text(), with_ids=False)
@@ -76,6 +80,7 @@ QUERIES = {
     "op2_quality_rules": quality_rules,
     "op3_packed_tokens": packed_tokens,
     "op5_main_text": main_text,
+    "op6_repeated_bytes": repeated_bytes,
     "op7_byte_pair_codec": byte_pair_codec,
     "op8_shingle_join": shingle_join,
     "op9_benchmark_overlap": benchmark_overlap,
