@@ -55,10 +55,10 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[str, np.ndarray,
     return text, points, leads[offsets]
 
 
-def _contractions(points: np.ndarray, kinds: np.ndarray, opens: np.ndarray, row_end: np.ndarray) -> None:
+def _contractions(points: np.ndarray, kinds: np.ndarray, opens: np.ndarray, offsets: np.ndarray) -> None:
     """Let a lone apostrophe that opens a word take the ending after it, as in 's or 'll."""
     quotes = np.flatnonzero((points == 39) & opens)
-    room = row_end[quotes] - quotes
+    room = offsets[np.searchsorted(offsets, quotes, "right")] - quotes
     quotes, room = quotes[room > 1], room[room > 1]
     one = points[quotes + 1]
     two = points[np.minimum(quotes + 2, len(points) - 1)]
@@ -86,14 +86,13 @@ def byte_level_words(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     opens = np.empty(n, bool)
     opens[0] = True
     opens[1:] = (kinds[1:] != kinds[:-1]) | heads[1:n]
-    row_end = offsets[np.searchsorted(offsets, np.arange(n), "right")]
     blank = kinds == SPACE
     # The last of some blanks, where a word follows in the row.
     last = np.flatnonzero(blank[:-1] & ~blank[1:] & ~heads[1:n])
     attached = points[last] == 32
     opens[last] = True
     opens[last[attached] + 1] = False
-    _contractions(points, kinds, opens, row_end)
+    _contractions(points, kinds, opens, offsets)
     starts = np.flatnonzero(opens)
     return starts, np.append(starts[1:], n)
 
@@ -109,8 +108,7 @@ def word_end_words(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     opens = np.empty(n, bool)
     opens[0] = True
     opens[1:] = (kinds[1:] != kinds[:-1]) | heads[1:n] | (kinds[1:] == NUMBER)
-    row_end = offsets[np.searchsorted(offsets, np.arange(n), "right")]
-    _contractions(points, kinds, opens, row_end)
+    _contractions(points, kinds, opens, offsets)
     starts = np.flatnonzero(opens)
     ends = np.append(starts[1:], n)
     word = kinds[starts] != SPACE

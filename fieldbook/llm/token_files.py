@@ -48,6 +48,13 @@ FILE_SCHEMA = (
 )
 
 
+_SLOT_BITS = 17
+
+
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * np.uint32(2654435769)) >> np.uint32(32 - _SLOT_BITS)
+
+
 def _pair_choice(symbols: np.ndarray, closing: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs to replace, best first, and where: rank of the pair chosen at each place or -1."""
     left, right = symbols[:-1], symbols[1:]
@@ -55,27 +62,29 @@ def _pair_choice(symbols: np.ndarray, closing: np.ndarray, most: int) -> tuple[n
     whole = ~closing[left]
     ordered = np.sort(keys[whole])
     if not len(ordered):
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint32), np.zeros(0, np.int32)
     heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     counts = np.diff(np.append(heads, len(ordered)))
     often = counts >= LEAST_COUNT
     pairs, counts = ordered[heads[often]], counts[often]
     pairs = pairs[np.lexsort((pairs, -counts))][:most]
     if not len(pairs):
-        return pairs, np.zeros(0, np.int64)
-    for _ in range(2):  # the second time without pairs that overlaps left too rare
-        by_key = np.argsort(pairs)
-        at = np.minimum(np.searchsorted(pairs[by_key], keys), len(pairs) - 1)
-        rank = np.where((pairs[by_key][at] == keys) & whole, by_key[at], len(pairs))
-        before = np.append(len(pairs), rank[:-1])
-        after = np.append(rank[1:], len(pairs))
-        chosen = np.where((rank < before) & (rank <= after), rank, -1)
-        used = np.bincount(chosen[chosen >= 0], minlength=len(pairs))
-        if (used >= LEAST_COUNT // 2).all():
-            break
-        pairs = pairs[used >= LEAST_COUNT // 2]
-        if not len(pairs):
-            return pairs, np.zeros(0, np.int64)
+        return pairs, np.zeros(0, np.int32)
+    # A slot for each pair; of pairs that share a slot the worse wait for a later round.
+    none = np.int32(len(pairs))
+    slot_pair = np.zeros(1 << _SLOT_BITS, np.uint32)
+    slot_rank = np.full(1 << _SLOT_BITS, none, np.int32)
+    slots = _slot(pairs[::-1])
+    slot_pair[slots] = pairs[::-1]
+    slot_rank[slots] = np.arange(len(pairs) - 1, -1, -1, dtype=np.int32)
+    at = _slot(keys)
+    rank = slot_rank[at]
+    rank[(slot_pair[at] != keys) | ~whole] = none
+    chosen = np.full(len(rank), -1, np.int32)
+    best = rank < none
+    best[1:] &= rank[1:] < rank[:-1]
+    best[:-1] &= rank[:-1] <= rank[1:]
+    chosen[best] = rank[best]
     return pairs, chosen
 
 
