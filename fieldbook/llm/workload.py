@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files
+from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files, toxicity
 from fieldbook.llm.store import kept, table
 
 
@@ -75,6 +75,17 @@ def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -84,6 +95,7 @@ QUERIES = {
     "op7_byte_pair_codec": byte_pair_codec,
     "op8_shingle_join": shingle_join,
     "op9_benchmark_overlap": benchmark_overlap,
+    "op10_toxicity_scores": toxicity_scores,
 }
 
 ORACLES: dict[str, str] = {}
