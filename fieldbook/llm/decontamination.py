@@ -194,3 +194,23 @@ def scan(
         F.aggregate("hit_words", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]),
     ).withColumn("hit_items", F.array_sort(F.array_distinct("hit_items")))
     return counted if keep_text else counted.drop(text)
+
+
+def without_spans(found: DataFrame, text: str = "text") -> DataFrame:
+    """Scanned rows with their hit_bytes cut out of the text; spans are of whole words."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text).to_pylist()
+            for row, spans in enumerate(batch.column("hit_bytes").to_pylist()):
+                if spans:
+                    raw, done, kept = texts[row].encode(), 0, []
+                    for span in spans:
+                        kept.append(raw[done : span["start"]])
+                        done = span["end"]
+                    texts[row] = b"".join([*kept, raw[done:]]).decode()
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns[text] = pa.array(texts, batch.schema.field(text).type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
+
+    return found.mapInArrow(step, found.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files, toxicity
+from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files, toxicity, urls
 from fieldbook.llm.store import kept, table
 
 
@@ -43,6 +43,20 @@ def packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(kept(files, "token-files"))
 
 
+#: The rules that the pages are judged by.
+URL_RULES = [
+    urls.Rule("block", "net", "/"),
+    urls.Rule("allow", "example.net", "/en/"),
+    urls.Rule("block", "example.com", "/de/"),
+    urls.Rule("allow", "org", "/fr/"),
+]
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     text = extraction.extract(pages.select("page_id", "url", "html"))
@@ -90,6 +104,7 @@ QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
     "op3_packed_tokens": packed_tokens,
+    "op4_url_filter": url_filter,
     "op5_main_text": main_text,
     "op6_repeated_bytes": repeated_bytes,
     "op7_byte_pair_codec": byte_pair_codec,
@@ -98,4 +113,65 @@ QUERIES = {
     "op10_toxicity_scores": toxicity_scores,
 }
 
-ORACLES: dict[str, str] = {}
+# Aliases are followed by recursion: every address reaches every other of its component.
+ORACLES: dict[str, str] = {
+    "op4_url_filter": r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+         ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+parts AS (
+  SELECT page_id, url, html,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)?', 1) AS query
+  FROM pages),
+addressed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END || query END AS address
+  FROM parts),
+tags AS (
+  SELECT url, address, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\b[^>]*>'),
+      lambda t: regexp_matches(t, '(?is)\brel\s*=\s*["'']?\s*canonical\b')),
+      lambda t: regexp_extract(t, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\b[^>]*>'),
+      lambda t: regexp_matches(t, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+      lambda t: regexp_extract(t, '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)))) AS tag
+  FROM addressed),
+targets AS (
+  SELECT address, CASE WHEN contains(tag, '://') THEN replace(tag, '&amp;', '&')
+    WHEN tag LIKE '//%' THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || replace(tag, '&amp;', '&')
+    WHEN tag LIKE '/%' THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || replace(tag, '&amp;', '&')
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) ||
+      coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*((?:/[^/?#]*)*/)', 1), ''), '/') ||
+      replace(tag, '&amp;', '&') END AS target
+  FROM tags WHERE tag <> ''),
+split AS (
+  SELECT address AS a,
+    translate(regexp_extract(target, '(?s)^.*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(target, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(target, '(?s)^.*?://[^/?#]*[^?#]*(\?[^#]*)?', 1) AS query
+  FROM targets WHERE address IS NOT NULL),
+edges AS (
+  SELECT a, host || CASE path WHEN '' THEN '/' ELSE path END || query AS b FROM split WHERE host <> ''),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached(a, b) AS (
+  SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reached r JOIN both_ways e ON r.b = e.a),
+ruled AS (
+  SELECT r.a AS address, arg_max(k.verdict, (length(k.host || k.path), k.verdict = 'allow')) AS own
+  FROM reached r JOIN rules k
+    ON (split_part(r.b, '/', 1) = k.host OR ends_with(split_part(r.b, '/', 1), '.' || k.host))
+   AND starts_with(regexp_extract(r.b, '^[^/]*([^?]*)', 1), k.path)
+  GROUP BY r.a, r.b),
+components AS (SELECT address, min(own) AS verdict FROM ruled GROUP BY address),
+fits AS (
+  SELECT p.page_id, p.url, arg_max(k.host || k.path, (length(k.host || k.path), k.verdict = 'allow')) AS rule,
+    arg_max(k.verdict, (length(k.host || k.path), k.verdict = 'allow')) AS verdict
+  FROM addressed p JOIN rules k ON (p.host = k.host OR ends_with(p.host, '.' || k.host)) AND starts_with(p.path, k.path)
+  GROUP BY p.page_id, p.url)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, c.verdict, 'allow') AS verdict
+FROM addressed p LEFT JOIN fits f ON f.page_id = p.page_id AND f.url = p.url
+LEFT JOIN components c ON c.address = p.address
+""",
+}
