@@ -17,7 +17,7 @@ from fieldbook.functions import percent_of, relation_text
 from fieldbook.operators.quantiles import DEFAULT_ACCURACY
 from fieldbook.operators.small import local_frame
 
-from .layout import kept_for_iteration
+from .layout import PARTITIONS, in_stable_order, kept_for_iteration
 
 CLUSTER = "cluster"
 SCALED = "scaled_features"
@@ -77,12 +77,27 @@ def silhouette(frame: DataFrame, features: Sequence[str], cluster: str) -> float
     return _evaluator(cluster).evaluate(grouped)
 
 
+def _placed(
+    frame: DataFrame, features: Sequence[str], keys: Sequence[str], partitions: int
+) -> DataFrame:
+    """The features, by key (or by their values) in fixed partitions and order."""
+    own = [k for k in keys if k not in features]
+    ordered = in_stable_order(frame.select(*own, *features), keys or features, partitions)
+    return ordered.select(*features)
+
+
 def fit_clusters(
-    frame: DataFrame, features: Sequence[str], k: int, seed: int = 42
+    frame: DataFrame,
+    features: Sequence[str],
+    k: int,
+    seed: int = 42,
+    keys: Sequence[str] = (),
+    partitions: int = PARTITIONS,
 ) -> PipelineModel:
-    """Assemble, standardise and cluster."""
-    scaling = _scaling(features).fit(frame.select(*features))
-    scaled = scaling.transform(frame.select(*features)).select(SCALED)
+    """Assemble, standardise and cluster rows placed by their keys."""
+    placed = _placed(frame, features, keys, partitions)
+    scaling = _scaling(features).fit(placed)
+    scaled = scaling.transform(placed).select(SCALED)
     with kept_for_iteration(scaled) as vectors:
         return PipelineModel([*scaling.stages, _kmeans(k, seed).fit(vectors)])
 
@@ -92,6 +107,8 @@ def kmeans_search(
     feature_sets: Mapping[str, Sequence[str]],
     ks: Sequence[int] = (2, 3, 4, 5),
     seed: int = 42,
+    keys: Sequence[str] = (),
+    partitions: int = PARTITIONS,
 ) -> ClusterSearch:
     """Try every k on every feature set and rank by silhouette (squared Euclidean).
 
@@ -103,7 +120,7 @@ def kmeans_search(
     found: list[tuple[float, str, int]] = []
     models: dict[tuple[str, int], PipelineModel] = {}
     for name, features in feature_sets.items():
-        narrow = frame.select(*features)
+        narrow = _placed(frame, features, keys, partitions)
         scaling = _scaling(features).fit(narrow)
         with kept_for_iteration(scaling.transform(narrow).select(SCALED)) as vectors:
             for k in ks:
@@ -167,7 +184,7 @@ def cluster_profiles(
             for name in features
         ],
     )
-    sentence = F.concat(F.upper(F.substring(reading, 1, 1)), F.substring(reading, 2, 1_000))
+    sentence = F.concat(F.upper(F.substring(reading, 1, 1)), F.substr(reading, F.lit(2)))
     return overall.select(
         CLUSTER,
         "n",

@@ -6,37 +6,30 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-
-@contextmanager
-def kept_for_iteration(frame: DataFrame) -> Iterator[DataFrame]:
-    """Persist a frame for a block of repeated passes, with work for every core.
-
-    Filling the cache also tells how many partitions hold rows.  When they are fewer
-    than the cores, the frame is small for this cluster and every pass would leave cores
-    idle, so it is spread once.  A large frame is never shuffled.
-    """
-    kept = [frame.persist(StorageLevel.MEMORY_AND_DISK)]
-    try:
-        cores = frame.sparkSession.sparkContext.defaultParallelism
-        if frame.select(F.spark_partition_id()).distinct().count() < cores:
-            spread = frame.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(spread)
-            spread.count()
-            kept.pop(0).unpersist()
-        yield kept[-1]
-    finally:
-        for held in kept:
-            held.unpersist()
+#: Partitions of training rows.  Fits depend on it, so it follows neither cores nor size;
+#: choose it once for a project, large enough that a partition of the largest data fits.
+PARTITIONS = 32
 
 
-def in_stable_order(frame: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Fix rows to partitions and order by key, for fits that must repeat exactly.
+def in_stable_order(
+    frame: DataFrame, keys: Sequence[str], partitions: int = PARTITIONS
+) -> DataFrame:
+    """Rows by hash of their keys in `partitions` partitions, in order within each.
 
-    Tree sampling and cluster seeding depend on how rows are partitioned.  This costs a
-    shuffle of the training rows; fits do without it unless asked.  Use at least as many
-    partitions as there are cores, or :func:`kept_for_iteration` spreads the rows again.
+    Tree sampling and cluster seeding depend on how rows are partitioned; rows placed so
+    give the same fit however they were stored and on however many cores.  Rows of equal
+    keys lie together: use record keys, not a column with few values.
     """
     return frame.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+@contextmanager
+def kept_for_iteration(frame: DataFrame) -> Iterator[DataFrame]:
+    """Persist a frame, as it is partitioned, for a block of repeated passes."""
+    kept = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

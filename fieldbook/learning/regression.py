@@ -14,7 +14,7 @@ from fieldbook.operators.errors import regression_metrics
 from fieldbook.operators.small import local_frame
 
 from .features import FEATURES, FeatureSpec
-from .layout import kept_for_iteration
+from .layout import PARTITIONS, in_stable_order, kept_for_iteration
 
 # Settings shared by all the candidates of a kind.
 LINEAR_SETTINGS = {"maxIter": 150, "tol": 1e-6, "standardization": True}
@@ -95,16 +95,29 @@ class SearchResult:
 
 
 def fit_candidates(
-    train: DataFrame, spec: FeatureSpec, candidates: Sequence[Candidate]
+    train: DataFrame,
+    spec: FeatureSpec,
+    candidates: Sequence[Candidate],
+    keys: Sequence[str] = (),
+    partitions: int = PARTITIONS,
 ) -> dict[str, PipelineModel]:
     """One pipeline per candidate, writing its prediction to a column of its own name.
 
-    Features are fitted once and the vectors are kept while the estimators iterate.
+    Features are fitted once and the vectors are kept while the estimators iterate.  Rows
+    are placed by their keys (by all they hold, if none are given), so that the fit is the
+    same for any storage layout and number of cores.
     """
     names = [candidate.name for candidate in candidates]
     if len(set(names)) != len(names):
         raise ValueError(f"candidate names repeat: {names}")
-    narrow = train.select(*spec.predictors, F.col(spec.label).cast("double").alias(spec.label))
+    label = F.col(spec.label).cast("double").alias(spec.label)
+    own = [k for k in keys if k not in (*spec.predictors, spec.label)]
+    placed = in_stable_order(
+        train.select(*own, *spec.predictors, label),
+        keys or [*spec.predictors, spec.label],
+        partitions,
+    )
+    narrow = placed.select(*spec.predictors, spec.label)
     features = spec.fit(narrow)
     with kept_for_iteration(
         features.transform(narrow).select(FEATURES, spec.label)
@@ -153,13 +166,15 @@ def search(
     validation: DataFrame,
     spec: FeatureSpec,
     candidates: Sequence[Candidate],
+    keys: Sequence[str] = (),
+    partitions: int = PARTITIONS,
 ) -> SearchResult:
     """Fit every candidate on train and rank them by validation RMSE.
 
     All candidates are scored and measured in one pass over validation.  There is no
     test argument: the test period cannot influence the choice.
     """
-    models = fit_candidates(train, spec, candidates)
+    models = fit_candidates(train, spec, candidates, keys, partitions)
     scored = score(validation.select(*spec.predictors, spec.label), models)
     measured = regression_metrics(scored, spec.label, {name: name for name in models})
     rows = sorted(measured.collect(), key=lambda row: (row["rmse"], row["model"]))

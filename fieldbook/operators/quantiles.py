@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from fractions import Fraction
 from functools import reduce
 from math import ceil
@@ -10,7 +11,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .small import MAX_ROWS, local_frame, settled
+from .small import local_frame, settled
 
 DEFAULT_ACCURACY = 10_000
 
@@ -59,7 +60,6 @@ def exact_quantiles(
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     accuracy: int = DEFAULT_ACCURACY,
-    max_groups: int = MAX_ROWS,
 ) -> DataFrame:
     """Exact order statistics without gathering a group in one place.
 
@@ -71,8 +71,8 @@ def exact_quantiles(
        ``2 / accuracy`` of a group) are counted by value and walked in order.
 
     Passes 1 and 2 keep fixed-size state per group and combine map-side.  The input is
-    scanned up to three times: hand in a narrow or stored frame when it is costly.  Up
-    to ``max_groups`` groups, their cuts are broadcast; more are joined by shuffle.
+    scanned up to three times: hand in a narrow or stored frame when it is costly.  Cuts
+    of groups are kept and joined as their measured size suggests.
     """
     if not by:
         row = exact_column_quantiles(frame, [value], probs, accuracy)
@@ -82,7 +82,7 @@ def exact_quantiles(
     names = [f"__cut_{i}" for i in range(len(grid))]
     sketch = values.groupBy(*by).agg(_sketch(grid, accuracy).alias("__q"))
     cuts = settled(
-        sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(names)]), max_groups
+        sketch.select(*by, *[F.col("__q")[i].alias(c) for i, c in enumerate(names)])
     )
 
     counted = (
@@ -99,8 +99,7 @@ def exact_quantiles(
         counted.select(
             *by,
             *[_locate(p, names).alias(f"__at_{i}") for i, p in enumerate(probs.values())],
-        ),
-        max_groups,
+        )
     )
     open_ranks = [F.col(f"__at_{i}.answer").isNull() for i in range(len(probs))]
     unsettled = located.filter(reduce(lambda a, b: a | b, open_ranks))
@@ -222,8 +221,10 @@ def _locate(prob: float, cuts: Sequence[str]) -> Column:
         F.lit(1).cast("long"),
         F.call_function(
             "div",
-            F.col("__n") * F.lit(share.numerator) + F.lit(share.denominator - 1),
-            F.lit(share.denominator).cast("long"),
+            # A count times a numerator of many digits is beyond a long.
+            F.col("__n").cast("decimal(19,0)") * F.lit(Decimal(share.numerator))
+            + F.lit(Decimal(share.denominator - 1)),
+            F.lit(Decimal(share.denominator)),
         ),
     )
     nothing, zero = F.lit(None).cast("double"), F.lit(0).cast("long")

@@ -3,48 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import key_hash, residual
 
-# Fixed value: largest sample an operator will hand out.
-SAMPLE_CAP = 5_000
+# Fixed value: rows of a sample unless asked otherwise.
+DEFAULT_SIZE = 5_000
 
 
 def hash_sample(
     frame: DataFrame,
     keys: Sequence[str],
-    size: int = SAMPLE_CAP,
+    size: int = DEFAULT_SIZE,
     seed: int = 42,
     algorithm: str = "xxhash64",
 ) -> DataFrame:
     """The ``size`` rows with the least seeded key hash, the keys breaking ties.
 
     Top-k keeps ``size`` rows per partition, which adds up on a frame of many
-    partitions.  Hashes are uniform, so rows above a hash that about ``size`` rows lie
-    below cannot be in the sample; they are filtered out first.  If fewer than ``size``
-    rows lie below it after all, the filter is left out.
+    partitions.  One pass counts rows by the leading bits of their hash; the least
+    buckets that hold ``size`` rows bound the second pass, which orders what is in them.
     """
-    if size > SAMPLE_CAP:
-        raise ValueError(f"a sample holds at most {SAMPLE_CAP} rows, not {size}")
     hashed = frame.withColumn("__hash", key_hash(keys, seed, algorithm))
-    total = frame.count()
-    wanted = size + 10 * sqrt(size) + 50
-    if total > 10 * wanted:
-        near = hashed.filter(F.col("__hash") < _hash_at(wanted / total, algorithm))
-        if near.count() >= size:
-            hashed = near
-    return hashed.orderBy("__hash", *keys).limit(size).drop("__hash")
-
-
-def _hash_at(share: float, algorithm: str) -> Column:
-    """The hash value that a ``share`` of all hash values lies below."""
+    counts = hashed.groupBy(_bucket(algorithm).alias("bucket")).count().orderBy("bucket").collect()
+    least, seen = None, 0
+    for row in counts:
+        least, seen = row["bucket"], seen + row["count"]
+        if seen >= size:
+            break
+    near = hashed.filter(_bucket(algorithm) <= F.lit(least))
+    return near.orderBy("__hash", *keys).limit(size).drop("__hash")
+
+
+def _bucket(algorithm: str) -> Column:
+    """The leading twelve bits of a row's hash, in the order of the hash."""
     if algorithm == "md5":
-        return F.lit(f"{int(share * 16**12):012x}")
-    return F.lit(int(share * 2**64) - 2**63)
+        return F.substring("__hash", 1, 3)
+    return F.shiftright("__hash", 52)
 
 
 def comparison_sample(
@@ -53,7 +50,7 @@ def comparison_sample(
     label: str,
     models: Mapping[str, str],
     kept: Sequence[str] = (),
-    size: int = SAMPLE_CAP,
+    size: int = DEFAULT_SIZE,
     seed: int = 42,
     algorithm: str = "xxhash64",
 ) -> DataFrame:

@@ -1,7 +1,7 @@
-"""Small tables: driver rows as local relations, and aggregates proven to be small.
+"""Small tables: driver rows as local relations, and aggregates of measured size.
 
-Both go through Arrow, which gives Spark a local relation of known size; a frame made
-from Python rows would be a scan through Python workers.
+Driver rows go through Arrow, which gives Spark a local relation of known size; a frame
+made from Python rows would be a scan through Python workers.
 """
 
 from __future__ import annotations
@@ -10,12 +10,8 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Rows of statistics that may be held on the driver and sent to every executor.
-MAX_ROWS = 10_000
-
 
 def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """A frame of a few result rows."""
@@ -24,15 +20,15 @@ def local_frame(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> D
     return spark.createDataFrame(pa.table(columns), schema)
 
 
-def settled(frame: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Compute an aggregate now; broadcast its rows if they prove to be few.
+def settled(frame: DataFrame) -> DataFrame:
+    """Compute an aggregate now and keep it, so that its size is known.
 
     Before it runs, an aggregate over a large table looks large to the planner, which
     would shuffle that table by the group key to join them: for a handful of groups, a
-    few huge partitions.  Beyond ``max_rows`` the frame is handed back as it is, for a
-    shuffled join that adaptive execution splits where it is skewed.
+    few huge partitions.  Kept, it has a measured size: below the planner's threshold it
+    is broadcast, above it joined by shuffle, which adaptive execution splits where it is
+    skewed.  No row passes the driver; a lost executor's part is computed again.
     """
-    rows = frame.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return frame
-    return F.broadcast(frame.sparkSession.createDataFrame(rows, frame.schema))
+    held = frame.persist()
+    held.count()
+    return held

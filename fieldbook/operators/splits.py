@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRAIN, VALIDATION, TEST = "train", "validation", "test"
+TRAIN, VALIDATION, TEST, OUTSIDE = "train", "validation", "test", "outside"
 
 
 @dataclass(frozen=True)
@@ -44,14 +44,18 @@ class TemporalSplit:
 
 
 def split_counts(frame: DataFrame, split: TemporalSplit) -> DataFrame:
-    """``(split, rows)`` in one aggregate; a split without rows is listed with 0."""
+    """``(split, rows)`` in one aggregate; a split without rows is listed with 0.
+
+    Rows of no split, those without a period among them, are counted as ``outside``.
+    """
     tagged = frame.select(split.label().alias("__split"))
     counts = tagged.agg(
-        *[F.count_if(F.col("__split") == name).alias(name) for name in split.members()]
+        *[F.count_if(F.col("__split") == name).alias(name) for name in split.members()],
+        F.count_if(F.col("__split").isNull()).alias(OUTSIDE),
     )
     lines = [
         F.struct(F.lit(name).alias("split"), F.col(name).alias("rows"))
-        for name in split.members()
+        for name in (*split.members(), OUTSIDE)
     ]
     return counts.select(F.inline(F.array(*lines)))
 
@@ -59,7 +63,7 @@ def split_counts(frame: DataFrame, split: TemporalSplit) -> DataFrame:
 def check_split_coverage(frame: DataFrame, split: TemporalSplit) -> dict[str, int]:
     """Row count per split; raises if any split is empty."""
     counts = {row["split"]: row["rows"] for row in split_counts(frame, split).collect()}
-    empty = sorted(name for name, rows in counts.items() if rows == 0)
+    empty = sorted(name for name, rows in counts.items() if rows == 0 and name != OUTSIDE)
     if empty:
         raise ValueError(f"splits without rows: {empty}")
     return counts

@@ -51,7 +51,7 @@ def evaluate_finally(
     train_rows = check_unique_keys(train, keys, "training rows")
     test_rows = check_unique_keys(test, keys, "test rows")
 
-    models = fit_candidates(train, spec, candidates)
+    models = fit_candidates(train, spec, candidates, keys)
     if model_root:
         for name, model in models.items():
             save_model(model, f"{model_root}/{name}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -77,14 +76,12 @@ def materialise(frame: DataFrame, path: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share.
 
-    That folder is ``spark.checkpoint.dir``.  Only a local session, where driver and
-    executors are one process, may fall back on a temporary folder.
+    That folder is ``spark.checkpoint.dir``; where it is unset, the warehouse, which
+    executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="fieldbook-")
+        root = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -4,9 +4,9 @@ import pytest
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from fieldbook.learning.clustering import cluster_profiles, kmeans_search
+from fieldbook.learning.clustering import cluster_profiles, fit_clusters, kmeans_search
 from fieldbook.learning.features import FEATURES, FeatureSpec
-from fieldbook.learning.layout import in_stable_order, kept_for_iteration
+from fieldbook.learning.layout import kept_for_iteration
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
     LINEAR_CANDIDATES,
@@ -94,24 +94,37 @@ def test_candidate_names_must_differ(spark, planted):
         fit_candidates(planted, SPEC, [LinearCandidate("a"), LinearCandidate("a", 0.1)])
 
 
-def test_stable_order_makes_fits_repeat(spark, planted):
+@pytest.mark.parametrize("placed", [3, 40])
+def test_fits_do_not_depend_on_how_rows_are_stored(spark, planted, placed):
+    """Below and above the number of cores, for one, two and seven input partitions."""
     train, validation, _ = parts(planted)
-    found, cores = [], spark.sparkContext.defaultParallelism
-    for partitions in (2, 7):
-        stable = in_stable_order(train.repartition(partitions), ["k"], cores)
-        found.append(search(stable, validation, SPEC, [SMALL_FOREST]).metrics.first()["rmse"])
-    assert found[0] == found[1]
-
-
-def test_only_frames_smaller_than_the_cluster_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    for partitions, expected in ((1, cores), (2 * cores, 2 * cores)):
+    forests, clusters = [], []
+    for partitions in (1, 2, 7):
+        stored = train.repartition(partitions)
+        found = search(stored, validation, SPEC, [SMALL_FOREST], ["k"], placed).metrics.first()
+        forests.append(found["rmse"])
+        model = fit_clusters(stored, SPEC.numeric, 3, keys=["k"], partitions=placed)
+        profile = cluster_profiles(stored, model, SPEC.numeric).collect()
+        clusters.append([(r["n"], round(r[f"{SPEC.numeric[0]}_mean"], 9)) for r in profile])
+    assert forests == pytest.approx([forests[0]] * 3, rel=1e-12)
+    assert clusters[0] == clusters[1] == clusters[2]
+
+
+def test_rows_are_kept_as_they_are_partitioned(spark):
+    for partitions in (1, 13):
         with kept_for_iteration(spark.range(10_000, numPartitions=partitions)) as kept:
-            assert kept.rdd.getNumPartitions() == expected
+            assert kept.rdd.getNumPartitions() == partitions
             assert kept.count() == 10_000
         assert not kept.is_cached
 
 
+def test_long_descriptions_are_whole(spark):
+    names = [f"feature_with_a_rather_long_name_{k:02d}" for k in range(40)]
+    frame = spark.range(40).select(*[((F.col("id") % 2) * (k + 1.0)).alias(n) for k, n in enumerate(names)])
+    profiles = cluster_profiles(frame, fit_clusters(frame, names, 2), names).collect()
+    assert all(r["description"].count(",") == 39 for r in profiles)
+
+
 def test_final_evaluation_scores_the_same_rows_once(spark, planted, tmp_path):
     train, validation, test = parts(planted)
     linear = search(train, validation, SPEC, LINEAR_CANDIDATES)

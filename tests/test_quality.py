@@ -94,7 +94,7 @@ def test_split_counts_list_empty_splits(spark):
     split = TemporalSplit(train=["a", "b"], validation=["c"], test=["d"])
     frame = spark.createDataFrame([("a",), ("b",), ("c",), ("x",), (None,)], "period string")
     counts = {row["split"]: row["rows"] for row in split_counts(frame, split).collect()}
-    assert counts == {"train": 2, "validation": 1, "test": 0}
+    assert counts == {"train": 2, "validation": 1, "test": 0, "outside": 2}
     with pytest.raises(ValueError, match="test"):
         check_split_coverage(frame, split)
     assert split.select(frame, "train", "validation").count() == 3

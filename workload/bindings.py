@@ -89,11 +89,11 @@ def split_lines(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     """Lines of the named splits; the year range reaches the scan."""
     years = [year for name in names for year in SPLIT_YEARS[name]]
     start, end = f"{min(years)}-01-01", f"{max(years) + 1}-01-01"
+    frame = lines(spark, sf_dir)
+    # Bounds of the column's own type, whatever it is, so that they reach the scan.
+    kind = frame.schema["l_shipdate"].dataType
     shipped = F.col("l_shipdate")
-    within = lines(spark, sf_dir).filter(
-        (shipped >= F.lit(start).cast("timestamp_ntz"))
-        & (shipped < F.lit(end).cast("timestamp_ntz"))
-    )
+    within = frame.filter((shipped >= F.lit(start).cast(kind)) & (shipped < F.lit(end).cast(kind)))
     return SPLIT.select(within, *names)
 
 
@@ -118,17 +118,9 @@ def stored_model_lines(spark: SparkSession, sf_dir: str) -> Callable[..., DataFr
     """
     path = scratch_path(spark, "model-lines")
     write_by_period(model_lines(spark, sf_dir, *SPLIT.members()), path)
-    present = {
-        row["period"]
-        for row in spark.read.option("basePath", path)
-        .schema("period string")
-        .parquet(path)
-        .distinct()
-        .collect()
-    }
-
     def read(*names: str) -> DataFrame:
-        periods = [p for name in names for p in SPLIT.members()[name] if p in present]
+        # A period that is not stored is an error, not a gap.
+        periods = [p for name in names for p in SPLIT.members()[name]]
         return load_periods(spark, path, periods)
 
     return read

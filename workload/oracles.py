@@ -166,7 +166,9 @@ def _in_years(split: str) -> str:
 ORACLES["split_rows"] = " UNION ALL ".join(
     f"SELECT '{split}' AS split, count(*) AS rows FROM lineitem WHERE {_in_years(split)}"
     for split in SPLIT_YEARS
-)
+) + " UNION ALL SELECT 'outside', count(*) FILTER (WHERE NOT coalesce(" + " OR ".join(
+    f"({_in_years(split)})" for split in SPLIT_YEARS
+) + ", FALSE)) FROM lineitem"
 PERIOD = "concat(year(l_shipdate), 'T', quarter(l_shipdate))"
 ORACLES["union_periods"] = f"""
 SELECT {PERIOD} AS period, count(*) AS n, {_r('sum(l_quantity)', 2)} AS quantity,
@@ -310,7 +312,7 @@ ORACLES["price_log_histogram"] = _histogram(
 )
 ORACLES["hash_sample"] = f"""
 SELECT {', '.join(KEYS)}, {PERIOD} AS period, {LABEL} FROM lineitem
-ORDER BY {KEY_HASH}, {', '.join(KEYS)} LIMIT 500"""
+ORDER BY {KEY_HASH}, {', '.join(KEYS)} LIMIT 5000"""
 
 # --- Metrics and error analytics --------------------------------------------------------
 
@@ -462,7 +464,7 @@ SELECT model, {_r('avg(abs(residual))')} AS stored, {_r('avg(abs(residual))')} A
        TRUE AS agrees
 FROM stacked GROUP BY model"""
 SAMPLE = f"""sample AS (
-  SELECT * FROM scored ORDER BY {KEY_HASH}, {', '.join(KEYS)} LIMIT 1000
+  SELECT * FROM scored ORDER BY {KEY_HASH}, {', '.join(KEYS)} LIMIT 5000
 )"""
 ORACLES["comparison_sample"] = f"""
 WITH {SCORED}, {SAMPLE}

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from fieldbook.functions import key_hash, row_fingerprint
 from fieldbook.learning.clustering import (
     cluster_profiles,
-    fit_clusters,
     kmeans_search,
     silhouette,
     standardized,
@@ -208,7 +207,7 @@ def approx_profile(spark, sf_dir):
 @query
 def approx_period_quantiles(spark, sf_dir):
     probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    return approx_quantiles(b.lines(spark, sf_dir), b.LABEL, probs, ["period"], accuracy=1_000)
+    return approx_quantiles(b.lines(spark, sf_dir), b.LABEL, probs, ["period"])
 
 
 @query
@@ -257,7 +256,7 @@ def price_log_histogram(spark, sf_dir):
 @query
 def hash_sample(spark, sf_dir):
     frame = b.lines(spark, sf_dir).select(*b.KEYS, "period", b.LABEL)
-    return sampling.hash_sample(frame, b.KEYS, 500, algorithm="md5")
+    return sampling.hash_sample(frame, b.KEYS, algorithm="md5")
 
 
 @query
@@ -265,7 +264,7 @@ def comparison_sample(spark, sf_dir):
     frame = b.predictions(spark, sf_dir)
     return rounded(
         sampling.comparison_sample(
-            frame, b.KEYS, b.LABEL, b.TWO_MODELS, size=1_000, algorithm="md5"
+            frame, b.KEYS, b.LABEL, b.TWO_MODELS, algorithm="md5"
         )
     )
 
@@ -431,7 +430,7 @@ def overall_extremes(spark, sf_dir):
 @query
 def sample_tail_residual(spark, sf_dir):
     sample = sampling.comparison_sample(
-        b.predictions(spark, sf_dir), b.KEYS, b.LABEL, b.TWO_MODELS, size=1_000, algorithm="md5"
+        b.predictions(spark, sf_dir), b.KEYS, b.LABEL, b.TWO_MODELS, algorithm="md5"
     )
     return rounded(findings.sample_tail_residual(sample, b.LABEL, b.TWO_MODELS))
 
@@ -485,13 +484,22 @@ def segment_silhouette(spark, sf_dir):
 @query
 def linear_search(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
-    return search(read("train"), read("validation"), b.FEATURES, LINEAR_CANDIDATES).metrics
+    return search(read("train"), read("validation"), b.FEATURES, LINEAR_CANDIDATES, b.KEYS).metrics
 
 
 @query
 def forest_search(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
-    return search(read("train"), read("validation"), b.FEATURES, FOREST_CANDIDATES).metrics
+    return search(read("train"), read("validation"), b.FEATURES, FOREST_CANDIDATES, b.KEYS).metrics
+
+
+def _searches(read):
+    """The linear and the forest search, on the same train and validation rows."""
+    train, validation = read("train"), read("validation")
+    return [
+        search(train, validation, b.FEATURES, candidates, b.KEYS)
+        for candidates in (LINEAR_CANDIDATES, FOREST_CANDIDATES)
+    ]
 
 
 def _final(read, candidates) -> FinalEvaluation:
@@ -502,16 +510,16 @@ def _final(read, candidates) -> FinalEvaluation:
 @query
 def final_scoring(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
-    return _final(read, [LINEAR_CANDIDATES[0], FOREST_CANDIDATES[0]]).predictions
+    linear, forest = _searches(read)
+    return _final(read, [linear.best, forest.best]).predictions
 
 
 @query
 def final_comparison(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
-    train, validation = read("train"), read("validation")
-    linear = search(train, validation, b.FEATURES, LINEAR_CANDIDATES)
-    forest = search(train, validation, b.FEATURES, FOREST_CANDIDATES)
-    chosen = compare(errors.mean_baseline(train, validation, b.LABEL), linear, forest)
+    linear, forest = _searches(read)
+    baseline = errors.mean_baseline(read("train"), read("validation"), b.LABEL)
+    chosen = compare(baseline, linear, forest)
     final = _final(read, [linear.best, forest.best])
     return findings.validation_to_test(chosen, final.metrics, b.BASELINE)
 
@@ -524,11 +532,11 @@ CLUSTERED = {
 
 @query
 def kmeans_silhouettes(spark, sf_dir):
-    return kmeans_search(b.lines(spark, sf_dir), CLUSTERED).silhouettes
+    return kmeans_search(b.lines(spark, sf_dir), CLUSTERED, keys=b.KEYS).silhouettes
 
 
 @query
 def kmeans_profiles(spark, sf_dir):
     frame = b.lines(spark, sf_dir)
-    features = CLUSTERED["with_price"]
-    return cluster_profiles(frame, fit_clusters(frame, features, 2), features)
+    found = kmeans_search(frame, CLUSTERED, keys=b.KEYS)
+    return cluster_profiles(frame, found.model, found.features)
