@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -45,38 +45,18 @@ def survivors(frame: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
     return frame.filter(reduce(lambda left, right: left & right, [r.keep for r in criteria]))
 
 
-def observed_survivors(
-    frame: DataFrame, criteria: Sequence[Criterion]
-) -> tuple[DataFrame, Observation]:
-    """The same rows, with the audit counted by whatever action first consumes them.
+def observed_survivors(frame: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
+    """The same rows; what the criteria read is computed below the filter, and only there.
 
-    Storing the survivors and auditing the exclusions is then one pass over the input:
-    run the action, then hand the observation to :func:`observed_audit`.  Observed
-    columns are computed below the filter and not again inside it.
+    An observation keeps the filter from being pushed into the parsing.  Its figure is not
+    used: tasks that run again would be counted again.  Audit with :func:`exclusion_audit`.
     """
-    steps = len(criteria)
-    observation = Observation()
     tagged = frame.withColumn("__step", failed_step(criteria))
-    kept = (
-        tagged.observe(observation, *_step_counts(steps))
-        .filter(F.col("__step") > steps)
+    return (
+        tagged.observe(Observation(), F.count("*").alias("__seen"))
+        .filter(F.col("__step") > len(criteria))
         .drop("__step")
     )
-    return kept, observation
-
-
-def observed_audit(
-    spark: SparkSession,
-    observation: Observation,
-    criteria: Sequence[Criterion],
-    input_label: str = "input",
-) -> DataFrame:
-    """The audit table of :func:`observed_survivors`; waits for its action."""
-    counts = observation.get
-    row = spark.range(1).select(
-        *[F.lit(value).cast("long").alias(name) for name, value in counts.items()]
-    )
-    return _audit_lines(row, criteria, input_label)
 
 
 def exclusion_audit(

@@ -11,7 +11,6 @@ from fieldbook.operators.audit import counts_by_period, duplicate_keys, missingn
 from fieldbook.operators.funnel import (
     Criterion,
     exclusion_audit,
-    observed_audit,
     observed_survivors,
     passes,
 )
@@ -33,18 +32,19 @@ class Preparation:
 
     @property
     def eligible(self) -> DataFrame:
-        kept, _ = observed_survivors(self.harmonised, self.criteria)
-        return kept
+        return observed_survivors(self.harmonised, self.criteria)
 
     def write(self, path: str) -> DataFrame:
-        """Store the eligible rows by period and return the audit of that same pass.
+        """Store the eligible rows by period and return the audit, counted from the data.
+
+        Counting along with the writing would count rows again when tasks are repeated
+        after a lost executor, so the audit is a pass of its own.
 
         Work on the stored table from then on: its columns are typed, so filters reach
         the scan and text is not parsed again.
         """
-        kept, observation = observed_survivors(self.harmonised, self.criteria)
-        write_by_period(kept, path, self.period)
-        return observed_audit(self.harmonised.sparkSession, observation, self.criteria)
+        write_by_period(self.eligible, path, self.period)
+        return exclusion_audit(self.harmonised, self.criteria)
 
 
 def prepare(

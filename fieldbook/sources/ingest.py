@@ -89,10 +89,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _publish(spark: SparkSession, staging: str, destination: str) -> None:
+    """Rename `staging` into place; the folder it replaces is deleted last.
+
+    Whatever fails, one of the two is published: a rename that fails puts the old back.
+    """
     files, source = _file_system(spark, staging)
-    target = spark._jvm.org.apache.hadoop.fs.Path(destination)
-    if files.exists(target):
-        files.delete(target, True)
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    target, aside = new_path(destination), new_path(f"{staging}-replaced")
     files.mkdirs(target.getParent())
-    if not files.rename(source, target):
+    files.delete(aside, True)
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, aside):
+        raise OSError(f"could not put {destination} aside")
+    published = False
+    try:
+        published = files.rename(source, target)
+    finally:
+        if replaces and not published:
+            files.rename(aside, target)
+    if not published:
         raise OSError(f"could not publish {destination}")
+    if replaces:
+        files.delete(aside, True)

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import pytest
+from py4j.protocol import Py4JJavaError
 
 from fieldbook.plans import survey
 from fieldbook.plans.preparation import prepare
 from fieldbook.sources import tables
-from fieldbook.sources.ingest import ingest
+from fieldbook.sources.ingest import _publish, ingest
 from fieldbook.sources.spec import SourceSpec, text_schema
 
 COLUMNS = ["home", "person", "pay"]
@@ -67,6 +68,14 @@ def test_a_failed_refresh_keeps_the_published_data(spark, tmp_path):
     assert tables.load_periods(spark, root, ["2025T1"]).count() == 3
 
 
+def test_a_rename_that_fails_keeps_the_published_data(spark, tmp_path):
+    root = str(tmp_path / "store")
+    ingest(spark, [source(tmp_path)], COLUMNS, root)
+    with pytest.raises((OSError, Py4JJavaError)):
+        _publish(spark, str(tmp_path / "nothing"), f"{root}/period=2025T1")
+    assert tables.load_periods(spark, root, ["2025T1"]).count() == 3
+
+
 def test_reused_data_is_held_to_the_contract(spark, tmp_path):
     root = str(tmp_path / "store")
     ingest(spark, [source(tmp_path)], COLUMNS, root)
