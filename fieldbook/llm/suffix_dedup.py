@@ -38,8 +38,8 @@ from fieldbook.llm.store import kept, shipped
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams in a window, and most windows of a run
-CHUNK_BYTES = 1 << 23
-PIECE_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 BUCKET_ENTRIES = 250_000
 #: Runs of one anchor that a part of it should hold.
 SPLIT = 20_000
@@ -57,34 +57,43 @@ _HEAD = np.dtype([("key", "<u8"), ("run", "<u8"), ("doc", "<i8"), ("left", "u1")
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Row, first window, number of windows, anchor place, anchor and run hash of each run."""
     found = []
+    row_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    # Whether a window starts here: the row has so many bytes left.
+    starts_window = np.zeros(len(data) + 1, np.int8)
+    long = np.diff(offsets) >= LENGTH
+    starts_window[offsets[:-1][long]] += 1
+    starts_window[offsets[1:][long] - LENGTH + 1] -= 1
+    starts_window = np.cumsum(starts_window, dtype=np.int8)[: len(data)].view(bool)
     for low in range(0, max(len(data) - LENGTH + 1, 0), PIECE_BYTES):
         part = data[low : low + PIECE_BYTES + LENGTH - 1]
         sums = arrays.prefix_hashes(part)
-        at = np.arange(len(part) - GRAM + 1)
-        hashes = arrays.mixed(arrays.range_hashes(sums, at, at + GRAM))
+        n = len(part) - GRAM + 1
+        _, down = arrays.powers(n)
+        hashes = arrays.mixed((sums[GRAM:] - sums[:n]) * down)
         # Least hash of SPAN neighbours, with its place in the low bits: the first of equals.
-        least = (hashes >> np.uint64(24) << np.uint64(24)) | at.astype(np.uint64)
+        least = (hashes & ~np.uint64((1 << 24) - 1)) | np.arange(n, dtype=np.uint64)
         width = 1
         while 2 * width <= SPAN:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         if width < SPAN:
             least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
-        windows = np.arange(len(least))
-        rows = np.searchsorted(offsets, windows + low, "right") - 1
-        inside = windows + low + LENGTH <= offsets[rows + 1]
-        windows, rows = windows[inside], rows[inside]
-        if not len(windows):
+        anchors = (least & np.uint64((1 << 24) - 1)).astype(np.int32)
+        inside = starts_window[low : low + len(anchors)]
+        rows = row_of[low : low + len(anchors)]
+        new = inside.copy()
+        new[1:] &= (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1]) | ~inside[:-1]
+        start = np.flatnonzero(new)
+        if not len(start):
             continue
-        anchors = (least[windows] & np.uint64((1 << 24) - 1)).astype(np.int64)
-        new = np.ones(len(windows), bool)
-        new[1:] = (anchors[1:] != anchors[:-1]) | (np.diff(windows) > 1) | (np.diff(rows) > 0)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(windows)) - 1
-        start, end, anchor = windows[first], windows[last], anchors[first]
+        # A run ends before the next one, or where no more windows start.
+        upto = np.append(np.cumsum(inside), 0)
+        count = np.diff(np.append(upto[start] - 1, upto[len(inside) - 1]))
+        end = start + count - 1
+        anchor = anchors[start].astype(np.int64)
         left = (anchor - start).astype(np.uint64)
         run = arrays.mixed(arrays.range_hashes(sums, start, end + LENGTH) + left * np.uint64(0x9E3779B97F4A7C15))
-        found.append((rows[first], start + low, end - start + 1, anchor + low, hashes[anchor] & _MASK, run & _MASK))
+        found.append((rows[start].astype(np.int64), start + low, count, anchor + low, hashes[anchor] & _MASK, run & _MASK))
     if not found:
         return tuple(np.zeros(0, np.uint64 if k > 3 else np.int64) for k in range(6))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -423,27 +432,36 @@ def _look_into(doc_bits: int):
 
 
 def _removed(
-    data: np.ndarray, cuts: bytes | None, covers: list[bytes | None]
+    data: np.ndarray, offsets: np.ndarray, cuts: list[bytes | None], covers: list[list[bytes | None]]
 ) -> np.ndarray:
-    """Whether each byte of one document goes."""
+    """Whether each byte of a chunk goes."""
     change = np.zeros(len(data) + 1, np.int32)
-    offsets = np.array([0, len(data)])
-    if cuts:
-        own = np.frombuffer(cuts, _CUT)
-        own = own[own["text"] == text_identities(data, offsets)[0]]
-        np.add.at(change, own["start"], 1)
-        np.add.at(change, own["end"], -1)
-    found = [np.frombuffer(c, _COVER) for c in covers if c]
-    if found:
-        entries = np.sort(np.concatenate(found), order="run")
-        _, first, count, _, _, run = runs(data, offsets)
-        masks = np.zeros(len(run), np.uint32)
-        low = np.searchsorted(entries["run"], run, "left")
-        high = np.searchsorted(entries["run"], run, "right")
-        while (low < high).any():
-            more = low < high
-            masks[more] |= entries["mask"][low[more]]
-            low = low + more
+    if any(cuts):
+        own = [np.frombuffer(c or b"", _CUT) for c in cuts]
+        rows = np.repeat(np.arange(len(own)), list(map(len, own)))
+        own = np.concatenate(own)
+        same = own["text"] == text_identities(data, offsets)[rows]
+        own, begin = own[same], offsets[rows[same]]
+        np.add.at(change, begin + own["start"], 1)
+        np.add.at(change, begin + own["end"], -1)
+    parts = [(row, np.frombuffer(c, _COVER)) for known in covers for row, c in enumerate(known) if c]
+    if parts:
+        entries = np.concatenate([part for _, part in parts])
+        # A batch has fewer rows than the bits that a run's hash leaves free.
+        keys = entries["run"] | np.repeat(np.array([row for row, _ in parts], np.uint64), [len(p) for _, p in parts]) << np.uint64(48)
+        order = np.argsort(keys)
+        keys, masks_of = keys[order], entries["mask"][order]
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, masks_of = keys[heads], np.bitwise_or.reduceat(masks_of, heads)
+        rows, first, count, _, _, run = runs(data, offsets)
+        wanted = run | rows.astype(np.uint64) << np.uint64(48)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == wanted)
+        first, count, masks = first[hit], count[hit], masks_of[at[hit]]
+        whole = masks == _ALL
+        np.add.at(change, first[whole], 1)
+        np.add.at(change, first[whole] + count[whole] + LENGTH - 1, -1)
+        first, count, masks = first[~whole], count[~whole], masks[~whole]
         for bit in range(SPAN):
             at = first[((masks >> np.uint32(bit)) & np.uint32(1)).astype(bool) & (count > bit)] + bit
             np.add.at(change, at, 1)
@@ -478,7 +496,7 @@ def deduplicated(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rest = F.struct(*[c for c in docs.columns if c != text])
     texts = docs.select(key.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest")).repartition(parts, "doc")
-    asked = texts.join(known.filter(F.col("want").isNotNull()).select("doc", "want"), "doc").select("doc", "text", "want")
+    asked = texts.join(known.filter(F.col("want").isNotNull()).select("doc", "want"), "doc")
     answers = asked.mapInArrow(_answer(bits), "bucket int, heads binary, bytes binary")
     looked = (
         answers.groupBy("bucket")
@@ -495,11 +513,10 @@ def deduplicated(
             known_of = [batch.column(c).to_pylist() for c in ("cut", "cover", "more")]
             counts = np.zeros((len(offsets) - 1, 3), np.int64)
             digests, left = [], []
-            for row, (cut, cover, more) in enumerate(zip(*known_of, strict=True)):
+            removed = _removed(data, offsets, known_of[0], known_of[1:])
+            for row in range(len(offsets) - 1):
                 own = data[offsets[row] : offsets[row + 1]]
-                gone = np.zeros(len(own), bool)
-                if cut or cover or more:
-                    gone = _removed(own, cut, [cover, more])
+                gone = removed[offsets[row] : offsets[row + 1]]
                 spans = int(np.count_nonzero(np.diff(np.append(False, gone).astype(np.int8)) == 1))
                 counts[row] = len(own), int(gone.sum()), spans
                 stays = own[~gone]
