@@ -571,6 +571,42 @@ SELECT grp, n, """ + ", ".join(
     for m in TWO
 ) + " FROM g GROUP BY grp, n"
 
+ORACLES["linear_search_line"] = f"""
+WITH {_VALID}, {_metric_cte('metrics', 'valid', {'mean_baseline': 'pred_mean', 'line': 'pred_line'})}
+SELECT model, {_r('mae')} AS mae, {_r('rmse')} AS rmse, {_r('r2')} AS r2,
+       CASE model WHEN 'line' THEN 'regParam=0.0, elasticNetParam=0.0' END AS configuration,
+       CASE model WHEN 'line' THEN n END AS n
+FROM metrics"""
+ORACLES["final_line"] = f"""
+WITH fit AS (
+  SELECT avg({LABEL}) AS mean, regr_slope({LABEL}, l_quantity) AS slope,
+         regr_intercept({LABEL}, l_quantity) AS intercept
+  FROM lineitem WHERE {_in_years('train')} OR {_in_years('validation')})
+SELECT {', '.join(KEYS)}, {PERIOD} AS period, {_r(LABEL)} AS {LABEL}, {_r('mean')} AS mean_baseline,
+       {_r('intercept + slope * l_quantity')} AS line,
+       {_r(f'{LABEL} - (intercept + slope * l_quantity)')} AS residual_line
+FROM lineitem, fit WHERE {_in_years('test')}"""
+ORACLES["forest_stump"] = f"""
+WITH sums AS (
+  SELECT l_discount, count(*) AS n, sum({LABEL}) AS s FROM lineitem GROUP BY 1),
+sides AS (
+  SELECT l_discount AS cut, sum(s) OVER w / sum(n) OVER w AS low,
+         (sum(s) OVER () - sum(s) OVER w) / nullif(sum(n) OVER () - sum(n) OVER w, 0) AS high,
+         sum(n) OVER w AS n_low, sum(n) OVER () - sum(n) OVER w AS n_high
+  FROM sums WINDOW w AS (ORDER BY l_discount)),
+best AS (
+  -- The least squared error has the greatest between-sides sum of squares.
+  SELECT * FROM sides WHERE n_high > 0
+  ORDER BY n_low * low * low + n_high * high * high DESC LIMIT 1)
+SELECT l_discount, {_r('CASE WHEN l_discount <= cut THEN low ELSE high END')} AS stump
+FROM sums, best"""
+ORACLES["segment_clusters"] = f"""
+WITH spread AS (
+  SELECT CASE WHEN l_returnflag = 'A' THEN 10000.0 ELSE 0.0 END + l_quantity AS spread FROM lineitem)
+SELECT count(*) AS n, {_r('avg(spread)')} AS spread_mean,
+       {_r('100.0 * count(*) / (SELECT count(*) FROM spread)')} AS pct,
+       CASE WHEN avg(spread) > 5000 THEN 'Spread alto' ELSE 'Spread bajo' END AS description
+FROM spread GROUP BY spread > 5000"""
 ORACLES["linear_univariate"] = f"""
 SELECT {_r(f'regr_slope({LABEL}, l_quantity)')} AS slope,
        {_r(f'regr_intercept({LABEL}, l_quantity)')} AS intercept

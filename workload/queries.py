@@ -18,9 +18,12 @@ from fieldbook.learning.clustering import (
     silhouette,
     standardized,
 )
+from fieldbook.learning.features import FeatureSpec
+from fieldbook.learning.layout import in_stable_order
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
     LINEAR_CANDIDATES,
+    ForestCandidate,
     LinearCandidate,
     compare,
     search,
@@ -32,7 +35,7 @@ from fieldbook.operators.quantiles import approx_quantiles
 from fieldbook.operators.small import local_frame
 from fieldbook.operators.splits import split_counts
 from fieldbook.plans.evaluation import FinalEvaluation, evaluate_finally
-from fieldbook.sources.tables import union_by_name
+from fieldbook.sources.tables import read_predictions, union_by_name
 
 from . import bindings as b
 
@@ -107,7 +110,7 @@ def exclusion_funnel(spark, sf_dir):
 
 @query
 def eligible_rows(spark, sf_dir):
-    kept, _ = observed_survivors(b.harmonised(spark, sf_dir), b.criteria())
+    kept = observed_survivors(b.harmonised(spark, sf_dir), b.criteria())
     return kept.select(*b.RAW_KEYS, "age", "pay", "tenure", "hours", "job", "level")
 
 
@@ -148,7 +151,7 @@ def counts_by_period(spark, sf_dir):
 @query
 def compare_period_counts(spark, sf_dir):
     frame = b.harmonised(spark, sf_dir)
-    after, _ = observed_survivors(frame, b.criteria())
+    after = observed_survivors(frame, b.criteria())
     return rounded(audit.compare_counts(frame, after, "period"))
 
 
@@ -481,6 +484,53 @@ def segment_silhouette(spark, sf_dir):
     return rounded(local_frame(spark, [(value,)], "silhouette double"))
 
 
+LINE = FeatureSpec(numeric=["l_quantity"], categorical=[], label=b.LABEL)
+
+
+@query
+def linear_search_line(spark, sf_dir):
+    """One predictor and no regularisation, for which least squares has a closed form."""
+    read = b.stored_model_lines(spark, sf_dir)
+    found = search(read("train"), read("validation"), LINE, [LinearCandidate("line")], b.KEYS)
+    baseline = errors.mean_baseline(read("train"), read("validation"), b.LABEL)
+    configured = compare(baseline, found).join(
+        found.metrics.select("model", "configuration", "n"), "model", "left"
+    )
+    return rounded(configured)
+
+
+@query
+def final_line(spark, sf_dir):
+    """Refit on train and validation, stored predictions, metrics of the test rows."""
+    read = b.stored_model_lines(spark, sf_dir)
+    train, test = read("train", "validation"), read("test")
+    final = evaluate_finally(train, test, LINE, [LinearCandidate("line")], b.KEYS, kept=["period"])
+    stored = read_predictions(spark, final.predictions_path, [*b.KEYS, b.LABEL, "line", "residual_line"])
+    return rounded(stored.select(*b.KEYS, "period", b.LABEL, b.BASELINE, "line", "residual_line"))
+
+
+@query
+def forest_stump(spark, sf_dir):
+    """One tree of one split over all rows: the cut of least squared error."""
+    frame = b.lines(spark, sf_dir).select(*b.KEYS, "l_discount", b.LABEL)
+    placed = in_stable_order(frame, b.KEYS)
+    vectors = VectorAssembler(inputCols=["l_discount"], outputCol="features").transform(placed)
+    stump = ForestCandidate("stump", 1, 1).estimator(b.LABEL, "stump")
+    model = stump.setSubsamplingRate(1.0).setBootstrap(False).fit(vectors)
+    scored = model.transform(vectors).groupBy("l_discount").agg(F.max("stump").alias("stump"))
+    return rounded(scored)
+
+
+@query
+def segment_clusters(spark, sf_dir):
+    """Two groups far apart are the two clusters; profiles and readings by their mean."""
+    far = F.when(F.col("l_returnflag") == "A", 10_000.0).otherwise(0.0)
+    frame = b.lines(spark, sf_dir).select(*b.KEYS, (far + F.col("l_quantity")).alias("spread"))
+    found = kmeans_search(frame, {"spread": ["spread"]}, ks=(2,), keys=b.KEYS)
+    profiles = cluster_profiles(frame, found.model, found.features)
+    return rounded(profiles.select("n", "spread_mean", "pct", "description"))
+
+
 @query
 def linear_search(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
