@@ -35,7 +35,7 @@ from fieldbook.llm.store import kept, shipped
 SIZE = 5
 PERCENT = 75
 #: Text handled at once when entries are packed.
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 22
 #: Shingles in the table of frequent ones (16 bytes each), which is broadcast.
 FREQUENT = 1 << 17
 #: A shingle of so many counted texts is of the frequent class.
@@ -113,15 +113,20 @@ def _identities(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its set's size and identity; per chunk the shingles of several sets."""
-    names = ["doc", "n", "one", "two", "token", "texts"]
+    """Per text its set's size, identity and bitmap; per chunk the shingles of several sets."""
+    names = ["doc", "n", "one", "two", "bits", "token", "texts"]
     for docs, data, offsets in _chunks(batches):
         rows, hashes = shingles(data, offsets)
         counts = np.bincount(rows, minlength=len(docs))
         one, two = _identities(hashes, counts)
+        ends = np.cumsum(counts)
+        bits = [parity_bits(hashes[e - c : e], int(c)) for c, e in zip(counts.tolist(), ends.tolist(), strict=True)]
         nothing = pa.nulls(len(docs), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [docs, pa.array(counts), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), nothing, nothing],
+            [
+                docs, pa.array(counts), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+                pa.array(bits, pa.binary()), nothing, nothing,
+            ],
             names=names,
         )
         _, first = np.unique(one, return_index=True)
@@ -131,7 +136,7 @@ def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = texts > 1
         nothing = pa.nulls(int(often.sum()), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [nothing, nothing, nothing, nothing, pa.array(tokens[often].view(np.int64)), pa.array(texts[often])],
+            [nothing, nothing, nothing, nothing, pa.nulls(len(nothing), pa.binary()), pa.array(tokens[often].view(np.int64)), pa.array(texts[often])],
             names=names,
         )
 
@@ -215,58 +220,50 @@ def unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(flat.T).view(kind).ravel()
 
 
-def _groups(entries: np.ndarray) -> Iterator[np.ndarray]:
-    """Runs of entries of one key that several texts have."""
-    order = np.lexsort((entries["doc"], entries["key"]))
-    entries = entries[order]
-    new = np.ones(len(entries), bool)
-    new[1:] = (entries["key"][1:] != entries["key"][:-1]) | (entries["doc"][1:] != entries["doc"][:-1])
-    entries = entries[new]
-    heads = np.flatnonzero(np.append(True, entries["key"][1:] != entries["key"][:-1]))
-    sizes = np.diff(np.append(heads, len(entries)))
-    for head, size in zip(heads[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-        yield entries[head : head + size]
-
-
 def _stars(percent: int):
     """Per bucket: pairs of a group's centre and members, and groups that have other pairs."""
 
     def step(bucket: pa.Table) -> pa.Table:
-        parts = [unpack(p.as_py(), _ENTRY) for p in bucket.column("payload")]
-        one, other, keys, members, sizes, roles = [], [], [], [], [], []
-        for group in _groups(np.concatenate(parts)):
-            centres = group[group["role"] != PAIR_ONLY]
-            if not len(centres):
-                continue
-            centre = centres[np.lexsort((centres["doc"], -centres["score"].astype(int)))[0]]
-            rest = group[group["doc"] != centre["doc"]]
-            low = np.minimum(rest["n"], centre["n"]).astype(np.int64) * 100
-            near = rest[low >= np.maximum(rest["n"], centre["n"]).astype(np.int64) * percent]
-            one.append(np.full(len(near), centre["doc"]))
-            other.append(near["doc"])
-            if len(rest) > 1:
-                keys.append(np.full(len(group), group["key"][0].view(np.int64)))
-                members.append(group["doc"])
-                sizes.append(group["n"].astype(np.int64))
-                roles.append(group["role"].astype(np.int64))
-
-        def column(found: list[np.ndarray], before: int, after: int) -> pa.Array:
-            values = np.concatenate(found) if found else np.zeros(0, np.int64)
-            return pa.concat_arrays([pa.nulls(before, pa.int64()), pa.array(values, pa.int64()), pa.nulls(after, pa.int64())])
-
-        n, m = sum(map(len, one)), sum(map(len, keys))
+        entries = np.concatenate([unpack(p.as_py(), _ENTRY) for p in bucket.column("payload")])
+        entries = entries[np.lexsort((entries["doc"], -entries["score"].astype(np.int64), entries["role"] == PAIR_ONLY, entries["key"]))]
+        # The centre leads its group: most central of those that meet all others.
+        heads = np.flatnonzero(np.append(True, entries["key"][1:] != entries["key"][:-1]))
+        sizes = np.diff(np.append(heads, len(entries)))
+        live = (sizes > 1) & (entries["role"][heads] != PAIR_ONLY)
+        stays = np.repeat(live, sizes)
+        entries, sizes = entries[stays], sizes[live]
+        centre = np.repeat(entries[np.cumsum(sizes) - sizes], sizes)
+        small = np.minimum(entries["n"], centre["n"]).astype(np.int64) * 100
+        large = np.maximum(entries["n"], centre["n"]).astype(np.int64) * percent
+        pairs = (entries["doc"] != centre["doc"]) & (small >= large)
+        one = np.unique(np.stack([centre["doc"][pairs], entries["doc"][pairs]]), axis=1)
+        rest = entries[np.repeat(sizes > 2, sizes)]
+
+        def column(found: np.ndarray, before: int, after: int) -> pa.Array:
+            values = pa.array(found.astype(np.int64), pa.int64())
+            return pa.concat_arrays([pa.nulls(before, pa.int64()), values, pa.nulls(after, pa.int64())])
+
+        n, m = one.shape[1], len(rest)
         return pa.table(
             {
-                "a": column(one, 0, m), "b": column(other, 0, m), "key": column(keys, n, 0),
-                "doc": column(members, n, 0), "n": column(sizes, n, 0), "role": column(roles, n, 0),
+                "a": column(one[0], 0, m),
+                "b": column(one[1], 0, m),
+                "key": column(np.ascontiguousarray(rest["key"]).view(np.int64) if m else np.zeros(0, np.int64), n, 0),
+                "doc": column(rest["doc"], n, 0),
+                "n": column(rest["n"], n, 0),
+                "role": column(rest["role"], n, 0),
             }
         )
 
     return step
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, read: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets meet the threshold."""
+    sizes = sets.dropDuplicates(["doc"]).select("doc", "n", "bits")
+    for end in ("a", "b"):
+        pairs = pairs.join(sizes.withColumnsRenamed({"doc": end, "n": f"n_{end}", "bits": f"bits_{end}"}), end)
+    pairs = kept(pairs.mapInArrow(_pair_bound(percent), "a bigint, b bigint"), "jaccard-bounded")
     # A hot end gets a salt for each few hundred of its pairs, and is sent once a salt.
     degree = pairs.groupBy("a").count()
     salted = pairs.join(degree, "a").select(
@@ -275,32 +272,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     wanted = salted.select("a", "salt", F.col("b").alias("doc")).union(
         salted.select("a", "salt", F.col("a").alias("doc")).distinct()
     )
-    sent = wanted.join(texts, "doc")
-
-    def step(group: pa.Table) -> pa.Table:
-        docs = group.column("doc").combine_chunks().to_numpy()
-        centre = group.column("a")[0].as_py()
-        data, offsets = arrays.buffers(group.column("text"))
-        keep = []
-        at = int(np.flatnonzero(docs == centre)[0])
-        _, own = shingles(data[offsets[at] : offsets[at + 1]], np.array([0, offsets[at + 1] - offsets[at]]))
-        for low, high, part, places in arrays.blocks(data, offsets):
-            rows, hashes = shingles(part, places)
-            counts = np.bincount(rows, minlength=high - low)
-            where = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
-            both = np.bincount(rows[own[where] == hashes], minlength=high - low)
-            good = 100 * both >= percent * (counts + len(own) - both)
-            keep.append(docs[low:high][good])
-        found = np.concatenate(keep)
-        found = found[found != centre]
-        return pa.table({"a": pa.array(np.full(len(found), centre), pa.int64()), "b": pa.array(found, pa.int64())})
-
-    return sent.groupBy("a", "salt").applyInArrow(step, "a bigint, b bigint")
+    buckets = max(8, pairs.count() // 200)
+    texts = read.join(wanted.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    sent = wanted.join(texts, "doc").withColumn("bucket", F.pmod(F.xxhash64("a", "salt"), F.lit(buckets)))
+
+    def step(bucket: pa.Table) -> pa.Table:
+        docs, centres, salts = (bucket.column(c).combine_chunks().to_numpy() for c in ("doc", "a", "salt"))
+        text = bucket.column("text").combine_chunks()
+        order = np.lexsort((docs != centres, salts, centres))  # a centre leads its group
+        ones, twos = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        heads = np.flatnonzero(docs[order] == centres[order])
+        for first, last in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
+            group = order[first:last]
+            data, offsets = arrays.buffers(text.take(pa.array(group)))
+            own = None
+            for low, high, part, places in arrays.blocks(data, offsets):
+                rows, hashes = shingles(part, places)
+                counts = np.bincount(rows, minlength=high - low)
+                if own is None:
+                    own = hashes[rows == 0]
+                where = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                both = np.bincount(rows[own[where] == hashes], minlength=high - low)
+                good = docs[group[low:high]][100 * both >= percent * (counts + len(own) - both)]
+                twos.append(good)
+                ones.append(np.full(len(good), centres[group[0]]))
+        one, two = np.concatenate(ones), np.concatenate(twos)
+        return pa.table({"a": pa.array(one[one != two], pa.int64()), "b": pa.array(two[one != two], pa.int64())})
+
+    return sent.groupBy("bucket").applyInArrow(step, "a bigint, b bigint")
 
 
 def parity_bits(hashes: np.ndarray, n: int) -> bytes:
-    """Bit k is the parity of how many hashes fall on it; some four bits to a shingle."""
-    size = 64 * max(1, 1 << max(0, math.ceil(math.log2(max(n, 1) / 16))))
+    """Bit k is the parity of how many hashes fall on it; one to two bits to a shingle."""
+    size = 64 * max(1, 1 << max(0, math.ceil(math.log2(max(n, 1) / 64))))
     counts = np.bincount((arrays.mixed(hashes) % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -312,51 +316,84 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for docs, data, offsets in _chunks(batches):
-        rows, hashes = shingles(data, offsets)
-        counts = np.bincount(rows, minlength=len(docs))
-        ends = np.cumsum(counts)
-        bits = [parity_bits(hashes[e - c : e], int(c)) for c, e in zip(counts.tolist(), ends.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([docs, pa.array(bits, pa.binary())], names=["doc", "bits"])
+def _may_meet(apart: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes a and b can meet the threshold, if so many parities differ.
+
+    Every difference of parity is a shingle that only one of the sets has.
+    """
+    both = (a + b - apart.astype(np.int64)) // 2
+    return 100 * both >= percent * (a + b - both)
+
+
+def _pair_bound(percent: int):
+    """Of pairs with the bitmaps of both, those that the bound lets pass."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+            bits = [[np.frombuffer(b, np.uint64) for b in batch.column(c).to_pylist()] for c in ("bits_a", "bits_b")]
+            apart = np.zeros(batch.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(*bits, strict=True)):
+                width = min(len(x), len(y))
+                apart[k] = np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum()
+            passed = pa.array(_may_meet(apart, *sizes, percent))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(passed) for c in ("a", "b")], names=["a", "b"])
+
+    return step
+
+
+def _group_pairs(columns: dict[str, np.ndarray], raw: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one group or pair of blocks, of different components, that the bound lets pass."""
+    order = np.argsort(columns["n"], kind="stable")
+    columns = {c: v[order] for c, v in columns.items()}
+    raw = [raw[k] for k in order.tolist()]
+    n, docs, component = columns["n"], columns["doc"], columns["component"]
+    single = columns["role"] != PAIR_ONLY
+    two_blocks = columns["i"][0] != columns["j"][0]
+    # By size, so that a text meets a run of sizes that can still reach the threshold.
+    reach = np.searchsorted(n, n * 100 // percent, "right")
+    left, right = [], []
+    for k in range(len(n) - 1):
+        others = np.arange(k + 1, reach[k])
+        ok = (component[others] != component[k]) & (single[others] | single[k])
+        if two_blocks:
+            ok &= columns["block"][others] != columns["block"][k]
+        others = others[ok]
+        if not len(others):
+            continue
+        width = len(raw[k])
+        # Sizes are near one another, and so bitmaps are of one width or the next.
+        table = np.stack([_folded(raw[m], width) for m in others.tolist()])
+        apart = np.bitwise_count(table ^ raw[k]).sum(axis=1)
+        others = others[_may_meet(apart, n[others], n[k], percent)]
+        left.append(np.full(len(others), docs[k]))
+        right.append(docs[others])
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _near_pairs(percent: int):
-    """Pairs of one block with another, of different components, that the bound lets pass."""
+    """Near pairs of all groups of a bucket, each once."""
 
-    def step(group: pa.Table) -> pa.Table:
-        columns = {c: group.column(c).combine_chunks().to_numpy() for c in ("doc", "n", "role", "component", "block")}
-        raw = [np.frombuffer(b.as_py(), np.uint64) for b in group.column("bits")]
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        order = np.argsort(columns["n"], kind="stable")
+    def step(bucket: pa.Table) -> pa.Table:
+        names = ("key", "i", "j", "doc", "n", "role", "component", "block")
+        columns = {c: bucket.column(c).combine_chunks().to_numpy() for c in names}
+        order = np.lexsort((columns["j"], columns["i"], columns["key"]))
         columns = {c: v[order] for c, v in columns.items()}
-        raw = [raw[k] for k in order.tolist()]
-        n, docs = columns["n"], columns["doc"]
-        left, right = [], []
-        # By size, so that one row meets a run of sizes that can still reach the threshold.
-        reach = np.searchsorted(n, n * 100 // percent, "right")
-        widths = np.array([len(b) for b in raw])
-        for width in np.unique(widths).tolist():
-            chosen = np.flatnonzero(widths == width)
-            later = np.flatnonzero(widths >= width)
-            table = np.stack([_folded(raw[k], width) for k in later.tolist()])
-            for k in chosen.tolist():
-                a, b = np.searchsorted(later, [k + 1, reach[k]])
-                if a >= b:
-                    continue
-                others = later[a:b]
-                apart = np.bitwise_count(table[a:b] ^ raw[k]).sum(axis=1)
-                union_most = (n[others] + n[k] - apart.astype(np.int64)) // 2
-                ok = 100 * union_most >= percent * (n[others] + n[k] - union_most)
-                ok &= columns["component"][others] != columns["component"][k]
-                ok &= (columns["role"][others] != PAIR_ONLY) | (columns["role"][k] != PAIR_ONLY)
-                if i != j:
-                    ok &= columns["block"][others] != columns["block"][k]
-                left.append(np.full(int(ok.sum()), docs[k]))
-                right.append(docs[others[ok]])
-        one = np.concatenate(left) if left else np.zeros(0, np.int64)
-        two = np.concatenate(right) if right else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(one, two), pa.int64()), "b": pa.array(np.maximum(one, two), pa.int64())})
+        bits = bucket.column("bits").combine_chunks()
+        new = np.ones(len(order), bool)
+        for c in ("key", "i", "j"):
+            new[1:] &= columns[c][1:] == columns[c][:-1]
+        heads = np.flatnonzero(np.append(True, ~new[1:]))
+        ones, twos = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
+            raw = [np.frombuffer(bits[k].as_py(), np.uint64) for k in order[a:b].tolist()]
+            one, two = _group_pairs({c: v[a:b] for c, v in columns.items()}, raw, percent)
+            ones.append(np.minimum(one, two))
+            twos.append(np.maximum(one, two))
+        pairs = np.unique(np.stack([np.concatenate(ones), np.concatenate(twos)]), axis=1)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
 
     return step
 
@@ -368,10 +405,10 @@ def linked(
     spark = shipped(docs.sparkSession)
     read = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     census = kept(
-        read.mapInArrow(_census, "doc bigint, n bigint, one bigint, two bigint, token bigint, texts bigint"),
+        read.mapInArrow(_census, "doc bigint, n bigint, one bigint, two bigint, bits binary, token bigint, texts bigint"),
         "jaccard-census",
     )
-    sets = census.filter(F.col("texts").isNull()).select("doc", "n", "one", "two")
+    sets = census.filter(F.col("texts").isNull()).select("doc", "n", "one", "two", "bits")
     table = spark.sparkContext.broadcast(
         frequent_table(census.filter(F.col("texts").isNotNull()).select("token", "texts"))
     )
@@ -413,9 +450,7 @@ def linked(
     )
     first_pairs = kept(stars.filter(F.col("a").isNotNull()).select("a", "b").distinct(), "jaccard-pairs")
     groups = stars.filter(F.col("key").isNotNull()).select("key", "doc", "n", "role")
-    wanted = first_pairs.select(F.col("a").alias("doc")).union(first_pairs.select("b")).union(groups.select("doc"))
-    texts = kept(read.join(wanted.distinct(), "doc", "left_semi").dropDuplicates(["doc"]), "jaccard-texts")
-    links = kept(_verified(first_pairs, texts, percent), "jaccard-links")
+    links = kept(_verified(first_pairs, read, sets, percent), "jaccard-links")
 
     same = sets.filter("n > 0").groupBy("one", "two").agg(F.min("doc").alias("a"))
     copies = sets.filter("n > 0").join(same, ["one", "two"]).select("a", F.col("doc").alias("b"))
@@ -436,21 +471,20 @@ def linked(
         placed.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("doc"), "n_blocks").cast("int")),
         "jaccard-open",
     )
-    bitmaps = texts.join(open_rows.select("doc").distinct(), "doc", "left_semi").mapInArrow(
-        _bitmaps, "doc bigint, bits binary"
-    )
     spread = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "key", "doc", "n", "role", "component", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
+    buckets = max(8, open_rows.count() // 5000)
     near = (
-        spread.join(bitmaps, "doc")
-        .groupBy("key", "i", "j")
+        spread.join(sets.dropDuplicates(["doc"]).select("doc", "bits"), "doc")
+        .withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)))
+        .groupBy("bucket")
         .applyInArrow(_near_pairs(percent), "a bigint, b bigint")
         .distinct()
         .join(first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )
-    more = kept(_verified(kept(near, "jaccard-near"), texts, percent), "jaccard-links")
+    more = kept(_verified(kept(near, "jaccard-near"), read, sets, percent), "jaccard-links")
     final = components(
         found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
     )
