@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files, toxicity, urls
+from fieldbook.llm.oracles import BENCHMARK_OVERLAP, REPEATED_BYTES, SHINGLE_JOIN
 from fieldbook.llm.store import kept, table
 
 
@@ -115,6 +116,9 @@ QUERIES = {
 
 # Aliases are followed by recursion: every address reaches every other of its component.
 ORACLES: dict[str, str] = {
+    "op6_repeated_bytes": REPEATED_BYTES,
+    "op8_shingle_join": SHINGLE_JOIN,
+    "op9_benchmark_overlap": BENCHMARK_OVERLAP,
     "op4_url_filter": r"""
 WITH RECURSIVE rules(verdict, host, path) AS (
   VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),

@@ -309,3 +309,11 @@ def test_empty_tables_give_no_rows(spark, documents):
     assert jaccard.linked(nothing).count() == 0
     assert decontamination.scan(nothing, bench).count() == 0
     assert decontamination.scan(documents(ODD_TEXTS), bench).filter("n_hit > 0").count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_url_filter", "op9_benchmark_overlap"])
+def test_queries_equal_their_oracles(spark, name):
+    from oracle_check import connect, difference
+
+    with connect("/root/testdata/sf0.001") as connection:
+        assert difference(spark, connection, name, "/root/testdata/sf0.001") is None
