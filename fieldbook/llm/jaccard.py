@@ -237,7 +237,8 @@ def _stars(percent: int):
         large = np.maximum(entries["n"], centre["n"]).astype(np.int64) * percent
         pairs = (entries["doc"] != centre["doc"]) & (small >= large)
         one = np.unique(np.stack([centre["doc"][pairs], entries["doc"][pairs]]), axis=1)
-        rest = entries[np.repeat(sizes > 2, sizes)]
+        more = np.repeat(sizes > 2, sizes)
+        rest, leads = entries[more], centre["doc"][more]
 
         def column(found: np.ndarray, before: int, after: int) -> pa.Array:
             values = pa.array(found.astype(np.int64), pa.int64())
@@ -252,6 +253,7 @@ def _stars(percent: int):
                 "doc": column(rest["doc"], n, 0),
                 "n": column(rest["n"], n, 0),
                 "role": column(rest["role"], n, 0),
+                "centre": column(leads, n, 0),
             }
         )
 
@@ -349,13 +351,16 @@ def _group_pairs(columns: dict[str, np.ndarray], raw: list[np.ndarray], percent:
     raw = [raw[k] for k in order.tolist()]
     n, docs, component = columns["n"], columns["doc"], columns["component"]
     single = columns["role"] != PAIR_ONLY
+    led = docs == columns["centre"]  # its pairs have been verified
     two_blocks = columns["i"][0] != columns["j"][0]
     # By size, so that a text meets a run of sizes that can still reach the threshold.
     reach = np.searchsorted(n, n * 100 // percent, "right")
     left, right = [], []
     for k in range(len(n) - 1):
+        if led[k]:
+            continue
         others = np.arange(k + 1, reach[k])
-        ok = (component[others] != component[k]) & (single[others] | single[k])
+        ok = (component[others] != component[k]) & (single[others] | single[k]) & ~led[others]
         if two_blocks:
             ok &= columns["block"][others] != columns["block"][k]
         others = others[ok]
@@ -377,7 +382,7 @@ def _near_pairs(percent: int):
     """Near pairs of all groups of a bucket, each once."""
 
     def step(bucket: pa.Table) -> pa.Table:
-        names = ("key", "i", "j", "doc", "n", "role", "component", "block")
+        names = ("key", "i", "j", "doc", "n", "role", "centre", "component", "block")
         columns = {c: bucket.column(c).combine_chunks().to_numpy() for c in names}
         order = np.lexsort((columns["j"], columns["i"], columns["key"]))
         columns = {c: v[order] for c, v in columns.items()}
@@ -444,12 +449,12 @@ def linked(
     entries = read.filter(F.col("doc").isNotNull()).mapInArrow(packed, "bucket int, payload binary")
     stars = kept(
         entries.groupBy("bucket").applyInArrow(
-            _stars(percent), "a bigint, b bigint, key bigint, doc bigint, n bigint, role bigint"
+            _stars(percent), "a bigint, b bigint, key bigint, doc bigint, n bigint, role bigint, centre bigint"
         ),
         "jaccard-groups",
     )
     first_pairs = kept(stars.filter(F.col("a").isNotNull()).select("a", "b").distinct(), "jaccard-pairs")
-    groups = stars.filter(F.col("key").isNotNull()).select("key", "doc", "n", "role")
+    groups = stars.filter(F.col("key").isNotNull()).select("key", "doc", "n", "role", "centre")
     links = kept(_verified(first_pairs, read, sets, percent), "jaccard-links")
 
     same = sets.filter("n > 0").groupBy("one", "two").agg(F.min("doc").alias("a"))
@@ -459,7 +464,7 @@ def linked(
 
     # Groups in which texts of several components remain.
     placed = groups.join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "key", "doc", "n", "role", F.coalesce("component", "doc").alias("component")
+        "key", "doc", "n", "role", "centre", F.coalesce("component", "doc").alias("component")
     )
     open_keys = (
         placed.groupBy("key")
@@ -472,13 +477,14 @@ def linked(
         "jaccard-open",
     )
     spread = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "key", "doc", "n", "role", "component", "block",
+        "key", "doc", "n", "role", "centre", "component", "block",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
     buckets = max(8, open_rows.count() // 5000)
     near = (
         spread.join(sets.dropDuplicates(["doc"]).select("doc", "bits"), "doc")
-        .withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)))
+        # Groups of one centre tend to hold the same pairs, which meet here.
+        .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(buckets)))
         .groupBy("bucket")
         .applyInArrow(_near_pairs(percent), "a bigint, b bigint")
         .distinct()
