@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from fieldbook.llm import arrays, pretokens
 from fieldbook.llm.store import shipped
 
-_ARCS = 1 << 21
+_ARCS = 1 << 18
 _NEVER = 1 << 40
 
 
@@ -263,4 +263,4 @@ def encode(
                     columns.append(pa.ListArray.from_arrays(pa.array(limits), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, *(f.name for f in added)])
 
-    return docs.select(*names, text).mapInArrow(step, StructType([*rest, *added]))
+    return docs.select(*names, text).mapInArrow(arrays.tidy(step), StructType([*rest, *added]))

@@ -185,7 +185,7 @@ def scan(
         block = tests.filter(F.pmod(F.xxhash64("name", "words"), F.lit(n_blocks)) == k)
         pairs = [(row["name"], row["words"]) for row in block.collect()]
         shared = spark.sparkContext.broadcast(window_set(pairs, size))
-        found = found.mapInArrow(_scan(shared, text), found.schema)
+        found = found.mapInArrow(arrays.tidy(_scan(shared, text)), found.schema)
     merged = found.withColumn("hit_words", _merged("hit_words")).withColumn(
         "hit_bytes", _merged("hit_bytes")
     )
@@ -213,4 +213,4 @@ def without_spans(found: DataFrame, text: str = "text") -> DataFrame:
             columns[text] = pa.array(texts, batch.schema.field(text).type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
 
-    return found.mapInArrow(step, found.schema)
+    return found.mapInArrow(arrays.tidy(step), found.schema)

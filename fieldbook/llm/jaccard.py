@@ -265,7 +265,7 @@ def _verified(pairs: DataFrame, read: DataFrame, sets: DataFrame, percent: int)
     sizes = sets.dropDuplicates(["doc"]).select("doc", "n", "bits")
     for end in ("a", "b"):
         pairs = pairs.join(sizes.withColumnsRenamed({"doc": end, "n": f"n_{end}", "bits": f"bits_{end}"}), end)
-    pairs = kept(pairs.mapInArrow(_pair_bound(percent), "a bigint, b bigint"), "jaccard-bounded")
+    pairs = kept(pairs.mapInArrow(arrays.tidy(_pair_bound(percent)), "a bigint, b bigint"), "jaccard-bounded")
     # A hot end gets a salt for each few hundred of its pairs, and is sent once a salt.
     degree = pairs.groupBy("a").count()
     salted = pairs.join(degree, "a").select(
@@ -301,7 +301,7 @@ def _verified(pairs: DataFrame, read: DataFrame, sets: DataFrame, percent: int)
         one, two = np.concatenate(ones), np.concatenate(twos)
         return pa.table({"a": pa.array(one[one != two], pa.int64()), "b": pa.array(two[one != two], pa.int64())})
 
-    return sent.groupBy("bucket").applyInArrow(step, "a bigint, b bigint")
+    return sent.groupBy("bucket").applyInArrow(arrays.tidy_group(step), "a bigint, b bigint")
 
 
 def parity_bits(hashes: np.ndarray, n: int) -> bytes:
@@ -410,7 +410,10 @@ def linked(
     spark = shipped(docs.sparkSession)
     read = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     census = kept(
-        read.mapInArrow(_census, "doc bigint, n bigint, one bigint, two bigint, bits binary, token bigint, texts bigint"),
+        read.mapInArrow(
+            arrays.tidy(_census),
+            "doc bigint, n bigint, one bigint, two bigint, bits binary, token bigint, texts bigint",
+        ),
         "jaccard-census",
     )
     sets = census.filter(F.col("texts").isNull()).select("doc", "n", "one", "two", "bits")
@@ -446,10 +449,11 @@ def linked(
                 names=["bucket", "payload"],
             )
 
-    entries = read.filter(F.col("doc").isNotNull()).mapInArrow(packed, "bucket int, payload binary")
+    entries = read.filter(F.col("doc").isNotNull()).mapInArrow(arrays.tidy(packed), "bucket int, payload binary")
     stars = kept(
         entries.groupBy("bucket").applyInArrow(
-            _stars(percent), "a bigint, b bigint, key bigint, doc bigint, n bigint, role bigint, centre bigint"
+            arrays.tidy_group(_stars(percent)),
+            "a bigint, b bigint, key bigint, doc bigint, n bigint, role bigint, centre bigint",
         ),
         "jaccard-groups",
     )
@@ -486,7 +490,7 @@ def linked(
         # Groups of one centre tend to hold the same pairs, which meet here.
         .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(buckets)))
         .groupBy("bucket")
-        .applyInArrow(_near_pairs(percent), "a bigint, b bigint")
+        .applyInArrow(arrays.tidy_group(_near_pairs(percent)), "a bigint, b bigint")
         .distinct()
         .join(first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     )

@@ -17,7 +17,7 @@ from fieldbook.llm import arrays
 
 SPACE, LETTER, NUMBER, OTHER, UNSURE = range(5)
 #: Words a worker remembers; beyond this it starts over.
-REMEMBERED = 1 << 21
+REMEMBERED = 1 << 20
 
 # Unicode's white space.
 _BLANKS = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]

@@ -483,11 +483,11 @@ def deduplicated(
     bits = max(3, math.ceil(math.log2(max(1, total * 2 / (SPAN + 1) / BUCKET_ENTRIES))))
     doc_bits = max(3, bits - 2)
 
-    sent = read.mapInArrow(_send(bits, doc_bits), _PACKED)
-    settled = sent.groupBy("bucket").applyInArrow(_settle(doc_bits), _PACKED)
+    sent = read.mapInArrow(arrays.tidy(_send(bits, doc_bits)), _PACKED)
+    settled = sent.groupBy("bucket").applyInArrow(arrays.tidy_group(_settle(doc_bits)), _PACKED)
     known = kept(
         settled.groupBy("bucket").applyInArrow(
-            _by_document({"cut": _CUT, "cover": _COVER, "want": _WANT}),
+            arrays.tidy_group(_by_document({"cut": _CUT, "cover": _COVER, "want": _WANT})),
             "doc bigint, cut binary, cover binary, want binary",
         ),
         "suffix-known",
@@ -497,12 +497,12 @@ def deduplicated(
     rest = F.struct(*[c for c in docs.columns if c != text])
     texts = docs.select(key.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest")).repartition(parts, "doc")
     asked = texts.join(known.filter(F.col("want").isNotNull()).select("doc", "want"), "doc")
-    answers = asked.mapInArrow(_answer(bits), "bucket int, heads binary, bytes binary")
+    answers = asked.mapInArrow(arrays.tidy(_answer(bits)), "bucket int, heads binary, bytes binary")
     looked = (
         answers.groupBy("bucket")
-        .applyInArrow(_look_into(doc_bits), _PACKED)
+        .applyInArrow(arrays.tidy_group(_look_into(doc_bits)), _PACKED)
         .groupBy("bucket")
-        .applyInArrow(_by_document({"cover": _COVER}), "doc bigint, cover binary")
+        .applyInArrow(arrays.tidy_group(_by_document({"cover": _COVER})), "doc bigint, cover binary")
         .withColumnRenamed("cover", "more")
     )
     joined = texts.join(known.select("doc", "cut", "cover"), "doc", "left").join(looked, "doc", "left")
@@ -544,5 +544,5 @@ def deduplicated(
     schema = carried.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
     if keep_text:
         schema = schema.add("kept_text", "string")
-    cut = joined.mapInArrow(step, schema)
+    cut = joined.mapInArrow(arrays.tidy(step), schema)
     return cut.select("rest.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if keep_text else []))

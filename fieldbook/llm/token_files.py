@@ -298,7 +298,7 @@ def files(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
         if held:
             yield packed()
 
-    return ordered.mapInArrow(step, FILE_SCHEMA)
+    return ordered.mapInArrow(arrays.tidy(step), FILE_SCHEMA)
 
 
 def read_back(stored: DataFrame) -> DataFrame:
@@ -331,7 +331,7 @@ def read_back(stored: DataFrame) -> DataFrame:
                 )
 
     decoded = stored.mapInArrow(
-        step, "shard int, block int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+        arrays.tidy(step), "shard int, block int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
     # Ids before a block: whole shards by one row each, then blocks within their shard.
     sizes = stored.select("shard", "block", "n_ids")

@@ -86,7 +86,7 @@ def lexicon_candidates(texts: DataFrame) -> DataFrame:
             names=["entry", "toxic", "other"],
         )
 
-    counted = texts.select("text", "toxic").mapInArrow(step, "entry string, toxic bigint, other bigint")
+    counted = texts.select("text", "toxic").mapInArrow(arrays.tidy(step), "entry string, toxic bigint, other bigint")
     return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -291,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
                     names=["toxic", "votes"],
                 )
 
-    rows = texts.mapInArrow(step, "toxic bigint, votes binary").collect()
+    rows = texts.mapInArrow(arrays.tidy(step), "toxic bigint, votes binary").collect()
     toxic = np.array([row["toxic"] for row in rows], float)
     packed = np.stack([np.frombuffer(row["votes"], np.uint8) for row in rows])
     votes = np.unpackbits(packed, axis=1)[:, :width].astype(float)
@@ -330,4 +330,4 @@ def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
             )
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
-    return docs.mapInArrow(step, schema)
+    return docs.mapInArrow(arrays.tidy(step), schema)
