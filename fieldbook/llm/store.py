@@ -11,6 +11,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows handed to a Python worker at once; Spark's own 64 MB are held several times
+#: over on both sides.  A session that has set another size keeps it.
+BATCH_BYTES = 8 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
+
 _UNSET: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -44,8 +49,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """`spark`, whose executors can import this package: it is zipped into the shared folder."""
+    """`spark`, whose executors can import this package: it is zipped into the shared folder.
+
+    Rows reach Python in batches of bounded size.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_KEY).startswith(_BATCH_DEFAULT):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         zipped = io.BytesIO()
