@@ -5,7 +5,8 @@ text length and punctuation are summed over its nodes and set against the number
 both ratios are smoothed along the page, fused, and compared with a threshold drawn from
 the page itself.  Elements whose tag, class or id says that they are no article text
 (menus, headers, footers, sidebars, notices, adverts, forms, comments) never become nodes,
-and where a page marks its article, only nodes inside it compete.
+and a path inside article or main gains; text outside a marked article is content if its
+ratio says so.
 
 Defined results: a null, empty or markup-only page has the empty text; unclosed elements,
 comments and scripts end with the page; nodes are never cut.
@@ -45,6 +46,8 @@ MARKED = set(
     "sidebar sidebars signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
 ARTICLE = {"article", "main"}
+# What a path's ratio is multiplied by inside an article.
+INSIDE = 2.5
 CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -157,30 +160,28 @@ def _smoothed(values: list[float], radius: int) -> list[float]:
 
 
 def content_blocks(page: str | None, radius: int = 1, share: float = 0.5) -> list[str]:
-    """The page's article blocks.  `share` of the mean fused ratio is the threshold.
+    """The page's article blocks.  `share` of the mean ratio is the threshold.
 
-    A node inside a marked article is content if its path is; paths of a marked article
-    are thresholded at zero, as the page has said what they are.
+    The mean is taken before the gain of marked articles, so that their short blocks keep it.
     """
     nodes = text_nodes(page) if page else []
-    if any(inside for _, inside, _ in nodes):
-        nodes = [node for node in nodes if node[1]]
-        share = 0.0
     if not nodes:
         return []
     sums: dict[str, list[int]] = {}
-    for path, _, text in nodes:
+    within: dict[str, bool] = {}
+    for path, inside, text in nodes:
         s = sums.setdefault(path, [0, 0, 0])
         s[0] += 1
         s[1] += len(text)
         s[2] += len(PUNCTUATION.findall(text))
+        within[path] = inside
     length = _smoothed([sums[path][1] / sums[path][0] for path, _, _ in nodes], radius)
     marks = _smoothed([sums[path][2] / sums[path][0] for path, _, _ in nodes], radius)
     fused = [math.log1p(a) * (1.0 + b) for a, b in zip(length, marks, strict=True)]
     # The ratio of a path, not of a node, decides: its best smoothed node speaks for it.
     best: dict[str, float] = {}
     for (path, _, _), value in zip(nodes, fused, strict=True):
-        best[path] = max(best.get(path, 0.0), value)
+        best[path] = max(best.get(path, 0.0), value * (INSIDE if within[path] else 1.0))
     threshold = share * sum(fused) / len(fused)
     return [text for path, _, text in nodes if best[path] >= threshold]
 

@@ -54,6 +54,20 @@ def test_extraction_without_marks_thresholds_paths():
     assert text.count("A sentence") == 15 and "Home" not in text
 
 
+PROSE = "A sentence of some length, with marks; and more. " * 5
+PARAGRAPHS = [f"{k} {PROSE.strip()}" for k in range(4)]
+BODY = "".join(f"<p>{text}</p>" for text in PARAGRAPHS)
+
+
+def test_extraction_ratios_decide_on_pages_with_a_marked_article():
+    page = f"<body><div>{BODY}</div><article><h3>Next story</h3><p>A short teaser.</p></article></body>"
+    blocks = extraction.content_blocks(page)
+    assert blocks[:4] == PARAGRAPHS and "A short teaser." not in blocks
+    menu = "<ul>" + "".join(f"<li>entry {k}</li>" for k in range(9)) + "</ul>"
+    blocks = extraction.content_blocks(f"<article><h1>Head</h1>{BODY}<div>{menu}</div></article>")
+    assert blocks[:5] == ["Head", *PARAGRAPHS]
+
+
 def test_extraction_query_keeps_other_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<article>a</article>", "z"), (None, None, None, None)], "page_id long, url string, html string, n_chars string")
     rows = extraction.extract(pages).orderBy(F.desc("page_id")).collect()
