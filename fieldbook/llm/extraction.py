@@ -3,10 +3,11 @@
 A page is read as a sequence of text nodes, each under a root-to-leaf tag path.  Per path,
 text length and punctuation are summed over its nodes and set against the number of nodes;
 both ratios are smoothed along the page, fused, and compared with a threshold drawn from
-the page itself.  Elements whose tag, class or id says that they are no article text
-(menus, headers, footers, sidebars, notices, adverts, forms, comments) never become nodes,
-and a path inside article or main gains; text outside a marked article is content if its
-ratio says so.
+the page itself.  Two signals are fused into the ratio: a path inside article or main gains,
+a path with an element whose class, id or role names what is no article text (sidebars,
+notices, adverts, comments) loses.  Neither decides alone: text outside a marked article and
+text in a named element is content if its ratio says so.  Only elements whose tag itself is
+that of a menu, header, footer, aside or form never become nodes.
 
 Defined results: a null, empty or markup-only page has the empty text; unclosed elements,
 comments and scripts end with the page; nodes are never cut.
@@ -46,8 +47,11 @@ MARKED = set(
     "sidebar sidebars signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
 ARTICLE = {"article", "main"}
-# What a path's ratio is multiplied by inside an article.
-INSIDE = 2.5
+# What a path's ratio is multiplied by inside an article, and for each marked element.
+INSIDE, PENALTY = 2.5, 0.1
+# A marked element is layout, not penalised, if less than these shares of the page's text and
+# of its punctuation lie outside.
+TEXT_OUTSIDE, PUNCTUATION_OUTSIDE = 0.5, 0.2
 CLOSES = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -85,9 +89,12 @@ def _is_marked(attributes: str) -> bool:
 
 
 def text_nodes(page: str) -> list[tuple[str, bool, str]]:
-    """(tag path, inside an article, text) of each block of text, in page order."""
+    """(tag path, inside an article, text) of each block of text, in page order.
+
+    In the path a marked element is written with an exclamation mark.
+    """
     nodes: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, bool]] = []  # tag, and whether it starts something left out
+    stack: list[tuple[str, bool, bool]] = []  # tag, whether its text is left out, whether marked
     skipped = articles = 0
     parts: list[str] = []
     where = ("", False)
@@ -100,14 +107,17 @@ def text_nodes(page: str) -> list[tuple[str, bool, str]]:
 
     def drop(count: int) -> None:
         nonlocal skipped, articles
-        for tag, leaves_out in stack[len(stack) - count :]:
+        ended = stack[len(stack) - count :]
+        if any(marked for _, _, marked in ended):
+            flush()
+        for tag, leaves_out, _ in ended:
             skipped -= leaves_out
             articles -= tag in ARTICLE
         del stack[len(stack) - count :]
 
     def close(tags: set[str], within: set[str]) -> None:
         """End the innermost open element of `tags`, unless one of `within` is nearer."""
-        for depth, (tag, _) in enumerate(reversed(stack), 1):
+        for depth, (tag, _, _) in enumerate(reversed(stack), 1):
             if tag in tags:
                 drop(depth)
                 return
@@ -119,7 +129,9 @@ def text_nodes(page: str) -> list[tuple[str, bool, str]]:
         if text is not None:
             if not skipped:
                 if not parts:
-                    path = "/".join(tag for tag, _ in stack if tag not in INLINE)
+                    path = "/".join(
+                        tag + "!" * marked for tag, _, marked in stack if marked or tag not in INLINE
+                    )
                     where = (path, articles > 0)
                 parts.append(text)
             continue
@@ -138,10 +150,11 @@ def text_nodes(page: str) -> list[tuple[str, bool, str]]:
             close(CLOSES[tag], {"ul", "ol", "dl", "table", "select"})
         if tag in VOID or token["rest"].endswith("/"):
             continue
-        leaves_out = tag in SKIPPED or (
-            tag not in ("html", "body", *ARTICLE) and _is_marked(token["rest"])
-        )
-        stack.append((tag, leaves_out))
+        leaves_out = tag in SKIPPED
+        marked = tag not in ("html", "body", *ARTICLE) and _is_marked(token["rest"])
+        if marked:
+            flush()
+        stack.append((tag, leaves_out, marked))
         skipped += leaves_out
         articles += tag in ARTICLE
     flush()
@@ -159,10 +172,33 @@ def _smoothed(values: list[float], radius: int) -> list[float]:
     return out
 
 
+def _penalties(sums: dict[str, list[int]]) -> dict[str, float]:
+    """Per path the factor for its marked elements, of which those around the page's text
+    are layout and count for nothing."""
+    marks_of = {path: [path[: m.end()] for m in re.finditer("!", path)] for path in sums}
+    out_of = {mark: [0, 0] for marks in marks_of.values() for mark in marks}
+    for path, (_, size, points) in sums.items():
+        for mark in out_of.keys() - marks_of[path]:
+            out_of[mark][0] += size
+            out_of[mark][1] += points
+    size = sum(s[1] for s in sums.values())
+    points = sum(s[2] for s in sums.values())
+    boilerplate = {
+        mark
+        for mark, (a, b) in out_of.items()
+        if a >= TEXT_OUTSIDE * size or b >= PUNCTUATION_OUTSIDE * points > 0
+    }
+    return {
+        path: PENALTY ** sum(mark in boilerplate for mark in marks)
+        for path, marks in marks_of.items()
+    }
+
+
 def content_blocks(page: str | None, radius: int = 1, share: float = 0.5) -> list[str]:
     """The page's article blocks.  `share` of the mean ratio is the threshold.
 
-    The mean is taken before the gain of marked articles, so that their short blocks keep it.
+    The mean is taken after the penalties, so that what all paths share cancels, and before
+    the gain of marked articles, so that their short blocks keep it.
     """
     nodes = text_nodes(page) if page else []
     if not nodes:
@@ -175,9 +211,13 @@ def content_blocks(page: str | None, radius: int = 1, share: float = 0.5) -> lis
         s[1] += len(text)
         s[2] += len(PUNCTUATION.findall(text))
         within[path] = inside
+    penalty = _penalties(sums)
     length = _smoothed([sums[path][1] / sums[path][0] for path, _, _ in nodes], radius)
     marks = _smoothed([sums[path][2] / sums[path][0] for path, _, _ in nodes], radius)
-    fused = [math.log1p(a) * (1.0 + b) for a, b in zip(length, marks, strict=True)]
+    fused = [
+        math.log1p(a) * (1.0 + b) * penalty[path]
+        for a, b, (path, _, _) in zip(length, marks, nodes, strict=True)
+    ]
     # The ratio of a path, not of a node, decides: its best smoothed node speaks for it.
     best: dict[str, float] = {}
     for (path, _, _), value in zip(nodes, fused, strict=True):

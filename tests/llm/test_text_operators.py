@@ -57,6 +57,7 @@ def test_extraction_without_marks_thresholds_paths():
 PROSE = "A sentence of some length, with marks; and more. " * 5
 PARAGRAPHS = [f"{k} {PROSE.strip()}" for k in range(4)]
 BODY = "".join(f"<p>{text}</p>" for text in PARAGRAPHS)
+BOXES = "".join(f'<div class="elementor-widget-container"><p>{t}</p></div>' for t in PARAGRAPHS)
 
 
 def test_extraction_ratios_decide_on_pages_with_a_marked_article():
@@ -68,6 +69,26 @@ def test_extraction_ratios_decide_on_pages_with_a_marked_article():
     assert blocks[:5] == ["Head", *PARAGRAPHS]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content-sidebar-wrap"><main>{BODY}</main></div><div>imprint</div>',
+        f'<div class="site no-sidebar"><div>{BODY}</div><div class="comments"><p>Nice, thanks.</p></div></div>',
+        f"<article>{BOXES}</article>",
+        f"<div>{BOXES}</div>",
+        f'<div class="ad">Buy it. Now, or never.</div><article>{BODY}</article>',
+        f'<article>{BODY}</article><ol class="comment-list"><li><article><p>Great post, thank you. Yes.</p></article></li></ol>',
+    ],
+)
+def test_extraction_class_words_only_lower_the_ratio(page):
+    assert extraction.content_blocks(page) == PARAGRAPHS
+
+
+def test_extraction_a_named_advert_stays_out_of_an_article_without_punctuation():
+    page = "<div class=ad>Buy it, now. Or never.</div><article><p>" + "words and " * 30 + "</p></article>"
+    assert extraction.content_blocks(page) == [("words and " * 30).strip()]
+
+
 def test_extraction_query_keeps_other_columns(spark):
     pages = spark.createDataFrame([(1, "u", "<article>a</article>", "z"), (None, None, None, None)], "page_id long, url string, html string, n_chars string")
     rows = extraction.extract(pages).orderBy(F.desc("page_id")).collect()
