@@ -29,6 +29,12 @@ PHRASES = {
     "mit license": "mit",
 }
 
+# Of docs.python.org only the page of its license: a language and a version may stand between.
+_PYTHON_ADDRESS = (
+    "docs python org(?: (?:de|en|es|fr|hu|id|it|ja|ko|pl|pt br|ro|ru|tr|uk|zh cn|zh tw))?"
+    "(?: (?:[0-9]+|dev|release|py3k)){0,4} license"
+)
+
 # Families, best known first: label, keyword, name, SPDX name, address.  In patterns a
 # space is any gap between two words; the SPDX name and address are written as words.
 _FAMILIES = [
@@ -81,7 +87,7 @@ _FAMILIES = [
     ("zlib", "zlib|libpng", "(?:zlib|libpng|zlib libpng)(?: style)? licen[cs]e", "zlib", "zlib net zlib license"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense", "unlicense org"),
     ("wtfpl", "wtfpl|fuck", "(?:wtfpl|do what the fuck you want to public licen[cs]e)", "wtfpl", "wtfpl net"),
-    ("python-2.0", "python|psf", "(?:python software foundation|psf|python) licen[cs]e(?: version| v)?(?: 2)?", "(?:psf|python) 2 0", "docs python org [0-9a-z ]*license"),
+    ("python-2.0", "python|psf", "(?:python software foundation|psf|python) licen[cs]e(?: version| v)?(?: 2)?", "(?:psf|python) 2 0", _PYTHON_ADDRESS),
     ("ofl-1.1", "ofl|sil", "(?:sil )?(?:open font licen[cs]e|ofl)(?: version| v)?(?: 1 1)?", "ofl 1 1", "scripts sil org ofl"),
     ("odbl-1.0", "odbl|database", "(?:open (?:data commons open )?database licen[cs]e|odbl)(?: 1 0)?", "odbl 1 0", "opendatacommons org licenses odbl"),
     ("ms-pl", "microsoft", "microsoft public licen[cs]e", "ms pl", "opensource org licen[cs]es? ms pl"),

@@ -55,6 +55,19 @@ def test_contained_detections_are_suppressed(spark, documents):
     assert sorted((r[0], r[1]) for r in rows) == [(0, "cc-by-nc-4.0"), (1, "apache-2.0"), (2, "mit")]
 
 
+def test_the_python_address_takes_no_words_but_its_own(spark, documents):
+    """Licences after docs.python.org are found, near it and far from it."""
+    texts = [
+        "see docs.python.org for words, under Apache License 2.0 and also GPL version 3, read the license",
+        "docs.python.org under MIT License " + "more words " * 400 + "the license",
+        "docs.python.org/3.12/license.html and docs.python.org/pt-br/release/3.8.0/license or https://docs.python.org/license",
+    ]
+    found = licenses.detect(documents(texts)).select("carried.doc_id", "start", "end", "label").collect()
+    labels = [sorted(r["label"] for r in found if r["doc_id"] == k) for k in range(3)]
+    assert labels == [["apache-2.0", "gpl-3.0"], ["mit"], ["python-2.0"] * 3]
+    assert all(r["end"] - r["start"] < 60 for r in found)
+
+
 def test_suppression_equals_brute_force(spark, documents):
     rules = [
         {"rule": k, "label": f"r{k}", "gate": "a", "pattern": f"(?<= )(?:{p})(?= )".replace("X", "  "), "score": 0.5}
