@@ -1,7 +1,7 @@
 """Documents through five corpus stages, each stored before the next one reads it.
 
 Every stage but the last returns the columns of documents; further columns of its input are
-carried along, but for those named as the counts and spans that an operator adds.  Rows with
+left out, whatever their names.  Rows with
 a null id are judged on their text like any other, but are no one's earlier document; rows
 that share an id are judged as one.
 """

@@ -9,8 +9,8 @@ votes is trained on the model's posterior labels and scores every text.
 
 Only the sample passes the driver: `sample` rows a class.  Everything else is counted and
 scored where the rows are.  Defined results: null text is empty and gets the score of a
-text on which nothing fires; a document with several labels has the worst; without labels
-of both classes nothing is learned and every score is the same.
+text on which nothing fires; a document with several labels has the worst; without labelled
+texts of both classes nothing is learned and every score is the same.
 """
 
 from __future__ import annotations
@@ -251,6 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
         return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
     counted = texts.groupBy("toxic").count()
     held = {row["toxic"]: row["count"] for row in counted.collect()}
+    if not held.get(1) or not held.get(0):
+        return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
     balance = held.get(1, 1) / max(held.get(0, 1), 1)
     least = max(3, LEAST_SUPPORT * held.get(1, 1))
     precision = F.col("toxic") / (F.col("toxic") + balance * F.col("other") + 1)
