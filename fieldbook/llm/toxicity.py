@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-Voters are lexicon entries, word beginnings that a bounded sample of labelled training rows
-ties to toxic texts, and hand-written patterns.  A voter fires or not.  The label model
+Voters are lexicon entries, word beginnings that the labelled training rows tie to toxic
+texts, and hand-written patterns.  A voter fires or not.  The label model
 holds, for each voter, how often it fires on toxic and on other texts, and how far voters
 go together beyond that; it is fitted by expectation maximisation on the sample's votes,
 where a voter counts for less the more it repeats others.  A linear classifier over the
@@ -28,13 +28,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from fieldbook.llm import arrays
 from fieldbook.llm.store import kept, shipped
 
-#: Labelled training rows per class that may be used.
+#: Labelled training rows per class that the label model and the classifier are fitted on.
 SAMPLE = 4000
-#: Lexicon entries, and the shares that make a word beginning one.
+#: Lexicon entries, and the shares that make a word beginning one: of all toxic training rows,
+#: or of as many as the sample holds where there are more.
 LEXICON = 512
 LEAST_SUPPORT = 0.004
 LEAST_PRECISION = 0.9
 SHORTEST, LONGEST = 3, 12
+#: Word beginnings counted before a task gives their counts on.
+COUNTED = 1 << 18
 ROUNDS = 10
 #: How often a label is taken to be right; voters may overrule it.
 LABEL_ACCURACY = 0.98
@@ -59,7 +62,20 @@ def lexicon_candidates(texts: DataFrame) -> DataFrame:
     """entry, toxic, other: texts of each class with a word that begins so."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[bytes, list[int]] = defaultdict(lambda: [0, 0])
+        found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+
+        def counts() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(found), pa.string()),
+                    pa.array([c[0] for c in found.values()], pa.int64()),
+                    pa.array([c[1] for c in found.values()], pa.int64()),
+                ],
+                names=["entry", "toxic", "other"],
+            )
+            found.clear()
+            return batch
+
         for batch in batches:
             data, offsets = arrays.buffers(batch.column("text"))
             lower = arrays.LOWER[data]
@@ -77,14 +93,9 @@ def lexicon_candidates(texts: DataFrame) -> DataFrame:
                         begins.add(letters[:n])
                 for begin in begins:
                     found[begin][0 if toxic[row] else 1] += 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(found), pa.string()),
-                pa.array([c[0] for c in found.values()], pa.int64()),
-                pa.array([c[1] for c in found.values()], pa.int64()),
-            ],
-            names=["entry", "toxic", "other"],
-        )
+                if len(found) > COUNTED:
+                    yield counts()
+        yield counts()
 
     counted = texts.select("text", "toxic").mapInArrow(arrays.tidy(step), "entry string, toxic bigint, other bigint")
     return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
@@ -239,10 +250,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     for kind in (0, 1):
         part = allowed.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
+    told_of = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = kept(
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(kept(chosen, "toxicity-chosen"), "doc_id")
-        .dropDuplicates(["doc_id"]),
+        told_of.join(kept(chosen, "toxicity-chosen"), "doc_id").dropDuplicates(["doc_id"]),
         "toxicity-sample",
     )
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
@@ -253,11 +263,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     held = {row["toxic"]: row["count"] for row in counted.collect()}
     if not held.get(1) or not held.get(0):
         return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
-    balance = held.get(1, 1) / max(held.get(0, 1), 1)
+    balance = held[1] / held[0]
     least = max(3, LEAST_SUPPORT * held.get(1, 1))
+    # The sample is all there is unless a class is larger.
+    every = texts
+    if max(n_toxic, n_other) > sample:
+        every = told_of.join(allowed.filter(F.col("toxic").isin(0, 1)), "doc_id").dropDuplicates(["doc_id"])
+        balance = n_toxic / n_other
     precision = F.col("toxic") / (F.col("toxic") + balance * F.col("other") + 1)
     likely = kept(
-        lexicon_candidates(texts).filter((F.col("toxic") >= least) & (precision >= LEAST_PRECISION)),
+        lexicon_candidates(every).filter((F.col("toxic") >= least) & (precision >= LEAST_PRECISION)),
         "toxicity-entries",
     )
     # A longer beginning that rules nothing out only repeats the shorter one.

@@ -315,6 +315,22 @@ def test_toxicity_learns_planted_words_without_held_out_labels(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_toxicity_lexicon_counts_rows_outside_the_sample(spark, monkeypatch):
+    """12 of 600 toxic rows have the rare word: too few in any sample of 20."""
+    monkeypatch.setattr(toxicity, "COUNTED", 50)
+    random.seed(10)
+    words = [f"plain{k}" for k in range(300)]
+    rows = [" ".join([*random.choices(words, k=20), "vile" * (k % 2)]) for k in range(1200)]
+    training = [k for k in range(1, 1200, 2) if zlib.crc32(str(k).encode()) % 5]
+    for k in training[::40][:12]:
+        rows[k] += " quixotry"
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(1200)], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit(docs, labels, sample=20).lexicon
+    assert any("quixotry".startswith(entry) for entry in lexicon)
+    assert any("vile".startswith(entry) for entry in lexicon)
+
+
 def test_label_model_discounts_voters_that_repeat_one_another():
     rng = np.random.default_rng(1)
     truth = rng.random(3000) < 0.5
