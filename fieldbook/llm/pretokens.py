@@ -81,6 +81,7 @@ def byte_level_words(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kinds = code_point_kinds()[points]
+    kinds[kinds == UNSURE] = OTHER  # neither letter nor number, as in the library's pattern
     heads = np.zeros(n + 1, bool)
     heads[offsets] = True
     opens = np.empty(n, bool)

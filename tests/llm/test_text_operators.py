@@ -19,6 +19,7 @@ from fieldbook.llm import (
     decontamination,
     extraction,
     jaccard,
+    pretokens,
     suffix_dedup,
     token_files,
     toxicity,
@@ -114,6 +115,12 @@ def test_byte_pair_codec_equals_the_library(spark, documents):
         assert row["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def test_an_unassigned_code_point_stands_in_one_word_with_punctuation():
+    points = np.array([ord(c) for c in "a !\u0378? b"], np.uint32)
+    starts, ends = pretokens.byte_level_words(points, np.array([0, len(points)]))
+    assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == [(0, 1), (1, 5), (5, 7)]
+
+
 def test_automaton_paths_are_the_merges_of_random_words():
     automaton, _ = bpe_automaton.ready(Path(workload.BYTE_VOCABULARY).read_text())
     library = Tokenizer.from_file(workload.BYTE_VOCABULARY)
