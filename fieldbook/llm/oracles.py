@@ -88,3 +88,74 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
        coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(kept || substr(h, 2 * last_byte + 1), h))) AS kept_sha256
 FROM d LEFT JOIN pieces USING (doc_id)"""
+
+RANKED_SEARCH = f"""
+WITH d AS ({_words('documents', 'doc_id', _LETTERS)}),
+q AS ({_words('benchmark', 'item_id', _LETTERS)}),
+sizes AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM q) GROUP BY ALL),
+found AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM found, sizes GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id,
+    sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN found USING (term), sizes GROUP BY item_id, doc_id),
+ordered AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ordered WHERE rank <= 10"""
+
+NEAREST_VECTORS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS p FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.p, v.p)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.p) = len(v.p) WHERE q.vec_id % 100 = 0),
+ordered AS (
+  SELECT query_id, vec_id, score,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ordered WHERE rank <= 10"""
+
+# The sum of polynomial division by the reversed CRC-32 polynomial, byte after byte.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END)))"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, k, length(text)::BIGINT AS size,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS place FROM turns),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS family, {_CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, o.place, o.k, o.size FROM convs c JOIN own o ON o.conv_id = c.family AND o.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.place, o.k, o.size FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.place > c.h),
+prefixes AS (
+  SELECT conv_id, size, row_number() OVER w AS depth, string_agg(k, '') OVER w AS p
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+members AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ended FROM prefixes),
+nodes AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    CASE WHEN depth > 0 THEN left(p, length(p) - 32) END AS parent,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '') AS ids
+  FROM members GROUP BY p, depth),
+children AS (SELECT parent AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+above AS (SELECT left(p, 32 * unnest(range(depth + 1))) AS p, saved, n_children = 0 AS leaf FROM counted),
+sums AS (SELECT p, sum(saved) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves FROM above GROUP BY p)
+SELECT c.conv_id, c.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs,
+  c.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+  sha256(c.ids) AS ends_sha256
+FROM counted c JOIN sums s USING (p) LEFT JOIN nodes up ON up.p = c.parent"""

@@ -8,8 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import bpe_automaton, decontamination, extraction, jaccard, licenses, quality, suffix_dedup, token_files, toxicity, urls
-from fieldbook.llm.oracles import BENCHMARK_OVERLAP, REPEATED_BYTES, SHINGLE_JOIN
+from fieldbook.llm import (
+    bpe_automaton,
+    conversation_trie,
+    decontamination,
+    extraction,
+    jaccard,
+    kdtree,
+    lexical,
+    licenses,
+    quality,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    urls,
+)
+from fieldbook.llm.oracles import (
+    BENCHMARK_OVERLAP,
+    CONVERSATION_TRIE,
+    NEAREST_VECTORS,
+    RANKED_SEARCH,
+    REPEATED_BYTES,
+    SHINGLE_JOIN,
+)
 from fieldbook.llm.store import kept, table
 
 
@@ -101,6 +122,18 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_quality_rules": quality_rules,
@@ -112,6 +145,9 @@ QUERIES = {
     "op8_shingle_join": shingle_join,
     "op9_benchmark_overlap": benchmark_overlap,
     "op10_toxicity_scores": toxicity_scores,
+    "op11_max_sketch_search": ranked_search,
+    "op12_kd_tree_search": nearest_vectors,
+    "op13_conversation_trie": conversation_prefixes,
 }
 
 # Aliases are followed by recursion: every address reaches every other of its component.
@@ -119,6 +155,9 @@ ORACLES: dict[str, str] = {
     "op6_repeated_bytes": REPEATED_BYTES,
     "op8_shingle_join": SHINGLE_JOIN,
     "op9_benchmark_overlap": BENCHMARK_OVERLAP,
+    "op11_max_sketch_search": RANKED_SEARCH,
+    "op12_kd_tree_search": NEAREST_VECTORS,
+    "op13_conversation_trie": CONVERSATION_TRIE,
     "op4_url_filter": r"""
 WITH RECURSIVE rules(verdict, host, path) AS (
   VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
