@@ -5,6 +5,7 @@ from .numeric import (
     bias_direction,
     duration_in_years,
     is_finite,
+    ordered_bits,
     percent_below,
     percent_of,
     position_in,
@@ -36,6 +37,7 @@ __all__ = [
     "key_hash",
     "label_for",
     "normalized_code",
+    "ordered_bits",
     "parse_number",
     "percent_below",
     "percent_of",

@@ -23,6 +23,30 @@ def is_finite(value: Column | str) -> Column:
     return F.coalesce(F.abs(_column(value)) < F.lit(float("inf")), F.lit(False))
 
 
+def ordered_bits(value: Column | str) -> Column:
+    """The bits of a double as a long that grows with it; null for null and NaN.
+
+    Put together from exponent and mantissa, which powers of two scale without rounding.
+    Zeros of either sign are 0, and a negative number has the negated bits of its size.
+    """
+    number = _column(value).cast("double")
+    size = F.abs(number)
+    near = F.floor(F.log2(size)).cast("int")
+    exponent = near + F.when(F.pow(F.lit(2.0), near + 1) <= size, 1).when(
+        F.pow(F.lit(2.0), near) > size, -1
+    ).otherwise(0)
+    unit = F.lit(1 << 52).cast("long")
+    # Below the least normal double the bits are the multiple of the least subnormal one.
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    mantissa = (size / F.pow(F.lit(2.0), exponent) * F.lit(2.0**52)).cast("long")
+    bits = (
+        F.when(size == float("inf"), unit * 2047)
+        .when(size < F.lit(2.0**-1022), tiny)
+        .otherwise((exponent + 1022).cast("long") * unit + mantissa)
+    )
+    return F.when(~F.isnan(number), F.when(number < 0, -bits).otherwise(bits))
+
+
 def duration_in_years(years: Column | str, months: Column | str) -> Column:
     """Years plus months as a fraction of twelve; null if either part is null."""
     return _column(years) + _column(months) / F.lit(12.0)

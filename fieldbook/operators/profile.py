@@ -14,12 +14,6 @@ from .quantiles import DEFAULT_ACCURACY, exact_column_quantiles, quantiles
 PROFILE_QUANTILES: Mapping[str, float] = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 
 
-def _stacked_numbers(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(variable, value)``: every column stacked, in one scan of the frame."""
-    numbers = frame.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    return numbers.unpivot([], list(columns), "variable", "value")
-
-
 def _stacked_categories(
     frame: DataFrame, columns: Sequence[str], kept: Sequence[str] = ()
 ) -> DataFrame:
@@ -78,23 +72,31 @@ def numeric_profile(
 ) -> DataFrame:
     """n, mean, median, sample deviation, extremes and P25/P75/P95 of each column.
 
-    All the columns are profiled together, in the order given.
+    All the columns are profiled side by side in one aggregate, in the order given.
     """
-    stacked = _stacked_numbers(frame, columns)
-    measures = {
-        "n": F.count("value"),
-        "mean": F.avg("value"),
-        "std": F.stddev_samp("value"),
-        "min": F.min("value"),
-        "max": F.max("value"),
-    }
+    numbers = frame.select(*[F.col(name).cast("double").alias(f"__v{i}") for i, name in enumerate(columns)])
+    measures = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if not exact:
+        shares = F.array(*[F.lit(p) for p in PROFILE_QUANTILES.values()])
+        measures["quantiles"] = lambda v: F.percentile_approx(
+            F.when(~F.isnan(v), F.col(v)), shares, F.lit(accuracy)
+        )
+    totals = numbers.agg(
+        F.count("*").alias("__rows"),
+        *[build(f"__v{i}").alias(f"{name}__{i}") for i in range(len(columns)) for name, build in measures.items()],
+    )
+    lines = [
+        F.struct(F.lit(column).alias("variable"), *[F.col(f"{name}__{i}").alias(name) for name in measures])
+        for i, column in enumerate(columns)
+    ]
+    # A frame without rows has no profile.
+    table = totals.filter("__rows > 0").select(F.inline(F.array(*lines)))
     if exact:
-        plain = [column.alias(name) for name, column in measures.items()]
         ranks = exact_column_quantiles(frame, columns, PROFILE_QUANTILES, accuracy)
-        table = stacked.groupBy("variable").agg(*plain).join(ranks, "variable", "left")
+        table = table.join(ranks, "variable", "left")
     else:
-        table = _summary(
-            stacked, "value", ["variable"], measures, PROFILE_QUANTILES, exact, accuracy
+        table = table.select(
+            "*", *[F.col("quantiles")[i].alias(name) for i, name in enumerate(PROFILE_QUANTILES)]
         )
     shown = ["variable", "n", "mean", "median", "std", "min", "p25", "p75", "p95", "max"]
     return table.orderBy(position_in("variable", columns)).select(*shown)

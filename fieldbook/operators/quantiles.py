@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 from fractions import Fraction
 from functools import reduce
@@ -11,9 +11,13 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .small import local_frame, settled
+from fieldbook.functions import ordered_bits
+
+from .small import holding, local_frame, settled
 
 DEFAULT_ACCURACY = 10_000
+#: Bits of a double that one round of a selection settles, so 4096 buckets at most.
+RADIX_BITS = 12
 
 
 def quantiles(
@@ -68,11 +72,11 @@ def exact_quantiles(
        whether or not the sketch was accurate; a rank among the ties of a cut is
        answered by it;
     3. for the other ranks, only the rows strictly between two cuts (about
-       ``2 / accuracy`` of a group) are counted by value and walked in order.
+       ``2 / accuracy`` of a group) are looked at, by :func:`_selected`.
 
-    Passes 1 and 2 keep fixed-size state per group and combine map-side.  The input is
-    scanned up to three times: hand in a narrow or stored frame when it is costly.  Cuts
-    of groups are kept and joined as their measured size suggests.
+    All passes keep counts of fixed number per group and combine map-side; no rows are
+    ordered.  The input is scanned up to three times: hand in a narrow or stored frame when
+    it is costly.  Cuts of groups are kept and joined as their measured size suggests.
     """
     if not by:
         row = exact_column_quantiles(frame, [value], probs, accuracy)
@@ -106,7 +110,8 @@ def exact_quantiles(
 
     tagged = _beside(values, unsettled, by)
     hits = [_hit(F.col("__v"), F.col(f"__at_{i}"), name) for i, name in enumerate(probs)]
-    found = _walk(tagged.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("h")), by)
+    near = tagged.select(*by, F.explode(F.array_compact(F.array(*hits))).alias("h"))
+    found = _selected(near, by)
     reached = found.groupBy(*by).agg(
         *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in probs]
     )
@@ -127,6 +132,50 @@ def exact_column_quantiles(
     next pass as literals: no join, and range filters that reach the scan.  The last
     pass is skipped when ties settle every rank.
     """
+    answers = _column_statistics(
+        frame, columns, probs, {name: _rank_of(prob) for name, prob in probs.items()}, accuracy
+    )
+    rows = [(name, *[answers.get((name, p)) for p in probs]) for name in columns]
+    schema = "variable string, " + ", ".join(f"`{p}` double" for p in probs)
+    return local_frame(frame.sparkSession, rows, schema)
+
+
+def interpolated_quantile(
+    frame: DataFrame, value: str, prob: float, accuracy: int = DEFAULT_ACCURACY
+) -> float | None:
+    """The quantile between its two neighbouring values, in proportion; None without values.
+
+    Of n values it stands at ``prob * (n - 1)``, counted from 0.  Both neighbours are exact
+    order statistics, so no group of values is held anywhere.
+    """
+    share = Fraction(str(prob))
+    ranks = {
+        "lower": lambda n: (share * (n - 1)).__floor__() + 1,
+        "upper": lambda n: min(n, (share * (n - 1)).__floor__() + 2),
+    }
+    found = _column_statistics(frame, [value], dict.fromkeys(ranks, prob), ranks, accuracy)
+    if not found:
+        return None
+    place = share * (found[value, ""] - 1)
+    weight = float(place - place.__floor__())
+    return found[value, "lower"] * (1.0 - weight) + found[value, "upper"] * weight
+
+
+def _rank_of(prob: float) -> Callable[[int], int]:
+    return lambda total: max(1, ceil(Fraction(str(prob)) * total))
+
+
+def _column_statistics(
+    frame: DataFrame,
+    columns: Sequence[str],
+    probs: Mapping[str, float],
+    ranks: Mapping[str, Callable[[int], int]],
+    accuracy: int,
+) -> dict[tuple[str, str], float]:
+    """The value at each rank of each column by (column, name), and its count by (column, "").
+
+    `probs` says where each rank is expected, `ranks` what it is, given the count.
+    """
     numbers = frame.select(*[_number(name).alias(name) for name in columns])
     grid = _grid(probs, accuracy)
     sketches = numbers.agg(*[_sketch(grid, accuracy, name).alias(name) for name in columns])
@@ -146,10 +195,11 @@ def exact_column_quantiles(
     hits, bounds = [], []
     for name in columns:
         total = counts[f"{name}__n"]
-        for prob_name, prob in probs.items():
-            if not total:
-                continue
-            rank = max(1, ceil(Fraction(str(prob)) * total))
+        if not total:
+            continue
+        answers[name, ""] = total
+        for prob_name in probs:
+            rank = ranks[prob_name](total)
             low, high, skipped = None, None, 0
             for i, cut in enumerate(cuts[name]):
                 if counts[f"{name}__{i}_upto"] < rank:
@@ -171,12 +221,11 @@ def exact_column_quantiles(
                 bounds.append(_between(F.col(name), at))
     if hits:
         near = numbers.filter(reduce(lambda a, b: a | b, bounds))
-        walked = _walk(near.select(F.explode(F.array_compact(F.array(*hits))).alias("h")), [])
-        for row in walked.collect():
-            answers[tuple(row["__name"].split("\t"))] = row["__v"]
-    rows = [(name, *[answers.get((name, p)) for p in probs]) for name in columns]
-    schema = "variable string, " + ", ".join(f"`{p}` double" for p in probs)
-    return local_frame(frame.sparkSession, rows, schema)
+        with holding():
+            found = _selected(near.select(F.explode(F.array_compact(F.array(*hits))).alias("h")), [])
+            for row in found.collect():
+                answers[tuple(row["__name"].split("\t"))] = row["__v"]
+    return answers
 
 
 def _number(name: str) -> Column:
@@ -262,19 +311,62 @@ def _hit(value: Column, at: Column, name: str) -> Column:
     )
 
 
-def _walk(hits: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The value at each rank: values counted first, then summed in order."""
-    near = hits.groupBy(
-        *by,
-        F.col("h.name").alias("__name"),
-        F.col("h.rank").alias("__rank"),
-        F.col("h.v").alias("__v"),
-    ).agg(F.count("*").alias("__c"))
-    order = (
-        Window.partitionBy(*by, "__name")
-        .orderBy("__v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _selected(hits: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``(*by, __name, __v)``: the value at each wanted rank, by radix refinement.
+
+    The values that may hold a rank are counted in at most 4096 buckets, by the leading bits
+    in which the least and the greatest of them differ.  The bucket that holds the rank is
+    all that the next round looks at; six rounds settle every bit, a bucket of one value sooner.
+    Rows are only counted; what is put in order are the buckets of a rank.
+    """
+    names = [*by, "__name"]
+    near = settled(
+        hits.groupBy(
+            *by,
+            F.col("h.name").alias("__name"),
+            F.col("h.rank").alias("__rank"),
+            F.col("h.v").alias("__v"),
+        ).agg(F.count("*").alias("__c"))
+    )
+    within = settled(
+        near.groupBy(*names).agg(
+            F.max("__rank").alias("__rank"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
+        )
     )
-    return near.withColumn("__upto", F.sum("__c").over(order)).filter(
-        (F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__c") < F.col("__rank"))
+    settled_bits = ordered_bits("__low").bitwiseXOR(ordered_bits("__high"))
+    shift = F.greatest(F.lit(0), F.length(F.bin(settled_bits)) - RADIX_BITS)
+    upto = (
+        Window.partitionBy(*names)
+        .orderBy("__bucket")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    answers = within.filter("__low = __high").select(*names, F.col("__low").alias("__v"))
+    todo = within.filter("__low < __high")
+    while not todo.isEmpty():
+        inside = _beside(near.drop("__rank"), todo, names).filter(
+            (F.col("__v") >= F.col("__low")) & (F.col("__v") <= F.col("__high"))
+        )
+        buckets = (
+            inside.withColumn(
+                "__bucket", F.call_function("shiftright", ordered_bits("__v"), shift)
+            )
+            .groupBy(*names, "__bucket")
+            .agg(
+                F.sum("__c").alias("__c"),
+                F.max("__rank").alias("__rank"),
+                F.min("__v").alias("__low"),
+                F.max("__v").alias("__high"),
+            )
+            .withColumn("__upto", F.sum("__c").over(upto))
+        )
+        before = F.col("__upto") - F.col("__c")
+        within = settled(
+            buckets.filter((F.col("__upto") >= F.col("__rank")) & (before < F.col("__rank"))).select(
+                *names, (F.col("__rank") - before).alias("__rank"), "__low", "__high"
+            )
+        )
+        answers = answers.unionByName(
+            within.filter("__low = __high").select(*names, F.col("__low").alias("__v"))
+        )
+        todo = within.filter("__low < __high")
+    return answers

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 
 import numpy as np
 import pytest
@@ -9,13 +10,16 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fieldbook.operators import association, profile, sampling
+from fieldbook.functions import ordered_bits
+from fieldbook.operators import association, profile, sampling, sketches
 from fieldbook.operators.histogram import histogram, log_histogram
 from fieldbook.operators.quantiles import (
     approx_quantiles,
     exact_column_quantiles,
     exact_quantiles,
+    interpolated_quantile,
 )
+from fieldbook.operators.small import holding, settled
 
 PROBS = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p95": 0.95, "p100": 1.0}
 
@@ -208,3 +212,83 @@ def test_grouped_quantiles_take_any_probability(spark, prob):
         share = Fraction(str(prob))
         rank = max(1, math.ceil(share * len(own)))
         assert found[g] == sorted(own)[rank - 1]
+
+
+def test_ordered_bits_are_those_of_the_double(spark):
+    rng = random.Random(2)
+    values = [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(3_000)]
+    values += [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, -5e-324, 2.0**-1022, 1.7976931348623157e308]
+    values += [2.0**k for k in range(-1074, 1024, 7)] + [2.0**k * (1 - 2**-53) for k in range(-1021, 1024, 7)]
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for row in frame.select("v", ordered_bits("v").alias("bits")).collect():
+        if row["v"] is None or math.isnan(row["v"]):
+            assert row["bits"] is None
+        else:
+            size = struct.unpack("q", struct.pack("d", abs(row["v"])))[0]
+            assert row["bits"] == (-size if row["v"] < 0 else size)
+
+
+def test_selection_takes_any_doubles_and_orders_no_rows(spark):
+    rng = random.Random(4)
+    values = [rng.choice((-1, 1)) * 10.0 ** rng.uniform(-300, 300) for _ in range(4_000)] + [math.inf, -math.inf, 0.0, -0.0]
+    frame = spark.createDataFrame([(k % 3, v) for k, v in enumerate(values)], "g int, v double").repartition(5)
+    found = exact_quantiles(frame, "v", PROBS, ["g"], accuracy=10)
+    for row in found.collect():
+        own = [v for k, v in enumerate(values) if k % 3 == row["g"]]
+        for name, prob in PROBS.items():
+            assert row[name] == brute(own, prob)
+    plan = found._jdf.queryExecution().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line and "windowspec" in line.lower()]
+    assert all("__bucket" in line for line in windows)
+
+
+@pytest.mark.parametrize("prob", [0.0, 0.1, 1 / 3, 0.9, 1.0])
+def test_interpolated_quantiles_equal_numpy(spark, prob):
+    rng = np.random.default_rng(8)
+    for data in (rng.lognormal(2, 3, 1_001), rng.integers(0, 5, 400).astype(float), np.array([7.5])):
+        frame = spark.createDataFrame([(float(v),) for v in data] + [(None,), (math.nan,)], "v double")
+        assert interpolated_quantile(frame, "v", prob) == pytest.approx(np.quantile(data, prob), rel=1e-12)
+    assert interpolated_quantile(frame.limit(0), "v", prob) is None
+
+
+def test_settled_frames_are_released_with_their_block(spark):
+    with holding():
+        inner = settled(spark.range(3))
+        assert inner.is_cached
+    assert not inner.is_cached
+
+
+def test_sketches_merge_over_periods_within_their_rank_error(spark):
+    rng = random.Random(3)
+    rows = [(f"p{k % 4}", rng.gauss(0, 1) * 10 ** (k % 4), float(k % 7)) for k in range(40_000)]
+    rows += [("p9", None, math.nan), ("p9", math.nan, None), ("p0", None, 1.0)]
+    frame = spark.createDataFrame(rows, "period string, a double, b double").repartition(13)
+    parts = sketches.quantile_sketches(frame, ["a", "b"], ["period"], salts=3)
+    assert {(r["period"], r["variable"]): r["n"] for r in parts.collect()} == {
+        **{(f"p{k}", "a"): 10_000 for k in range(4)}, **{(f"p{k}", "b"): 10_000 + (k == 0) for k in range(4)}
+    }
+    chosen = parts.filter("period IN ('p1', 'p3')")
+    for by, groups in ((["period"], ["p1", "p3"]), ([], [None])):
+        found = sketches.sketched_quantiles(sketches.merged_sketches(chosen, by), PROBS, by).collect()
+        assert len(found) == 2 * len(groups)
+        for row in found:
+            period = row["period"] if by else None
+            own = sorted(
+                r[1 if row["variable"] == "a" else 2] for r in rows
+                if r[0] in ("p1", "p3") and period in (None, r[0])
+            )
+            assert row["n"] == len(own)
+            for name, prob in PROBS.items():
+                below, upto = np.searchsorted(own, row[name]), np.searchsorted(own, row[name], "right")
+                assert sketches.rank_error(prob, below, upto, len(own)) <= 0.005
+    shares = sketches.sketched_ranks(sketches.merged_sketches(parts), [3.0]).collect()
+    by_variable = {r["variable"]: r["share"] for r in shares}
+    assert by_variable["b"] == pytest.approx(4 / 7, abs=0.005)
+    checked = sketches.true_ranks(frame, {("b", "x"): 3.0})
+    assert checked["b", "x"] == (sum(r[2] < 3 for r in rows if r[2] is not None), sum(r[2] <= 3 for r in rows if r[2] is not None), 40_001)
+
+
+def test_sketches_of_nothing(spark):
+    empty = spark.createDataFrame([], "period string, a double")
+    assert sketches.quantile_sketches(empty, ["a"], ["period"]).count() == 0
+    assert sketches.quantile_sketches(empty, ["a"]).count() == 0
