@@ -150,6 +150,59 @@ def error_by_group(
     ).orderBy("model", *rank, "grp")
 
 
+def errors_by_dimensions(
+    predictions: DataFrame,
+    dimensions: Mapping[str, str],
+    label: str,
+    models: Mapping[str, str],
+) -> DataFrame:
+    """``(dimension, model, grp, n, mae, mean_error, mean_actual, direction)`` in one scan.
+
+    Rows are first added up by all the dimensions together; grouping sets then work on these
+    sums, a row per combination of groups, and not on copies of the rows.
+    """
+    actual = F.col(label)
+    sums = {
+        "errors": lambda p: F.sum(F.abs(residual(actual, p))),
+        "bias": lambda p: F.sum(residual(actual, p)),
+        "scored": lambda p: F.count(residual(actual, p)),
+    }
+    groups = [f"__g{i}" for i in range(len(dimensions))]
+    named = [
+        F.col(column).cast("string").alias(g) for g, column in zip(groups, dimensions.values())
+    ]
+    cells = predictions.groupBy(*named).agg(
+        F.count("*").alias("n"),
+        F.sum(actual).alias("__actual"),
+        F.count(actual).alias("__known"),
+        *_per_model(models, sums),
+    )
+    added = ["n", "__actual", "__known", *[f"{s}__{i}" for i in range(len(models)) for s in sums]]
+    sets = cells.groupingSets([[F.col(g)] for g in groups], *[F.col(g) for g in groups]).agg(
+        F.grouping_id(*groups).alias("__set"), *[F.sum(name).alias(name) for name in added]
+    )
+    # One bit per dimension, the first one leading; the bit of the grouped one is 0.
+    everything = (1 << len(groups)) - 1
+    which, group = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (name, g) in enumerate(zip(dimensions, groups)):
+        here = F.col("__set") == everything - (1 << (len(groups) - 1 - i))
+        which = F.when(here, F.lit(name)).otherwise(which)
+        group = F.when(here, F.col(g)).otherwise(group)
+    placed = sets.select(which.alias("dimension"), group.alias("grp"), *added)
+    table = _unfold(placed, ["dimension", "grp", *added[:3]], models, list(sums))
+    mean_error = F.try_divide("bias", "scored")
+    return table.select(
+        "dimension",
+        "model",
+        "grp",
+        "n",
+        F.try_divide("errors", "scored").alias("mae"),
+        mean_error.alias("mean_error"),
+        F.try_divide("__actual", "__known").alias("mean_actual"),
+        bias_direction(mean_error).alias("direction"),
+    )
+
+
 def band_cuts(
     frame: DataFrame,
     value: str,

@@ -6,12 +6,15 @@ The inputs are result tables: one row per model, or per model and group.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.functions import percent_below
 
+from .quantiles import interpolated_quantile
+
 # Readings of an extreme group that does not exist.
 NO_UNDERESTIMATE = "no_group_underestimated"
 NO_OVERESTIMATE = "no_group_overestimated"
@@ -43,16 +46,19 @@ def best_models(metrics: DataFrame, baseline: str) -> DataFrame:
 
 def baseline_gain(metrics: DataFrame, baseline: str) -> DataFrame:
     """RMSE improvement over the baseline, in percent, for every model."""
-    reference = metrics.filter(F.col("model") == baseline).select(
-        F.col("rmse").alias("baseline_rmse")
-    )
     return metrics.select(
         "model",
         "rmse",
-        percent_below("rmse", reference.scalar()).alias("rmse_gain_pct"),
+        percent_below("rmse", _baseline_rmse(baseline)).alias("rmse_gain_pct"),
     ).orderBy("rmse", "model")
 
 
+def _baseline_rmse(baseline: str) -> Column:
+    """The baseline's RMSE beside every row of a metric table, which is one row per model."""
+    models = Window.partitionBy(F.lit(0))
+    return F.max(F.when(F.col("model") == baseline, F.col("rmse"))).over(models)
+
+
 def validation_to_test(validation: DataFrame, test: DataFrame, baseline: str) -> DataFrame:
     """Test metrics beside validation metrics, with gain and RMSE change.
 
@@ -61,12 +67,11 @@ def validation_to_test(validation: DataFrame, test: DataFrame, baseline: str) ->
     earlier = validation.select(
         "model", *[F.col(name).alias(f"{name}_validation") for name in ("mae", "rmse", "r2")]
     )
-    reference = test.filter(F.col("model") == baseline).select(F.col("rmse")).scalar()
     return (
         test.join(earlier, "model", "left")
         .withColumns(
             {
-                "rmse_gain_pct": percent_below("rmse", reference),
+                "rmse_gain_pct": percent_below("rmse", _baseline_rmse(baseline)),
                 "rmse_change": F.col("rmse") - F.col("rmse_validation"),
             }
         )
@@ -179,15 +184,20 @@ def overall_extremes(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     ``tables`` maps a dimension name to a table with ``model, grp, n, mae``.
     """
-    stacked = None
-    for dimension, table in tables.items():
-        part = table.select(F.lit(dimension).alias("dimension"), "model", "grp", "n", "mae")
-        stacked = part if stacked is None else stacked.unionByName(part)
+    parts = [
+        table.select(F.lit(dimension).alias("dimension"), "model", "grp", "n", "mae")
+        for dimension, table in tables.items()
+    ]
+    return extremes_by_dimension(reduce(DataFrame.unionByName, parts))
+
+
+def extremes_by_dimension(errors: DataFrame) -> DataFrame:
+    """The largest MAE of each dimension of one table, with its model and group."""
     entry = F.struct("model", "grp", "n", "mae")
     order = F.when(
         F.col("mae").isNotNull(), F.struct(-F.col("mae"), F.col("model"), F.col("grp"))
     )
-    worst = stacked.groupBy("dimension").agg(F.min_by(entry, order).alias("__w"))
+    worst = errors.groupBy("dimension").agg(F.min_by(entry, order).alias("__w"))
     return worst.select("dimension", "__w.*").orderBy("dimension")
 
 
@@ -199,22 +209,35 @@ def sample_tail_residual(
     Meant for a bounded sample: ``percentile`` keeps the distinct values of the label.
     """
     cut = sample.agg(F.percentile(label, F.lit(prob)).alias("cut")).first()["cut"]
-    actual = F.col(label)
-    tail = actual >= F.lit(cut)
-    totals = sample.agg(
+    return _tail_residual(sample, label, models, cut)
+
+
+def tail_residual(
+    predictions: DataFrame, label: str, models: Mapping[str, str], prob: float = 0.9
+) -> DataFrame:
+    """The same over all rows: the quantile lies between two exact order statistics."""
+    return _tail_residual(predictions, label, models, interpolated_quantile(predictions, label, prob))
+
+
+def _tail_residual(
+    frame: DataFrame, label: str, models: Mapping[str, str], cut: float | None
+) -> DataFrame:
+    """One aggregate of all models; a null cut (no values) leaves the tail empty."""
+    actual, start = F.col(label), F.lit(cut).cast("double")
+    totals = frame.agg(
         *[
             column.alias(f"{name}__{i}")
             for i, prediction in enumerate(models.values())
             for name, column in (
                 ("mean_residual", F.avg(actual - F.col(prediction))),
-                ("tail_mean_residual", F.avg(F.when(tail, actual - F.col(prediction)))),
+                ("tail_mean_residual", F.avg(F.when(actual >= start, actual - F.col(prediction)))),
             )
         ]
     )
     lines = [
         F.struct(
             F.lit(model).alias("model"),
-            F.lit(cut).alias("tail_from"),
+            start.alias("tail_from"),
             F.col(f"mean_residual__{i}").alias("mean_residual"),
             F.col(f"tail_mean_residual__{i}").alias("tail_mean_residual"),
         )
