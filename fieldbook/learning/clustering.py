@@ -1,26 +1,33 @@
-"""Standardised k-means: search over feature sets and k, and cluster profiles."""
+"""Standardised k-means: search over feature sets and k, and cluster profiles.
+
+All candidates of a search advance together: a pass over the rows is one aggregate that adds
+up the clusters of every candidate that still moves.  Seeds are drawn by key hash, so the
+clusters follow from the records and not from how they are partitioned.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.functions import percent_of, relation_text
+from fieldbook.functions import is_finite, percent_of, relation_text
 from fieldbook.operators.quantiles import DEFAULT_ACCURACY
 from fieldbook.operators.small import local_frame
 
-from .layout import PARTITIONS, in_stable_order, kept_for_iteration
+from .layout import kept_for_iteration, key_uniform
 
 CLUSTER = "cluster"
 SCALED = "scaled_features"
+# Passes over the rows at most, and how far a centre moves when it is done.
+ITERATIONS, TOLERANCE = 50, 1e-4
 
 
 @dataclass(frozen=True)
@@ -45,10 +52,6 @@ def _scaling(features: Sequence[str]) -> Pipeline:
     )
 
 
-def _kmeans(k: int, seed: int) -> KMeans:
-    return KMeans(featuresCol=SCALED, predictionCol=CLUSTER, k=k, seed=seed, maxIter=50)
-
-
 def standardized(frame: DataFrame, features: Sequence[str]) -> DataFrame:
     """Replace the features by their z-scores (sample deviation); other columns stay."""
     values = vector_to_array(F.col(SCALED))
@@ -77,13 +80,197 @@ def silhouette(frame: DataFrame, features: Sequence[str], cluster: str) -> float
     return _evaluator(cluster).evaluate(grouped)
 
 
-def _placed(
-    frame: DataFrame, features: Sequence[str], keys: Sequence[str], partitions: int
-) -> DataFrame:
-    """The features, by key (or by their values) in fixed partitions and order."""
-    own = [k for k in keys if k not in features]
-    ordered = in_stable_order(frame.select(*own, *features), keys or features, partitions)
-    return ordered.select(*features)
+@dataclass(frozen=True)
+class _Points:
+    """Rows with standardised columns, and each feature's column, mean and deviation."""
+
+    rows: DataFrame
+    columns: Mapping[str, str]
+    moments: Mapping[str, tuple[float, float]]
+
+
+Centre = tuple[float, ...]
+
+
+def _points(frame: DataFrame, features: Sequence[str], keys: Sequence[str], seeds: int, seed: int) -> _Points:
+    """z-scores (sample deviation) of all the features, and a uniform number per seed to draw.
+
+    A feature that does not vary is 0 everywhere; one that is null or infinite is an error.
+    """
+    numbers = {name: F.col(name).cast("double") for name in features}
+    row = frame.agg(
+        F.count_if(~_all([is_finite(c) for c in numbers.values()])).alias("bad"),
+        *[f(c).alias(f"{part}_{i}") for i, c in enumerate(numbers.values()) for part, f in (("m", F.avg), ("s", F.stddev_samp))],
+    ).first()
+    if row["bad"]:
+        raise ValueError(f"{row['bad']} rows have a feature that is null or not finite")
+    moments = {
+        name: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 0.0) for i, name in enumerate(features)
+    }
+    columns = {name: f"__z{i}" for i, name in enumerate(features)}
+    scaled = [
+        ((c - F.lit(moments[name][0])) / F.lit(moments[name][1]) if moments[name][1] else F.lit(0.0)).alias(columns[name])
+        for name, c in numbers.items()
+    ]
+    drawn = [key_uniform(keys or features, seed, i).alias(f"__u{i}") for i in range(seeds)]
+    return _Points(frame.select(*scaled, *drawn), columns, moments)
+
+
+def _all(tests: Sequence[Column]) -> Column:
+    whole = F.lit(True)
+    for test in tests:
+        whole = whole & test
+    return whole
+
+
+def _distance(columns: Sequence[str], centre: Centre) -> Column:
+    """Squared distance."""
+    total = F.lit(0.0)
+    for name, value in zip(columns, centre):
+        total = total + (F.col(name) - F.lit(value)) * (F.col(name) - F.lit(value))
+    return total
+
+
+def _nearest(distances: Sequence[Column]) -> Column:
+    """The number of the least distance, the first among equals."""
+    if len(distances) == 1:
+        return F.lit(0)
+    least, found = F.least(*distances), F.lit(len(distances) - 1)
+    for i in reversed(range(len(distances) - 1)):
+        found = F.when(distances[i] <= least, i).otherwise(found)
+    return found
+
+
+def _seeds(points: _Points, sets: Mapping[str, Sequence[str]], count: int) -> dict[str, list[Centre]]:
+    """k-means++ seeds of every feature set, a pass per seed for all the sets together.
+
+    The row of the least -ln(u) / d is drawn with a chance in proportion to d, its squared
+    distance to the seeds so far.  Fewer come out where fewer points differ.
+    """
+    chosen: dict[str, list[Centre]] = {name: [] for name in sets}
+    for draw in range(count):
+        found = []
+        for i, (name, columns) in enumerate(sets.items()):
+            hurry = -F.log(F.lit(1.0) - F.col(f"__u{draw}"))
+            if draw:
+                far = [_distance(columns, c) for c in chosen[name]]
+                far = F.least(*far) if len(far) > 1 else far[0]
+                hurry = F.when(far > 0, hurry / far)
+            point = F.struct(*columns)
+            order = F.struct(hurry.alias("hurry"), point.alias("point"))
+            found.append(F.min_by(point, F.when(hurry.isNotNull(), order)).alias(f"s{i}"))
+        row = points.rows.agg(*found).first()
+        for i, name in enumerate(sets):
+            if row[f"s{i}"] is not None:
+                chosen[name].append(tuple(row[f"s{i}"]))
+        if not all(chosen.values()):
+            raise ValueError("there are no rows to cluster")
+    return chosen
+
+
+@dataclass
+class _Candidate:
+    """Centres of one feature set and k, and what their clusters add up to."""
+
+    columns: Sequence[str]
+    centres: list[Centre]
+    moving: bool = True
+
+    def cluster(self) -> Column:
+        return _nearest([_distance(self.columns, c) for c in self.centres])
+
+    def sums(self, number: int) -> list[Column]:
+        assigned = F.col(f"__c{number}")
+        return [
+            total.alias(f"c{number}_{j}_{part}")
+            for j in range(len(self.centres))
+            for part, total in [
+                ("n", F.count_if(assigned == j)),
+                *[(f"x{i}", F.sum(F.when(assigned == j, F.col(c)))) for i, c in enumerate(self.columns)],
+            ]
+        ]
+
+    def move(self, number: int, row) -> None:
+        """To the means of the clusters; an empty one stays where it is."""
+        before = self.centres
+        self.centres = [
+            tuple(row[f"c{number}_{j}_x{i}"] / row[f"c{number}_{j}_n"] for i in range(len(self.columns)))
+            if row[f"c{number}_{j}_n"]
+            else centre
+            for j, centre in enumerate(before)
+        ]
+        self.moving = any(math.dist(a, b) > TOLERANCE for a, b in zip(before, self.centres))
+
+
+def _with_clusters(points: _Points, candidates: Sequence[_Candidate]) -> DataFrame:
+    """The cluster of each candidate as a column."""
+    return points.rows.select("*", *[c.cluster().alias(f"__c{i}") for i, c in enumerate(candidates)])
+
+
+def _settle(points: _Points, candidates: Sequence[_Candidate]) -> None:
+    """Move all centres until none moves any more."""
+    for _ in range(ITERATIONS):
+        moving = [c for c in candidates if c.moving]
+        if not moving:
+            return
+        sums = [total for i, c in enumerate(moving) for total in c.sums(i)]
+        row = _with_clusters(points, moving).agg(*sums).first()
+        for i, c in enumerate(moving):
+            c.move(i, row)
+
+
+def _silhouettes(points: _Points, candidates: Sequence[_Candidate]) -> list[float | None]:
+    """Mean silhouette of every candidate: one pass of cluster sums, one of row silhouettes.
+
+    The mean squared distance of a row to a cluster follows from the cluster's number of rows,
+    sum and sum of squares.  A row alone in its cluster has 0; one cluster alone has no value.
+    """
+    clustered = _with_clusters(points, candidates)
+    squares = [
+        F.sum(F.when(F.col(f"__c{i}") == j, _distance(c.columns, (0.0,) * len(c.columns)))).alias(f"c{i}_{j}_q")
+        for i, c in enumerate(candidates)
+        for j in range(len(c.centres))
+    ]
+    row = clustered.agg(*[total for i, c in enumerate(candidates) for total in c.sums(i)], *squares).first()
+    means = []
+    for i, c in enumerate(candidates):
+        filled = [j for j in range(len(c.centres)) if row[f"c{i}_{j}_n"]]
+        own, apart, other = F.lit(None).cast("double"), {}, F.lit(None).cast("double")
+        for j in filled:
+            n = row[f"c{i}_{j}_n"]
+            # mean |z - x|^2 = |z|^2 + mean |x|^2 - 2 z . mean x = |z - mean x|^2 + spread.
+            mean = tuple(row[f"c{i}_{j}_x{f}"] / n for f in range(len(c.columns)))
+            spread = row[f"c{i}_{j}_q"] / n - sum(m * m for m in mean)
+            apart[j] = _distance(c.columns, mean) + F.lit(spread)
+        for j in filled:
+            n = row[f"c{i}_{j}_n"]
+            here = F.col(f"__c{i}") == j
+            rest = [apart[k] for k in filled if k != j]
+            own = F.when(here, apart[j] * F.lit(n / (n - 1)) if n > 1 else F.lit(-1.0)).otherwise(own)
+            if rest:
+                other = F.when(here, F.least(*rest) if len(rest) > 1 else rest[0]).otherwise(other)
+        alone = F.when(own < -0.5, 0.0)
+        value = alone.when(F.greatest(own, other) > 0, (other - own) / F.greatest(own, other)).otherwise(0.0)
+        means.append(F.avg(F.when(other.isNotNull(), value)).alias(f"s{i}"))
+    return list(clustered.agg(*means).first())
+
+
+def _model(points: _Points, features: Sequence[str], candidate: _Candidate) -> PipelineModel:
+    """Assigns rows with the plain features to the nearest centre."""
+    parts = []
+    for centre in candidate.centres:
+        terms = []
+        for name, value in zip(features, centre):
+            mean, deviation = points.moments[name]
+            if deviation:
+                terms.append(f"pow((CAST(`{name}` AS DOUBLE) - ({mean!r}D)) / {deviation!r}D - ({value!r}D), 2)")
+        parts.append(" + ".join(terms) or "0D")
+    cases = [
+        f"WHEN {' AND '.join(f'{part} <= {other}' for other in parts[j + 1 :])} THEN {j}"
+        for j, part in enumerate(parts[:-1])
+    ]
+    number = f"CASE {' '.join(cases)} ELSE {len(parts) - 1} END" if cases else "0"
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {number} AS {CLUSTER} FROM __THIS__")])
 
 
 def fit_clusters(
@@ -92,14 +279,9 @@ def fit_clusters(
     k: int,
     seed: int = 42,
     keys: Sequence[str] = (),
-    partitions: int = PARTITIONS,
 ) -> PipelineModel:
-    """Assemble, standardise and cluster rows placed by their keys."""
-    placed = _placed(frame, features, keys, partitions)
-    scaling = _scaling(features).fit(placed)
-    scaled = scaling.transform(placed).select(SCALED)
-    with kept_for_iteration(scaled) as vectors:
-        return PipelineModel([*scaling.stages, _kmeans(k, seed).fit(vectors)])
+    """Standardise and cluster; the model assigns rows with the same columns."""
+    return kmeans_search(frame, {"all": features}, (k,), seed, keys, measured=False).model
 
 
 def kmeans_search(
@@ -108,37 +290,39 @@ def kmeans_search(
     ks: Sequence[int] = (2, 3, 4, 5),
     seed: int = 42,
     keys: Sequence[str] = (),
-    partitions: int = PARTITIONS,
+    measured: bool = True,
 ) -> ClusterSearch:
     """Try every k on every feature set and rank by silhouette (squared Euclidean).
 
-    Each feature set is assembled and scaled once and its vectors are kept while k
-    varies.  ``best_of_set`` marks the best k of each set, since silhouettes of
-    different spaces are not strictly comparable.
+    The seeds of a smaller k are the first ones of a larger one.  ``best_of_set`` marks the
+    best k of each set, since silhouettes of different spaces are not strictly comparable.
+    Without keys, rows of equal features draw alike.
     """
-    evaluator = _evaluator(CLUSTER)
-    found: list[tuple[float, str, int]] = []
-    models: dict[tuple[str, int], PipelineModel] = {}
-    for name, features in feature_sets.items():
-        narrow = _placed(frame, features, keys, partitions)
-        scaling = _scaling(features).fit(narrow)
-        with kept_for_iteration(scaling.transform(narrow).select(SCALED)) as vectors:
-            for k in ks:
-                clusters = _kmeans(k, seed).fit(vectors)
-                found.append((evaluator.evaluate(clusters.transform(vectors)), name, k))
-                models[name, k] = PipelineModel([*scaling.stages, clusters])
-
-    found.sort(key=lambda entry: (-entry[0], entry[1], entry[2]))
+    every = list(dict.fromkeys(name for names in feature_sets.values() for name in names))
+    points = _points(frame, every, keys, max(ks), seed)
+    columns = {name: [points.columns[f] for f in names] for name, names in feature_sets.items()}
+    with kept_for_iteration(points.rows) as rows:
+        points = _Points(rows, points.columns, points.moments)
+        seeds = _seeds(points, columns, max(ks))
+        candidates = {
+            (name, k): _Candidate(columns[name], seeds[name][:k]) for name in feature_sets for k in ks
+        }
+        _settle(points, list(candidates.values()))
+        values = _silhouettes(points, list(candidates.values())) if measured else [0.0] * len(candidates)
+
+    found = [(value, name, k) for value, (name, k) in zip(values, candidates)]
+    found.sort(key=lambda entry: (entry[0] is None, -(entry[0] or 0.0), entry[1], entry[2]))
     leaders: dict[str, int] = {}
     for _, name, k in found:
         leaders.setdefault(name, k)
-    rows = [(name, k, value, leaders[name] == k) for value, name, k in found]
+    lines = [(name, k, value, leaders[name] == k) for value, name, k in found]
     silhouettes = local_frame(
         frame.sparkSession,
-        rows, "feature_set string, k int, silhouette double, best_of_set boolean"
+        lines, "feature_set string, k int, silhouette double, best_of_set boolean"
     )
     _, name, k = found[0]
-    return ClusterSearch(silhouettes, models[name, k], name, list(feature_sets[name]), k)
+    model = _model(points, feature_sets[name], candidates[name, k])
+    return ClusterSearch(silhouettes, model, name, list(feature_sets[name]), k)
 
 
 def cluster_profiles(

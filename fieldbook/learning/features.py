@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Bucketizer,
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    VectorAssembler,
+)
 from pyspark.sql import DataFrame
 
 FEATURES = "features"
@@ -32,20 +38,44 @@ class FeatureSpec:
     def predictors(self) -> list[str]:
         return [*self.numeric, *self.categorical]
 
-    def stages(self) -> list:
+    def stages(self, edges: Mapping[str, Sequence[float]] | None = None) -> list:
         """Index and one-hot encode the categories, then assemble one vector.
 
         All the columns are indexed by one stage, which is one job.  A category unseen
-        in training has a slot of its own; a null number is an error.
+        in training has a slot of its own; a null number is an error.  With `edges`, numbers
+        enter as the number of the bin that they fall into.
         """
         indexed = [f"{name}_idx" for name in self.categorical]
         encoded = [f"{name}_ohe" for name in self.categorical]
+        numbers, binning = list(self.numeric), []
+        if edges is not None and numbers:
+            numbers = [f"{name}_step" for name in self.numeric]
+            open_ends = (float("-inf"), float("inf"))
+            binning = [
+                Bucketizer(
+                    splitsArray=[
+                        # A column of one bin still needs an inner edge to be split at.
+                        [open_ends[0], *(edges[name] or [0.0]), open_ends[1]] for name in self.numeric
+                    ],
+                    inputCols=list(self.numeric),
+                    outputCols=[f"{name}_bin" for name in self.numeric],
+                    handleInvalid="error",
+                ),
+                # A bin's number marked as a category would be split by sets, not by order;
+                # a computed column has no mark.
+                SQLTransformer(
+                    statement="SELECT *, "
+                    + ", ".join(f"`{name}_bin` + 0D AS `{name}_step`" for name in self.numeric)
+                    + " FROM __THIS__"
+                ),
+            ]
         assembler = VectorAssembler(
-            inputCols=[*self.numeric, *encoded], outputCol=FEATURES, handleInvalid="error"
+            inputCols=[*numbers, *encoded], outputCol=FEATURES, handleInvalid="error"
         )
         if not self.categorical:
-            return [assembler]
+            return [*binning, assembler]
         return [
+            *binning,
             StringIndexer(
                 inputCols=list(self.categorical),
                 outputCols=indexed,
@@ -58,5 +88,7 @@ class FeatureSpec:
             assembler,
         ]
 
-    def fit(self, train: DataFrame) -> PipelineModel:
-        return Pipeline(stages=self.stages()).fit(train.select(*self.predictors))
+    def fit(
+        self, train: DataFrame, edges: Mapping[str, Sequence[float]] | None = None
+    ) -> PipelineModel:
+        return Pipeline(stages=self.stages(edges)).fit(train.select(*self.predictors))

@@ -1,28 +1,31 @@
-"""How training rows lie across the cluster while an algorithm iterates over them."""
+"""What fits share: rows kept while an algorithm iterates, and draws that follow a record's key."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-#: Partitions of training rows.  Fits depend on it, so it follows neither cores nor size;
-#: choose it once for a project, large enough that a partition of the largest data fits.
-PARTITIONS = 32
+from fieldbook.functions import key_hash
 
 
-def in_stable_order(
-    frame: DataFrame, keys: Sequence[str], partitions: int = PARTITIONS
-) -> DataFrame:
-    """Rows by hash of their keys in `partitions` partitions, in order within each.
+def key_uniform(
+    keys: Sequence[Column | str], seed: int, draw: int, algorithm: str = "xxhash64"
+) -> Column:
+    """A number in [0, 1) for a record and a numbered draw.
 
-    Tree sampling and cluster seeding depend on how rows are partitioned; rows placed so
-    give the same fit however they were stored and on however many cores.  Rows of equal
-    keys lie together: use record keys, not a column with few values.
+    It follows from the key alone: whatever is drawn so is the same under any storage
+    layout, partitioning and number of cores.
     """
-    return frame.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    hashed = key_hash([*keys, F.lit(draw)], seed, algorithm)
+    if algorithm == "md5":
+        bits = F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double")
+    else:
+        bits = F.shiftrightunsigned(hashed, 12).cast("double")
+    return bits / F.lit(float(1 << 52))
 
 
 @contextmanager

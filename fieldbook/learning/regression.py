@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +14,12 @@ from fieldbook.operators.errors import regression_metrics
 from fieldbook.operators.small import local_frame
 
 from .features import FEATURES, FeatureSpec
-from .layout import PARTITIONS, in_stable_order, kept_for_iteration
+from .forest import bin_edges, fit_trees
+from .layout import kept_for_iteration
 
 # Settings shared by all the candidates of a kind.
 LINEAR_SETTINGS = {"maxIter": 150, "tol": 1e-6, "standardization": True}
-FOREST_SETTINGS = {"subsamplingRate": 0.8, "maxBins": 32, "featureSubsetStrategy": "auto"}
+FOREST_RATE, FOREST_BINS = 0.8, 32
 
 
 @dataclass(frozen=True)
@@ -45,26 +46,19 @@ class LinearCandidate:
 
 @dataclass(frozen=True)
 class ForestCandidate:
-    """Random forest of a given size and depth."""
+    """Random forest of a given size and depth; `algorithm` hashes the keys that bag it."""
 
     name: str
     trees: int
     depth: int
     seed: int = 42
+    algorithm: str = "xxhash64"
 
     def describe(self) -> str:
         return f"numTrees={self.trees}, maxDepth={self.depth}"
 
-    def estimator(self, label: str, prediction: str) -> RandomForestRegressor:
-        return RandomForestRegressor(
-            featuresCol=FEATURES,
-            labelCol=label,
-            predictionCol=prediction,
-            numTrees=self.trees,
-            maxDepth=self.depth,
-            seed=self.seed,
-            **FOREST_SETTINGS,
-        )
+    def settings(self) -> dict[str, object]:
+        return {"featuresCol": FEATURES, "maxDepth": self.depth, "maxBins": FOREST_BINS}
 
 
 Candidate = LinearCandidate | ForestCandidate
@@ -99,35 +93,41 @@ def fit_candidates(
     spec: FeatureSpec,
     candidates: Sequence[Candidate],
     keys: Sequence[str] = (),
-    partitions: int = PARTITIONS,
 ) -> dict[str, PipelineModel]:
     """One pipeline per candidate, writing its prediction to a column of its own name.
 
-    Features are fitted once and the vectors are kept while the estimators iterate.  Rows
-    are placed by their keys (by all they hold, if none are given), so that the fit is the
-    same for any storage layout and number of cores.
+    Features are fitted once for all linear candidates and once for all forests, and their
+    vectors are kept while the estimators iterate.  Whatever is drawn follows from the keys
+    (from all that a row holds, if none are given), so a fit is the same for any storage
+    layout and number of partitions, up to the order in which doubles are added.
     """
     names = [candidate.name for candidate in candidates]
     if len(set(names)) != len(names):
         raise ValueError(f"candidate names repeat: {names}")
+    by = list(keys) or [*spec.predictors, spec.label]
     label = F.col(spec.label).cast("double").alias(spec.label)
-    own = [k for k in keys if k not in (*spec.predictors, spec.label)]
-    placed = in_stable_order(
-        train.select(*own, *spec.predictors, label),
-        keys or [*spec.predictors, spec.label],
-        partitions,
-    )
-    narrow = placed.select(*spec.predictors, spec.label)
-    features = spec.fit(narrow)
-    with kept_for_iteration(
-        features.transform(narrow).select(FEATURES, spec.label)
-    ) as vectors:
-        return {
-            c.name: PipelineModel(
-                [*features.stages, c.estimator(spec.label, c.name).fit(vectors)]
-            )
-            for c in candidates
-        }
+    others = [name for name in dict.fromkeys([*by, *spec.predictors]) if name != spec.label]
+    rows = train.select(*others, label)
+    models: dict[str, PipelineModel] = {}
+    lines = [c for c in candidates if isinstance(c, LinearCandidate)]
+    if lines:
+        features = spec.fit(rows)
+        with kept_for_iteration(features.transform(rows).select(FEATURES, spec.label)) as vectors:
+            for c in lines:
+                fitted = c.estimator(spec.label, c.name).fit(vectors)
+                models[c.name] = PipelineModel([*features.stages, fitted])
+    forests = [c for c in candidates if isinstance(c, ForestCandidate)]
+    if forests:
+        edges = bin_edges(rows, spec.numeric, by, FOREST_BINS, forests[0].seed)
+        features = spec.fit(rows, edges)
+        held = features.transform(rows).select(*dict.fromkeys([*by, spec.label]), FEATURES)
+        with kept_for_iteration(held) as vectors:
+            for c in forests:
+                fitted = fit_trees(
+                    vectors, by, spec.label, c.name, c.trees, c.settings(), FOREST_RATE, c.seed, c.algorithm
+                )
+                models[c.name] = PipelineModel([*features.stages, fitted])
+    return {name: models[name] for name in names}
 
 
 def score(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
@@ -139,11 +139,10 @@ def score(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     """
     scored, prepared_by = frame, None
     columns = [*frame.columns, *models]
-    scratch = [name for model in models.values() for name in _outputs(model.stages[:-1])]
     for model in models.values():
         uids = [stage.uid for stage in model.stages[:-1]]
         if uids != prepared_by:
-            scored = scored.drop(*scratch)
+            scored = scored.select(*[name for name in scored.columns if name in columns])
             for stage in model.stages[:-1]:
                 scored = stage.transform(scored)
             prepared_by = uids
@@ -151,30 +150,19 @@ def score(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     return scored.select(*columns)
 
 
-def _outputs(stages: Sequence) -> list[str]:
-    names = []
-    for stage in stages:
-        if stage.hasParam("outputCols") and stage.isDefined("outputCols"):
-            names += stage.getOutputCols()
-        elif stage.hasParam("outputCol"):
-            names.append(stage.getOutputCol())
-    return names
-
-
 def search(
     train: DataFrame,
     validation: DataFrame,
     spec: FeatureSpec,
     candidates: Sequence[Candidate],
     keys: Sequence[str] = (),
-    partitions: int = PARTITIONS,
 ) -> SearchResult:
     """Fit every candidate on train and rank them by validation RMSE.
 
     All candidates are scored and measured in one pass over validation.  There is no
     test argument: the test period cannot influence the choice.
     """
-    models = fit_candidates(train, spec, candidates, keys, partitions)
+    models = fit_candidates(train, spec, candidates, keys)
     scored = score(validation.select(*spec.predictors, spec.label), models)
     measured = regression_metrics(scored, spec.label, {name: name for name in models})
     rows = sorted(measured.collect(), key=lambda row: (row["rmse"], row["model"]))

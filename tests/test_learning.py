@@ -1,14 +1,26 @@
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
-from fieldbook.learning.clustering import cluster_profiles, fit_clusters, kmeans_search
+from fieldbook.learning.clustering import (
+    CLUSTER,
+    cluster_profiles,
+    fit_clusters,
+    kmeans_search,
+    standardized,
+)
 from fieldbook.learning.features import FEATURES, FeatureSpec
-from fieldbook.learning.layout import kept_for_iteration
+from fieldbook.learning.forest import bin_edges, poisson_draws
+from fieldbook.learning.layout import kept_for_iteration, key_uniform
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
+    FOREST_RATE,
     LINEAR_CANDIDATES,
     ForestCandidate,
     LinearCandidate,
@@ -21,7 +33,7 @@ from fieldbook.operators.audit import check_conservation
 from fieldbook.operators.errors import mean_baseline, regression_metrics
 from fieldbook.plans import survey
 from fieldbook.plans.evaluation import BASELINE, evaluate_finally
-from fieldbook.sources.tables import load_model
+from fieldbook.sources.tables import load_model, save_model
 
 SPEC = FeatureSpec(numeric=["x"], categorical=["c"], label="y")
 SMALL_FOREST = ForestCandidate("forest", 5, 4)
@@ -94,22 +106,78 @@ def test_candidate_names_must_differ(spark, planted):
         fit_candidates(planted, SPEC, [LinearCandidate("a"), LinearCandidate("a", 0.1)])
 
 
-@pytest.mark.parametrize("placed", [3, 40])
-def test_fits_do_not_depend_on_how_rows_are_stored(spark, planted, placed):
-    """Below and above the number of cores, for one, two and seven input partitions."""
+def test_fits_do_not_depend_on_how_rows_are_partitioned(spark, planted):
+    """Fewer and more partitions than cores, and another order of the rows."""
     train, validation, _ = parts(planted)
-    forests, clusters = [], []
-    for partitions in (1, 2, 7):
-        stored = train.repartition(partitions)
-        found = search(stored, validation, SPEC, [SMALL_FOREST], ["k"], placed).metrics.first()
-        forests.append(found["rmse"])
-        model = fit_clusters(stored, SPEC.numeric, 3, keys=["k"], partitions=placed)
+    noisy = train.withColumn("y", F.col("y") + F.pmod(F.xxhash64("k"), F.lit(1000)) / 100)
+    fits, clusters = [], []
+    for stored in (noisy.coalesce(1), noisy.repartition(7), noisy.orderBy(F.desc("y")).repartition(64, "c")):
+        models = fit_candidates(stored, SPEC, [SMALL_FOREST, ForestCandidate("other", 3, 2, seed=7)], ["k"])
+        scored = score(validation, models).orderBy("k").select("forest", "other").collect()
+        fits.append([value for row in scored for value in row])
+        model = fit_clusters(stored, SPEC.numeric, 3, keys=["k"])
         profile = cluster_profiles(stored, model, SPEC.numeric).collect()
-        clusters.append([(r["n"], round(r[f"{SPEC.numeric[0]}_mean"], 9)) for r in profile])
-    assert forests == pytest.approx([forests[0]] * 3, rel=1e-12)
+        clusters.append([(r["n"], round(r["x_mean"], 9)) for r in profile])
+    assert fits[0] == pytest.approx(fits[1], rel=1e-12) and fits[0] == pytest.approx(fits[2], rel=1e-12)
+    assert fits[0][0::2] != fits[0][1::2]
     assert clusters[0] == clusters[1] == clusters[2]
 
 
+def test_large_fits_do_not_depend_on_partitions_either(spark):
+    """Above the rows that the library's trees look at to find their splits."""
+    frame = spark.range(30_000).select(
+        F.col("id").alias("k"), (F.xxhash64("id") % 5_000 / 7.0).alias("x"), (F.col("id") % 40).alias("w")
+    ).withColumn("y", F.when(F.col("x") > 100, 5.0).otherwise(F.col("x") / 50) + F.pmod(F.xxhash64("k", F.lit(1)), F.lit(7)) + F.col("w"))
+    spec, thresholds = FeatureSpec(numeric=["x", "w"], categorical=[], label="y"), []
+    for partitions in (1, 64):
+        model = fit_candidates(frame.repartition(partitions), spec, [ForestCandidate("f", 3, 4)], ["k"])["f"]
+        trees = model.stages[-1].stages[:-1]
+        lines = "\n".join(tree.toDebugString for tree in trees).splitlines()
+        thresholds.append([line.strip() for line in lines if "feature" in line])
+        assert all("<=" in line or ">" in line for line in thresholds[-1])
+    assert thresholds[0] == thresholds[1] and len(thresholds[0]) > 20
+
+
+def test_draws_are_poisson_numbers_of_the_key(spark):
+    frame = spark.range(200_000).select("id", poisson_draws(key_uniform(["id"], 42, 3), 0.8).alias("n"))
+    counts = {r["n"]: r["count"] for r in frame.groupBy("n").count().collect()}
+    for n in range(5):
+        expected = 200_000 * math.exp(-0.8) * 0.8**n / math.factorial(n)
+        assert abs(counts[n] - expected) < 5 * math.sqrt(expected)
+    other = spark.range(200_000).select("id", poisson_draws(key_uniform(["id"], 42, 4), 0.8).alias("m"))
+    both = frame.join(other, "id").agg(F.corr("n", "m")).first()[0]
+    assert abs(both) < 0.02
+
+
+def test_bins_are_cut_between_values_that_are_frequent(spark):
+    rows = [(k, float(k % 3), float(k), 5.0) for k in range(3_000)] + [(9_999, 1.5, 1e9, 5.0)]
+    frame = spark.createDataFrame(rows, "k long, few double, many double, one double")
+    edges = bin_edges(frame, ["few", "many", "one"], ["k"], 32, 42)
+    assert edges["few"] == [0.5, 1.25] or edges["few"] == [0.5, 1.75] or edges["few"] == [0.5, 1.25, 1.75]
+    assert 20 <= len(edges["many"]) <= 31 and edges["one"] == []
+    with pytest.raises(ValueError, match="null"):
+        bin_edges(frame.withColumn("few", F.lit(None).cast("double")), ["few"], ["k"], 32, 42)
+
+
+def test_a_forest_is_the_mean_of_its_trees_after_reloading(spark, planted, tmp_path):
+    model = fit_candidates(planted, SPEC, [SMALL_FOREST], ["k"])["forest"]
+    save_model(model, str(tmp_path / "forest"))
+    loaded = load_model(str(tmp_path / "forest"))
+    prepared = planted
+    for stage in loaded.stages[:-1]:
+        prepared = stage.transform(prepared)
+    for tree in loaded.stages[-1].stages[:-1]:
+        prepared = tree.transform(prepared)
+    names = [c for c in prepared.columns if c.startswith("__forest_")]
+    assert len(names) == 5
+    mean = sum((F.col(c) for c in names), F.lit(0.0)) / 5
+    by_hand = {r["k"]: r["m"] for r in prepared.select("k", mean.alias("m")).collect()}
+    scored = score(planted, {"forest": loaded})
+    assert scored.columns == [*planted.columns, "forest"]
+    for row in scored.collect():
+        assert row["forest"] == pytest.approx(by_hand[row["k"]], rel=1e-12)
+
+
 def test_rows_are_kept_as_they_are_partitioned(spark):
     for partitions in (1, 13):
         with kept_for_iteration(spark.range(10_000, numPartitions=partitions)) as kept:
@@ -164,8 +232,8 @@ def test_final_evaluation_refuses_repeated_keys(spark, planted):
 def test_candidates_compared_are_the_fixed_ones(spark):
     assert [(c.reg_param, c.elastic_net) for c in LINEAR_CANDIDATES] == [(0.0, 0.0), (0.1, 0.0), (0.1, 0.5)]
     assert [(c.trees, c.depth) for c in FOREST_CANDIDATES] == [(25, 5), (50, 7)]
-    forest = FOREST_CANDIDATES[0].estimator("y", "p")
-    assert (forest.getSubsamplingRate(), forest.getMaxBins(), forest.getSeed()) == (0.8, 32, 42)
+    assert FOREST_CANDIDATES[0].settings() == {"featuresCol": FEATURES, "maxDepth": 5, "maxBins": 32}
+    assert FOREST_RATE == 0.8 and FOREST_CANDIDATES[0].seed == 42
 
 
 def test_two_blobs_are_found_and_described(spark):
@@ -186,3 +254,37 @@ def test_two_blobs_are_found_and_described(spark):
     readings = {"weekly_hours": "weekly hours alto", "age": "age bajo"}
     expected = ", ".join(readings[f] for f in found.features)
     assert small["description"] == expected[0].upper() + expected[1:]
+
+
+def test_silhouettes_equal_the_evaluator(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, *map(float, rng.normal(size=2) + (k % 3) * 4)) for k in range(500)]
+    frame = spark.createDataFrame(rows, "k long, a double, b double").repartition(5)
+    found = kmeans_search(frame, {"both": ["a", "b"], "one": ["a"]}, ks=(2, 3, 4), keys=["k"])
+    assert found.k == 3 and found.feature_set in ("both", "one")
+    best = found.silhouettes.filter(f"feature_set = '{found.feature_set}' AND k = 3").first()["silhouette"]
+    z = standardized(frame, found.features)
+    clustered = found.model.transform(frame).select("k", CLUSTER).join(z, "k")
+    vectors = VectorAssembler(inputCols=list(found.features), outputCol="v").transform(clustered)
+    evaluator = ClusteringEvaluator(featuresCol="v", predictionCol=CLUSTER)
+    assert best == pytest.approx(evaluator.evaluate(vectors), rel=1e-9)
+
+
+def test_seeds_follow_the_keys_and_prefer_far_rows(spark):
+    rows = [(k, 0.0 if k else 1_000.0) for k in range(400)]
+    frame = spark.createDataFrame(rows, "k long, x double")
+    for seed in range(3):
+        profile = cluster_profiles(frame, fit_clusters(frame, ["x"], 2, seed, ["k"]), ["x"]).collect()
+        assert sorted(r["n"] for r in profile) == [1, 399]
+
+
+def test_fewer_values_than_clusters(spark):
+    frame = spark.range(50).select((F.col("id") % 2).cast("double").alias("x"), F.lit(3.0).alias("same"))
+    found = kmeans_search(frame, {"x": ["x", "same"]}, ks=(2, 5))
+    assert [r["silhouette"] for r in found.silhouettes.collect()] == pytest.approx([1.0, 1.0])
+    constant = kmeans_search(frame, {"same": ["same"]}, ks=(2,))
+    assert constant.silhouettes.first()["silhouette"] is None
+    with pytest.raises(ValueError, match="null"):
+        kmeans_search(frame.withColumn("x", F.lit(None).cast("double")), {"x": ["x"]})
+    with pytest.raises(ValueError, match="no rows"):
+        kmeans_search(frame.limit(0), {"x": ["x"]})
