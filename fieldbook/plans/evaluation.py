@@ -14,7 +14,8 @@ from fieldbook.learning.features import FeatureSpec
 from fieldbook.learning.regression import Candidate, fit_candidates, score
 from fieldbook.operators.audit import check_conservation, check_unique_keys, row_conservation
 from fieldbook.operators.errors import regression_metrics, with_constant_prediction
-from fieldbook.sources.tables import materialise, save_model, scratch_path
+from fieldbook.sources.runs import scratch_path
+from fieldbook.sources.tables import materialise, save_model
 
 BASELINE = "mean_baseline"
 

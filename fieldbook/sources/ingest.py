@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +13,13 @@ from fieldbook.functions import trimmed
 from fieldbook.operators.harmonise import with_provenance
 from fieldbook.operators.small import local_frame
 
+from .runs import _file_system
 from .spec import SourceSpec, text_schema
 from .tables import PERIOD, check_columns
 
 CONVERTED, REUSED = "converted", "reused"
+#: Sources converted at the same time.
+PARALLEL_SOURCES = 4
 AUDIT_SCHEMA = "period string, source string, rows long, expected long, state string"
 
 
@@ -28,26 +33,63 @@ def ingest(
     """Bring every source into ``root/period=<period>`` and return an audit table.
 
     A period already published is reused unless ``force``; its row count is checked
-    against the contract all the same.  A new one is written to a staging folder,
-    counted from the Parquet footers, and published by renaming only when the contract
-    holds, so a failed ingest leaves the previous data in place.
+    against the contract all the same.  New ones are written to staging folders, several
+    jobs at a time, all counted by one job, and published by renaming only when every
+    contract holds, so a failed ingest leaves the previous data in place.
     """
-    lines = []
-    for spec in specs:
-        destination = f"{root}/{PERIOD}={spec.period}"
-        if not force and _exists(spark, f"{destination}/_SUCCESS"):
-            state = REUSED
-            rows = _check_rows(spark, spec, destination)
-        else:
-            state = CONVERTED
-            staging = f"{root}/_staging/{spec.period}"
-            _read_source(spark, spec, columns).write.mode("overwrite").parquet(staging)
-            rows = _check_rows(spark, spec, staging)
-            _publish(spark, staging, destination)
-        lines.append((spec.period, spec.file_name, rows, spec.expected_rows, state))
+    if not specs:
+        return local_frame(spark, [], AUDIT_SCHEMA)
+    published = {spec.period: f"{root}/{PERIOD}={spec.period}" for spec in specs}
+    if len(published) != len(specs):
+        raise ValueError(f"periods repeat: {sorted(spec.period for spec in specs)}")
+    reused = {
+        spec.period
+        for spec in specs
+        if not force and _exists(spark, f"{published[spec.period]}/_SUCCESS")
+    }
+    staged = {
+        spec.period: f"{root}/_staging/{spec.period}" for spec in specs if spec.period not in reused
+    }
+
+    def convert(spec: SourceSpec) -> None:
+        source = _read_source(spark, spec, columns)
+        source.write.mode("overwrite").parquet(staged[spec.period])
+
+    new = [spec for spec in specs if spec.period in staged]
+    if new:
+        with ThreadPool(min(PARALLEL_SOURCES, len(new))) as pool:
+            pool.map(convert, new, chunksize=1)
+    rows = _count_rows(spark, published | staged)
+    broken = [
+        f"{spec.file_name}: {rows[spec.period]} rows, expected {spec.expected_rows}"
+        for spec in specs
+        if rows[spec.period] != spec.expected_rows
+    ]
+    if broken:
+        raise ValueError("; ".join(broken))
+    for period, staging in staged.items():
+        _publish(spark, staging, published[period])
+    lines = [
+        (
+            spec.period, spec.file_name, rows[spec.period], spec.expected_rows,
+            REUSED if spec.period in reused else CONVERTED,
+        )
+        for spec in specs
+    ]
     return local_frame(spark, lines, AUDIT_SCHEMA).orderBy("period")
 
 
+def _count_rows(spark: SparkSession, folders: dict[str, str]) -> dict[str, int]:
+    """Rows of every period's folder: one job, which reads no column."""
+    parts = [
+        spark.read.schema("`-` string").parquet(path).select(F.lit(period).alias("period"))
+        for period, path in folders.items()
+    ]
+    counted = reduce(DataFrame.unionByName, parts).groupBy("period").agg(F.count("*").alias("n"))
+    found = {row["period"]: row["n"] for row in counted.collect()}
+    return {period: found.get(period, 0) for period in folders}
+
+
 def _read_source(spark: SparkSession, spec: SourceSpec, columns: Sequence[str]) -> DataFrame:
     """Selected columns as trimmed text with provenance; checks the column contract."""
     if not _exists(spark, spec.path):
@@ -70,19 +112,6 @@ def _read_source(spark: SparkSession, spec: SourceSpec, columns: Sequence[str])
     return with_provenance(texts, source_file=spec.file_name, **spec.provenance)
 
 
-def _check_rows(spark: SparkSession, spec: SourceSpec, path: str) -> int:
-    rows = spark.read.parquet(path).agg(F.count("*")).first()[0]
-    if rows != spec.expected_rows:
-        raise ValueError(f"{spec.file_name}: {rows} rows, expected {spec.expected_rows}")
-    return rows
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     files, where = _file_system(spark, path)
     return files.exists(where)

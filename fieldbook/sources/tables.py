@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .runs import scratch_path
+
 PERIOD = "period"
 
 
@@ -67,22 +68,14 @@ def read_predictions(spark: SparkSession, path: str, required: Iterable[str]) ->
     return check_columns(spark.read.parquet(path), required, path)
 
 
-def materialise(frame: DataFrame, path: str) -> DataFrame:
-    """Write a frame and read it back, so later passes do not recompute it."""
-    frame.write.mode("overwrite").parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder all executors share.
+def materialise(frame: DataFrame, path: str | None = None, name: str = "step") -> DataFrame:
+    """Write a frame and read it back, so later passes do not recompute it.
 
-    That folder is ``spark.checkpoint.dir``; where it is unset, the warehouse, which
-    executors share as well.
+    Without a path it is a step of the run's folder and goes with it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = path or scratch_path(frame.sparkSession, name)
+    frame.write.mode("overwrite").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -94,5 +87,16 @@ def load_model(path: str) -> PipelineModel:
 
 
 def write_result_table(table: DataFrame, path: str) -> None:
-    """A small result table as CSV with a header."""
+    """A small result table as CSV with a header; empty text is quoted, null is not."""
     table.write.mode("overwrite").option("header", "true").csv(path)
+
+
+def read_result_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A stored result table with the types it was written from; a bad cell is an error.
+
+    The columns of the header have to be those of the schema, in order.
+    """
+    reader = spark.read.option("header", "true").option("mode", "FAILFAST").option("enforceSchema", "false")
+    # An empty cell is null and a quoted one is empty text, told apart only by a null
+    # marker that is not the empty text itself.
+    return reader.option("nullValue", "\x1f").schema(schema).csv(path)

@@ -21,7 +21,15 @@ ITERATIVE = {
     "kmeans_profiles",
 }
 # Fits with a closed form: checked like any query, but their plans hold an algorithm's rows.
-CLOSED_FORM = {"linear_search_line", "final_line", "forest_stump", "segment_clusters"}
+CLOSED_FORM = {
+    "linear_search_line",
+    "final_line",
+    "reloaded_line",
+    "forest_stump",
+    "forest_search_stumps",
+    "segment_clusters",
+    "cluster_choice",
+}
 # Approximate answers, which no exact SQL equals.
 SKETCHED = {"approx_profile", "approx_period_quantiles"}
 
@@ -87,6 +95,10 @@ def test_plans_stay_in_the_jvm_without_cartesian_products(spark, name):
         ("approx_profile", 1),
         ("approx_period_quantiles", 1),
         ("mean_baseline", 1),
+        ("baseline_gain", 1),
+        ("overall_extremes", 1),
+        ("error_by_dimension", 1),
+        ("tail_residual", 1),
     ],
 )
 def test_each_table_is_scanned_once(spark, name, scans):

@@ -5,7 +5,7 @@ from py4j.protocol import Py4JJavaError
 
 from fieldbook.plans import survey
 from fieldbook.plans.preparation import prepare
-from fieldbook.sources import tables
+from fieldbook.sources import runs, tables
 from fieldbook.sources.ingest import _publish, ingest
 from fieldbook.sources.spec import SourceSpec, text_schema
 
@@ -120,15 +120,60 @@ def test_predictions_need_their_columns(spark, tmp_path):
     assert tables.read_predictions(spark, path, ["id"]).count() == 3
 
 
-def test_scratch_paths_lie_in_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert tables.scratch_path(spark, "x").startswith(root)
+def test_steps_lie_in_the_run_folder_and_are_listed(spark, tmp_path, monkeypatch):
+    assert runs.shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    with monkeypatch.context() as patched:
+        patched.setattr(runs, "shared_root", lambda spark: str(tmp_path))
+        path = runs.scratch_path(spark, "x")
+        assert path.startswith(f"{tmp_path}/run-{spark.sparkContext.applicationId}/x-")
+        kept = tables.materialise(spark.range(5), name="five")
+        assert kept.count() == 5
+        assert [step["name"] for step in runs.steps(spark)] == ["x", "five"]
+        left = tmp_path / "run-lost" / "_manifest"
+        left.mkdir(parents=True)
+        (left / "a.json").write_text('{"name": "a", "path": "p", "started": 1.0}')
+        (tmp_path / "other").mkdir()
+        assert [folder.rsplit("/", 1)[-1] for folder in runs.abandoned_runs(spark, 60)] == ["run-lost"]
+        runs.end_run(spark, runs.abandoned_runs(spark, 60)[0])
+        runs.end_run(spark)
+        assert [entry.name for entry in tmp_path.iterdir()] == ["other"]
 
 
-def test_result_tables_are_csv_with_a_header(spark, tmp_path):
+def test_a_cluster_has_to_name_the_shared_folder(spark):
+    class Elsewhere:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runs.shared_root(Elsewhere())
+
+
+def test_result_tables_are_csv_with_a_header_and_come_back(spark, tmp_path):
     path = str(tmp_path / "r")
-    tables.write_result_table(spark.range(2), path)
-    assert spark.read.option("header", "true").csv(path).columns == ["id"]
+    schema = "name string, n long, share double, ok boolean"
+    rows = [("a, \"b\"", 1, 0.1 + 0.2, True), ("", None, None, None), (None, 3, float("inf"), False)]
+    tables.write_result_table(spark.createDataFrame(rows, schema), path)
+    assert spark.read.option("header", "true").csv(path).columns == ["name", "n", "share", "ok"]
+    back = tables.read_result_table(spark, path, schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        tables.read_result_table(spark, path, "title string, n long, share double, ok boolean").collect()
+    with pytest.raises(Exception, match="(?i)malformed|cannot parse|failfast"):
+        tables.read_result_table(spark, path, "name long, n long, share double, ok boolean").collect()
+
+
+def test_one_broken_source_publishes_none_of_the_others(spark, tmp_path):
+    root = str(tmp_path / "store")
+    good, short = source(tmp_path, "2025T1"), source(tmp_path, "2025T2", rows=2)
+    with pytest.raises(ValueError, match="2025T2.csv: 3 rows, expected 2"):
+        ingest(spark, [good, short], COLUMNS, root)
+    assert not (tmp_path / "store" / "period=2025T1").exists()
+    with pytest.raises(ValueError, match="repeat"):
+        ingest(spark, [good, good], COLUMNS, root)
+    empty = source(tmp_path, "2025T3", text="home,person,pay,extra\n", rows=0)
+    audit = ingest(spark, [good, empty], COLUMNS, root).collect()
+    assert [(r["period"], r["rows"]) for r in audit] == [("2025T1", 3), ("2025T3", 0)]
+    assert ingest(spark, [], COLUMNS, root).count() == 0
 
 
 def test_survey_contract():

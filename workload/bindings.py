@@ -12,7 +12,10 @@ from fieldbook.operators.harmonise import CodeRule, DurationRule, HarmoniseRules
 from fieldbook.operators.small import settled
 from fieldbook.operators.splits import TemporalSplit
 from fieldbook.plans.survey import AREA, EDUCATION, OCCUPATION, eligibility
-from fieldbook.sources.tables import load_periods, scratch_path, write_by_period
+from fieldbook.sources.ingest import ingest
+from fieldbook.sources.runs import scratch_path
+from fieldbook.sources.spec import SourceSpec
+from fieldbook.sources.tables import load_periods, materialise, write_by_period
 
 
 def _quarters(first_year: int, last_year: int) -> tuple[str, ...]:
@@ -204,6 +207,23 @@ def predictions(
     status, ``pred_line`` the least-squares line on quantity.  Orders are joined only
     for the queries that group by their priority.
     """
+    return _scorer(spark, sf_dir)(split, with_priority)
+
+
+def stored_predictions(spark: SparkSession, sf_dir: str) -> Callable[..., DataFrame]:
+    """The same with one fit for all splits, and the scored rows of a split stored once."""
+    score, stored = _scorer(spark, sf_dir), {}
+
+    def read(split: str = "test") -> DataFrame:
+        if split not in stored:
+            stored[split] = materialise(score(split, True), name=f"scored-{split}")
+        return stored[split]
+
+    return read
+
+
+def _scorer(spark: SparkSession, sf_dir: str) -> Callable[[str, bool], DataFrame]:
+    """Fits once; what it returns scores the rows of a split."""
     train = split_lines(spark, sf_dir, "train")
     fit = train.agg(
         F.avg(LABEL).alias("mean"),
@@ -213,16 +233,48 @@ def predictions(
     segments = settled(
         train.groupBy("l_returnflag", "l_linestatus").agg(F.avg(LABEL).alias("pred_segment"))
     )
-    rows = split_lines(spark, sf_dir, split).select(
-        "period", *KEYS, LABEL, "l_quantity", "l_returnflag", "l_linestatus"
-    )
-    if with_priority:
-        rows = with_orders(rows, spark, sf_dir, "o_orderpriority")
-    scored = rows.join(segments, ["l_returnflag", "l_linestatus"], "left")
-    return scored.withColumns(
-        {
-            "pred_mean": F.lit(fit["mean"]),
-            "pred_segment": F.coalesce("pred_segment", F.lit(fit["mean"])),
-            "pred_line": F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("l_quantity"),
-        }
+
+    def scored(split: str, with_priority: bool) -> DataFrame:
+        rows = split_lines(spark, sf_dir, split).select(
+            "period", *KEYS, LABEL, "l_quantity", "l_returnflag", "l_linestatus"
+        )
+        if with_priority:
+            rows = with_orders(rows, spark, sf_dir, "o_orderpriority")
+        beside = rows.join(segments, ["l_returnflag", "l_linestatus"], "left")
+        return beside.withColumns(
+            {
+                "pred_mean": F.lit(fit["mean"]),
+                "pred_segment": F.coalesce("pred_segment", F.lit(fit["mean"])),
+                "pred_line": F.lit(fit["intercept"]) + F.lit(fit["slope"]) * F.col("l_quantity"),
+            }
+        )
+
+    return scored
+
+
+def delivered(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
+    """The text records as CSV sources, a folder per period, and what each has to hold."""
+    root = scratch_path(spark, "delivered")
+    records = raw(spark, sf_dir)
+    gathered = records.hint("rebalance", F.col("period"))
+    gathered.write.partitionBy("period").option("header", "true").csv(root)
+    counts = lines(spark, sf_dir).groupBy("period").agg(
+        F.count("*").alias("n"), F.min(F.year("l_shipdate")).alias("year"), F.min(F.quarter("l_shipdate")).alias("quarter")
     )
+    return [
+        SourceSpec(
+            path=f"{root}/period={row['period']}",
+            period=row["period"],
+            expected_rows=row["n"],
+            expected_columns=len(records.columns) - 1,
+            provenance={"file_year": row["year"], "calendar_quarter": row["quarter"]},
+        )
+        for row in counts.collect()
+    ]
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> tuple[str, list[DataFrame]]:
+    """Where the delivered sources were ingested, and the audits of a first and a second run."""
+    specs, store = delivered(spark, sf_dir), scratch_path(spark, "ingested")
+    columns = [name for name in [*RAW_KEYS, "src_quarter", *RAW_TEXTS] if name != "period"]
+    return store, [ingest(spark, specs, columns, store) for _ in range(2)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from fieldbook.functions import MISSING_TOKENS, UNKNOWN_LABEL
+from fieldbook.learning.forest import poisson_steps
+from fieldbook.learning.regression import FOREST_RATE
 from fieldbook.operators.errors import BAND_LABELS, BAND_PROBS
 from fieldbook.plans.survey import AREA, EDUCATION, OCCUPATION
 
@@ -458,11 +460,6 @@ UNION ALL SELECT 'predictions segment_mean', count(pred_segment) FROM scored
 UNION ALL SELECT 'predictions quantity_line', count(pred_line) FROM scored
 UNION ALL SELECT 'shared rows', count(*) FROM scored
 UNION ALL SELECT 'distinct shared keys', count(DISTINCT row({', '.join(KEYS)})) FROM scored"""
-ORACLES["metric_consistency"] = f"""
-WITH {STACKED}
-SELECT model, {_r('avg(abs(residual))')} AS stored, {_r('avg(abs(residual))')} AS recomputed,
-       TRUE AS agrees
-FROM stacked GROUP BY model"""
 SAMPLE = f"""sample AS (
   SELECT * FROM scored ORDER BY {KEY_HASH}, {', '.join(KEYS)} LIMIT 5000
 )"""
@@ -673,3 +670,140 @@ p AS (
 )
 SELECT {_r('avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)')} AS silhouette
 FROM p"""
+
+# --- Sources, sketches and stored steps ---------------------------------------------------
+
+ORACLES["contract_ingest"] = f"""
+WITH {RAW}
+SELECT run, period, concat('period=', period) AS source, count(*) AS rows, count(*) AS expected,
+       CASE run WHEN 1 THEN 'converted' ELSE 'reused' END AS state
+FROM raw, (SELECT unnest([1, 2]) AS run) GROUP BY run, period"""
+ORACLES["ingested_periods"] = f"""
+WITH {RAW}
+SELECT period, concat('period=', period) AS source_file, CAST(left(period, 4) AS INT) AS file_year,
+       CAST(right(period, 1) AS INT) AS calendar_quarter, count(*) AS n,
+       count(DISTINCT household) AS households,
+       count(*) FILTER (WHERE active_txt IS NULL) AS null_active,
+       count(*) FILTER (WHERE active_txt = '') AS empty_active,
+       CAST(sum(length(trim(pay_txt))) AS BIGINT) AS pay_length,
+       count(*) FILTER (WHERE upper(trim(age_txt)) IN ({_quoted(MISSING_TOKENS)})) AS bad_age,
+       count(*) FILTER (WHERE trim(domain_code) = '2') AS domain_two
+FROM raw GROUP BY period"""
+
+_SHARES = ["p01", "p25", "p50", "p75", "p95", "p99"]
+ORACLES["sketched_profile_ranks"] = f"""
+SELECT method, variable, share, (SELECT count(*) FROM lineitem) AS n, TRUE AS within
+FROM (SELECT unnest(['stored sketches', 'one pass']) AS method),
+     (SELECT unnest([{_quoted(PROFILED)}]) AS variable), (SELECT unnest([{_quoted(_SHARES)}]) AS share)"""
+ORACLES["sketched_period_ranks"] = f"""
+SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, share, count(*) AS n, TRUE AS within
+FROM lineitem, (SELECT unnest([{_quoted(_SHARES)}]) AS share) GROUP BY 1, 2"""
+ORACLES["stored_error_table"] = ORACLES["error_by_band"]
+ORACLES["metric_consistency"] = f"""
+WITH {STACKED}, found AS (
+  SELECT model, avg(abs(residual)) AS stored,
+         sum(greatest({LABEL}, prediction) - least({LABEL}, prediction)) / count(*) AS recomputed
+  FROM stacked GROUP BY model)
+SELECT model, {_r('stored')} AS stored, {_r('recomputed')} AS recomputed,
+       abs(stored - recomputed) < 1e-6 AS agrees
+FROM found"""
+ORACLES["error_by_dimension"] = f"""
+WITH {BANDS}, {_group_cte('g', 'o_orderpriority')}, {_group_cte('f', 'l_returnflag')},
+every AS (
+  SELECT 'priority' AS dimension, model, grp, n, mae, mean_error, mean_actual FROM g
+  UNION ALL SELECT 'return_flag', model, grp, n, mae, mean_error, mean_actual FROM f
+  UNION ALL SELECT 'band', model, band, n, mae, mean_error, mean_actual FROM bands)
+SELECT dimension, model, grp, n, {_r('mae')} AS mae, {_r('mean_error')} AS mean_error,
+       {_r('mean_actual')} AS mean_actual, {_DIRECTION} FROM every"""
+ORACLES["tail_residual"] = f"""
+WITH {STACKED}, cut AS (SELECT quantile_cont({LABEL}, 0.9) AS c FROM scored)
+SELECT model, {_r('min(c)')} AS tail_from, {_r('avg(residual)')} AS mean_residual,
+       {_r(f'avg(residual) FILTER (WHERE {LABEL} >= c)')} AS tail_mean_residual
+FROM stacked CROSS JOIN cut GROUP BY model"""
+
+# --- Fits -----------------------------------------------------------------------------------
+
+ORACLES["reloaded_line"] = f"""
+WITH fit AS (
+  SELECT regr_slope({LABEL}, l_quantity) AS slope, regr_intercept({LABEL}, l_quantity) AS intercept
+  FROM lineitem WHERE {_in_years('train')} OR {_in_years('validation')})
+SELECT {', '.join(KEYS)}, {PERIOD} AS period, {_r(LABEL)} AS {LABEL},
+       {_r('intercept + slope * l_quantity')} AS line
+FROM lineitem, fit WHERE {_in_years('test')}"""
+
+# A row's draws in a tree: how many cumulated Poisson probabilities its key's number reaches.
+_DRAW = f"md5({_canonical([*KEYS, 't', '42'])})"
+_UNIFORM = f"(CAST(concat('0x', substring({_DRAW}, 1, 13)) AS BIGINT) / 4503599627370496.0)"
+_DRAWS = " + ".join(f"CAST(u >= {step!r}::DOUBLE AS INT)" for step in poisson_steps(FOREST_RATE))
+ORACLES["forest_search_stumps"] = f"""
+WITH drawn AS (
+  SELECT t, l_discount, {LABEL}, {_UNIFORM} AS u
+  FROM (SELECT *, unnest(range(5)) AS t FROM lineitem WHERE {_in_years('train')})),
+weighed AS (
+  SELECT t, l_discount, {LABEL}, {_DRAWS} AS weight FROM drawn
+  UNION ALL SELECT -1, l_discount, {LABEL}, 1 FROM lineitem WHERE {_in_years('train')}),
+sums AS (
+  SELECT t, l_discount, sum(weight) AS n, sum(weight * {LABEL}) AS s FROM weighed GROUP BY t, l_discount),
+sides AS (
+  SELECT t, l_discount AS cut, sum(s) OVER w / sum(n) OVER w AS low,
+         (sum(s) OVER e - sum(s) OVER w) / nullif(sum(n) OVER e - sum(n) OVER w, 0) AS high,
+         sum(n) OVER w AS n_low, sum(n) OVER e - sum(n) OVER w AS n_high
+  FROM sums WINDOW w AS (PARTITION BY t ORDER BY l_discount), e AS (PARTITION BY t)),
+best AS (
+  SELECT * FROM sides WHERE n_high > 0
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY n_low * low * low + n_high * high * high DESC) = 1),
+stumps AS (
+  SELECT t, l_discount, CASE WHEN l_discount <= cut THEN low ELSE high END AS value
+  FROM best, (SELECT DISTINCT l_discount FROM lineitem)),
+forests AS (
+  SELECT trees, l_discount, avg(value) AS prediction
+  FROM stumps, (SELECT unnest([1, 2, 5]) AS trees)
+  WHERE CASE WHEN trees = 1 THEN t = -1 ELSE t BETWEEN 0 AND trees - 1 END GROUP BY trees, l_discount),
+scored AS (
+  SELECT trees, {LABEL}, prediction, {LABEL} - prediction AS residual
+  FROM lineitem JOIN forests USING (l_discount) WHERE {_in_years('validation')})
+SELECT concat('stumps_', trees) AS model, concat('numTrees=', trees, ', maxDepth=1') AS configuration,
+       count(*) AS n, {_r('avg(abs(residual))')} AS mae, {_r('sqrt(avg(residual * residual))')} AS rmse,
+       {_r(f'1 - sum(residual * residual) / (var_pop({LABEL}) * count(*))')} AS r2
+FROM scored GROUP BY trees"""
+
+
+def _silhouette(group: str, columns: Sequence[str]) -> str:
+    """Mean silhouette of `far`, on z-scores, as a scalar query."""
+    dots = " + ".join(f"z.x{i} * s.y{i}" for i in range(len(columns)))
+    return f"""
+z AS (SELECT row_number() OVER () AS id, {group} AS c,
+             {', '.join(f'{_z(c)} AS x{i}' for i, c in enumerate(columns))} FROM far),
+q AS (SELECT *, {' + '.join(f'x{i} * x{i}' for i in range(len(columns)))} AS xx FROM z),
+s AS (SELECT c, count(*) AS n, sum(xx) AS psi,
+             {', '.join(f'sum(x{i}) AS y{i}' for i in range(len(columns)))} FROM q GROUP BY c),
+d AS (SELECT z.id AS id, z.c = s.c AS own, n, z.xx + s.psi / s.n - 2 * ({dots}) / s.n AS apart
+      FROM q AS z CROSS JOIN s),
+p AS (SELECT id, max(CASE WHEN own THEN apart * n / (n - 1) END) AS a, min(CASE WHEN NOT own THEN apart END) AS b
+      FROM d GROUP BY id)"""
+
+
+ORACLES["cluster_choice"] = f"""
+WITH far AS (
+  SELECT l_returnflag, f + l_quantity AS spread, f + 100 * l_tax AS drift
+  FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 10000.0 ELSE 30000.0 END AS f FROM lineitem)),
+{_silhouette('l_returnflag', ['spread', 'drift'])}
+SELECT 'both' AS feature_set, CAST(3 AS INT) AS k,
+       {_r('avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END)')} AS silhouette,
+       TRUE AS best_of_set, TRUE AS same_as_model
+FROM p"""
+
+_SEEN = f"{_in_years('train')} AND o_orderpriority <> '5-LOW'"
+ORACLES["feature_slots"] = f"""
+WITH flags AS (
+  SELECT l_returnflag AS v, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS place
+  FROM {_joined} WHERE {_SEEN} GROUP BY 1),
+priorities AS (
+  SELECT o_orderpriority AS v, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS place
+  FROM {_joined} WHERE {_SEEN} GROUP BY 1)
+SELECT {', '.join(KEYS)}, CAST(10 AS INT) AS width, l_quantity AS quantity, """ + ", ".join(
+    [f"CAST(coalesce(f.place, 3) = {i} AS INT) AS flag_{i}" for i in range(4)]
+    + [f"CAST(coalesce(p.place, 4) = {i} AS INT) AS priority_{i}" for i in range(5)]
+) + f"""
+FROM {_joined} LEFT JOIN flags f ON f.v = l_returnflag LEFT JOIN priorities p ON p.v = o_orderpriority
+WHERE {_in_years('test')}"""

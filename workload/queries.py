@@ -8,10 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.functions import key_hash, row_fingerprint
+from fieldbook.functions import is_missing, key_hash, row_fingerprint
 from fieldbook.learning.clustering import (
     cluster_profiles,
     kmeans_search,
@@ -19,23 +20,35 @@ from fieldbook.learning.clustering import (
     standardized,
 )
 from fieldbook.learning.features import FeatureSpec
-from fieldbook.learning.layout import in_stable_order
 from fieldbook.learning.regression import (
     FOREST_CANDIDATES,
     LINEAR_CANDIDATES,
     ForestCandidate,
     LinearCandidate,
     compare,
+    fit_candidates,
+    score,
     search,
 )
-from fieldbook.operators import association, audit, errors, findings, profile, sampling
+from fieldbook.operators import association, audit, errors, findings, profile, sampling, sketches
 from fieldbook.operators.funnel import exclusion_audit, observed_survivors, passes
 from fieldbook.operators.histogram import histogram, log_histogram
 from fieldbook.operators.quantiles import approx_quantiles
 from fieldbook.operators.small import local_frame
 from fieldbook.operators.splits import split_counts
 from fieldbook.plans.evaluation import FinalEvaluation, evaluate_finally
-from fieldbook.sources.tables import read_predictions, union_by_name
+from fieldbook.sources.runs import scratch_path
+from fieldbook.sources.tables import (
+    load_model,
+    load_periods,
+    materialise,
+    read_predictions,
+    read_result_table,
+    save_model,
+    union_by_name,
+    write_by_period,
+    write_result_table,
+)
 
 from . import bindings as b
 
@@ -134,6 +147,33 @@ def union_periods(spark, sf_dir):
     return rounded(totals, 2)
 
 
+@query
+def contract_ingest(spark, sf_dir):
+    """Text sources ingested under their contracts, and met again as published."""
+    _, audits = b.ingested(spark, sf_dir)
+    return union_by_name([a.select(F.lit(run).alias("run"), "*") for run, a in enumerate(audits, 1)])
+
+
+@query
+def ingested_periods(spark, sf_dir):
+    """What the published periods hold: text as delivered, trimmed, with its provenance."""
+    store, audits = b.ingested(spark, sf_dir)
+    periods = [row["period"] for row in audits[1].collect()]
+    return (
+        load_periods(spark, store, periods)
+        .groupBy("period", "source_file", "file_year", "calendar_quarter")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_distinct("household").alias("households"),
+            F.count_if(F.col("active_txt").isNull()).alias("null_active"),
+            F.count_if(F.col("active_txt") == "").alias("empty_active"),
+            F.sum(F.length("pay_txt")).alias("pay_length"),
+            F.count_if(is_missing("age_txt") | F.col("age_txt").startswith(" ")).alias("bad_age"),
+            F.count_if(F.col("domain_code") == "2").alias("domain_two"),
+        )
+    )
+
+
 # --- Quality audits ---------------------------------------------------------------------
 
 
@@ -213,6 +253,68 @@ def approx_period_quantiles(spark, sf_dir):
     return approx_quantiles(b.lines(spark, sf_dir), b.LABEL, probs, ["period"])
 
 
+SHARES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
+# Rank errors that a sketch may have: the sample of a sketch, and the bound that is checked.
+SKETCH_ERROR = 0.005
+
+
+def _stored_sketches(spark, sf_dir):
+    """Sketches of every profiled column by period, stored, as a pipeline would keep them."""
+    made = sketches.quantile_sketches(b.lines(spark, sf_dir), PROFILED, ["period"])
+    path = scratch_path(spark, "sketches")
+    write_by_period(made, path)
+    return spark.read.parquet(path).withColumn("period", F.col("period").cast("string"))
+
+
+def _rank_checks(spark, frame, kind, table):
+    """Whether each quantile of (variable, *shares) rows stands where its probability says."""
+    proposed = {(row["variable"], p): row[p] for row in table.collect() for p in SHARES}
+    ranks = sketches.true_ranks(frame, proposed)
+    rows = [
+        (kind, variable, p, total, sketches.rank_error(SHARES[p], below, upto, total) <= SKETCH_ERROR)
+        for (variable, p), (below, upto, total) in ranks.items()
+    ]
+    return local_frame(spark, rows, "method string, variable string, share string, n long, within boolean")
+
+
+@query
+def sketched_profile_ranks(spark, sf_dir):
+    """Quantiles of all periods from stored sketches, and of one pass, held to true ranks."""
+    frame = b.lines(spark, sf_dir)
+    merged = sketches.merged_sketches(_stored_sketches(spark, sf_dir))
+    stored = sketches.sketched_quantiles(merged, SHARES)
+    wide = [
+        approx_quantiles(frame, name, SHARES).select(F.lit(name).alias("variable"), *SHARES)
+        for name in PROFILED
+    ]
+    return union_by_name(
+        [
+            _rank_checks(spark, frame, "stored sketches", stored),
+            _rank_checks(spark, frame, "one pass", union_by_name(wide)),
+        ]
+    )
+
+
+@query
+def sketched_period_ranks(spark, sf_dir):
+    """Quantiles of each year, merged from its quarters' sketches, held to true ranks."""
+    yearly = sketches.merged_sketches(
+        _stored_sketches(spark, sf_dir).withColumn("year", F.substring("period", 1, 4)), ["year"]
+    )
+    found = sketches.sketched_quantiles(yearly, SHARES, ["year"])
+    named = [F.struct(F.lit(p).alias("share"), F.lit(v).alias("prob"), F.col(p).alias("value")) for p, v in SHARES.items()]
+    asked = found.filter(F.col("variable") == b.LABEL).select("year", F.inline(F.array(*named)))
+    rows = b.lines(spark, sf_dir).select(F.year("l_shipdate").cast("string").alias("year"), b.LABEL)
+    counted = rows.join(asked, "year").groupBy("year", "share").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col(b.LABEL) < F.col("value")).alias("below"),
+        F.count_if(F.col(b.LABEL) <= F.col("value")).alias("upto"),
+        F.max("prob").alias("prob"),
+    )
+    error = F.greatest(F.lit(0.0), F.col("below") / F.col("n") - F.col("prob"), F.col("prob") - F.col("upto") / F.col("n"))
+    return counted.select("year", "share", "n", (error <= SKETCH_ERROR).alias("within"))
+
+
 @query
 def skew_reading(spark, sf_dir):
     table = profile.numeric_profile(b.lines(spark, sf_dir), PROFILED, exact=True)
@@ -305,19 +407,21 @@ def _by_priority(spark, sf_dir):
     return errors.error_by_group(frame, "o_orderpriority", b.LABEL, b.TWO_MODELS, b.PRIORITIES)
 
 
-def _by_flag(spark, sf_dir):
-    return errors.error_by_group(
-        b.predictions(spark, sf_dir), "l_returnflag", b.LABEL, b.TWO_MODELS
-    )
+def _bands_of(frame):
+    banded, thresholds = errors.value_bands(frame, b.LABEL, exact=True)
+    return errors.error_by_band(banded, thresholds, b.LABEL, b.TWO_MODELS)
 
 
 def _by_band(spark, sf_dir):
-    banded, thresholds = errors.value_bands(b.predictions(spark, sf_dir), b.LABEL, exact=True)
-    return errors.error_by_band(banded, thresholds, b.LABEL, b.TWO_MODELS)
+    return _bands_of(b.predictions(spark, sf_dir))
+
+
+def _metrics_of(frame):
+    return errors.regression_metrics(frame, b.LABEL, b.MODELS)
 
 
 def _metrics(spark, sf_dir, split="test"):
-    return errors.regression_metrics(b.predictions(spark, sf_dir, split), b.LABEL, b.MODELS)
+    return _metrics_of(b.predictions(spark, sf_dir, split))
 
 
 @query
@@ -337,6 +441,14 @@ def error_by_band(spark, sf_dir):
     return rounded(_by_band(spark, sf_dir))
 
 
+@query
+def stored_error_table(spark, sf_dir):
+    """The same table written as CSV and read with the types it had."""
+    table, path = _by_band(spark, sf_dir), scratch_path(spark, "error-by-band")
+    write_result_table(table, path)
+    return rounded(read_result_table(spark, path, table.schema))
+
+
 @query
 def residual_summary(spark, sf_dir):
     frame = b.predictions(spark, sf_dir)
@@ -359,9 +471,11 @@ def row_conservation(spark, sf_dir):
 
 @query
 def metric_consistency(spark, sf_dir):
-    frame = b.predictions(spark, sf_dir)
-    metrics = errors.regression_metrics(frame, b.LABEL, b.TWO_MODELS)
-    summary = errors.residual_summary(frame, b.LABEL, b.TWO_MODELS)
+    """Errors measured on rows as they are scored, against those of the rows as stored."""
+    scored = b.predictions(spark, sf_dir)
+    metrics = errors.regression_metrics(scored, b.LABEL, b.TWO_MODELS)
+    stored = materialise(scored.select(*b.KEYS, b.LABEL, *b.TWO_MODELS.values()), name="scored")
+    summary = errors.residual_summary(stored, b.LABEL, b.TWO_MODELS)
     return rounded(errors.metric_differences(metrics, summary, "mae"))
 
 
@@ -380,18 +494,16 @@ def baseline_gain(spark, sf_dir):
 
 @query
 def validation_to_test(spark, sf_dir):
+    read = b.stored_predictions(spark, sf_dir)
     return rounded(
-        findings.validation_to_test(
-            _metrics(spark, sf_dir, "validation"), _metrics(spark, sf_dir), b.BASELINE
-        )
+        findings.validation_to_test(_metrics_of(read("validation")), _metrics_of(read()), b.BASELINE)
     )
 
 
 @query
 def winner_agreement(spark, sf_dir):
-    return findings.winner_agreement(
-        _metrics(spark, sf_dir, "validation"), _metrics(spark, sf_dir), b.BASELINE
-    )
+    read = b.stored_predictions(spark, sf_dir)
+    return findings.winner_agreement(_metrics_of(read("validation")), _metrics_of(read()), b.BASELINE)
 
 
 @query
@@ -412,22 +524,34 @@ def tail_contrast(spark, sf_dir):
 
 @query
 def winner_in_tail(spark, sf_dir):
+    frame = b.stored_predictions(spark, sf_dir)()
     return rounded(
-        findings.winner_in_tail(
-            _metrics(spark, sf_dir), _by_band(spark, sf_dir), b.BASELINE, errors.BAND_LABELS[-1]
-        )
+        findings.winner_in_tail(_metrics_of(frame), _bands_of(frame), b.BASELINE, errors.BAND_LABELS[-1])
     )
 
 
+def _dimension_errors(spark, sf_dir):
+    banded, _ = errors.value_bands(b.stored_predictions(spark, sf_dir)(), b.LABEL, exact=True)
+    dimensions = {"priority": "o_orderpriority", "return_flag": "l_returnflag", "band": "band"}
+    return errors.errors_by_dimensions(banded, dimensions, b.LABEL, b.TWO_MODELS)
+
+
+@query
+def error_by_dimension(spark, sf_dir):
+    """Errors by several groupings from one aggregate."""
+    return rounded(_dimension_errors(spark, sf_dir))
+
+
 @query
 def overall_extremes(spark, sf_dir):
-    bands = _by_band(spark, sf_dir).withColumnRenamed("band", "grp")
-    tables = {
-        "priority": _by_priority(spark, sf_dir),
-        "return_flag": _by_flag(spark, sf_dir),
-        "band": bands,
-    }
-    return rounded(findings.overall_extremes(tables))
+    return rounded(findings.extremes_by_dimension(_dimension_errors(spark, sf_dir)))
+
+
+@query
+def tail_residual(spark, sf_dir):
+    """Mean residual overall and in the highest tenth, over all test rows."""
+    frame = b.stored_predictions(spark, sf_dir)()
+    return rounded(findings.tail_residual(frame, b.LABEL, b.TWO_MODELS))
 
 
 @query
@@ -509,18 +633,37 @@ def final_line(spark, sf_dir):
     return rounded(stored.select(*b.KEYS, "period", b.LABEL, b.BASELINE, "line", "residual_line"))
 
 
+DISCOUNT = FeatureSpec(numeric=["l_discount"], categorical=[], label=b.LABEL)
+
+
+@query
+def reloaded_line(spark, sf_dir):
+    """The final pipeline saved, loaded, and asked for the test rows."""
+    read = b.stored_model_lines(spark, sf_dir)
+    fitted = fit_candidates(read("train", "validation"), LINE, [LinearCandidate("line")], b.KEYS)
+    path = scratch_path(spark, "line-model")
+    save_model(fitted["line"], path)
+    scored = score(read("test"), {"line": load_model(path)})
+    return rounded(scored.select(*b.KEYS, "period", b.LABEL, "line"))
+
+
 @query
 def forest_stump(spark, sf_dir):
     """One tree of one split over all rows: the cut of least squared error."""
     frame = b.lines(spark, sf_dir).select(*b.KEYS, "l_discount", b.LABEL)
-    placed = in_stable_order(frame, b.KEYS)
-    vectors = VectorAssembler(inputCols=["l_discount"], outputCol="features").transform(placed)
-    stump = ForestCandidate("stump", 1, 1).estimator(b.LABEL, "stump")
-    model = stump.setSubsamplingRate(1.0).setBootstrap(False).fit(vectors)
-    scored = model.transform(vectors).groupBy("l_discount").agg(F.max("stump").alias("stump"))
+    models = fit_candidates(frame, DISCOUNT, [ForestCandidate("stump", 1, 1)], b.KEYS)
+    scored = score(frame, models).groupBy("l_discount").agg(F.max("stump").alias("stump"))
     return rounded(scored)
 
 
+@query
+def forest_search_stumps(spark, sf_dir):
+    """A search of forests whose bagged trees split once, so that SQL can follow each."""
+    read = b.stored_model_lines(spark, sf_dir)
+    candidates = [ForestCandidate(f"stumps_{n}", n, 1, algorithm="md5") for n in (1, 2, 5)]
+    return rounded(search(read("train"), read("validation"), DISCOUNT, candidates, b.KEYS).metrics)
+
+
 @query
 def segment_clusters(spark, sf_dir):
     """Two groups far apart are the two clusters; profiles and readings by their mean."""
@@ -531,6 +674,34 @@ def segment_clusters(spark, sf_dir):
     return rounded(profiles.select("n", "spread_mean", "pct", "description"))
 
 
+@query
+def cluster_choice(spark, sf_dir):
+    """Three groups far apart: three clusters have the best silhouette."""
+    far = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 10_000.0).otherwise(30_000.0)
+    frame = b.lines(spark, sf_dir).select(
+        *b.KEYS, (far + F.col("l_quantity")).alias("spread"), (far + 100 * F.col("l_tax")).alias("drift")
+    )
+    found = kmeans_search(frame, {"both": ["spread", "drift"]}, ks=(2, 3, 4), keys=b.KEYS)
+    best = findings.best_row(found.silhouettes, "silhouette", largest=True, ties=["k"])
+    return rounded(best.withColumn("same_as_model", F.lit(found.k) == F.col("k")))
+
+
+@query
+def feature_slots(spark, sf_dir):
+    """What the vectors hold: numbers, and a slot per category, the unseen one included."""
+    train = b.model_lines(spark, sf_dir, "train").filter("o_orderpriority <> '5-LOW'")
+    spec = FeatureSpec(["l_quantity"], ["l_returnflag", "o_orderpriority"], b.LABEL)
+    vectors = spec.fit(train).transform(b.model_lines(spark, sf_dir, "test"))
+    slots = vector_to_array(F.col("features"))
+    return vectors.select(
+        *b.KEYS,
+        F.size(slots).alias("width"),
+        slots[0].alias("quantity"),
+        *[slots[i + 1].cast("int").alias(f"flag_{i}") for i in range(4)],
+        *[slots[i + 5].cast("int").alias(f"priority_{i}") for i in range(5)],
+    )
+
+
 @query
 def linear_search(spark, sf_dir):
     read = b.stored_model_lines(spark, sf_dir)
