@@ -28,14 +28,20 @@ CUT_SAMPLE = 10_000
 #: A bin holds at least this share of that sample, so that no fit can miss it.
 LEAST_BIN = 1 / 256
 #: Trees fitted at the same time; Spark runs their small jobs side by side.
-PARALLEL_TREES = 4
+PARALLEL_TREES = 8
 WEIGHT = "__draws"
 
 
 def poisson_draws(uniform: Column, mean: float) -> Column:
-    """The Poisson number of a given mean that a uniform number stands for."""
-    reached = [term for term in poisson_steps(mean)]
-    return sum(((uniform >= F.lit(step)).cast("int") for step in reached), F.lit(0))
+    """The Poisson number of a given mean that a uniform number stands for.
+
+    Asked from the smallest number on, which most rows end at.
+    """
+    steps = poisson_steps(mean)
+    draws = F.when(uniform < F.lit(steps[0]), 0)
+    for number, step in enumerate(steps[1:], 1):
+        draws = draws.when(uniform < F.lit(step), number)
+    return draws.otherwise(len(steps))
 
 
 def poisson_steps(mean: float, rest: float = 1e-12) -> list[float]:

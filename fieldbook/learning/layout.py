@@ -28,6 +28,12 @@ def key_uniform(
     return bits / F.lit(float(1 << 52))
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """The frame in at least as many partitions as there are cores; more stay as they are."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 @contextmanager
 def kept_for_iteration(frame: DataFrame) -> Iterator[DataFrame]:
     """Persist a frame, as it is partitioned, for a block of repeated passes."""
