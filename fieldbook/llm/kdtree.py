@@ -264,7 +264,8 @@ def search(trees: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOCK
     spark = shipped(trees.sparkSession)
     asked = queries.filter(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.min("point").alias("point"))
     n_blocks = max(1, -(-asked.count() // block))
-    first_trees = F.pmod(F.col("part") + F.col("number"), F.lit(FIRST_SHARE)) == 0
+    # The first tree of the first part is among them, so that there is always one.
+    first_trees = F.pmod(F.col("part") + F.col("number") - 1, F.lit(FIRST_SHARE)) == 0
     results = []
     for at in range(n_blocks):
         rows = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == at).collect()
