@@ -113,7 +113,7 @@ _NOTICES = [
     ("zlib", "misrepresented", "the origin of this software must not be misrepresented", 0.95),
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 0.95),
     ("wtfpl", "fuck", "you just do what the fuck you want to", 0.95),
-    ("cc-by", "attribution", "this work is licensed under a creative commons attribution [0-9a-z ]{0,40}licen[cs]e", 0.85),
+    ("cc-by", "attribution", "this work is licensed under a creative commons attribution(?: (?:[0-9]+|international|unported|generic|intergovernmental|public))* licen[cs]e", 0.85),
     ("public-domain", "domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", 0.8),
     ("public-domain", "domain", "this work is in the public domain", 0.8),
     ("proprietary", "confidential", "proprietary and confidential", 0.8),
@@ -278,15 +278,41 @@ def detect(
             "covered", F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
         )
     )
-    free = placed.filter(F.col("end").isNull() | F.col("covered").isNull() | (F.col("covered") < F.col("end")))
-    earlier = F.lag(F.struct("end", "rule")).over(by_start)
-    later = F.lead(F.struct("start", "rule")).over(by_start)
-    marked = free.withColumn("earlier", earlier).withColumn("later", later)
-    yields = ((F.col("earlier.end") > F.col("start")) & (F.col("earlier.rule") < F.col("rule"))) | (
-        (F.col("later.start") < F.col("end")) & (F.col("later.rule") < F.col("rule"))
+    # Detections that overlap, directly or by others between them, are one chain.
+    apart = F.col("covered").isNull() | (F.col("covered") <= F.col("start"))
+    chains = (
+        placed.withColumn("chain", F.sum(F.when(apart, 1).otherwise(0)).over(by_start))
+        .groupBy("row", "chain")
+        .agg(
+            F.first("carried").alias("carried"),
+            F.first("n_words").alias("n_words"),
+            F.first("phrase_places").alias("phrase_places"),
+            F.array_sort(
+                F.collect_list(
+                    F.when(
+                        F.col("end").isNotNull(),
+                        F.struct("rule", "start", (-F.col("end")).alias("before"), "label", "score", "end"),
+                    )
+                )
+            ).alias("hits"),
+        )
+    )
+    return chains.select(
+        "row", "carried", "n_words", "phrase_places", F.explode_outer(_resolved(F.col("hits"))).alias("hit")
+    ).select(
+        "row", "carried", "n_words", "phrase_places", "hit.rule", "hit.label", "hit.score", "hit.start", "hit.end"
+    )
+
+
+def _resolved(hits: Column) -> Column:
+    """Hits in rule order, without those that overlap one kept before."""
+    overlaps = lambda kept, hit: F.exists(
+        kept, lambda k: (k["start"] < hit["end"]) & (hit["start"] < k["end"])
     )
-    return marked.filter(~F.coalesce(yields, F.lit(False))).select(
-        "row", "carried", "n_words", "phrase_places", "rule", "label", "score", "start", "end"
+    return F.aggregate(
+        hits,
+        F.slice(hits, 1, 0),
+        lambda kept, hit: F.when(overlaps(kept, hit), kept).otherwise(F.concat(kept, F.array(hit))),
     )
 
 

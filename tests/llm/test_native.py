@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -68,22 +69,46 @@ def test_the_python_address_takes_no_words_but_its_own(spark, documents):
     assert all(r["end"] - r["start"] < 60 for r in found)
 
 
+def resolved_by_hand(hits):
+    """In rule order, each hit that overlaps none kept before."""
+    kept = []
+    for start, end, rule in sorted(hits, key=lambda h: (h[2], h[0], -h[1])):
+        if not any(a < end and start < b for a, b, _ in kept):
+            kept.append((start, end, rule))
+    return kept
+
+
 def test_suppression_equals_brute_force(spark, documents):
-    rules = [
-        {"rule": k, "label": f"r{k}", "gate": "a", "pattern": f"(?<= )(?:{p})(?= )".replace("X", "  "), "score": 0.5}
-        for k, p in enumerate(["aXbXc", "bXc", "cXd", "a", "dXaXb"])
-    ]
-    text = "a b c d a b c d a x a b"
-    stream = "  " + "  ".join(text.split()) + "  "
-    hits = [(m.start(), m.end(), r["rule"]) for r in rules for m in re.finditer(r["pattern"], stream)]
-    free = [h for h in hits if not any(
-        (o[0] <= h[0] and h[1] <= o[1]) and (o[:2] != h[:2] or o[2] < h[2]) and o != h for o in hits)]
-    free.sort()
-    kept = [h for k, h in enumerate(free) if not (
-        (k and free[k - 1][1] > h[0] and free[k - 1][2] < h[2])
-        or (k + 1 < len(free) and free[k + 1][0] < h[1] and free[k + 1][2] < h[2]))]
-    got = licenses.detect(documents([text]), rules=rules).select("start", "end", "rule").collect()
-    assert sorted(map(tuple, got)) == sorted(kept)
+    rng = random.Random(12)
+    sets = [["aXbXc", "bXc", "cXd", "a", "dXaXb"], ["aXb", "bXc", "cXd", "dXaXbXc", "c"]]
+    sets += [["X".join(rng.choice("abcd") for _ in range(rng.randint(1, 4))) for _ in range(8)] for _ in range(6)]
+    texts = ["a b c d a b c d a x a b", "a b", "x y", *(" ".join(rng.choice("abcdx") for _ in range(60)) for _ in range(8))]
+    for patterns in sets:
+        rules = [
+            {"rule": k, "label": f"r{k}", "gate": p[0], "pattern": f"(?<= )(?:{p})(?= )".replace("X", "  "), "score": 0.5}
+            for k, p in enumerate(patterns)
+        ]
+        got = licenses.detect(documents(texts), rules=rules).select("carried.doc_id", "start", "end", "rule").collect()
+        for doc, text in enumerate(texts):
+            stream = "  " + "  ".join(text.split()) + "  "
+            hits = [(m.start(), m.end(), r["rule"]) for r in rules for m in re.finditer(r["pattern"], stream)]
+            own = [tuple(r)[1:] for r in got if r["doc_id"] == doc and r["rule"] is not None]
+            assert sorted(own) == sorted(resolved_by_hand(hits)), (patterns, text)
+        assert {r["doc_id"] for r in got} == set(range(len(texts)))
+
+
+NOTICE = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+
+
+@pytest.mark.parametrize("written", [NOTICE, "Released under the Creative Commons Attribution{} 4.0 licence, see the text."])
+def test_the_six_creative_commons_notices(spark, documents, written):
+    names = {
+        "": "cc-by-4.0", "-ShareAlike": "cc-by-sa-4.0", "-NoDerivatives": "cc-by-nd-4.0", "-NonCommercial": "cc-by-nc-4.0",
+        "-NonCommercial-ShareAlike": "cc-by-nc-sa-4.0", "-NonCommercial-NoDerivatives": "cc-by-nc-nd-4.0",
+    }
+    rows = licenses.summarise(licenses.detect(documents([written.format(n) for n in names]))).collect()
+    found = {r["carried"]["doc_id"]: r["labels"] for r in rows}
+    assert [found[k] for k in range(6)] == list(names.values())
 
 
 def quality_counts(text):
