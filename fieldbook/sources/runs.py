@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import json
+import sys
 import tempfile
 import time
 import uuid
@@ -44,7 +45,8 @@ def run_folder(spark: SparkSession) -> str:
     folder = f"{shared_root(spark)}/run-{spark.sparkContext.applicationId}"
     if folder not in _ENDING:
         _ENDING.add(folder)
-        atexit.register(_leave, spark, folder)
+        # The session may be stopped by then; its file systems need only this.
+        atexit.register(_leave, spark._jvm, _hadoop(spark), folder)
     return folder
 
 
@@ -93,17 +95,21 @@ def abandoned_runs(spark: SparkSession, seconds: float) -> list[str]:
     return [folder for _, folder in sorted(found)]
 
 
-def _leave(spark: SparkSession, folder: str) -> None:
+def _leave(jvm, hadoop, folder: str) -> None:
     try:
-        end_run(spark, folder)
+        where = jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(hadoop).delete(where, True)
     except Exception as gone:  # the JVM may have left before this process
-        print(f"run folder {folder} stays: {type(gone).__name__}")
+        print(f"run folder {folder} stays: {type(gone).__name__}", file=sys.stderr)
+
+
+def _hadoop(spark: SparkSession):
+    return spark._jsparkSession.sessionState().newHadoopConf()
 
 
 def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(_hadoop(spark)), where
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
