@@ -4,39 +4,29 @@ from __future__ import annotations
 
 import gc
 import io
-import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldbook.sources.runs import scratch_path
+
 #: Bytes of rows handed to a Python worker at once; Spark's own 64 MB are held several times
 #: over on both sides.  A session that has set another size keeps it.
 BATCH_BYTES = 8 << 20
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
 
-_UNSET: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset, one made for this process."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if "folder" not in _UNSET:
-        _UNSET["folder"] = "file://" + tempfile.mkdtemp(prefix="fieldbook-llm-")
-    return _UNSET["folder"]
-
-
 def kept(frame: DataFrame, name: str) -> DataFrame:
     """`frame` written as Parquet under the shared folder and read again.
 
-    Cuts the lineage: a lost executor costs later steps a read, not a recomputation.
+    Cuts the lineage: a lost executor costs later steps a read, not a recomputation.  The step
+    is listed in the run's manifest and goes when the run ends.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     frame.write.parquet(path)
     # What was shuffled on the way is garbage now; a collection lets Spark drop its files.
     gc.collect()
@@ -64,7 +54,7 @@ def shipped(spark: SparkSession) -> SparkSession:
                 archive.write(source, source.relative_to(package.parent))
         jvm = spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(
-            f"{shared_folder(spark)}/code-{uuid.uuid4().hex}/{package.name}.zip"
+            f"{scratch_path(spark, 'code')}/{package.name}.zip"
         )
         system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
         out = system.create(path)
