@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from fieldbook.llm import arrays, pretokens
-from fieldbook.llm.store import shipped
+from fieldbook.llm.store import shipped, without_names
 
 _ARCS = 1 << 18
 _NEVER = 1 << 40
@@ -222,8 +222,10 @@ def encode(
 
     `vocabulary` is the text of a byte-level BPE file.  Null text is empty: no tokens, and
     the digests of nothing.  Decoded bytes that are no UTF-8 become replacement characters.
+    Repeated rows are encoded alike; columns that have one of these names give way.
     """
     spark = shipped(docs.sparkSession)
+    docs = without_names(docs, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else []))
     shared = spark.sparkContext.broadcast(vocabulary)
     rest = [f for f in docs.schema.fields if f.name != text]
     added = [

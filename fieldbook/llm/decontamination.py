@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from fieldbook.llm import arrays
-from fieldbook.llm.store import shipped
+from fieldbook.llm.store import shipped, without_names
 
 SIZE = 10
 #: Text of benchmark items in one broadcast set.
@@ -164,10 +164,11 @@ def scan(
 ) -> DataFrame:
     """`docs` with n_words, n_hit, hit_words and hit_bytes (spans), and hit_items (sorted).
 
-    The text itself is carried only with `keep_text`.  No column of `docs` may have one of
-    these names.
+    The text itself is carried only with `keep_text`.  Columns of `docs` that have one of
+    these names give way.
     """
     spark = shipped(docs.sparkSession)
+    docs = without_names(docs, "n_words", "n_hit", "hit_words", "hit_bytes", "hit_items")
     tests = benchmark.select(
         F.col(item_id).cast("string").alias("name"),
         F.coalesce(F.col(item_text), F.lit("")).alias("words"),

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldbook.llm.store import without_names
+
 _BLANK = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
@@ -35,8 +37,19 @@ CONFIDENCE = 0.95
 PRICE = 10.0
 
 
+#: What is counted, and the columns that hold it on the way.
+COUNTS = (
+    "n_words word_chars n_symbols n_capitals n_seen_words n_lines n_dup_lines n_repeat_words "
+    "_words _lines _windows _ordered"
+).split()
+
+
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` without the text, with its counts: words, symbols, repeats and the like."""
+    """`docs` without the text, with its counts: words, symbols, repeats and the like.
+
+    Columns of `docs` that are named like one of these counts give way.
+    """
+    docs = without_names(docs, *COUNTS)
     carried = [c for c in docs.columns if c != text]
     given = F.coalesce(F.col(text), F.lit(""))
     read = docs.select(

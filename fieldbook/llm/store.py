@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldbook.sources.runs import scratch_path
 
@@ -34,6 +35,12 @@ def kept(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def without_names(frame: DataFrame, *names: str) -> DataFrame:
+    """`frame` without columns of these names, in any case: an operator's own columns win."""
+    own = {name.lower() for name in names}
+    return frame.select(*[F.col(f"`{c}`") for c in frame.columns if c.lower() not in own])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

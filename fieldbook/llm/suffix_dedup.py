@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.llm import arrays
 from fieldbook.llm.jaccard import pack, unpack
-from fieldbook.llm.store import kept, shipped
+from fieldbook.llm.store import kept, shipped, without_names
 
 LENGTH = 50
 GRAM = 20
@@ -474,9 +474,11 @@ def deduplicated(
 ) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans and kept_sha256; the text only with `keep_text`.
 
-    A kept text is cut by whole characters: one of which a byte stays is kept.
+    A kept text is cut by whole characters: one of which a byte stays is kept.  Columns of
+    `docs` that have one of these names (or are called kept_text, with `keep_text`) give way.
     """
     spark = shipped(docs.sparkSession)
+    docs = without_names(docs, "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if keep_text else []))
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     read = docs.select(key.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0

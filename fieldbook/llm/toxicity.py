@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fieldbook.llm import arrays
-from fieldbook.llm.store import kept, shipped
+from fieldbook.llm.store import kept, shipped, without_names
 
 #: Labelled training rows per class that the label model and the classifier are fitted on.
 SAMPLE = 4000
@@ -325,8 +325,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
 
 
 def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
-    """`docs` with the column score, 0 to 1, of every whole text."""
+    """`docs` with the column score, 0 to 1, of every whole text; a column so named gives way."""
     spark = shipped(docs.sparkSession)
+    docs = without_names(docs, "score")
     shared = spark.sparkContext.broadcast(model)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

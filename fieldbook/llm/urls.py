@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.llm.graph import components
-from fieldbook.llm.store import kept
+from fieldbook.llm.store import kept, without_names
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?\s*canonical\b)[^>]*>"
@@ -120,7 +120,11 @@ def component_verdicts(edges: DataFrame, rules: list[Rule]) -> DataFrame:
 def judge(
     pages: DataFrame, rules: list[Rule], url: str = "url", html: str = "html"
 ) -> DataFrame:
-    """`pages` without the markup, with host, path, rule, component_verdict and verdict."""
+    """`pages` without the markup, with host, path, rule, component_verdict and verdict.
+
+    Columns of `pages` that have one of these names, or are called address or fits, give way.
+    """
+    pages = without_names(pages, "host", "path", "rule", "component_verdict", "verdict", "address", "fits")
     edges = kept(alias_edges(pages, url, html), "url-aliases")
     verdicts = kept(component_verdicts(edges, rules), "url-verdicts")
     host, path, query = split(F.col(url))
