@@ -102,7 +102,8 @@ def test_plans_stay_in_the_jvm_without_cartesian_products(spark, name):
     ],
 )
 def test_each_table_is_scanned_once(spark, name, scans):
-    assert plan_of(spark, name).count("FileScan") == scans
+    # Below a kept aggregate the plan shows what it was computed from.
+    assert plan_of(spark, name).split("InMemoryRelation")[0].count("FileScan") == scans
 
 
 def test_only_needed_columns_reach_the_scan(spark):
