@@ -1,16 +1,21 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
 Voters are lexicon entries, word beginnings that the labelled training rows tie to toxic
-texts, and hand-written patterns.  A voter fires or not.  The label model
-holds, for each voter, how often it fires on toxic and on other texts, and how far voters
-go together beyond that; it is fitted by expectation maximisation on the sample's votes,
-where a voter counts for less the more it repeats others.  A linear classifier over the
-votes is trained on the model's posterior labels and scores every text.
-
-Only the sample passes the driver: `sample` rows a class.  Everything else is counted and
-scored where the rows are.  Defined results: null text is empty and gets the score of a
-text on which nothing fires; a document with several labels has the worst; without labelled
-texts of both classes nothing is learned and every score is the same.
+texts, hand-written patterns that speak for either class, and the label of a sampled row.
+A voter fires or abstains.  The label model holds, for each voter, how often it fires on
+toxic and on other texts, which gives its accuracy, and how far pairs of voters go together
+within the classes.  All of it is estimated by expectation maximisation on the sample's votes,
+where a voter counts for less the more it repeats others.  How often labels are right is
+estimated too, from how they agree with what the other voters believe.  A linear classifier
+over the votes, without the label's, is trained on the posterior and scores every text.
+
+An entry is taken if the toxic share of its rows is high and too far above that of all rows to
+be chance: the Chernoff bound of the chance stays below one in the number of labelled rows.
+Lexicon counts cover all labelled training rows.  Only the sample passes the driver: `sample`
+rows a class.  An entry that fires in no sampled row has no weight of its own, but counts
+in the patterns.  Defined results: null text is empty and gets the score of a text without
+words; a document with several labels has the worst; of repeated ids one text is learned from;
+without labelled texts of both classes nothing is learned and every score is the same.
 """
 
 from __future__ import annotations
@@ -30,19 +35,22 @@ from fieldbook.llm.store import kept, shipped, without_names
 
 #: Labelled training rows per class that the label model and the classifier are fitted on.
 SAMPLE = 4000
-#: Lexicon entries, and the shares that make a word beginning one: of all toxic training rows,
-#: or of as many as the sample holds where there are more.
-LEXICON = 512
-LEAST_SUPPORT = 0.004
+#: Least toxic share of an entry's rows, were both classes equally common.
 LEAST_PRECISION = 0.9
 SHORTEST, LONGEST = 3, 12
 #: Word beginnings counted before a task gives their counts on.
 COUNTED = 1 << 18
-ROUNDS = 10
-#: How often a label is taken to be right; voters may overrule it.
-LABEL_ACCURACY = 0.98
+#: Rounds of expectation maximisation at most; they end when no belief moves.
+ROUNDS = 100
+#: Belief in a sampled row's label at the start; the fit estimates how far to trust it.
+FIRST_BELIEF = 0.9
+#: Belief beyond which the voters are sure of a row, when labels are judged by them.
+SURE = 0.95
+#: Correlations nearer to zero than so many standard errors are taken to be none.
+CERTAIN = 4.0
 
 #: Patterns by name, over counts of a text: words, capitals, marks, different entries hit.
+#: The last speaks for the other class.
 PATTERNS = {
     "two_entries": lambda c: c["entries"] >= 2,
     "three_entries": lambda c: c["entries"] >= 3,
@@ -50,6 +58,7 @@ PATTERNS = {
     "one_hit": lambda c: c["hits"] == 1,
     "shouting": lambda c: c["capitals"] * 2 > np.maximum(c["bytes"], 1),
     "exclaiming": lambda c: c["marks"] * 10 > np.maximum(c["words"], 1),
+    "calm": lambda c: (c["marks"] == 0) & (c["capitals"] * 20 < np.maximum(c["bytes"], 1)),
 }
 
 
@@ -101,6 +110,14 @@ def lexicon_candidates(texts: DataFrame) -> DataFrame:
     return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
+def evidence(toxic: Column, other: Column, n_toxic: int, n_other: int) -> Column:
+    """Nats against an entry's toxic share being chance (Chernoff); 0 where it is no higher."""
+    usual = n_toxic / (n_toxic + n_other)
+    share = toxic / (toxic + other)
+    nats = toxic * F.log(share / usual) + F.when(other > 0, other * F.log((1 - share) / (1 - usual))).otherwise(0)
+    return F.when(share > usual, nats).otherwise(0.0)
+
+
 class Lexicon:
     """Word beginnings, found in whole columns of text."""
 
@@ -158,45 +175,85 @@ class Lexicon:
 
 @dataclass
 class LabelModel:
-    """Rates at which voters fire, given the class, and what their vote is worth."""
+    """Rates at which voters fire, given the class, and how pairs of them go together."""
 
     on_toxic: np.ndarray
     on_other: np.ndarray
-    worth: np.ndarray
+    together: np.ndarray  # correlations within the classes, where they are certain
     prior: float
-
-    def posterior(self, votes: np.ndarray, told: np.ndarray | None = None) -> np.ndarray:
-        """Belief that a row is toxic; `told` has the log odds of what its label says."""
+    label_on_toxic: float = 0.5
+    label_on_other: float = 0.5
+
+    @property
+    def worth(self) -> np.ndarray:
+        """What a voter's vote counts: one, divided among those that repeat it."""
+        return 1 / np.maximum(self.together, 0).sum(axis=1)
+
+    @property
+    def accuracy(self) -> np.ndarray:
+        """How often a voter that fires speaks for the right class."""
+        toxic, other = self.prior * self.on_toxic, (1 - self.prior) * self.on_other
+        right = np.where(self.on_toxic >= self.on_other, toxic, other)
+        return right / (toxic + other)
+
+    def posterior(self, votes: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
+        """Belief that a row is toxic, from its votes and, where given, its label (0 or 1)."""
         fire = np.log(self.on_toxic / self.on_other) * self.worth
         rest = np.log((1 - self.on_toxic) / (1 - self.on_other)) * self.worth
-        odds = np.log(self.prior / (1 - self.prior)) + votes @ fire + (1 - votes) @ rest
-        if told is not None:
-            odds = odds + told
+        odds = np.log(self.prior / (1 - self.prior)) + votes @ (fire - rest) + rest.sum()
+        if labels is not None:
+            yes = np.log(self.label_on_toxic / self.label_on_other)
+            no = np.log((1 - self.label_on_toxic) / (1 - self.label_on_other))
+            odds = odds + np.where(labels > 0, yes, no)
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
+def _rates(belief: np.ndarray, votes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often voters fire on toxic and on other rows, by these beliefs."""
+    other = 1 - belief
+    return tuple(np.clip((b @ votes + 1) / (b.sum() + 2), 1e-4, 1 - 1e-4) for b in (belief, other))
+
+
+def _label_rates(belief: np.ndarray, labels: np.ndarray, first: float) -> tuple[float, float]:
+    """How often a label says toxic on toxic and on other rows, where the voters are sure.
+
+    Doubtful rows tell little of labels.  Ten rows more stand for what was believed at first.
+    """
+    toxic, other = labels[belief > SURE], labels[belief < 1 - SURE]
+    return (
+        (toxic.sum() + 10 * first) / (len(toxic) + 10),
+        (other.sum() + 10 * (1 - first)) / (len(other) + 10),
+    )
+
+
 def fit_label_model(votes: np.ndarray, told: np.ndarray, prior: float, rounds: int = ROUNDS) -> LabelModel:
     """Expectation maximisation; votes is rows by voters, 0 or 1.
 
-    A row's label is one voter more, of known accuracy: its log odds are `told`.
+    `told` has the log odds that labels give a row at the start.  After that a label is a voter of
+    estimated rates, counted against what the other voters believe without it: a label that
+    were to confirm itself would always come out right.
     """
+    labels = (told > 0).astype(float)
     belief = 1 / (1 + np.exp(-told))
+    first = float(np.abs(belief - 0.5).mean() + 0.5)
+    n = len(votes)
+    both_fire = votes.T @ votes / n
     model = None
     for _ in range(rounds):
-        toxic, other = belief.sum() + 2, (1 - belief).sum() + 2
-        on_toxic = (belief @ votes + 1) / toxic
-        on_other = ((1 - belief) @ votes + 1) / other
-        # What is left of a vote once its class rate is taken off, and how far that goes
-        # together with what is left of other votes.
-        left = votes - np.outer(belief, on_toxic) - np.outer(1 - belief, on_other)
-        scale = np.sqrt((left**2).mean(axis=0)) + 1e-9
-        together = np.clip((left / scale).T @ (left / scale) / len(votes), 0, 1)
+        # Covariance within the classes: what is left once the class rates are taken off.
+        left = both_fire
+        for share in (belief, 1 - belief):
+            rate = share @ votes / max(share.sum(), 1e-9)
+            left = left - share.sum() / n * np.outer(rate, rate)
+        scale = np.sqrt(np.maximum(np.diag(left), 1e-9))
+        together = np.clip(left / np.outer(scale, scale), -1, 1)
+        together[np.abs(together) < CERTAIN / np.sqrt(n)] = 0
         np.fill_diagonal(together, 1)
-        model = LabelModel(
-            np.clip(on_toxic, 1e-4, 1 - 1e-4), np.clip(on_other, 1e-4, 1 - 1e-4),
-            1 / together.sum(axis=1), prior,
+        model = LabelModel(*_rates(belief, votes), together, prior)
+        model.label_on_toxic, model.label_on_other = _label_rates(
+            model.posterior(votes), labels, first
         )
-        after = model.posterior(votes, told)
+        after = model.posterior(votes, labels)
         moved = float(np.abs(after - belief).max())
         belief = after
         if moved < 1e-4:
@@ -240,39 +297,36 @@ def votes_of(lexicon: Lexicon, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Learns from labelled rows that are not held out: doc_id, text; doc_id, toxic."""
     spark = shipped(docs.sparkSession)
-    allowed = (
-        labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
+    told_of = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Labelled training rows that have a text.
+    allowed = kept(
+        labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
+        .join(told_of.select("doc_id"), "doc_id", "left_semi"),
+        "toxicity-labels",
     )
     sizes = {row["toxic"]: row["count"] for row in allowed.groupBy("toxic").count().collect()}
+    n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
+    prior = (n_toxic + 1) / (n_toxic + n_other + 2)
+    if not n_toxic or not n_other:
+        return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
     chosen = None
     for kind in (0, 1):
         part = allowed.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
-    told_of = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = kept(
         told_of.join(kept(chosen, "toxicity-chosen"), "doc_id").dropDuplicates(["doc_id"]),
         "toxicity-sample",
     )
-    n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
-    prior = (n_toxic + 1) / (n_toxic + n_other + 2)
-    if not n_toxic or not n_other:
-        return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
-    counted = texts.groupBy("toxic").count()
-    held = {row["toxic"]: row["count"] for row in counted.collect()}
-    if not held.get(1) or not held.get(0):
-        return Classifier([], np.zeros(len(PATTERNS)), float(np.log(prior / (1 - prior))))
-    balance = held[1] / held[0]
-    least = max(3, LEAST_SUPPORT * held.get(1, 1))
-    # The sample is all there is unless a class is larger.
-    every = texts
-    if max(n_toxic, n_other) > sample:
-        every = told_of.join(allowed.filter(F.col("toxic").isin(0, 1)), "doc_id").dropDuplicates(["doc_id"])
-        balance = n_toxic / n_other
+    every = told_of.join(allowed, "doc_id").dropDuplicates(["doc_id"])
+    balance = n_toxic / n_other
     precision = F.col("toxic") / (F.col("toxic") + balance * F.col("other") + 1)
     likely = kept(
-        lexicon_candidates(every).filter((F.col("toxic") >= least) & (precision >= LEAST_PRECISION)),
+        lexicon_candidates(every).filter(
+            (precision >= LEAST_PRECISION)
+            & (evidence(F.col("toxic"), F.col("other"), n_toxic, n_other) >= np.log(n_toxic + n_other))
+        ),
         "toxicity-entries",
     )
     # A longer beginning that rules nothing out only repeats the shorter one.
@@ -285,8 +339,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
         likely.withColumn("parent", parent)
         .join(shorter, "parent", "left")
         .filter(~F.coalesce(same, F.lit(False)))
-        .orderBy(F.desc(precision * F.log2("toxic")), "entry")
-        .limit(LEXICON)
+        .select("entry")
+        .orderBy("entry")
         .collect()
     )
     lexicon = [row["entry"] for row in entries]
@@ -311,17 +365,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     rows = texts.mapInArrow(arrays.tidy(step), "toxic bigint, votes binary").collect()
     toxic = np.array([row["toxic"] for row in rows], float)
     packed = np.stack([np.frombuffer(row["votes"], np.uint8) for row in rows])
-    votes = np.unpackbits(packed, axis=1)[:, :width].astype(float)
+    votes = np.unpackbits(packed, axis=1)[:, :width].astype(np.float32)
     order = np.lexsort((*packed.T, toxic))  # the same sums whatever order rows came in
     toxic, votes = toxic[order], votes[order]
-    told = np.where(toxic == 1, 1, -1) * np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-    model = fit_label_model(votes, told, held.get(1, 1) / len(rows))
-    belief = model.posterior(votes, told)
+    fires = votes.any(axis=0)
+    fires[len(lexicon) :] = True
+    told = np.where(toxic == 1, 1, -1) * np.log(FIRST_BELIEF / (1 - FIRST_BELIEF))
+    held = {kind: float((toxic == kind).sum()) for kind in (0, 1)}
+    model = fit_label_model(votes[:, fires], told, held[1] / len(rows))
+    belief = model.posterior(votes[:, fires], toxic)
     # As common as in all training rows, not as in the sample.
-    weights = np.where(toxic == 1, n_toxic / max(held.get(1, 1), 1), n_other / max(held.get(0, 1), 1))
+    weights = np.where(toxic == 1, n_toxic / held[1], n_other / held[0])
     weights = weights * len(rows) / weights.sum()
-    beta = fit_linear(votes, belief, weights)
-    return Classifier(lexicon, beta[:-1], float(beta[-1]))
+    beta = fit_linear(votes[:, fires], belief, weights)
+    own = np.zeros(width)
+    own[fires] = beta[:-1]
+    return Classifier(lexicon, own, float(beta[-1]))
 
 
 def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:

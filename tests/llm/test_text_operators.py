@@ -350,6 +350,83 @@ def test_label_model_discounts_voters_that_repeat_one_another():
     assert model.worth[1] < 0.5 < model.worth[0]
 
 
+def planted_votes(n=6000):
+    """Votes and labels of known rates; the last voter repeats the third in 3 of 5 rows."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(n) < 0.4
+    on_toxic, on_other = np.array([0.8, 0.7, 0.6, 0.3, 0.3]), np.array([0.1, 0.2, 0.1, 0.05, 0.85])
+
+    def drawn(k):
+        return rng.random(n) < np.where(truth, on_toxic[k], on_other[k])
+
+    votes = [drawn(k) for k in range(5)]
+    votes.append(np.where(rng.random(n) < 0.6, votes[2], drawn(2)))
+    labels = np.where(rng.random(n) < 0.9, truth, ~truth)
+    return np.stack(votes, axis=1).astype(float), labels, truth, np.append(on_toxic, 0.6), np.append(on_other, 0.1)
+
+
+@pytest.mark.parametrize("first", [0.8, 0.9, 0.99])
+def test_label_model_finds_planted_rates_and_correlations(first):
+    votes, labels, truth, on_toxic, on_other = planted_votes()
+    model = toxicity.fit_label_model(votes, np.where(labels, 1, -1) * np.log(first / (1 - first)), 0.4)
+    assert np.abs(model.on_toxic - on_toxic).max() < 0.05
+    assert np.abs(model.on_other - on_other).max() < 0.05
+    assert abs(model.label_on_toxic - 0.9) < 0.05 and abs(model.label_on_other - 0.1) < 0.05
+    right = np.maximum(0.4 * on_toxic, 0.6 * on_other) / (0.4 * on_toxic + 0.6 * on_other)
+    assert np.abs(model.accuracy - right).max() < 0.05
+    planted = np.eye(6)
+    planted[2, 5] = planted[5, 2] = 0.6
+    assert np.abs(model.together - planted).max() < 0.05
+    # Voters overrule wrong labels: the posterior is right more often than the labels.
+    wrong = ((model.posterior(votes, labels) > 0.5) != truth).mean()
+    assert wrong < 0.06 < 0.09 < (labels != truth).mean()
+
+
+def test_toxicity_follows_voters_where_labels_are_wrong(spark, monkeypatch):
+    """Every tenth label is wrong; scores are right nevertheless, and a rare chance word is none."""
+    random.seed(12)
+    words = [f"plain{k}" for k in range(200)]
+    truth = [k % 3 == 0 for k in range(1500)]
+    texts = [
+        " ".join([*random.choices(words, k=20), *random.sample(["vile", "grubby", "quarrel"], 2 * t)])
+        for t in truth
+    ]
+    labels = [int(t != (random.random() < 0.1)) for t in truth]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    told = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "LEAST_PRECISION", 0.7)
+    model = toxicity.fit(docs, told)
+    assert {entry[:3] for entry in model.lexicon} == {"vil", "gru", "qua"}
+    rows = toxicity.score(docs, model).collect()
+    assert sum((r["score"] >= 0.5) != truth[r["doc_id"]] for r in rows) == 0
+
+
+def test_toxicity_learns_from_rows_that_have_a_text(spark):
+    """Labels of documents that are not there change nothing; one text of a repeated id counts."""
+    random.seed(13)
+    words = [f"plain{k}" for k in range(100)]
+    rows = [(k, " ".join([*random.choices(words, k=20), "vile" * (k % 2)])) for k in range(400)]
+    docs = spark.createDataFrame(rows + rows[:7], "doc_id long, text string")
+    labels = [(k, k % 2) for k in range(400)]
+    more = [(k, 0) for k in range(10_000, 13_000)]
+    one, two = (
+        toxicity.fit(docs, spark.createDataFrame(r, "doc_id long, toxic int")) for r in (labels, labels + more)
+    )
+    assert one.lexicon == two.lexicon == ["vil"]
+    assert np.allclose(one.weights, two.weights) and one.intercept == pytest.approx(two.intercept)
+
+
+def test_toxicity_of_long_and_empty_texts(spark):
+    docs = spark.createDataFrame(
+        [(1, "plain words " * 200_000 + "vile grubby"), (2, ""), (3, None)], "doc_id long, text string"
+    )
+    model = toxicity.Classifier(["grubby", "vile"], np.zeros(2 + len(toxicity.PATTERNS)), -1.0)
+    model.weights[:2] = 2.0
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert got[1] == pytest.approx(1 / (1 + np.exp(-3.0))) and got[2] == got[3] < 0.5
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
 def test_toxicity_without_labels_scores_alike(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents(ODD_TEXTS).select("doc_id", "text")
