@@ -45,6 +45,8 @@ PAIRED = 12
 #: Index entries a bucket should hold, and texts a block of a large group.
 BUCKET_ENTRIES = 200_000
 BLOCK = 2048
+#: Rows of one centre and pair of blocks that stay together; more are split by key.
+TOGETHER = 5000
 
 RARE_KEY, PAIR_ONLY, FREQUENT_KEY = range(3)  # how a text is indexed under a key
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<u4"), ("score", "u1"), ("role", "u1")])
@@ -485,10 +487,21 @@ def linked(
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
     buckets = max(8, open_rows.count() // 5000)
+    # Groups of one centre tend to hold the same pairs, which meet in one bucket.  A centre of many
+    # rows gets several, by key, so that each group stays whole; what repeats goes afterwards.
+    crowded = kept(
+        spread.groupBy("centre", "i", "j")
+        .count()
+        .filter(F.col("count") > TOGETHER)
+        .select("centre", "i", "j", F.ceil(F.col("count") / TOGETHER).alias("salts")),
+        "jaccard-crowded",
+    )
     near = (
-        spread.join(sets.dropDuplicates(["doc"]).select("doc", "bits"), "doc")
-        # Groups of one centre tend to hold the same pairs, which meet here.
-        .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j"), F.lit(buckets)))
+        spread.join(crowded, ["centre", "i", "j"], "left")
+        .withColumn("salt", F.pmod(F.xxhash64("key"), F.coalesce("salts", F.lit(1))))
+        .join(sets.dropDuplicates(["doc"]).select("doc", "bits"), "doc")
+        .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j", "salt"), F.lit(buckets)))
+        .drop("salts", "salt")
         .groupBy("bucket")
         .applyInArrow(arrays.tidy_group(_near_pairs(percent)), "a bigint, b bigint")
         .distinct()

@@ -232,9 +232,10 @@ def near_texts(seed: int) -> list:
     return [*texts, texts[0].upper(), "a b c", "A  b\nc", "a b", *ODD_TEXTS]
 
 
-@pytest.mark.parametrize("hot", [1000, 5])
-def test_shingle_join_equals_all_pairs(spark, documents, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "together"), [(1000, 5000), (5, 5000), (5, 3)])
+def test_shingle_join_equals_all_pairs(spark, documents, monkeypatch, hot, together):
     monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "TOGETHER", together)
     monkeypatch.setattr(jaccard, "BLOCK", 16)
     texts = near_texts(8)
     sets = dict(shingle_sets(enumerate(texts)))
