@@ -88,6 +88,10 @@ class FeatureSpec:
             assembler,
         ]
 
+    def slots(self) -> list[str]:
+        """What rows hold before they are encoded, if numbers enter as bins."""
+        return [*[f"{name}_step" for name in self.numeric], *[f"{name}_idx" for name in self.categorical]]
+
     def fit(
         self, train: DataFrame, edges: Mapping[str, Sequence[float]] | None = None
     ) -> PipelineModel:

@@ -14,7 +14,7 @@ from fieldbook.operators.errors import regression_metrics
 from fieldbook.operators.small import local_frame
 
 from .features import FEATURES, FeatureSpec
-from .forest import bin_edges, fit_trees
+from .forest import Forest, bin_edges, fit_forests
 from .layout import kept_for_iteration
 
 # Settings shared by all the candidates of a kind.
@@ -120,13 +120,15 @@ def fit_candidates(
     if forests:
         edges = bin_edges(rows, spec.numeric, by, FOREST_BINS, forests[0].seed)
         features = spec.fit(rows, edges)
-        held = features.transform(rows).select(*dict.fromkeys([*by, spec.label]), FEATURES)
-        with kept_for_iteration(held) as vectors:
-            for c in forests:
-                fitted = fit_trees(
-                    vectors, by, spec.label, c.name, c.trees, c.settings(), FOREST_RATE, c.seed, c.algorithm
-                )
-                models[c.name] = PipelineModel([*features.stages, fitted])
+        # Bins and indexes first; one-hot slots and vectors only for combinations of them.
+        first = 2 * bool(spec.numeric) + bool(spec.categorical)
+        slots, encode = PipelineModel(features.stages[:first]), PipelineModel(features.stages[first:])
+        held = slots.transform(rows).select(*dict.fromkeys([*by, spec.label, *spec.slots()]))
+        grown = [Forest(c.name, c.trees, c.settings(), c.seed, c.algorithm) for c in forests]
+        with kept_for_iteration(held) as kept:
+            fitted = fit_forests(kept, spec.slots(), encode, by, spec.label, grown, FOREST_RATE)
+        for c, trees in zip(forests, fitted):
+            models[c.name] = PipelineModel([*features.stages, trees])
     return {name: models[name] for name in names}
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from fieldbook.learning.clustering import (
@@ -288,3 +289,34 @@ def test_fewer_values_than_clusters(spark):
         kmeans_search(frame.withColumn("x", F.lit(None).cast("double")), {"x": ["x"]})
     with pytest.raises(ValueError, match="no rows"):
         kmeans_search(frame.limit(0), {"x": ["x"]})
+
+
+def test_trees_are_fitted_to_combinations_and_equal_trees_of_all_rows(spark, monkeypatch):
+    """20,000 rows of 40 combinations: no tree passes over the rows."""
+    frame = spark.range(20_000).select(
+        F.col("id").alias("k"), (F.col("id") % 10).cast("double").alias("x"),
+        F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C"), F.lit("D")), (F.xxhash64("id") % 4 + 4).cast("int") % 4 + 1).alias("c"),
+    ).withColumn("y", F.col("x") * F.when(F.col("c") == "A", 3.0).otherwise(-1.0) + F.pmod(F.xxhash64("k", F.lit(1)), F.lit(11)))
+    seen, fit = [], RandomForestRegressor.fit
+
+    def watched(self, rows):
+        seen.append(rows.count())
+        return fit(self, rows)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", watched)
+    model = fit_candidates(frame, SPEC, [SMALL_FOREST], ["k"])["forest"]
+    assert len(seen) == 5 and max(seen) <= 40
+
+    rows = frame
+    for stage in model.stages[:-1]:
+        rows = stage.transform(rows)
+    scored = rows
+    for number, tree in enumerate(model.stages[-1].stages[:-1]):
+        drawn = rows.withColumn("w", poisson_draws(key_uniform(["k"], 42, number), FOREST_RATE).cast("double"))
+        plain = RandomForestRegressor(
+            labelCol="y", weightCol="w", numTrees=1, bootstrap=False, featureSubsetStrategy="onethird",
+            seed=42 + number, predictionCol=f"plain_{number}", **SMALL_FOREST.settings(),
+        )
+        scored = tree.transform(fit(plain, drawn.filter("w > 0")).transform(scored))
+    apart = [F.max(F.abs(F.col(f"plain_{n}") - F.col(f"__forest_{n}"))) for n in range(5)]
+    assert max(scored.agg(*apart).first()) < 1e-9
