@@ -40,6 +40,9 @@ LEAST_PRECISION = 0.9
 SHORTEST, LONGEST = 3, 12
 #: Word beginnings counted before a task gives their counts on.
 COUNTED = 1 << 18
+#: Slots of the filter of labelled ids: so many for an id, and this many at most.  They decide
+#: how many texts without a label are shuffled in vain, never which are learned from.
+SLOTS_PER_ID, MOST_SLOTS = 16, 1 << 26
 #: Rounds of expectation maximisation at most; they end when no belief moves.
 ROUNDS = 100
 #: Belief in a sampled row's label at the start; the fit estimates how far to trust it.
@@ -67,6 +70,42 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def _slot(doc_id: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(7), doc_id.cast("string")), F.lit(slots))
+
+
+def id_filter(ids: DataFrame, count: int) -> np.ndarray:
+    """Bits of the slots that ids fall into: of bounded size, the driver sees no id."""
+    slots = 64
+    while slots < min(MOST_SLOTS, count * SLOTS_PER_ID):
+        slots *= 2
+    slot = ids.select(_slot(F.col("doc_id"), slots).alias("slot"))
+    word = F.shiftright("slot", 6).cast("int").alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
+    found = slot.groupBy(word).agg(F.bit_or(bit).alias("bits")).toPandas()
+    bits = np.zeros(slots // 64, np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits
+
+
+def maybe_labelled(docs: DataFrame, bits: np.ndarray) -> DataFrame:
+    """`docs` without rows whose id is in no slot: all that have a label, and few others."""
+    shared = shipped(docs.sparkSession).sparkContext.broadcast(bits)
+    names = docs.columns
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            slots = batch.column("__slot").to_numpy(zero_copy_only=False)
+            stays = (held[slots >> 6] >> (slots & 63)) & 1
+            kept_rows = batch.filter(pa.array(stays.astype(bool)))
+            yield kept_rows.select(names)
+
+    known = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    slot = _slot(F.col("doc_id"), 64 * len(bits)).alias("__slot")
+    return known.select("*", slot).mapInArrow(arrays.tidy(step), docs.schema)
+
+
 def lexicon_candidates(texts: DataFrame) -> DataFrame:
     """entry, toxic, other: texts of each class with a word that begins so."""
 
@@ -319,7 +358,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
         told_of.join(kept(chosen, "toxicity-chosen"), "doc_id").dropDuplicates(["doc_id"]),
         "toxicity-sample",
     )
-    every = told_of.join(allowed, "doc_id").dropDuplicates(["doc_id"])
+    # Only texts that can have a label are shuffled, however many have none.
+    likely_told = maybe_labelled(told_of, id_filter(allowed, n_toxic + n_other))
+    every = likely_told.join(allowed, "doc_id").dropDuplicates(["doc_id"])
     balance = n_toxic / n_other
     precision = F.col("toxic") / (F.col("toxic") + balance * F.col("other") + 1)
     likely = kept(

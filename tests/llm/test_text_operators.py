@@ -453,3 +453,17 @@ def test_queries_equal_their_oracles(spark, name):
 
     with connect("/root/testdata/sf0.001") as connection:
         assert difference(spark, connection, name, "/root/testdata/sf0.001") is None
+
+
+def test_toxicity_shuffles_few_texts_without_a_label(spark, documents):
+    """Of 5,000 texts 300 may be learned from: all of these pass, and hardly another."""
+    docs = documents([f"word{k} and more" for k in range(5000)]).select("doc_id", "text")
+    ids = docs.select("doc_id").filter("doc_id % 13 = 5").filter(~toxicity.held_out(F.col("doc_id")))
+    count = ids.count()
+    bits = toxicity.id_filter(ids, count)
+    assert bits.nbytes <= count * toxicity.SLOTS_PER_ID / 4 + 8
+    passed = {r["doc_id"] for r in toxicity.maybe_labelled(docs, bits).collect()}
+    wanted = {r["doc_id"] for r in ids.collect()}
+    assert wanted <= passed and len(passed) < count + 0.1 * 5000
+    none = toxicity.id_filter(ids.limit(0), 0)
+    assert toxicity.maybe_labelled(docs, none).count() == 0
