@@ -11,8 +11,9 @@ and meets every text on them.)
 Index entries travel packed, many to a row, to buckets of keys.  Groups of equal keys are
 not expanded to pairs: each member is verified against the most central one.  Components
 of the links found say which groups are done; in the rest, pairs of texts of different
-components pass a parity-bitmap bound on their overlap, in blocks, before they are
-verified too.  Verification compares whole sets.
+components pass a parity-bitmap bound on their overlap, in blocks.  The texts that have such
+a pair meet again with their whole sets, and only links that join components are sent on, so
+no step makes more rows than a group has members.  Verification compares whole sets.
 
 Defined results: texts without words are linked with nothing; a text of fewer words than a
 shingle has one shingle, all its words; equal sets are linked; repeated ids are one node.
@@ -45,9 +46,14 @@ PAIRED = 12
 #: Index entries a bucket should hold, and texts a block of a large group.
 BUCKET_ENTRIES = 200_000
 BLOCK = 2048
+#: Shingles of a block's texts, and of the texts that a bucket verifies.
+BLOCK_SHINGLES = 1 << 21
+BUCKET_SHINGLES = 500_000
 #: Rows of one centre and pair of blocks that stay together; more are split by key.
 TOGETHER = 5000
 
+#: What says where texts with near pairs meet, and what they are.
+NEAR = ("centre", "i", "j", "salt", "block", "component", "doc", "n")
 RARE_KEY, PAIR_ONLY, FREQUENT_KEY = range(3)  # how a text is indexed under a key
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<u4"), ("score", "u1"), ("role", "u1")])
 
@@ -380,31 +386,94 @@ def _group_pairs(columns: dict[str, np.ndarray], raw: list[np.ndarray], percent:
     return np.concatenate(left), np.concatenate(right)
 
 
-def _near_pairs(percent: int):
-    """Near pairs of all groups of a bucket, each once."""
+def _near_rows(percent: int):
+    """Of all groups of a bucket, the texts that have a near pair, once for a centre and blocks.
+
+    Pairs themselves grow with the square of a group and are not sent on.
+    """
 
     def step(bucket: pa.Table) -> pa.Table:
-        names = ("key", "i", "j", "doc", "n", "role", "centre", "component", "block")
+        names = ("key", "i", "j", "doc", "n", "role", "centre", "component", "block", "salt")
         columns = {c: bucket.column(c).combine_chunks().to_numpy() for c in names}
         order = np.lexsort((columns["j"], columns["i"], columns["key"]))
         columns = {c: v[order] for c, v in columns.items()}
         bits = bucket.column("bits").combine_chunks()
-        new = np.ones(len(order), bool)
-        for c in ("key", "i", "j"):
-            new[1:] &= columns[c][1:] == columns[c][:-1]
-        heads = np.flatnonzero(np.append(True, ~new[1:]))
-        ones, twos = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        heads = _heads(columns, ("key", "i", "j"))
+        found = [np.zeros(0, np.int64)]
         for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
             raw = [np.frombuffer(bits[k].as_py(), np.uint64) for k in order[a:b].tolist()]
             one, two = _group_pairs({c: v[a:b] for c, v in columns.items()}, raw, percent)
-            ones.append(np.minimum(one, two))
-            twos.append(np.maximum(one, two))
-        pairs = np.unique(np.stack([np.concatenate(ones), np.concatenate(twos)]), axis=1)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+            found.append(a + np.flatnonzero(np.isin(columns["doc"][a:b], np.union1d(one, two))))
+        at = np.concatenate(found)
+        chosen = {c: columns[c][at].astype(np.int64) for c in NEAR}
+        order = np.lexsort([chosen[c] for c in reversed(NEAR)])
+        first = _heads({c: v[order] for c, v in chosen.items()}, NEAR)
+        return pa.table({c: pa.array(v[order][first], pa.int64()) for c, v in chosen.items()})
 
     return step
 
 
+def _heads(columns: dict[str, np.ndarray], by: tuple[str, ...]) -> np.ndarray:
+    """Where runs of equal columns begin."""
+    size = len(columns[by[0]])
+    same = np.ones(max(size - 1, 0), bool)
+    for c in by:
+        same &= columns[c][1:] == columns[c][:-1]
+    return np.flatnonzero(np.append(True, ~same)) if size else np.zeros(0, np.int64)
+
+
+def _near_links(percent: int):
+    """Per centre and blocks, links by whole sets: as many as join components, no more."""
+
+    def step(bucket: pa.Table) -> pa.Table:
+        columns = {c: bucket.column(c).combine_chunks().to_numpy() for c in NEAR}
+        text = bucket.column("text").combine_chunks()
+        order = np.lexsort([columns[c] for c in NEAR[:4]])
+        columns = {c: v[order] for c, v in columns.items()}
+        heads = _heads(columns, NEAR[:4])
+        links: list[tuple[int, int]] = []
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
+            part = {c: v[a:b] for c, v in columns.items()}
+            links += _joining(part, text.take(pa.array(order[a:b])), percent)
+        return pa.table({c: pa.array([link[k] for link in links], pa.int64()) for k, c in enumerate("ab")})
+
+    return step
+
+
+def _joining(columns: dict[str, np.ndarray], text: pa.Array, percent: int) -> list[tuple[int, int]]:
+    """Verified links between texts, by size, that were of different components until then."""
+    sets: list[np.ndarray] = []
+    data, offsets = arrays.buffers(text)
+    for low, high, part, places in arrays.blocks(data, offsets):
+        rows, hashes = shingles(part, places)
+        sets += np.split(hashes, np.cumsum(np.bincount(rows, minlength=high - low))[:-1])
+    order = np.argsort([len(own) for own in sets], kind="stable")
+    columns, sets = {c: v[order] for c, v in columns.items()}, [sets[k] for k in order.tolist()]
+    n = np.array([len(own) for own in sets])
+    raw = [np.frombuffer(parity_bits(own, len(own)), np.uint64) for own in sets]
+    _, component = np.unique(columns["component"], return_inverse=True)
+    two_blocks = columns["i"][0] != columns["j"][0]
+    reach = np.searchsorted(n, n * 100 // percent, "right")
+    links = []
+    for k in range(len(n) - 1):
+        others = np.arange(k + 1, reach[k])
+        others = others[component[others] != component[k]]
+        if two_blocks:
+            others = others[columns["block"][others] != columns["block"][k]]
+        if not len(others):
+            continue
+        table = np.stack([_folded(raw[m], len(raw[k])) for m in others.tolist()])
+        others = others[_may_meet(np.bitwise_count(table ^ raw[k]).sum(axis=1), n[others], n[k], percent)]
+        for m in others.tolist():
+            if component[m] == component[k]:
+                continue
+            both = len(np.intersect1d(sets[k], sets[m], assume_unique=True))
+            if 100 * both >= percent * (n[k] + n[m] - both):
+                links.append((int(columns["doc"][k]), int(columns["doc"][m])))
+                component[component == component[m]] = component[k]
+    return links
+
+
 def linked(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -474,9 +543,9 @@ def linked(
     )
     open_keys = (
         placed.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.count("*").alias("size"), F.sum("n").alias("held"), F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high")
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("n_blocks"))
+        .select("key", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("held") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
     )
     open_rows = kept(
         placed.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("doc"), "n_blocks").cast("int")),
@@ -496,18 +565,26 @@ def linked(
         .select("centre", "i", "j", F.ceil(F.col("count") / TOGETHER).alias("salts")),
         "jaccard-crowded",
     )
-    near = (
+    near = kept(
         spread.join(crowded, ["centre", "i", "j"], "left")
         .withColumn("salt", F.pmod(F.xxhash64("key"), F.coalesce("salts", F.lit(1))))
         .join(sets.dropDuplicates(["doc"]).select("doc", "bits"), "doc")
         .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j", "salt"), F.lit(buckets)))
-        .drop("salts", "salt")
+        .drop("salts")
+        .groupBy("bucket")
+        .applyInArrow(arrays.tidy_group(_near_rows(percent)), ", ".join(f"{c} bigint" for c in NEAR)),
+        "jaccard-near",
+    )
+    # Whole sets are compared where the pairs were found, and only links that join components go on.
+    shares = max(8, (near.agg(F.sum("n")).first()[0] or 0) // BUCKET_SHINGLES)
+    texts = read.join(near.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"])
+    more = kept(
+        near.join(texts, "doc")
+        .withColumn("bucket", F.pmod(F.xxhash64("centre", "i", "j", "salt"), F.lit(shares)))
         .groupBy("bucket")
-        .applyInArrow(arrays.tidy_group(_near_pairs(percent)), "a bigint, b bigint")
-        .distinct()
-        .join(first_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        .applyInArrow(arrays.tidy_group(_near_links(percent)), "a bigint, b bigint"),
+        "jaccard-links",
     )
-    more = kept(_verified(kept(near, "jaccard-near"), read, sets, percent), "jaccard-links")
     final = components(
         found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
     )

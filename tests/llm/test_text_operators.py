@@ -258,6 +258,36 @@ def test_shingle_join_equals_all_pairs(spark, documents, monkeypatch, hot, toget
     }
 
 
+def test_shingle_join_sends_no_more_rows_than_a_near_group_has_members(spark, documents, monkeypatch):
+    """120 copies of one text, each a little too far from most others: thousands of near pairs."""
+    random.seed(3)
+    words = [f"w{k}" for k in range(4000)]
+    base = random.choices(words, k=150)
+    texts = [" ".join(w if random.random() > 0.02 else random.choice(words) for w in base) for _ in range(120)]
+    made = {}
+
+    def counted(frame, name):
+        made[name] = stored = keep(frame, name)
+        return stored
+
+    keep = jaccard.kept
+    monkeypatch.setattr(jaccard, "kept", counted)
+    rows = jaccard.linked(documents(texts)).collect()
+    sets = dict(shingle_sets(enumerate(texts)))
+    component = {k: k for k in sets}
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both) and component[a] != component[b]:
+                x, y = sorted((component[a], component[b]))
+                component = {k: x if c == y else c for k, c in component.items()}
+    assert {r["doc_id"]: r["component_id"] for r in rows} == component
+    near = made["jaccard-near"]
+    assert len(near.columns) == len(jaccard.NEAR)
+    groups = near.select("centre", "i", "j", "salt").distinct().count()
+    assert 0 < near.count() <= 120 * groups and made["jaccard-links"].count() < 120
+
+
 BENCH = [
     (1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"),
     (2, "short item of six words here"),
