@@ -135,3 +135,9 @@ def test_parsing_stays_inside_compiled_methods(spark):
             assert sizes and max(sizes) < 8_000, (name, sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_exact_medians_join_their_lines_once(spark):
+    """The passes over the rows read what was stored: no orders in the plan of the result."""
+    plan = QUERIES["median_by_group"](spark, SMALL)._jdf.queryExecution().toString()
+    assert "o_orderkey" not in plan and "l_extendedprice" in plan

@@ -328,7 +328,8 @@ def category_distribution(spark, sf_dir):
 
 @query
 def median_by_group(spark, sf_dir):
-    frame = b.model_lines(spark, sf_dir)
+    # Passed over several times: joined once, and only what is asked for stored.
+    frame = materialise(b.model_lines(spark, sf_dir).select(*b.CATEGORIES, b.LABEL), name="median-lines")
     return rounded(profile.median_by_group(frame, b.CATEGORIES, b.LABEL, exact=True))
 
 
