@@ -40,6 +40,10 @@ LEAST_PRECISION = 0.9
 SHORTEST, LONGEST = 3, 12
 #: Word beginnings counted before a task gives their counts on.
 COUNTED = 1 << 18
+#: What a toxic text adds to an entry's number; a task sees fewer texts than that.
+TOXIC = 1 << 32
+#: Words of a text looked at at once.
+SPANS = 4096
 #: Slots of the filter of labelled ids: so many for an id, and this many at most.  They decide
 #: how many texts without a label are shuffled in vain, never which are learned from.
 SLOTS_PER_ID, MOST_SLOTS = 16, 1 << 26
@@ -106,46 +110,54 @@ def maybe_labelled(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return known.select("*", slot).mapInArrow(arrays.tidy(step), docs.schema)
 
 
-def lexicon_candidates(texts: DataFrame) -> DataFrame:
-    """entry, toxic, other: texts of each class with a word that begins so."""
+def begin_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """entry, toxic, other: texts of each class in these batches with a word that begins so.
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-
-        def counts() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(found), pa.string()),
-                    pa.array([c[0] for c in found.values()], pa.int64()),
-                    pa.array([c[1] for c in found.values()], pa.int64()),
-                ],
-                names=["entry", "toxic", "other"],
-            )
-            found.clear()
-            return batch
+    An entry comes out more than once where `COUNTED` are found.  A block of text is held at a
+    time: a batch holds some ten of them, and a task several batches.
+    """
+    found: dict[str, int] = {}  # texts of the other class, and toxic ones times TOXIC
 
-        for batch in batches:
-            data, offsets = arrays.buffers(batch.column("text"))
-            lower = arrays.LOWER[data]
-            starts, ends, _, rows = arrays.words(lower, offsets, arrays.LETTERS)
+    def counts() -> pa.RecordBatch:
+        both = np.fromiter(found.values(), np.int64, len(found))
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(found, pa.string(), size=len(found)), pa.array(both // TOXIC), pa.array(both % TOXIC)],
+            names=["entry", "toxic", "other"],
+        )
+        found.clear()
+        return batch
+
+    for batch in batches:
+        data, offsets = arrays.buffers(batch.column("text"))
+        toxic = batch.column("toxic").to_pylist()
+        for low, high, part, places in arrays.blocks(data, offsets):
+            lower = arrays.LOWER[part]
+            starts, ends, _, rows = arrays.words(lower, places, arrays.LETTERS)
             raw = lower.tobytes()
-            first = np.searchsorted(rows, np.arange(batch.num_rows + 1)).tolist()
-            toxic = batch.column("toxic").to_pylist()
-            spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
-            for row in range(batch.num_rows):
-                words = {raw[a:b] for a, b in spans[first[row] : first[row + 1]]}
+            first = np.searchsorted(rows, np.arange(high - low + 1)).tolist()
+            for row in range(high - low):
+                words = set()
+                for at in range(first[row], first[row + 1], SPANS):
+                    upto = min(at + SPANS, first[row + 1])
+                    words.update([raw[a:b] for a, b in zip(starts[at:upto].tolist(), ends[at:upto].tolist())])
                 begins = set()
                 for word in words:
                     letters = word.decode("utf-8", "replace")
                     for n in range(SHORTEST, min(len(letters), LONGEST) + 1):
                         begins.add(letters[:n])
+                one = TOXIC if toxic[low + row] else 1
                 for begin in begins:
-                    found[begin][0 if toxic[row] else 1] += 1
+                    found[begin] = found.get(begin, 0) + one
                 if len(found) > COUNTED:
                     yield counts()
-        yield counts()
+    yield counts()
+
 
-    counted = texts.select("text", "toxic").mapInArrow(arrays.tidy(step), "entry string, toxic bigint, other bigint")
+def lexicon_candidates(texts: DataFrame) -> DataFrame:
+    """entry, toxic, other: texts of each class with a word that begins so."""
+    counted = texts.select("text", "toxic").mapInArrow(
+        arrays.tidy(begin_counts), "entry string, toxic bigint, other bigint"
+    )
     return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -497,3 +499,25 @@ def test_toxicity_shuffles_few_texts_without_a_label(spark, documents):
     assert wanted <= passed and len(passed) < count + 0.1 * 5000
     none = toxicity.id_filter(ids.limit(0), 0)
     assert toxicity.maybe_labelled(docs, none).count() == 0
+
+
+def test_word_beginnings_hold_a_block_of_text_at_a_time():
+    """A batch of 4 MB, one text of it long: counts are right, and memory is that of a block."""
+    long = " ".join(f"tale{k % 50}" for k in range(200_000))
+    texts = [long, *[" ".join(f"word{(k + j) % 300}" for j in range(40)) for k in range(8000)], None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([k % 2 for k in range(len(texts))])], names=["text", "toxic"]
+    )
+    list(toxicity.begin_counts(iter([batch.slice(1, 1)])))  # tables of powers are made once
+    tracemalloc.start()
+    found = {}
+    for part in toxicity.begin_counts(iter([batch])):
+        found |= {r["entry"]: (r["toxic"], r["other"]) for r in part.to_pylist()}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    wanted = {begin: [0, 0] for begin in found}
+    for k, text in enumerate(texts):
+        for begin in {w[:n] for w in (text or "").split() for n in range(3, len(w) + 1)}:
+            wanted[begin][1 - k % 2] += 1
+    assert found == {begin: tuple(n) for begin, n in wanted.items()}
+    assert peak < 60 << 20
