@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from contextlib import ExitStack
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -162,6 +163,16 @@ def _seeds(points: _Points, sets: Mapping[str, Sequence[str]], count: int) -> di
     return chosen
 
 
+def _apart(columns: Sequence[np.ndarray], centre: Sequence[float]) -> np.ndarray:
+    """Squared distances, a whole column at a time."""
+    total = np.zeros(len(columns[0]))
+    for column, value in zip(columns, centre):
+        off = column - value
+        off *= off
+        total += off
+    return total
+
+
 @dataclass
 class _Candidate:
     """Centres of one feature set and k; `columns` are numbers of the kept columns."""
@@ -170,11 +181,15 @@ class _Candidate:
     centres: list[Centre]
     moving: bool = True
 
-    def assigned(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def assigned(self, rows: Sequence[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
         """The candidate's columns, and each row's nearest centre, the first among equals."""
-        own = rows[:, self.columns]
-        apart = np.stack([((own - np.array(c)) ** 2).sum(axis=1) for c in self.centres])
-        return own, apart.argmin(axis=0)
+        own = [rows[f] for f in self.columns]
+        least, nearest = _apart(own, self.centres[0]), np.zeros(len(own[0]), np.int64)
+        for j, centre in enumerate(self.centres[1:], 1):
+            apart = _apart(own, centre)
+            np.copyto(nearest, j, where=apart < least)
+            np.minimum(least, apart, out=least)
+        return own, nearest
 
     def move(self, totals: Mapping[int, _Total]) -> None:
         """To the means of the clusters; an empty one stays where it is."""
@@ -196,38 +211,55 @@ class _Total:
 
 
 def _added(points: _Points, columns: str, step) -> list:
-    """Rows that tasks send for (candidate, cluster), added up; a handful comes to the driver."""
+    """Rows that tasks send for (candidate, cluster), added up; a handful comes to the driver.
+
+    The points are packed ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                rows = np.column_stack([column.to_numpy() for column in batch.columns])
-                part = step(rows)
+            for packed in batch.column(0):
+                part = step(np.frombuffer(packed.as_buffer()).reshape(width, -1))
                 total = part if total is None else total + part
         if total is not None:
             sent = [*np.indices(total.shape[:-1]).reshape(total.ndim - 1, -1), *total.reshape(-1, total.shape[-1]).T]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in sent], names=names)
 
     names = ["candidate", "cluster", *columns.split()]
-    kept = points.rows.select(*points.columns.values())
-    sent = kept.mapInArrow(run, ", ".join(f"{name} double" for name in names))
+    width = len(points.columns)
+    sent = points.rows.mapInArrow(run, ", ".join(f"{name} double" for name in names))
     return sent.groupBy("candidate", "cluster").agg(*[F.sum(name).alias(name) for name in names[2:]]).collect()
 
 
+def _packed(points: _Points) -> DataFrame:
+    """The standardised columns of a batch of rows as one binary value, a column after another.
+
+    Passes hand it to Python as it is: nothing is converted for each row and pass.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                values = np.stack([column.to_numpy() for column in batch.columns]).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([values], pa.binary())], names=["points"])
+
+    return points.rows.select(*points.columns.values()).mapInArrow(pack, "points binary")
+
+
 def _totals(points: _Points, candidates: Sequence[_Candidate]) -> list[dict[int, _Total]]:
     """Rows, sums and sum of squares of every cluster that has rows, for all candidates."""
     width, most = len(points.columns), max(len(c.centres) for c in candidates)
     sent = list(candidates)
 
-    def step(rows: np.ndarray) -> np.ndarray:
+    def step(rows: Sequence[np.ndarray]) -> np.ndarray:
         found = np.zeros((len(sent), most, width + 2))
         for i, c in enumerate(sent):
             own, nearest = c.assigned(rows)
             found[i, :, 0] = np.bincount(nearest, minlength=most)
-            found[i, :, 1] = np.bincount(nearest, (own * own).sum(axis=1), most)
-            for f in range(own.shape[1]):
-                found[i, :, 2 + f] = np.bincount(nearest, own[:, f], most)
+            found[i, :, 1] = np.bincount(nearest, _apart(own, [0.0] * len(own)), most)
+            for f, column in enumerate(own):
+                found[i, :, 2 + f] = np.bincount(nearest, column, most)
         return found
 
     totals: list[dict[int, _Total]] = [{} for _ in candidates]
@@ -258,25 +290,25 @@ def _silhouettes(points: _Points, candidates: Sequence[_Candidate]) -> list[floa
     """
     sent = list(zip(candidates, _totals(points, candidates)))
 
-    def step(rows: np.ndarray) -> np.ndarray:
+    def step(rows: Sequence[np.ndarray]) -> np.ndarray:
         found = np.zeros((len(sent), 1, 2))
         for i, (c, totals) in enumerate(sent):
             if len(totals) < 2:
                 continue
             own, nearest = c.assigned(rows)
-            apart = np.full((len(c.centres), len(rows)), np.inf)
+            each = np.arange(len(nearest))
+            apart = np.full((len(c.centres), len(each)), np.inf)
             for j, total in totals.items():
                 # mean |z - x|^2 = |z - mean x|^2 + the cluster's mean square beyond its mean.
                 mean = total.sums / total.n
-                apart[j] = ((own - mean) ** 2).sum(axis=1) + total.squares / total.n - (mean * mean).sum()
-            each = np.arange(len(rows))
+                apart[j] = _apart(own, mean) + total.squares / total.n - (mean * mean).sum()
             sizes = np.array([totals[j].n if j in totals else 0 for j in range(len(c.centres))])[nearest]
             inside = apart[nearest, each] * sizes / np.maximum(sizes - 1, 1)
             apart[nearest, each] = np.inf
             outside = apart.min(axis=0)
             larger = np.maximum(inside, outside)
             value = np.where((sizes > 1) & (larger > 0), (outside - inside) / np.where(larger > 0, larger, 1.0), 0.0)
-            found[i, 0] = len(rows), value.sum()
+            found[i, 0] = len(each), value.sum()
         return found
 
     means: list[float | None] = [None] * len(candidates)
@@ -333,9 +365,12 @@ def kmeans_search(
     points = _points(frame, every, keys, max(ks), seed)
     columns = {name: [points.columns[f] for f in names] for name, names in feature_sets.items()}
     numbers = {name: [every.index(f) for f in names] for name, names in feature_sets.items()}
-    with kept_for_iteration(spread(points.rows)) as rows:
-        points = _Points(rows, points.columns, points.moments)
-        seeds = _seeds(points, columns, max(ks))
+    with ExitStack() as held:
+        with kept_for_iteration(spread(points.rows)) as rows:
+            points = replace(points, rows=rows)
+            seeds = _seeds(points, columns, max(ks))
+            points = replace(points, rows=held.enter_context(kept_for_iteration(_packed(points))))
+            points.rows.count()
         candidates = {
             (name, k): _Candidate(numbers[name], seeds[name][:k]) for name in feature_sets for k in ks
         }

@@ -9,6 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
+from fieldbook.learning import clustering
 from fieldbook.learning.clustering import (
     CLUSTER,
     cluster_profiles,
@@ -320,3 +321,15 @@ def test_trees_are_fitted_to_combinations_and_equal_trees_of_all_rows(spark, mon
         scored = tree.transform(fit(plain, drawn.filter("w > 0")).transform(scored))
     apart = [F.max(F.abs(F.col(f"plain_{n}") - F.col(f"__forest_{n}"))) for n in range(5)]
     assert max(scored.agg(*apart).first()) < 1e-9
+
+
+def test_clustered_points_are_packed_by_the_batch(spark):
+    """Passes read a binary value per batch, which holds each row's columns, and none is lost."""
+    frame = spark.range(0, 25_000, numPartitions=2).selectExpr("id", "id % 7 AS a", "id AS b")
+    points = clustering._points(frame, ["a", "b"], ["id"], 1, 42)
+    values = [r["points"] for r in clustering._packed(points).collect()]
+    assert 1 < len(values) < 100
+    found = np.concatenate([np.frombuffer(v).reshape(2, -1) for v in values], axis=1)
+    wanted = np.array(points.rows.select(*points.columns.values()).collect()).T
+    assert found.shape == (2, 25_000)
+    assert np.array_equal(np.sort(found, axis=1), np.sort(wanted, axis=1))
