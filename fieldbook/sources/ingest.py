@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldbook.functions import trimmed
 from fieldbook.operators.harmonise import with_provenance
@@ -18,7 +16,7 @@ from .spec import SourceSpec, text_schema
 from .tables import PERIOD, check_columns
 
 CONVERTED, REUSED = "converted", "reused"
-#: Sources converted at the same time.
+#: Sources opened, converted or counted at the same time.
 PARALLEL_SOURCES = 4
 AUDIT_SCHEMA = "period string, source string, rows long, expected long, state string"
 
@@ -33,9 +31,10 @@ def ingest(
     """Bring every source into ``root/period=<period>`` and return an audit table.
 
     A period already published is reused unless ``force``; its row count is checked
-    against the contract all the same.  New ones are written to staging folders, several
-    jobs at a time, all counted by one job, and published by renaming only when every
-    contract holds, so a failed ingest leaves the previous data in place.
+    against the contract all the same.  The columns of new ones are checked before any is
+    converted; they are written to staging folders, counted, and published by renaming only
+    when every contract holds, so a failed ingest leaves the previous data in place.  Each of
+    these steps works on several periods at a time.
     """
     if not specs:
         return local_frame(spark, [], AUDIT_SCHEMA)
@@ -51,14 +50,18 @@ def ingest(
         spec.period: f"{root}/_staging/{spec.period}" for spec in specs if spec.period not in reused
     }
 
-    def convert(spec: SourceSpec) -> None:
-        source = _read_source(spark, spec, columns)
+    def opened(spec: SourceSpec) -> DataFrame:
+        return _read_source(spark, spec, columns)
+
+    def convert(spec: SourceSpec, source: DataFrame) -> None:
         source.write.mode("overwrite").parquet(staged[spec.period])
 
     new = [spec for spec in specs if spec.period in staged]
     if new:
         with ThreadPool(min(PARALLEL_SOURCES, len(new))) as pool:
-            pool.map(convert, new, chunksize=1)
+            # All headers first: one looked at between conversions waits behind their tasks.
+            sources = pool.map(opened, new, chunksize=1)
+            pool.starmap(convert, zip(new, sources), chunksize=1)
     rows = _count_rows(spark, published | staged)
     broken = [
         f"{spec.file_name}: {rows[spec.period]} rows, expected {spec.expected_rows}"
@@ -80,14 +83,13 @@ def ingest(
 
 
 def _count_rows(spark: SparkSession, folders: dict[str, str]) -> dict[str, int]:
-    """Rows of every period's folder: one job, which reads no column."""
-    parts = [
-        spark.read.schema("`-` string").parquet(path).select(F.lit(period).alias("period"))
-        for period, path in folders.items()
-    ]
-    counted = reduce(DataFrame.unionByName, parts).groupBy("period").agg(F.count("*").alias("n"))
-    found = {row["period"]: row["n"] for row in counted.collect()}
-    return {period: found.get(period, 0) for period in folders}
+    """Rows of every period's folder; a count reads no column and groups no row."""
+
+    def count(folder: str) -> int:
+        return spark.read.schema("`-` string").parquet(folder).count()
+
+    with ThreadPool(min(PARALLEL_SOURCES, len(folders))) as pool:
+        return dict(zip(folders, pool.map(count, folders.values(), chunksize=1)))
 
 
 def _read_source(spark: SparkSession, spec: SourceSpec, columns: Sequence[str]) -> DataFrame:

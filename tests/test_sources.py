@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrameWriter
 
 from fieldbook.plans import survey
 from fieldbook.plans.preparation import prepare
 from fieldbook.sources import runs, tables
 from fieldbook.sources.ingest import _publish, ingest
 from fieldbook.sources.spec import SourceSpec, text_schema
+from workload.bindings import delivered, lines
 
 COLUMNS = ["home", "person", "pay"]
 CSV = 'home,person,pay,extra\n1,1, 1 ,z\n 2 ,1,"1,200",z\n3,"",,z\n'
@@ -176,6 +178,41 @@ def test_one_broken_source_publishes_none_of_the_others(spark, tmp_path):
     assert ingest(spark, [], COLUMNS, root).count() == 0
 
 
+def test_columns_of_all_sources_are_checked_before_any_is_converted(spark, tmp_path):
+    root = tmp_path / "store"
+    good, narrow = source(tmp_path, "2025T1"), source(tmp_path, "2025T2", columns=5)
+    with pytest.raises(ValueError, match="2025T2.csv: 4 columns, expected 5"):
+        ingest(spark, [good, narrow], COLUMNS, str(root))
+    assert not root.exists()
+
+
+def test_every_period_is_counted_whatever_its_name(spark, tmp_path):
+    root = str(tmp_path / "store")
+    names = ["2025T1", "half year", "2025%3A1"]
+    specs = [source(tmp_path, name, CSV + "4,1,5,z\n" * i, 3 + i) for i, name in enumerate(names)]
+    for state in ("converted", "reused"):
+        audit = {r["period"]: (r["rows"], r["state"]) for r in ingest(spark, specs, COLUMNS, root).collect()}
+        assert audit == {name: (3 + i, state) for i, name in enumerate(names)}
+
+
+def test_sources_are_gathered_before_they_are_text(spark, tmp_path, monkeypatch):
+    """Text is wider than the columns it is made from, which are all that is shuffled by period."""
+    sf_dir, plans = "/root/testdata/sf0.001", []
+    write = DataFrameWriter.csv
+
+    def spy(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", spy)
+    specs = delivered(spark, sf_dir)
+    plan = plans[0]
+    assert plan.index(" AS age_txt") < plan.index("RebalancePartitions") < plan.index("Join")
+    found = spark.read.option("header", "true").csv([spec.path for spec in specs])
+    assert found.count() == sum(spec.expected_rows for spec in specs) == lines(spark, sf_dir).count()
+    assert {len(found.columns)} == {spec.expected_columns for spec in specs}
+
+
 def test_survey_contract():
     assert list(survey.PERIODS) == ["2025T1", "2025T2", "2025T3", "2025T4", "2026T1"]
     assert [p[2] for p in survey.PERIODS.values()] == [51588, 51167, 51583, 49338, 49843]

@@ -131,10 +131,15 @@ def stored_model_lines(spark: SparkSession, sf_dir: str) -> Callable[..., DataFr
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text records as a survey would deliver them: blanks, commas, gaps and bad codes."""
-    joined = with_orders(
-        lines(spark, sf_dir), spark, sf_dir, "o_orderdate", "o_orderstatus", "o_orderpriority"
-    )
+    return _as_text(_ordered_lines(spark, sf_dir))
+
+
+def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["o_orderdate", "o_orderstatus", "o_orderpriority"]
+    return with_orders(lines(spark, sf_dir), spark, sf_dir, *columns)
+
 
+def _as_text(joined: DataFrame) -> DataFrame:
     def every(column: str, step: int):
         return F.col(column) % step == 0
 
@@ -255,9 +260,9 @@ def _scorer(spark: SparkSession, sf_dir: str) -> Callable[[str, bool], DataFrame
 def delivered(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
     """The text records as CSV sources, a folder per period, and what each has to hold."""
     root = scratch_path(spark, "delivered")
-    records = raw(spark, sf_dir)
-    gathered = records.hint("rebalance", F.col("period"))
-    gathered.write.partitionBy("period").option("header", "true").csv(root)
+    # Gathered by period before they are text, which is wider than what it is made from.
+    records = _as_text(_ordered_lines(spark, sf_dir).hint("rebalance", F.col("period")))
+    records.write.partitionBy("period").option("header", "true").csv(root)
     counts = lines(spark, sf_dir).groupBy("period").agg(
         F.count("*").alias("n"), F.min(F.year("l_shipdate")).alias("year"), F.min(F.quarter("l_shipdate")).alias("quarter")
     )
