@@ -9,10 +9,11 @@ one anchor are a run.
    run of a smaller document is covered as a whole.  A chunk of documents settles what it
    can before anything is sent, so that a run found in many documents is sent once a chunk.
 2. Where an anchor has several different runs, the least document of each sends the bytes.
-   The suffixes at the runs' windows are sorted: a merge sort whose comparisons find the
-   common extension by binary search over prefix polynomial hashes.  Neighbours with a
-   common extension of `LENGTH` are verified byte by byte, and the least document of equal
-   windows covers the others.  An anchor with very many runs is split by window hash.
+   The suffixes at the runs' windows are sorted by radix: by as many bytes at once as fit
+   beside their group, then those that tie by the next ones, until prefix polynomial hashes
+   tell that the rest of a tie is equal.  Equal neighbours are verified byte by byte, and the
+   least document of equal windows covers the others.  An anchor with very many runs is split
+   by window hash.
 3. Documents are read again with what was found for them, and cut.
 
 Runs are told apart by 96 bits of hash.  Defined results: null text is empty; texts shorter
@@ -39,8 +40,13 @@ LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams in a window, and most windows of a run
 CHUNK_BYTES = 1 << 22
-PIECE_BYTES = 1 << 20
+#: Windows hashed at once: what a piece needs stays in a processor's cache.
+PIECE_BYTES = 1 << 15
+#: Runs that a bucket of looked-into anchors should stand for.
 BUCKET_ENTRIES = 250_000
+#: Beyond so many buckets (a power of 2), one of runs holds four times that: a chunk sends a row
+#: to each, and each a row to every bucket of documents.
+FEW_BITS = 7
 #: Runs of one anchor that a part of it should hold.
 SPLIT = 20_000
 _LAST = (1 << 63) - 1
@@ -51,27 +57,39 @@ _RUN = np.dtype([("key", "<u8"), ("run", "<u8"), ("doc", "<i8")])
 _CUT = np.dtype([("doc", "<i8"), ("text", "<u8"), ("start", "<u4"), ("end", "<u4")])
 _COVER = np.dtype([("doc", "<i8"), ("run", "<u8"), ("mask", "<u4")])
 _WANT = np.dtype([("doc", "<i8"), ("run", "<u8"), ("parts", "<u2")])
+#: Where the eight bytes lie that tell whether two windows are equal.
+_EIGHTS = (*range(0, LENGTH - 7, 8), LENGTH - 8)
 _HEAD = np.dtype([("key", "<u8"), ("run", "<u8"), ("doc", "<i8"), ("left", "u1"), ("n", "u1"), ("part", "<u2"), ("parts", "<u2")])
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Row, first window, number of windows, anchor place, anchor and run hash of each run."""
     found = []
-    row_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     # Whether a window starts here: the row has so many bytes left.
     starts_window = np.zeros(len(data) + 1, np.int8)
     long = np.diff(offsets) >= LENGTH
     starts_window[offsets[:-1][long]] += 1
     starts_window[offsets[1:][long] - LENGTH + 1] -= 1
     starts_window = np.cumsum(starts_window, dtype=np.int8)[: len(data)].view(bool)
-    for low in range(0, max(len(data) - LENGTH + 1, 0), PIECE_BYTES):
-        part = data[low : low + PIECE_BYTES + LENGTH - 1]
+    total = max(len(data) - LENGTH + 1, 0)
+    for low in range(0, total, PIECE_BYTES):
+        # With the window before, and those that a run of this piece may go on to: how runs are
+        # told apart does not depend on where pieces end.
+        before = min(low, 1)
+        high = min(low + PIECE_BYTES + SPAN, total)
+        inside = starts_window[low - before : high]
+        if not inside.any():
+            continue
+        part = data[low - before : high + LENGTH - 1]
         sums = arrays.prefix_hashes(part)
         n = len(part) - GRAM + 1
         _, down = arrays.powers(n)
-        hashes = arrays.mixed((sums[GRAM:] - sums[:n]) * down)
+        least = sums[GRAM:] - sums[:n]
+        least *= down
+        hashes = arrays.mixed(least)
         # Least hash of SPAN neighbours, with its place in the low bits: the first of equals.
-        least = (hashes & ~np.uint64((1 << 24) - 1)) | np.arange(n, dtype=np.uint64)
+        np.bitwise_and(hashes, ~np.uint64((1 << 24) - 1), out=least)
+        least |= np.arange(n, dtype=np.uint64)
         width = 1
         while 2 * width <= SPAN:
             least = np.minimum(least[:-width], least[width:])
@@ -79,21 +97,24 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         if width < SPAN:
             least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
         anchors = (least & np.uint64((1 << 24) - 1)).astype(np.int32)
-        inside = starts_window[low : low + len(anchors)]
-        rows = row_of[low : low + len(anchors)]
+        # Windows of two rows are never neighbours.
         new = inside.copy()
-        new[1:] &= (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1]) | ~inside[:-1]
+        new[1:] &= (anchors[1:] != anchors[:-1]) | ~inside[:-1]
+        new[:before] = False
         start = np.flatnonzero(new)
-        if not len(start):
-            continue
         # A run ends before the next one, or where no more windows start.
-        upto = np.append(np.cumsum(inside), 0)
-        count = np.diff(np.append(upto[start] - 1, upto[len(inside) - 1]))
-        end = start + count - 1
+        upto = np.append(0, np.cumsum(inside, dtype=np.int32))
+        count = np.diff(np.append(upto[start], upto[-1])).astype(np.int64)
+        own = np.searchsorted(start, PIECE_BYTES + before)  # later ones start in the next piece
+        start, count = start[:own], count[:own]
+        if not own:
+            continue
         anchor = anchors[start].astype(np.int64)
         left = (anchor - start).astype(np.uint64)
-        run = arrays.mixed(arrays.range_hashes(sums, start, end + LENGTH) + left * np.uint64(0x9E3779B97F4A7C15))
-        found.append((rows[start].astype(np.int64), start + low, count, anchor + low, hashes[anchor] & _MASK, run & _MASK))
+        run = arrays.mixed(arrays.range_hashes(sums, start, start + count + LENGTH - 1) + left * np.uint64(0x9E3779B97F4A7C15))
+        place = low - before
+        rows = np.searchsorted(offsets, start + place, "right") - 1
+        found.append((rows, start + place, count, anchor + place, hashes[anchor] & _MASK, run & _MASK))
     if not found:
         return tuple(np.zeros(0, np.uint64 if k > 3 else np.int64) for k in range(6))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
@@ -114,6 +135,19 @@ def _bucketed(entries: np.ndarray, bucket: np.ndarray) -> tuple[list[int], list[
     return [int(bucket[h]) for h in heads], [pack(entries[a:b]) for a, b in zip(heads, ends, strict=True)]
 
 
+def _arranged(entries: np.ndarray) -> np.ndarray:
+    """Order of entries by key, run and document."""
+    # Keys and runs have 48 bits: one number holds the key and the run's highest bits.
+    lead = entries["key"] << np.uint64(16) | entries["run"] >> np.uint64(32)
+    order = np.argsort(lead)
+    lead = lead[order]
+    same = lead[1:] == lead[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    some = order[tied]
+    order[tied] = some[np.lexsort((entries["doc"][some], entries["run"][some], lead[tied]))]
+    return order
+
+
 def _buckets(values: np.ndarray, bits: int) -> np.ndarray:
     return (arrays.mixed(values.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -143,7 +177,7 @@ def _send(bits: int, doc_bits: int):
             rows, first, count, _, keys, run = runs(data, offsets)
             entries = np.empty(len(rows), _RUN)
             entries["key"], entries["run"], entries["doc"] = keys, run, docs[rows]
-            order = np.lexsort((entries["doc"], run, keys))
+            order = _arranged(entries)
             ordered = entries[order]
             head = np.ones(len(ordered), bool)
             head[1:] = (ordered["key"][1:] != ordered["key"][:-1]) | (ordered["run"][1:] != ordered["run"][:-1])
@@ -193,7 +227,7 @@ def _settle(doc_bits: int):
         parts = [unpack(payloads[k].as_py(), _RUN) for k, kind in enumerate(kinds) if kind == "run"]
         if parts:
             entries = np.concatenate(parts)
-            entries = entries[np.lexsort((entries["doc"], entries["run"], entries["key"]))]
+            entries = entries[_arranged(entries)]
             new_key = np.append(True, entries["key"][1:] != entries["key"][:-1])
             head = new_key.copy()
             head[1:] |= entries["run"][1:] != entries["run"][:-1]
@@ -248,135 +282,120 @@ def _answer(bits: int):
         for batch, data, offsets in _chunks(batches):
             docs = batch.column("doc").to_numpy()
             rows, first, count, anchor, keys, run = runs(data, offsets)
-            heads, texts = [], []
-            limits = np.searchsorted(rows, np.arange(len(docs) + 1))
-            for row, raw in enumerate(batch.column("want").to_pylist()):
-                wanted = np.sort(np.frombuffer(raw, _WANT), order="run")
-                own = np.arange(limits[row], limits[row + 1])
-                _, once = np.unique(run[own], return_index=True)  # a run that repeats in a text is one
-                own = own[once]
-                at = np.minimum(np.searchsorted(wanted["run"], run[own]), len(wanted) - 1)
-                hit = wanted["run"][at] == run[own]
-                for k, parts in zip(own[hit].tolist(), wanted["parts"][at[hit]].tolist(), strict=True):
-                    heads.append((int(keys[k]), int(run[k]), int(docs[row]), int(anchor[k] - first[k]), int(count[k]), parts))
-                    texts.append(data[first[k] : first[k] + count[k] + LENGTH - 1])
-            if not heads:
+            wants = [np.frombuffer(raw, _WANT) for raw in batch.column("want").to_pylist()]
+            rows_of = np.repeat(np.arange(len(wants)), list(map(len, wants)))
+            wants = np.concatenate(wants)
+            # A batch has fewer rows than the bits that a run's hash leaves free.
+            asked = wants["run"] | rows_of.astype(np.uint64) << np.uint64(48)
+            by_run = np.argsort(asked)
+            asked, parts = asked[by_run], wants["parts"][by_run]
+            # A run that repeats in a text is one.
+            found, once = np.unique(run | rows.astype(np.uint64) << np.uint64(48), return_index=True)
+            at = np.minimum(np.searchsorted(asked, found), len(asked) - 1)
+            hit = asked[at] == found
+            at, once = at[hit], once[hit]
+            if not len(once):
                 continue
-            yield from _contexts(heads, texts, bits)
+            heads = np.zeros(len(once), _HEAD)
+            heads["key"], heads["run"], heads["doc"] = keys[once], run[once], docs[rows[once]]
+            heads["left"], heads["n"], heads["parts"] = (anchor - first)[once], count[once], parts[at]
+            yield from _contexts(heads, data, first[once], bits)
 
     return step
 
 
-def _contexts(heads: list[tuple], texts: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    entries = np.zeros(len(heads), _HEAD)
-    for name, values in zip(("key", "run", "doc", "left", "n", "parts"), zip(*heads, strict=True), strict=True):
-        entries[name] = values
-    which = np.arange(len(entries))
-    split = np.flatnonzero(entries["parts"] > 1)
-    extra, extra_which = [], []
-    for k in split.tolist():
+def _contexts(entries: np.ndarray, data: np.ndarray, first: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Runs and their bytes, which start at `first`, by bucket."""
+    split = entries["parts"] > 1
+    extra, extra_first = [], []
+    for k in np.flatnonzero(split).tolist():
         # To each part of the anchor that one of its windows falls on.
-        sums = arrays.prefix_hashes(texts[k])
-        at = np.arange(int(entries["n"][k]))
+        n = int(entries["n"][k])
+        sums = arrays.prefix_hashes(data[first[k] : first[k] + n + LENGTH - 1])
+        at = np.arange(n)
         falls = np.unique(arrays.mixed(arrays.range_hashes(sums, at, at + LENGTH)) % np.uint64(entries["parts"][k]))
         copy = np.repeat(entries[k : k + 1], len(falls))
         copy["part"] = falls
         extra.append(copy)
-        extra_which.append(np.full(len(falls), k))
-    plain = entries["parts"] <= 1
-    entries = np.concatenate([entries[plain], *extra])
-    which = np.concatenate([which[plain], *extra_which])
+        extra_first.append(np.full(len(falls), first[k]))
+    entries = np.concatenate([entries[~split], *extra])
+    first = np.concatenate([first[~split], *extra_first])
     bucket = _buckets(entries["key"] + entries["part"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), bits)
     order = np.argsort(bucket, kind="stable")
-    entries, which, bucket = entries[order], which[order], bucket[order]
+    entries, first, bucket = entries[order], first[order], bucket[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    ends = [*cuts[1:].tolist(), len(bucket)]
+    ends = np.append(cuts[1:], len(bucket))
+    sizes = entries["n"].astype(np.int64) + LENGTH - 1
+    upto = np.append(0, np.cumsum(sizes))
+    texts = data[arrays.ranges(first, sizes)].tobytes()
     yield pa.RecordBatch.from_arrays(
         [
-            pa.array([int(bucket[a]) for a in cuts], pa.int32()),
-            pa.array([pack(entries[a:b]) for a, b in zip(cuts.tolist(), ends, strict=True)], pa.binary()),
-            pa.array(
-                [b"".join(texts[k].tobytes() for k in which[a:b].tolist()) for a, b in zip(cuts.tolist(), ends, strict=True)],
-                pa.binary(),
-            ),
+            pa.array(bucket[cuts], pa.int32()),
+            pa.array([pack(entries[a:b]) for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)], pa.binary()),
+            pa.array([texts[a:b] for a, b in zip(upto[cuts].tolist(), upto[ends].tolist(), strict=True)], pa.binary()),
         ],
         names=["bucket", "heads", "bytes"],
     )
 
 
-def common_extension(sums: np.ndarray, a: np.ndarray, b: np.ndarray, most: int = LENGTH) -> np.ndarray:
-    """Length of the common prefix of suffixes `a` and `b`, up to `most`, by binary search."""
-    low = np.zeros(len(a), np.int64)
-    step = 1 << (most.bit_length() - 1)
-    while step:
-        longer = np.minimum(low + step, most)
-        same = arrays.range_hashes(sums, a, a + longer) == arrays.range_hashes(sums, b, b + longer)
-        low = np.where(same, longer, low)
-        step >>= 1
-    return low
-
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that orders as they do; zeros follow the end."""
+    padded = np.append(data, np.zeros(15, np.uint8))
+    found = np.empty(len(data) + 8, np.uint64)
+    for k in range(8):
+        own = found[k::8]
+        own[:] = np.frombuffer(padded, ">u8", count=len(own), offset=k) if len(padded) >= k + 8 * len(own) else 0
+    return found[: len(data)]
 
-def _less(data: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
-    """Whether suffix a comes before suffix b within LENGTH bytes (or equals it, if asked)."""
-    common = common_extension(sums, a, b)
-    whole = common >= LENGTH
-    at = np.minimum(common, LENGTH - 1)
-    return np.where(whole, or_equal, data[a + at] < data[b + at])
 
+def suffix_order(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Order of `suffixes` by group and by their first LENGTH bytes: a radix sort.
 
-def sort_suffixes(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, groups: np.ndarray) -> np.ndarray:
-    """`suffixes` in order within each group (`groups` ascends): a bottom-up merge sort.
-
-    All merges of a level run at once: each suffix finds by binary search how many of the
-    sibling run come before it.
+    Suffixes that tie on the bytes read so far are sorted by the next ones, as many as fit
+    into a number beside the tie; a tie of which all hashes are equal is not looked at again.
     """
-    n = len(suffixes)
-    if not n:
-        return suffixes
-    heads = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
-    sizes = np.diff(np.append(heads, n))
-    begin = np.repeat(heads, sizes)
-    size = np.repeat(sizes, sizes)
-    order = suffixes.copy()
-    width = 1
-    while width < int(sizes.max()):
-        active = np.flatnonzero(size > width)
-        place = active - begin[active]
-        pair = place // (2 * width) * (2 * width)  # where this pair of runs starts
-        in_left = place - pair < width
-        other_low = np.where(in_left, pair + width, pair)
-        other_high = np.minimum(np.where(in_left, pair + 2 * width, pair + width), size[active])
-        other_low = np.minimum(other_low, other_high)
-        low = other_low + begin[active]
-        high = other_high + begin[active]
-        first = low.copy()
-        mine = order[active]
-        while True:
-            open_ = np.flatnonzero(low < high)
-            if not len(open_):
-                break
-            middle = (low[open_] + high[open_]) // 2
-            # A right run's suffix comes after equal ones of the left run.
-            before = _less(data, sums, order[middle], mine[open_], ~in_left[open_])
-            low[open_] = np.where(before, middle + 1, low[open_])
-            high[open_] = np.where(before, high[open_], middle)
-        own = np.where(in_left, place - pair, place - pair - width)
-        target = begin[active] + pair + own + (low - first)
-        merged = order.copy()
-        merged[target] = mine
-        order = merged
-        width *= 2
+    order = np.arange(len(suffixes))
+    eights = _eights(data)
+    hashes = arrays.range_hashes(sums, suffixes, suffixes + LENGTH)
+    ties = groups.astype(np.uint64)
+    open_ = np.arange(len(suffixes))  # the places of `order` that are not settled
+    done = 0
+    while len(open_) and done < LENGTH:
+        free = 64 - int(ties.max()).bit_length()
+        size = min(free // 8, 8, LENGTH - done)
+        mine = order[open_]
+        value = eights[suffixes[mine] + done] >> np.uint64(64 - 8 * size)
+        value |= ties << np.uint64(8 * size) if size < 8 else 0
+        by = np.argsort(value)
+        mine, value = mine[by], value[by]
+        order[open_] = mine
+        done += size
+        new = np.append(True, value[1:] != value[:-1])
+        heads = np.flatnonzero(new)
+        which = np.cumsum(new) - 1
+        found = hashes[mine]
+        differ = np.add.reduceat(found != found[heads][which], heads, dtype=np.int64) > 0
+        stays = differ[which]
+        open_ = open_[stays]
+        ties = (np.cumsum(differ) - 1)[which[stays]].astype(np.uint64)
     return order
 
 
+def sort_suffixes(data: np.ndarray, sums: np.ndarray, suffixes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """`suffixes` in order within each group (`groups` ascends)."""
+    return suffixes[suffix_order(data, sums, suffixes, groups)]
+
+
 def equal_neighbours(data: np.ndarray, sums: np.ndarray, order: np.ndarray, groups: np.ndarray) -> np.ndarray:
     """Whether each suffix (but the first) equals the one before it, verified by its bytes."""
-    same = groups[1:] == groups[:-1]
-    same[same] = common_extension(sums, order[:-1][same], order[1:][same]) >= LENGTH
+    hashes = arrays.range_hashes(sums, order, order + LENGTH)
+    same = (groups[1:] == groups[:-1]) & (hashes[1:] == hashes[:-1])
     at = np.flatnonzero(same)
-    span = np.arange(LENGTH)
-    for part in np.array_split(at, max(1, len(at) // 200_000)):
-        same[part] = (data[order[part][:, None] + span] == data[order[part + 1][:, None] + span]).all(axis=1)
+    eights = _eights(data)
+    for place in _EIGHTS:
+        at = at[eights[order[at] + place] == eights[order[at + 1] + place]]
+    same[:] = False
+    same[at] = True
     return same
 
 
@@ -399,30 +418,29 @@ def _look_into(doc_bits: int):
             here = (parts <= 1) | (falls == heads["part"][owner])
             owner, inner, suffixes = owner[here], inner[here], suffixes[here]
         # Equal windows have one anchor at one distance.
-        distance = heads["left"][owner].astype(np.int64) - inner
-        arranged = np.lexsort((distance, heads["part"][owner], heads["key"][owner]))
-        owner, inner, suffixes, distance = (v[arranged] for v in (owner, inner, suffixes, distance))
-        key, part = heads["key"][owner], heads["part"][owner]
-        change = np.ones(len(owner), bool)
-        change[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (distance[1:] != distance[:-1])
-        groups = np.cumsum(change)
-        order = sort_suffixes(data, sums, suffixes, groups)
-        # Back from a suffix to the run that it is of.
-        which = np.searchsorted(begin, order, "right") - 1
+        by_anchor = np.lexsort((heads["part"], heads["key"]))
+        key, part = heads["key"][by_anchor], heads["part"][by_anchor]
+        anchor = np.empty(len(heads), np.int64)
+        anchor[by_anchor] = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (part[1:] != part[:-1])))
+        groups = anchor[owner] * SPAN + heads["left"][owner] - inner
+        order = suffix_order(data, sums, suffixes, groups)
+        which, at = owner[order], inner[order]
         docs = heads["doc"][which]
-        head = np.append(True, ~equal_neighbours(data, sums, order, groups))
+        head = np.append(True, ~equal_neighbours(data, sums, suffixes[order], groups[order]))
         starts = np.flatnonzero(head)
         least = np.minimum.reduceat(docs, starts)[np.cumsum(head) - 1]
         covered = np.flatnonzero(docs > least)
-        covers = np.empty(len(covered), _COVER)
-        covers["doc"] = docs[covered]
-        covers["run"] = heads["run"][which[covered]]
-        covers["mask"] = np.uint32(1) << (order[covered] - begin[which[covered]]).astype(np.uint32)
+        # Each window of a run is met once: the sum of its bits is their union.
+        bits = np.bincount(which[covered], np.ldexp(1.0, at[covered].astype(np.int32)), len(heads))
+        some = np.flatnonzero(bits)
+        covers = np.empty(len(some), _COVER)
+        covers["doc"], covers["run"], covers["mask"] = heads["doc"][some], heads["run"][some], bits[some].astype(np.uint32)
         # One entry per run of a document.
         covers = covers[np.lexsort((covers["run"], covers["doc"]))]
-        new = np.append(True, (covers["doc"][1:] != covers["doc"][:-1]) | (covers["run"][1:] != covers["run"][:-1]))
         if len(covers):
-            firsts = np.flatnonzero(new[: len(covers)])
+            firsts = np.flatnonzero(
+                np.append(True, (covers["doc"][1:] != covers["doc"][:-1]) | (covers["run"][1:] != covers["run"][:-1]))
+            )
             masks = np.bitwise_or.reduceat(covers["mask"], firsts)
             covers = covers[firsts]
             covers["mask"] = masks
@@ -482,7 +500,8 @@ def deduplicated(
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     read = docs.select(key.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(3, math.ceil(math.log2(max(1, total * 2 / (SPAN + 1) / BUCKET_ENTRIES))))
+    look_bits = max(3, math.ceil(math.log2(max(1, total * 2 / (SPAN + 1) / BUCKET_ENTRIES))))
+    bits = max(min(look_bits, FEW_BITS), look_bits - 2)
     doc_bits = max(3, bits - 2)
 
     sent = read.mapInArrow(arrays.tidy(_send(bits, doc_bits)), _PACKED)
@@ -499,7 +518,7 @@ def deduplicated(
     rest = F.struct(*[c for c in docs.columns if c != text])
     texts = docs.select(key.alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"), rest.alias("rest")).repartition(parts, "doc")
     asked = texts.join(known.filter(F.col("want").isNotNull()).select("doc", "want"), "doc")
-    answers = asked.mapInArrow(arrays.tidy(_answer(bits)), "bucket int, heads binary, bytes binary")
+    answers = asked.mapInArrow(arrays.tidy(_answer(look_bits)), "bucket int, heads binary, bytes binary")
     looked = (
         answers.groupBy("bucket")
         .applyInArrow(arrays.tidy_group(_look_into(doc_bits)), _PACKED)
