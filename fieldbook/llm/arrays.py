@@ -10,6 +10,8 @@ import pyarrow as pa
 
 #: Text handled at once; what a task holds is some twenty times this.
 BLOCK_BYTES = 1 << 20
+#: Text whose words are hashed at once: what that needs stays in a processor's cache.
+PIECE_BYTES = 1 << 16
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -149,7 +151,7 @@ def words(
     ends = np.flatnonzero(closes) + 1
     hashes = np.empty(len(starts), np.uint64)
     done = 0
-    for low, high in _pieces(inside, offsets, BLOCK_BYTES):
+    for low, high in _pieces(inside, offsets, PIECE_BYTES):
         upto = int(np.searchsorted(starts, high))
         sums = prefix_hashes(data[low:high])
         hashes[done:upto] = range_hashes(sums, starts[done:upto] - low, ends[done:upto] - low)
@@ -158,6 +160,82 @@ def words(
     return starts, ends, mixed(hashes), rows
 
 
+def order_of(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Order by row and hash; equal pairs in any order."""
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    # One number holds the row and the hash's highest bits, which leave few ties.
+    bits = np.uint64(max(1, int(rows.max()).bit_length()))
+    lead = rows.astype(np.uint64) << (np.uint64(64) - bits) | hashes >> bits
+    order = np.argsort(lead)
+    lead = lead[order]
+    same = lead[1:] == lead[:-1]
+    same &= hashes[order[1:]] != hashes[order[:-1]]
+    if same.any():
+        # All of a tie: by number of the tie and whole hash.
+        tie = np.cumsum(np.append(True, lead[1:] != lead[:-1]))
+        tied = np.flatnonzero(np.isin(tie, tie[1:][same]))
+        some = order[tied]
+        order[tied] = some[np.lexsort((hashes[some], tie[tied]))]
+    return order
+
+
+class Numbers:
+    """Distinct 64-bit numbers but 0, told by the order in which they came: open addressing."""
+
+    def __init__(self, keys: np.ndarray | None = None) -> None:
+        self.count = 0
+        self._allot(10)
+        if keys is not None:
+            self.add(keys)
+
+    def _allot(self, bits: int) -> None:
+        self._bits = bits
+        self._keys = np.zeros(1 << bits, np.uint64)
+        self._at = np.zeros(1 << bits, np.int32)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(_P)) >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key; -1 where it is none of them."""
+        places = self._home(keys)
+        held = self._keys[places]
+        found = np.where(held == keys, self._at[places], -1)
+        open_ = np.flatnonzero((held != keys) & (held != 0))
+        places = places[open_]
+        while len(open_):
+            places = (places + 1) & (len(self._keys) - 1)
+            held, wanted = self._keys[places], keys[open_]
+            hit = held == wanted
+            found[open_[hit]] = self._at[places[hit]]
+            stays = ~hit & (held != 0)
+            open_, places = open_[stays], places[stays]
+        return found
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct keys that are not among them yet."""
+        bits = self._bits
+        while 2 * (self.count + len(keys)) > 1 << bits:
+            bits += 1
+        if bits > self._bits:
+            here = np.flatnonzero(self._keys)
+            old, at = self._keys[here], self._at[here]
+            self._allot(bits)
+            self._put(old, at)
+        self._put(keys, np.arange(self.count, self.count + len(keys), dtype=np.int32))
+        self.count += len(keys)
+
+    def _put(self, keys: np.ndarray, at: np.ndarray) -> None:
+        places = self._home(keys)
+        while len(keys):
+            free = self._keys[places] == 0
+            self._keys[places[free]] = keys[free]  # one of those that meet at a place
+            own = self._keys[places] == keys
+            self._at[places[own]] = at[own]
+            keys, at, places = keys[~own], at[~own], (places[~own] + 1) & (len(self._keys) - 1)
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of each `size` consecutive words, by the first of them."""
     n = len(hashes) - size + 1

@@ -7,9 +7,10 @@ its arc v, u now leads to the copy, and an arc uv is laid from wherever u leaves
 led.  Arcs of one label always end in one state, so a state is known by the label that
 leads to it, and the construction is recorded as what each label's state lost and when.
 
-Encoding walks the automaton over a word's bytes, longest label first, with arcs read from
-a table; it backs up where no arc continues, and never tries a (place, label) twice.
-Decoding emits the labels of a path.
+Encoding walks the automaton over a word's bytes, longest label first; it backs up where no
+arc continues, and never tries a (place, label) twice.  All words that are new in a block are
+walked together, a step of each at a time, after a trie of the labels has told which ones
+stand at each byte.  Decoding emits the labels of a path.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ from fieldbook.llm.store import shipped, without_names
 
 _ARCS = 1 << 18
 _NEVER = 1 << 40
+#: Words of more bytes are walked one by one, and so are the last ones of a block.
+WIDE = 64
+FEW = 16
+#: Pairs of a state and a label that a worker remembers; beyond this it starts over.
+MOST_MET = 1 << 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -76,6 +82,39 @@ class Automaton:
         self.label_ends = np.cumsum(lengths)
         self.label_lengths = lengths
         self.label_bytes = np.frombuffer(b"".join(self.labels.get(t, b"") for t in range(size)), np.uint8)
+        # The same as arrays, by label; -1 where nothing made a label.
+        self._left, self._right, self._born = (np.full(size, -1, np.int64) for _ in range(3))
+        for array, known in ((self._left, self.left), (self._right, self.right), (self._born, self.born)):
+            array[list(known)] = list(known.values())
+        lost = [(u, v, time) for u, gone in self.lost.items() for v, time in gone.items()]
+        self._lost = arrays.Numbers(np.array([_pair(u, v) for u, v, _ in lost], np.uint64))
+        self._lost_at = np.array([*(time for _, _, time in lost), _NEVER])
+        self._forget()
+        self._plant()
+
+    def _forget(self) -> None:
+        """Pairs of a state and a label that have been met, and whether the arc is there."""
+        self._met = arrays.Numbers()
+        self._there = np.zeros(0, bool)
+
+    def _plant(self) -> None:
+        """The trie of the labels on paths: nodes by parent and byte, and the label at each."""
+        nodes: dict[int, int] = {}
+        label_at = [-1]
+        for label, token in self.ids.items():
+            if token in self.born or len(label) == 1:
+                node = 0
+                for byte in label:
+                    node = nodes.setdefault((node + 1) << 8 | byte, len(label_at))
+                    if node == len(label_at):
+                        label_at.append(-1)
+                label_at[node] = token
+        self._trie = arrays.Numbers(np.array(list(nodes), np.uint64))  # numbered one below its node
+        self._label_at = np.array(label_at)
+        # Nodes of two bytes: 0 where no label starts with them.
+        firsts = np.repeat(self._trie.find(np.arange(256, dtype=np.uint64) | np.uint64(256)) + 1, 256)
+        self._second = self._trie.find((firsts + 1).astype(np.uint64) << np.uint64(8) | np.tile(np.arange(256, dtype=np.uint64), 256)) + 1
+        self._byte_label = self._label_at[firsts[::256]]
 
     def _leads(self, state: int, label: int) -> bool:
         """Whether the state behind label `state` has an arc `label`."""
@@ -106,6 +145,138 @@ class Automaton:
             known = self._arcs[key] = self._leads(state, label)
         return known
 
+    def _arcs_of(self, states: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """As arc, of many pairs."""
+        pairs = _pair(states, labels)
+        at = self._met.find(pairs)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            if self._met.count > MOST_MET:
+                self._forget()
+                unknown = np.arange(len(pairs))
+            fresh, first = np.unique(pairs[unknown], return_index=True)
+            first = unknown[first]
+            self._there = np.append(self._there, self._lead(states[first], labels[first]))
+            self._met.add(fresh)
+            at[unknown] = self._met.find(pairs[unknown])
+        return self._there[at]
+
+    def _lead(self, states: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """As _leads, of many pairs."""
+        leads = np.ones(len(states), bool)
+        limits = np.full(len(states), _NEVER)
+        open_ = np.arange(len(states))
+        while len(open_):
+            some, owners, label = open_, states[open_], labels[open_]
+            before = np.full(len(some), _NEVER)
+            while len(some):
+                times = self._lost_at[self._lost.find(_pair(owners, label))]
+                gone = (times < before) & (times <= limits[some])
+                leads[some[gone]] = False
+                born = self._born[owners]
+                on = ~gone & (born >= 0)
+                some, label = some[on], label[on]
+                before = np.minimum(before[on], born[on])
+                owners = self._right[owners[on]]
+            born = self._born[labels[open_]]
+            on = leads[open_] & (born >= 0)
+            open_ = open_[on]
+            limits[open_] = np.minimum(limits[open_], born[on])
+            labels = labels.copy()
+            labels[open_] = self._left[labels[open_]]
+        return leads
+
+    def _standing(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The labels that stand at each byte, within its word, short before long: all of them,
+        and where each byte's begin (and the last one's end)."""
+        # Every byte is a label.
+        at = np.arange(len(data))
+        found_at, found = [at], [self._byte_label[data]]
+        at = np.flatnonzero(at + 1 < ends)
+        node = self._second[data[at].astype(np.int64) << 8 | data[at + 1]]
+        depth = 2
+        while len(at):
+            on = node > 0
+            at, node = at[on], node[on]
+            label = self._label_at[node]
+            ending = label >= 0
+            found_at.append(at[ending])
+            found.append(label[ending])
+            on = at + depth < ends[at]
+            at, node = at[on], node[on]
+            node = self._trie.find((node + 1).astype(np.uint64) << np.uint64(8) | data[at + depth]) + 1
+            depth += 1
+        found_at, found = np.concatenate(found_at), np.concatenate(found)
+        sizes = self.label_lengths[found]
+        order = np.argsort(found_at << 8 | sizes)
+        return found[order], np.append(0, np.cumsum(np.bincount(found_at, minlength=len(data))))
+
+    def encode_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The paths of all words one after another, and the number of labels of each."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        rest = lengths > WIDE
+        rest |= lengths == 0
+        walked = np.flatnonzero(~rest)
+        lengths = lengths[walked]
+        counts = np.zeros(len(words), np.int64)
+        wide = int(lengths.max(initial=1))
+        # By word and depth: the labels of its path.
+        paths = np.zeros(len(walked) * wide, np.int32)
+        if len(walked):
+            data = np.frombuffer(b"".join(words[k] for k in walked.tolist()), np.uint8)
+            ends = np.cumsum(lengths)
+            found, begin = self._standing(data, np.repeat(ends, lengths))
+            dead = np.zeros(len(found), bool)
+            # Where each label of a path starts, the one to try there next (down to the byte's
+            # first), and the one that is taken.
+            place, next_, taken = (np.zeros(len(paths), np.int32) for _ in range(3))
+            own = np.arange(len(walked)) * wide
+            place[own] = ends - lengths
+            next_[own] = begin[ends - lengths + 1] - 1
+            depth = np.zeros(len(walked), np.int64)
+            open_ = np.arange(len(walked))
+            while len(open_) > FEW:
+                deep = depth[open_]
+                own = open_ * wide + deep
+                at, tried = place[own], next_[own]
+                # Back where nothing is left to try: what led here is dead.
+                over = tried < begin[at]
+                if over.any():
+                    back = over & (deep > 0)
+                    depth[open_[back]] -= 1
+                    dead[taken[own[back] - 1]] = True
+                    if not back[over].all():  # no path: as encode answers
+                        open_ = open_[~over | back]
+                        continue
+                good = ~over & ~dead[tried]
+                next_[own] = tried - 1
+                check = np.flatnonzero(good & (deep > 0))
+                good[check] = self._arcs_of(paths[own[check] - 1], found[tried[check]])
+                own, at, tried, some = own[good], at[good], tried[good], open_[good]
+                label = found[tried]
+                paths[own], taken[own] = label, tried
+                at = at + self.label_lengths[label]
+                ended = at == ends[some]
+                counts[walked[some[ended]]] = depth[some[ended]] + 1
+                goes = ~ended
+                own, at = own[goes] + 1, at[goes]
+                depth[some[goes]] += 1
+                place[own], next_[own] = at, begin[at + 1] - 1
+                if ended.any():
+                    open_ = open_[counts[walked[open_]] == 0]
+            rest[walked[counts[walked] == 0]] = True
+        alone = {k: self.encode(words[k]) for k in np.flatnonzero(rest).tolist()}
+        for k, path in alone.items():
+            counts[k] = len(path)
+        ids = np.empty(int(counts.sum()), np.uint32)
+        upto = np.cumsum(counts)
+        done = ~rest[walked]
+        here = counts[walked[done]]
+        ids[arrays.ranges(upto[walked[done]] - here, here)] = paths.reshape(-1, wide)[done][np.arange(wide) < here[:, None]]
+        for k, path in alone.items():
+            ids[upto[k] - len(path) : upto[k]] = path
+        return ids, counts
+
     def encode(self, word: bytes) -> list[int]:
         whole = self.ids.get(word)
         if whole is not None and (whole in self.born or len(word) == 1):
@@ -146,6 +317,13 @@ class Automaton:
         return self.label_bytes[arrays.ranges(self.label_ends[ids] - lengths, lengths)]
 
 
+def _pair(state, label):
+    """One number for a state and a label: never 0."""
+    if isinstance(state, np.ndarray):
+        return (state + 1).astype(np.uint64) << np.uint64(32) | label.astype(np.uint64)
+    return (state + 1) << 32 | label
+
+
 _READY: dict[str, tuple[Automaton, pretokens.WordIds]] = {}
 
 
@@ -154,7 +332,7 @@ def ready(file_text: str) -> tuple[Automaton, pretokens.WordIds]:
     key = hashlib.sha256(file_text.encode()).hexdigest()
     if key not in _READY:
         automaton = Automaton(file_text)
-        words = pretokens.WordIds(lambda fresh: [automaton.encode(w.encode("utf-8", "surrogatepass")) for w in fresh])
+        words = pretokens.WordIds(lambda fresh: automaton.encode_all([w.encode("utf-8", "surrogatepass") for w in fresh]))
         _READY[key] = (automaton, words)
     return _READY[key]
 

@@ -79,7 +79,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
             found_rows.append(short)
             found.append(arrays.windows(hashes, n)[first[short]] ^ np.uint64(n))
     rows, hashes = np.concatenate(found_rows), np.concatenate(found)
-    order = np.lexsort((hashes, rows))
+    order = arrays.order_of(rows, hashes)
     rows, hashes = rows[order], hashes[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
@@ -173,7 +173,7 @@ def index_entries(
     docs: np.ndarray, rows: np.ndarray, hashes: np.ndarray, table: tuple[np.ndarray, np.ndarray],
     percent: int = PERCENT,
 ) -> np.ndarray:
-    """The index entries of a chunk's sets."""
+    """The index entries of a chunk's sets, which come by row and hash."""
     tokens, texts = table
     counts = np.bincount(rows, minlength=len(docs))
     often = np.zeros(len(hashes), np.int64)
@@ -182,7 +182,7 @@ def index_entries(
         known = tokens[at] == hashes
         often[known] = texts[at[known]]
     # The same rank for all that are not in the table: their order is that of the hash.
-    order = np.lexsort((hashes, often, rows))
+    order = np.argsort(rows.astype(np.int64) << 40 | often, kind="stable")
     rows, hashes, often = rows[order], hashes[order], often[order]
     place = np.arange(len(rows)) - (np.cumsum(counts) - counts)[rows]
     prefix = (counts - required(counts, percent) + 1)[rows]

@@ -7,6 +7,7 @@ words are met by their hash, so that a tokenizer sees each of them once.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from collections.abc import Callable
 from functools import cache
@@ -117,17 +118,29 @@ def word_end_words(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
 
 class WordIds:
-    """Ids of words, asked for once a word: `encode` maps a list of words to lists of ids."""
+    """Ids of words, asked for once a word.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]) -> None:
+    `encode` maps a list of words to all their ids, one after another, and the number of each.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> None:
         self._encode = encode
         self._clear()
 
     def _clear(self) -> None:
-        self._hashes = np.zeros(0, np.uint64)
-        self._starts = np.zeros(0, np.int64)
-        self._counts = np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.uint32)
+        self._known = arrays.Numbers()
+        # Ids of all words, and where each word's begin; both have room for more.
+        self._ids = np.zeros(1 << 10, np.uint32)
+        self._starts = np.zeros(1 << 10, np.int64)
+
+    def _remember(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        n = self._known.count
+        begin = int(self._starts[n])
+        self._ids = _with_room(self._ids, begin + len(ids))
+        self._starts = _with_room(self._starts, n + len(counts) + 1)
+        self._ids[begin : begin + len(ids)] = ids
+        self._starts[n + 1 : n + 1 + len(counts)] = begin + np.cumsum(counts)
+        self._known.add(hashes)
 
     def of(
         self, text: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray
@@ -136,27 +149,30 @@ class WordIds:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         hashes = arrays.mixed(arrays.range_hashes(arrays.prefix_hashes(points), starts, ends))
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self._hashes) > REMEMBERED:
+        hashes[hashes == 0] = 1
+        if self._known.count > REMEMBERED:
             self._clear()
-        at = np.searchsorted(self._hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self._hashes)
-        known[inside] = self._hashes[at[inside]] == distinct[inside]
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)
-            coded = self._encode([text[a:b] for a, b in spans])
-            counts = np.fromiter(map(len, coded), np.int64, len(coded))
-            ids = np.fromiter((i for word in coded for i in word), np.uint32, int(counts.sum()))
-            begin = len(self._ids) + np.cumsum(counts) - counts
-            hashes_ = np.concatenate([self._hashes, distinct[fresh]])
-            order = np.argsort(hashes_, kind="stable")
-            self._hashes = hashes_[order]
-            self._starts = np.concatenate([self._starts, begin])[order]
-            self._counts = np.concatenate([self._counts, counts])[order]
-            self._ids = np.concatenate([self._ids, ids])
-            at = np.searchsorted(self._hashes, distinct)
-        entry = at[which]
-        counts = self._counts[entry]
-        return self._ids[arrays.ranges(self._starts[entry], counts)], counts
+        entry = self._known.find(hashes)
+        unknown = np.flatnonzero(entry < 0)
+        if len(unknown):
+            fresh, first = np.unique(hashes[unknown], return_index=True)
+            first = unknown[first]
+            spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+            self._remember(fresh, *self._encode([text[a:b] for a, b in spans]))
+            entry[unknown] = self._known.find(hashes[unknown])
+        begin = self._starts[entry]
+        counts = self._starts[entry + 1] - begin
+        return self._ids[arrays.ranges(begin, counts)], counts
+
+
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    """`values`, followed by zeros if there are fewer than `size`."""
+    if len(values) >= size:
+        return values
+    return np.append(values, np.zeros(max(len(values), size - len(values)), values.dtype))
+
+
+def flat(coded: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words one after another, and the number of each."""
+    counts = np.fromiter(map(len, coded), np.int64, len(coded))
+    return np.fromiter(itertools.chain.from_iterable(coded), np.uint32, int(counts.sum())), counts

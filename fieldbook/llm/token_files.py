@@ -201,7 +201,7 @@ def _ready(file_text: str) -> tuple[Tokenizer, pretokens.WordIds]:
         tokenizer.no_padding()
         tokenizer.no_truncation()
         words = pretokens.WordIds(
-            lambda fresh: [c.ids for c in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            lambda fresh: pretokens.flat([c.ids for c in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)])
         )
         _READY[key] = (tokenizer, words)
     return _READY[key]
