@@ -33,6 +33,10 @@ CLUSTER = "cluster"
 SCALED = "scaled_features"
 # Passes over the rows at most, and how far a centre moves when it is done.
 ITERATIONS, TOLERANCE = 50, 1e-4
+#: Figures kept of a mean or deviation, and decimals of a centre: the last ones follow from the
+#: order in which rows are added up, and would tell which centre is nearest to a row halfway
+#: between two.
+FIGURES = 12
 
 
 @dataclass(frozen=True)
@@ -110,7 +114,7 @@ def _points(frame: DataFrame, features: Sequence[str], keys: Sequence[str], seed
     if row["bad"]:
         raise ValueError(f"{row['bad']} rows have a feature that is null or not finite")
     moments = {
-        name: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 0.0) for i, name in enumerate(features)
+        name: (_short(row[f"m_{i}"] or 0.0), _short(row[f"s_{i}"] or 0.0)) for i, name in enumerate(features)
     }
     columns = {name: f"__z{i}" for i, name in enumerate(features)}
     scaled = [
@@ -121,6 +125,10 @@ def _points(frame: DataFrame, features: Sequence[str], keys: Sequence[str], seed
     return _Points(frame.select(*scaled, *drawn), columns, moments)
 
 
+def _short(value: float) -> float:
+    return float(f"{value:.{FIGURES}g}")
+
+
 def _all(tests: Sequence[Column]) -> Column:
     whole = F.lit(True)
     for test in tests:
@@ -195,7 +203,7 @@ class _Candidate:
         """To the means of the clusters; an empty one stays where it is."""
         before = self.centres
         self.centres = [
-            tuple(float(x) for x in totals[j].sums / totals[j].n) if j in totals else centre
+            tuple(round(float(x), FIGURES) for x in totals[j].sums / totals[j].n) if j in totals else centre
             for j, centre in enumerate(before)
         ]
         self.moving = any(math.dist(a, b) > TOLERANCE for a, b in zip(before, self.centres))
